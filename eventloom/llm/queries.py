@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, decontaminate, html_text, langid, licences, nearest, personal_data, quality
+from eventloom.llm import bpe, decontaminate, html_text, langid, licences, nearest, personal_data, quality, set_join
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.jaccard_components(table(spark, sf_dir, "documents"), set_join.Rule(k=4, num=85, den=100))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -55,7 +59,7 @@ WITH v AS (
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_distance(q.e, c.e) AS score
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sqrt(list_sum(list_transform(list_zip(q.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
   WHERE q.vec_id % 100 = 0
 ), ranked AS (
@@ -66,7 +70,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op3_decontamination, op4_language_id, op5_personal_data, op6_html_text, op7_nearest, op8_bpe, op9_quality, op10_licences)
+    found = (op2_jaccard_join, op3_decontamination, op4_language_id, op5_personal_data, op6_html_text, op7_nearest, op8_bpe, op9_quality, op10_licences)
     return {f.__name__: f for f in found}
 
 
