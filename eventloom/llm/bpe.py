@@ -228,7 +228,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, keep_ids: bool = Fals
                     of_ids.append(hashlib.sha256(joined.encode()).hexdigest())
                     of_text.append(hashlib.sha256(decoded.encode()).hexdigest())
                     if keep_ids:
-                        ids.append(np.array(joined.split(), np.uint32).tobytes())
+                        ids.append((np.fromstring(joined, np.uint32, sep=" ") if joined else np.zeros(0, np.uint32)).tobytes())
                 columns = [doc_ids.slice(at, 250).cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if keep_ids:

@@ -180,20 +180,46 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMIL
     and items match nothing; a null doc_id or item_id is returned as null; repeated rows match each.
     """
     prepare(docs.sparkSession)
-    items = benchmark.filter(F.length("text") > 0).select("item_id", "text")
-    item_type = items.schema["item_id"].dataType.simpleString()
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    passes = max(1, -(-chars // pass_chars))
+    item_type = benchmark.schema["item_id"].dataType.simpleString()
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = f"doc_id bigint, item_id {item_type}, similarity double, first_word int, n_words int"
     out = None
-    for p in range(passes):
-        rows = items.filter(F.pmod(F.xxhash64("text"), F.lit(passes)) == p).collect() if passes > 1 else items.collect()
-        found = source.mapInArrow(finder(docs.sparkSession.sparkContext.broadcast(read_items([tuple(r) for r in rows], threshold))), schema)
+    for bench in passes(benchmark, threshold, pass_chars):
+        found = source.mapInArrow(finder(docs.sparkSession.sparkContext.broadcast(bench)), schema)
         out = found if out is None else out.unionAll(found)
     return out
 
 
+def passes(benchmark: DataFrame, threshold: float, pass_chars: int) -> Iterator[Benchmark]:
+    """The benchmark in parts of about ``pass_chars`` characters, by a hash of the items' texts."""
+    items = benchmark.filter(F.length("text") > 0).select("item_id", "text")
+    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    n = max(1, -(-chars // pass_chars))
+    for p in range(n):
+        rows = items.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == p) if n > 1 else items
+        yield read_items([tuple(r) for r in rows.collect()], threshold)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMILARITY, pass_chars: int = PASS_CHARS) -> DataFrame:
+    """The rows of ``docs`` that contain no benchmark item, with all their columns; null and empty texts stay."""
+    prepare(docs.sparkSession)
+    at = docs.columns.index("text")
+    for bench in passes(benchmark, threshold, pass_chars):
+        docs = docs.mapInArrow(cleaner(docs.sparkSession.sparkContext.broadcast(bench), at), docs.schema)
+    return docs
+
+
+def cleaner(shared, at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            for part in slices(batch.column(at)):
+                keep[[part.lo + f[0] for f in matches(shared.value, part)]] = False
+            yield batch.filter(pa.array(keep))
+
+    return run
+
+
 def finder(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bench = shared.value

@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, decontaminate, html_text, langid, licences, nearest, personal_data, quality, set_join
+from eventloom.llm import bpe, decontaminate, html_text, langid, licences, nearest, personal_data, quality, set_join, suffixes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.jaccard_components(table(spark, sf_dir, "documents"), set_join.Rule(k=4, num=85, den=100))
 
@@ -70,7 +74,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_jaccard_join, op3_decontamination, op4_language_id, op5_personal_data, op6_html_text, op7_nearest, op8_bpe, op9_quality, op10_licences)
+    found = (op1_suffix_dedup, op2_jaccard_join, op3_decontamination, op4_language_id, op5_personal_data, op6_html_text, op7_nearest, op8_bpe, op9_quality, op10_licences)
     return {f.__name__: f for f in found}
 
 
