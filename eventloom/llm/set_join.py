@@ -267,7 +267,7 @@ class Cluster:
     """A component in the making: its members, and the Jaccard distance of each to its first member where known."""
 
     def __init__(self, first: int):
-        self.members, self.distance = [first], [0.0]
+        self.members, self.distance, self.gone = [first], [0.0], False
 
 
 def link_sets(ids: list[int], labels: list[int], sets: list[np.ndarray], rule: Rule) -> list[tuple[int, int]]:
@@ -298,9 +298,9 @@ def link_sets(ids: list[int], labels: list[int], sets: list[np.ndarray], rule: R
         return None, d
 
     for x in sorted(range(len(ids)), key=lambda i: (len(sets[i]), ids[i])):
-        own = by_label.get(labels[x])
+        own, placed = by_label.get(labels[x]), False
         for cluster in list(clusters):
-            if cluster is own:
+            if cluster is own or cluster.gone:
                 continue
             y, d = reaches(x, cluster)
             if y is None:
@@ -308,11 +308,12 @@ def link_sets(ids: list[int], labels: list[int], sets: list[np.ndarray], rule: R
             links.append((ids[x], ids[y]))
             if own is None:
                 cluster.members.append(x), cluster.distance.append(d)
-                own = cluster
+                own, placed = cluster, True
             else:
                 small, big = sorted((own, cluster), key=lambda c: len(c.members))
                 big.members += small.members
                 big.distance += [float("nan")] * len(small.members)
+                small.gone = True
                 clusters.remove(small)
                 for label, c in by_label.items():
                     if c is small:
@@ -323,7 +324,7 @@ def link_sets(ids: list[int], labels: list[int], sets: list[np.ndarray], rule: R
             own = Cluster(x)
             clusters.append(own)
             by_label[labels[x]] = own
-        elif x not in own.members:
+        elif not placed:
             own.members.append(x), own.distance.append(float("nan"))
     return links
 
