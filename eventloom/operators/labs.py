@@ -104,7 +104,8 @@ def apply(df: DataFrame, stats: DataFrame, method: str = "minmax", n: int = 10,
     rest = [c for c in df.columns if c not in (value, "value_label")]
     if single_column:
         return joined.select(*map(named, rest), F.coalesce(label, number.cast("string")).alias(value))
-    return joined.select(*map(named, rest), number.alias(value), label.alias("value_label"))
+    # the label stands before the number: within its lambda, the number's alias would hide the input column
+    return joined.select(*map(named, rest), label.alias("value_label"), number.alias(value)).select(*map(named, rest), named(value), "value_label")
 
 
 def normalise(df: DataFrame, method: str = "minmax", n: int = 10, code: str = "code", value: str = "numeric_value", single_column: bool = False) -> DataFrame:
