@@ -37,7 +37,6 @@ KEYS = 3
 CHUNK, LIST_CHUNK = 384, 1024
 #: Bits of the filter that tells which documents' sets are wanted.
 FILTER_BITS = 1 << 24
-LABEL_SAMPLE = 6
 
 
 @dataclass(frozen=True)
@@ -329,8 +328,11 @@ def link_sets(ids: list[int], labels: list[int], sets: list[np.ndarray], rule: R
     return links
 
 
-def exact_edges(grouped: DataFrame, rule: Rule) -> DataFrame:
-    """(u, v): labels that verified links connect, within chunks of rows (group, label, doc_id, tokens) of one group."""
+def exact_edges(grouped: DataFrame, rule: Rule, tie: str = "doc_id") -> DataFrame:
+    """(u, v): labels that verified links connect, within chunks of rows (group, label, doc_id, tokens) of one group.
+
+    A group is cut to chunks in the order of ``tie``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run_ in runs(batches, 1, CHUNK):
@@ -344,7 +346,7 @@ def exact_edges(grouped: DataFrame, rule: Rule) -> DataFrame:
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())], ["u", "v"])
 
-    return dealt(grouped, ["group"], ["doc_id"]).mapInArrow(run, "u bigint, v bigint")
+    return dealt(grouped, ["group"], [tie]).mapInArrow(run, "u bigint, v bigint")
 
 
 def relabelled(labels: DataFrame, found: DataFrame) -> DataFrame:
@@ -435,7 +437,7 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     reps = written(real.join(rep_ids, "doc_id", "left_semi").select("doc_id", "n", "head", "keys", "bits"))
 
     # 1. rough groups
-    groups = written(components(rough_edges(reps, rule), rounds=3))
+    groups = written(components(rough_edges(reps, rule)))
     group_of = groups.select(F.col("id").alias("doc_id"), F.col("component").alias("group"))
     # 2. exact links within groups, then between the parts of groups that were cut
     tokens = written(sets_of(docs, group_of, rule))
@@ -443,10 +445,10 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     first = written(components(exact_edges(grouped, rule)))
     labels = written(relabelled(group_of.select("doc_id", F.col("doc_id").alias("label")), first))
     several = group_of.join(labels, "doc_id").groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("group")
-    ends = labels.groupBy("label").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.min(F.struct(F.xxhash64("doc_id"), "doc_id")).alias("c"), F.max(F.struct(F.xxhash64("doc_id"), "doc_id")).alias("d"))
-    sample = ends.select("label", F.explode(F.array_distinct(F.array("a", "b", "c.doc_id", "d.doc_id"))).alias("doc_id"))
-    sampled = sample.join(group_of, "doc_id").join(several, "group", "left_semi").join(tokens, "doc_id").select("group", "label", "doc_id", "tokens")
-    second = components(exact_edges(sampled, rule))
+    # other chunks than before: members of one group by a hash of their ids
+    mixed_up = labels.join(group_of, "doc_id").join(several, "group", "left_semi").join(tokens, "doc_id")
+    sampled = mixed_up.select("group", "label", "doc_id", "tokens", F.xxhash64("doc_id").alias("tie"))
+    second = components(exact_edges(sampled, rule, "tie"))
     labels = written(relabelled(labels, second))
 
     # 3. every prefix list, for pairs between different components
