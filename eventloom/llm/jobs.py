@@ -1,14 +1,11 @@
-"""What several operators share: tables cut from their lineage, bounded samples, neighbours in a sorted table."""
+"""What several operators share: tables cut from their lineage and bounded samples."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,40 +39,3 @@ def share_below(column, bound: int, total: int):
     space = 1 << 62
     limit = space if total <= bound else space * bound // total
     return F.coalesce(F.pmod(F.xxhash64(column.cast("string"), F.lit(17)), F.lit(space)), F.lit(0)) < F.lit(limit)
-
-
-def neighbours_equal(df: DataFrame, keys: list[str], ties: list[str]) -> DataFrame:
-    """The rows whose ``keys`` (longs) occur in at least one other row, found by sorting and comparing neighbours.
-
-    The table is dealt by range over keys and ties, so the rows of one frequent key spread over many tasks and none
-    has to hold a group. At either end of a partition the neighbour lies elsewhere: such rows stay, so a few single
-    rows (two keys a partition at most) may remain; callers count again.
-    """
-    spark = df.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    order = [*keys, *ties]
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, held_kept = None, True
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if held is not None:
-                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            columns = [batch.column(batch.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in keys]
-            same = np.ones(batch.num_rows - 1, bool)
-            for c in columns:
-                same &= c[1:] == c[:-1]
-            keep = np.zeros(batch.num_rows, bool)
-            keep[1:] |= same
-            keep[:-1] |= same
-            keep[0] |= held_kept
-            held, held_kept = batch.slice(batch.num_rows - 1), bool(keep[-1])
-            yield batch.slice(0, batch.num_rows - 1).filter(pa.array(keep[:-1]))
-        if held is not None:
-            yield held
-
-    return ranged.mapInArrow(compare, df.schema)
-
-

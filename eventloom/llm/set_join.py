@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from eventloom.llm.arrays import U64, mix, shingle_hashes, slices, text_shingles, words
 from eventloom.llm.components import components
-from eventloom.llm.jobs import neighbours_equal, prepare, written
+from eventloom.llm.jobs import prepare, written
 
 #: A shingle that is among the first HEAD of so many sets is frequent; so many of them are sent to every task.
 HEAD, FREQUENT, MAX_FREQUENT = 8, 48, 50_000
@@ -35,6 +35,8 @@ HEAD, FREQUENT, MAX_FREQUENT = 8, 48, 50_000
 SMALL_BITS, LARGE_BITS, LARGE = 1024, 16384, 2048
 KEYS = 3
 CHUNK, LIST_CHUNK = 384, 1024
+#: Rows after it that a row of a list is compared to, before the lists proper are read.
+REACH = 8
 #: Bits of the filter that tells which documents' sets are wanted.
 FILTER_BITS = 1 << 24
 
@@ -354,6 +356,52 @@ def relabelled(labels: DataFrame, found: DataFrame) -> DataFrame:
     return labels.join(found, labels["label"] == found["id"], "left").select("doc_id", F.coalesce("component", "label").alias("label"))
 
 
+def partnered(lists: DataFrame, rule: Rule, labels: bool = False) -> DataFrame:
+    """Rows of lists (token, pos, doc_id, n, with ``labels`` also label) that can have a partner in their list: another
+    row whose size and position allow a link, and whose label is another one.
+
+    Lists are sorted by size and dealt by range, so a long list spreads over tasks. Each row is compared to the REACH
+    rows after it; rows of longer lists stay unseen, as do rows at either end of a partition, whose list may go on.
+    """
+    columns = ["token", "n", "doc_id", "pos", *(["label"] if labels else [])]
+    ranged = dealt(lists.select(*columns), ["token"], ["n", "doc_id"]).select(*columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, kept, first = None, np.zeros(0, bool), None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            values = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns))]
+            token, n, pos = values[0], values[1].astype(np.int64), values[3].astype(np.int64)
+            first = token[0] if first is None else first
+            keep = token == first
+            keep[: len(kept)] |= kept
+            for d in range(1, REACH + 1):
+                if d >= len(token):
+                    break
+                same = token[d:] == token[:-d]
+                if not same.any():
+                    break
+                at = np.flatnonzero(same)
+                a, b = n[at], n[at + d]
+                fits = (rule.den * a >= rule.num * b) & (pos[at] + pos[at + d] <= rule.difference(a, b))
+                if labels:
+                    fits &= values[4][at] != values[4][at + d]
+                fits |= d == REACH
+                keep[at[fits]] = True
+                keep[at[fits] + d] = True
+            cut = max(batch.num_rows - REACH, 0)
+            held, kept = batch.slice(cut), keep[cut:]
+            yield batch.slice(0, cut).filter(pa.array(keep[:cut]))
+        if held is not None:
+            token = held.column(0).to_numpy(zero_copy_only=False)
+            yield held.filter(pa.array(kept | (token == token[-1])))
+
+    return ranged.mapInArrow(run, ranged.schema)
+
+
 def list_pairs(lists: DataFrame, rule: Rule) -> DataFrame:
     """(u, v): pairs of one list and of different components that positions, sizes and bitmaps allow to link.
 
@@ -454,9 +502,9 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     # 3. every prefix list, for pairs between different components
     common_tokens = reps.select(F.explode("head").alias("token")).groupBy("token").count().filter(F.col("count") >= FREQUENT)
     frequent = np.sort(np.array([r.token for r in common_tokens.orderBy(F.desc("count"), "token").limit(MAX_FREQUENT).collect()], np.int64).view(np.uint64))
-    listed = written(neighbours_equal(prefixes(docs.filter(F.col("doc_id").isNotNull()), rule, frequent), ["token"], ["doc_id"]))
+    listed = partnered(prefixes(docs.filter(F.col("doc_id").isNotNull()), rule, frequent), rule)
     kept = reps.select("doc_id", "bits").join(labels, "doc_id", "left").select("doc_id", F.coalesce("label", "doc_id").alias("label"), "bits")
-    labelled = written(listed.join(kept.drop("bits"), "doc_id"))
+    labelled = written(partnered(listed.join(kept.drop("bits"), "doc_id"), rule, labels=True))
     mixed = labelled.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("rows")).filter("lo <> hi").select("token", "rows")
     pairs = written(list_pairs(labelled.join(mixed, "token").join(reps.select("doc_id", "bits"), "doc_id"), rule))
     ids = pairs.select(F.col("u").alias("doc_id")).unionAll(pairs.select(F.col("v").alias("doc_id")))
