@@ -55,23 +55,24 @@ _word = re.compile(r"[a-z0-9]+")
 _space = re.compile(r"\s+")
 
 
-def is_boilerplate(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is boilerplate by itself; ``inside`` says that it lies in the page's article."""
+def is_boilerplate(tag: str, attributes: str, inside: bool) -> int:
+    """1 if an element is boilerplate by its name or hidden, 2 if by a word in its attributes, else 0; ``inside`` says
+    that it lies in the page's article."""
     if tag in DROPPED:
-        return True
+        return 1
     if tag == "header" and not inside:
-        return True
+        return 1
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return 0
     for name, *values in _attribute.findall(attributes):
         value, name = "".join(values).lower(), name.lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return 1
         if name in ("class", "id", "role"):
             found = _word.findall(value)
             if not MARKS.isdisjoint(found) or not inside and not OUTER_MARKS.isdisjoint(found):
-                return True
-    return False
+                return 2
+    return 0
 
 
 class Page:
@@ -85,7 +86,7 @@ class Page:
         self.texts: list[str] = []
         self.blocks: list[int] = []
         #: (tag, from piece, to piece, boilerplate, container of the article, hash)
-        self.elements: list[tuple[str, int, int, bool, bool, int]] = []
+        self.elements: list[tuple[str, int, int, int, bool, int]] = []
         self._source, self._open, self._block, self._inside = source, [], 0, 0
         self._read()
 
@@ -159,12 +160,24 @@ class Page:
         return {e[5] for e in self.elements if e[5]}
 
     def text(self, is_template) -> str:
-        """Blocks of the article, or of the page if it names none, joined by an empty line."""
+        """Blocks of the article, or of the page if it names none, joined by an empty line.
+
+        An element that holds every article of the page is no boilerplate, whatever its attributes say. If words in
+        attributes would leave nothing of a page without an article, they don't count.
+        """
+        n = len(self.texts)
+        articles = [(e[1], e[2]) for e in self.elements if e[4]]
+        around = lambda e: bool(articles) and all(e[1] <= a and b <= e[2] for a, b in articles)
+        gone = [e for e in self.elements if (e[3] or e[5] and is_template(e[5])) and not (around(e) and e[0] not in RAW)]
+        out = self._blocks(articles or [(0, n)], gone)
+        if not out and not articles:
+            out = self._blocks([(0, n)], [e for e in gone if e[3] != 2])
+        return "\n\n".join(out)
+
+    def _blocks(self, mains: list[tuple[int, int]], gone: list) -> list[str]:
         n = len(self.texts)
         keep = np.zeros(n + 1, np.int64)
-        mains = [(e[1], e[2]) for e in self.elements if e[4]] or [(0, n)]
-        gone = [(e[1], e[2]) for e in self.elements if e[3] or e[5] and is_template(e[5])]
-        for ranges, sign in ((mains, 1), (gone, -n - 1)):
+        for ranges, sign in ((mains, 1), ([(e[1], e[2]) for e in gone], -n - 1)):
             for a, b in ranges:
                 keep[a] += sign
                 keep[b] -= sign
@@ -174,7 +187,7 @@ class Page:
                 out.append([])
                 last = self.blocks[i]
             out[-1].append(self.texts[i])
-        return "\n\n".join(b for b in (" ".join("".join(x).split()) for x in out) if b)
+        return [b for b in (" ".join("".join(x).split()) for x in out) if b]
 
 
 def host(url):
