@@ -23,8 +23,7 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it learns from the labels outside its held-out fold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = quality.fit(docs, labels, quality.learning_rows())
-    return quality.score(docs, model, docs.columns, keep_text=True).filter("predicted = 1").select(*docs.columns)
+    return quality.accepted(docs, quality.fit(docs, labels, quality.learning_rows()))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -167,14 +167,14 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from, train_rows: int = TRAIN_
     return train([r.text for r in rows], [r.label for r in rows])
 
 
-def score(docs: DataFrame, model: FactorisationMachine, columns: list, keep_text: bool = False) -> DataFrame:
-    """``columns`` (of which one is text) and score, predicted; text goes unless ``keep_text``.
+def score(docs: DataFrame, model: FactorisationMachine, columns: list) -> DataFrame:
+    """``columns``, of which one is text, with text replaced by score and predicted.
 
     The whole text is scored, a null one as an empty one.
     """
     prepare(docs.sparkSession)
     chosen = docs.select(*columns)
-    kept = [c for c in chosen.columns if keep_text or c != "text"]
+    kept = [c for c in chosen.columns if c != "text"]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**16 buckets x 7
     schema = ", ".join(f"`{c}` {chosen.schema[c].dataType.simpleString()}" for c in kept)
 
@@ -190,6 +190,22 @@ def score(docs: DataFrame, model: FactorisationMachine, columns: list, keep_text
     return chosen.mapInArrow(run, f"{schema}, score double, predicted int")
 
 
+def accepted(docs: DataFrame, model: FactorisationMachine) -> DataFrame:
+    """The rows of ``docs`` whose text scores ACCEPT or more, with all their columns; a null text is scored as an empty one."""
+    prepare(docs.sparkSession)
+    at = docs.columns.index("text")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            scores = [known.scores(part) for part in slices(batch.column(at))]
+            if scores:
+                yield batch.filter(pa.array(np.concatenate(scores) >= ACCEPT))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def learning_rows(folds: int = 5, held_fold: int = 0):
     fold = F.crc32(F.col("doc_id").cast("string")) % folds
     return F.coalesce(fold != held_fold, F.lit(False))
