@@ -52,7 +52,6 @@ _tag = re.compile(
 )
 _attribute = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _word = re.compile(r"[a-z0-9]+")
-_space = re.compile(r"\s+")
 
 
 def is_boilerplate(tag: str, attributes: str, inside: bool) -> int:
@@ -88,18 +87,19 @@ class Page:
         #: (tag, from piece, to piece, boilerplate, container of the article, hash)
         self.elements: list[tuple[str, int, int, int, bool, int]] = []
         self._source, self._open, self._block, self._inside = source, [], 0, 0
+        self._count: dict[str, int] = {}  # open elements by name
         self._read()
 
-    def _start(self, tag: str, attributes: str, at: int) -> None:
+    def _start(self, tag: str, attributes: str) -> None:
         if tag in BLOCK:
             self._block += 1
             ends = ("p",) if tag not in ("li", "dd", "dt", "tr", "td", "th") else {"li": ("li", "p"), "dd": ("dd", "dt", "p"), "dt": ("dd", "dt", "p"), "tr": ("tr", "td", "th", "p")}.get(tag, ("td", "th", "p"))
             stop = SCOPE if tag in ("p", "li", "dd", "dt") or "p" in ends and len(ends) == 1 else frozenset(("table",))
-            for i in range(len(self._open) - 1, -1, -1):
+            for i in range(len(self._open) - 1, -1, -1) if any(self._count.get(e) for e in ends) else ():
                 name = self._open[i][0]
                 if name in ends:
                     while len(self._open) > i:
-                        self._end_last(at)
+                        self._end_last()
                     if name == "p" and len(ends) > 1:
                         continue
                     break
@@ -107,20 +107,29 @@ class Page:
                     break
         if tag in VOID:
             if tag in ("br", "hr"):
-                self.texts.append(" "), self.blocks.append(self._block)
+                self._text(" ")
             return
         dropped = is_boilerplate(tag, attributes, self._inside > 0)
         holds = tag in ("article", "main") and not dropped
         self._inside += holds
-        self._open.append((tag, at, len(self.texts), dropped, holds))
+        self._count[tag] = self._count.get(tag, 0) + 1
+        self._open.append((tag, [f"{tag} {attributes.strip()}"], len(self.texts), dropped, holds))
 
-    def _end_last(self, at: int) -> None:
-        tag, begin, first, dropped, holds = self._open.pop()
+    def _text(self, text: str) -> None:
+        self.texts.append(text), self.blocks.append(self._block)
+        if self._open:
+            self._open[-1][1].append(" ".join(text.split()))
+
+    def _end_last(self) -> None:
+        tag, content, first, dropped, holds = self._open.pop()
         self._inside -= holds
-        hashed = 0
-        if tag in BLOCK and tag not in PROTECTED and len(self.texts) > first:
-            hashed = xxhash.xxh64_intdigest(_space.sub(" ", self._source[begin:at]).encode("utf-8", "replace")) - (1 << 63)
-        self.elements.append((tag, first, len(self.texts), dropped, holds, hashed))
+        self._count[tag] -= 1
+        # an element's hash is made of its tag, its texts and the hashes of its children
+        own = xxhash.xxh64_intdigest("\n".join(content).encode("utf-8", "replace")) - (1 << 63)
+        if self._open:
+            self._open[-1][1].append(str(own))
+        counted = tag in BLOCK and tag not in PROTECTED and len(self.texts) > first
+        self.elements.append((tag, first, len(self.texts), dropped, holds, own if counted else 0))
         if tag in BLOCK:
             self._block += 1
 
@@ -131,30 +140,30 @@ class Page:
             m = _tag.search(source, at)
             text = source[at : m.start() if m else len(source)]
             if text:
-                self.texts.append(html.unescape(text) if "&" in text else text), self.blocks.append(self._block)
+                self._text(html.unescape(text) if "&" in text else text)
             if not m:
                 break
             at = m.end()
             closing, tag = m.group(1) or m.group(4), (m.group(2) or m.group(5) or "").lower()
             if not tag:
                 if m.group().startswith("<![CDATA["):
-                    self.texts.append(m.group()[9:-3]), self.blocks.append(self._block)
+                    self._text(m.group()[9:-3])
                 continue
             if not closing:
-                self._start(tag, m.group(3) or m.group(6) or "", m.start())
+                self._start(tag, m.group(3) or m.group(6) or "")
                 if tag in RAW:
                     lower = lower if lower is not None else source.lower()
                     # lower-casing may lengthen a text; then the end tag is looked for by a slower way
                     end = lower.find(f"</{tag}", at) if len(lower) == len(source) else next((x.start() for x in re.compile(f"</{tag}", re.I).finditer(source, at)), -1)
                     at = end if end >= 0 else len(source)
-            elif any(x[0] == tag for x in self._open):
+            elif self._count.get(tag):
                 while self._open[-1][0] != tag:
-                    self._end_last(m.start())
-                self._end_last(at)
+                    self._end_last()
+                self._end_last()
             elif tag == "br" or tag == "p":
-                self.texts.append(" "), self.blocks.append(self._block)
+                self._text(" ")
         while self._open:
-            self._end_last(len(source))
+            self._end_last()
 
     def hashes(self) -> set[int]:
         return {e[5] for e in self.elements if e[5]}

@@ -37,7 +37,7 @@ _card = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _phone = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _digits = re.compile(r"[^0-9]+")
 _sign = re.compile(r"[0-9@]")
-_token = re.compile(r"[^\s]*[0-9@][^\s]*")
+_token = re.compile(r"\S+")
 _strip = "\"'`,;:!?.<>[]{}*#$%&|"
 
 
@@ -93,7 +93,7 @@ class Sites:
     def __init__(self, text: str):
         self.spans, self.cores = [], []
         for m in _token.finditer(text):
-            core = m.group().strip(_strip)
+            core = m.group().strip(_strip) if _sign.search(m.group()) else ""
             if core and _sign.search(core):
                 begin = m.start() + m.group().index(core)
                 self.spans.append((begin, begin + len(core)))
@@ -220,13 +220,14 @@ class SkipChain:
         chances = self.marginals(sites)
         best = chances.argmax(1)
         linked, out, taken = set(sites.chain), [], sorted((s, e) for _, s, e in base)
+        starts = np.array([s for s, _ in taken], np.int64)
         i = 0
         while i < len(best):
             j = i
             while (j, j + 1) in linked and best[j + 1] == best[i]:
                 j += 1
             a, b = sites.spans[i][0], sites.spans[j][1]
-            at = int(np.searchsorted([t[0] for t in taken], b)) if taken else 0
+            at = int(np.searchsorted(starts, b))
             free = not taken or not any(s < b and a < e for s, e in taken[max(0, at - 8) : at])
             if best[i] and free and chances[i : j + 1, best[i]].min() >= SURE:
                 out.append((LABELS[best[i]], a, b))
