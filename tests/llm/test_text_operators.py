@@ -249,3 +249,13 @@ def test_templates_go_where_they_recur(spark, sent):
     got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(data, "page_id long, url string, html string"), max_sent=sent).collect()}
     assert all(got[i] == f"Story number {i}" for i in range(40))
     assert got[100] == "Welcome to our site\n\nLast"
+
+
+def test_broken_markup_takes_linear_time():
+    import time
+
+    began = time.time()
+    assert html_text.Page("<div>" * 50_000 + "x").text(lambda h: False) == "x"
+    assert html_text.Page("<b>" * 50_000 + "</i>" * 50_000 + "y").text(lambda h: False) == "y"
+    assert personal_data.Sites("x" * 200_000 + " 1").cores == ["1"]
+    assert time.time() - began < 20
