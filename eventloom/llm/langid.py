@@ -23,6 +23,8 @@ from eventloom.llm.jobs import prepare, share_below
 BUCKET_BITS = 15
 #: Rows that training draws at most, and the longest text among them (longer ones are scored, but not learned from).
 TRAIN_ROWS, TRAIN_CHARS = 2400, 50_000
+#: Bytes of text that training looks at at once, as it runs on the driver.
+TRAIN_SLICE = 1 << 17
 UNKNOWN = "und"
 #: Of the held-back rows that are right, the share whose score a language's rejection bound lets pass.
 ACCEPTED_SHARE = 0.99
@@ -94,7 +96,7 @@ def train(texts: list[str], langs: list[str], dim: int = 16, epochs: int = 6, ra
     languages = sorted(set(langs)) or [UNKNOWN]
     target = np.array([languages.index(x) for x in langs], np.int64)
     bags = []
-    for part in slices(pa.array(texts, pa.large_string())):
+    for part in slices(pa.array(texts, pa.large_string()), TRAIN_SLICE):
         buckets, owner = subwords(part)
         for i in range(len(part)):
             values, counts = np.unique(buckets[owner == i], return_counts=True)

@@ -21,7 +21,9 @@ from eventloom.llm.jobs import prepare, share_below
 BUCKET_BITS = 16
 RANK = 6
 #: Labelled rows that training draws at most, and the longest text among them.
-TRAIN_ROWS, TRAIN_CHARS = 6000, 50_000
+TRAIN_ROWS, TRAIN_CHARS = 3600, 50_000
+#: Bytes of text that training looks at at once, as it runs on the driver.
+TRAIN_SLICE = 1 << 17
 ACCEPT = 0.3
 
 CLASSES = [
@@ -104,7 +106,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def train(texts: list[str], labels: list[int], epochs: int = 8, rate: float = 0.08, decay: float = 1e-4, seed: int = 5) -> FactorisationMachine:
     """Stochastic gradient descent with adaptive steps; a fifth of the rows is held back to calibrate the scores."""
     bags, dense = [], []
-    for part in slices(pa.array(texts, pa.large_string())):
+    for part in slices(pa.array(texts, pa.large_string()), TRAIN_SLICE):
         buckets, bounds, d = features(part)
         dense.append(d)
         for i in range(len(part)):
