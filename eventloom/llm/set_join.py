@@ -30,7 +30,7 @@ from eventloom.llm.components import components
 from eventloom.llm.jobs import prepare, written
 
 #: A shingle that is among the first HEAD of so many sets is frequent; so many of them are sent to every task.
-HEAD, FREQUENT, MAX_FREQUENT = 8, 48, 50_000
+HEAD, FREQUENT, MAX_FREQUENT = 8, 6, 200_000
 #: Bits of a set's parity bitmap: small sets, and sets from LARGE shingles on.
 SMALL_BITS, LARGE_BITS, LARGE = 1024, 16384, 2048
 KEYS = 3
@@ -467,6 +467,12 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return both.mapInArrow(run, pairs.schema)
 
 
+def sent_if_few(df: DataFrame, most: int = 500_000) -> DataFrame:
+    """``df`` (a few numbers a row, already written) marked to be sent to every task if it has no more than ``most`` rows;
+    a larger one is joined by a shuffle."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """Components of the graph in which two documents link if their shingle sets do: doc_id, n_shingles, component_id.
 
@@ -489,7 +495,7 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     group_of = groups.select(F.col("id").alias("doc_id"), F.col("component").alias("group"))
     # 2. exact links within groups, then between the parts of groups that were cut
     tokens = written(sets_of(docs, group_of, rule))
-    grouped = group_of.join(tokens, "doc_id").select("group", F.col("doc_id").alias("label"), "doc_id", "tokens")
+    grouped = tokens.join(sent_if_few(group_of), "doc_id").select("group", F.col("doc_id").alias("label"), "doc_id", "tokens")
     first = written(components(exact_edges(grouped, rule)))
     labels = written(relabelled(group_of.select("doc_id", F.col("doc_id").alias("label")), first))
     several = group_of.join(labels, "doc_id").groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("group")
@@ -503,8 +509,8 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     common_tokens = reps.select(F.explode("head").alias("token")).groupBy("token").count().filter(F.col("count") >= FREQUENT)
     frequent = np.sort(np.array([r.token for r in common_tokens.orderBy(F.desc("count"), "token").limit(MAX_FREQUENT).collect()], np.int64).view(np.uint64))
     listed = partnered(prefixes(docs.filter(F.col("doc_id").isNotNull()), rule, frequent), rule)
-    kept = reps.select("doc_id", "bits").join(labels, "doc_id", "left").select("doc_id", F.coalesce("label", "doc_id").alias("label"), "bits")
-    labelled = written(partnered(listed.join(kept.drop("bits"), "doc_id"), rule, labels=True))
+    kept = written(reps.select("doc_id").join(labels, "doc_id", "left").select("doc_id", F.coalesce("label", "doc_id").alias("label")))
+    labelled = written(partnered(listed.join(sent_if_few(kept), "doc_id"), rule, labels=True))
     mixed = labelled.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("rows")).filter("lo <> hi").select("token", "rows")
     pairs = written(list_pairs(labelled.join(mixed, "token").join(reps.select("doc_id", "bits"), "doc_id"), rule))
     ids = pairs.select(F.col("u").alias("doc_id")).unionAll(pairs.select(F.col("v").alias("doc_id")))
