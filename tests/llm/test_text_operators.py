@@ -259,3 +259,14 @@ def test_broken_markup_takes_linear_time():
     assert html_text.Page("<b>" * 50_000 + "</i>" * 50_000 + "y").text(lambda h: False) == "y"
     assert personal_data.Sites("x" * 200_000 + " 1").cores == ["1"]
     assert time.time() - began < 20
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert quality.assess(docs, labels).count() == 0
+    assert personal_data.find(docs).count() == 0 and personal_data.redact(docs).columns == docs.columns
+    assert licences.scan(docs).count() == 0
+    assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+    one = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
+    assert quality.assess(one, labels).first().predicted == 1
