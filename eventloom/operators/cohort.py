@@ -91,8 +91,7 @@ def split_subjects(subjects: DataFrame, splits: Mapping[str, float] = SPLITS, ex
 
         keyed = ids.withColumn("key", F.concat_ws(":", F.md5(F.col("subject_id").cast("string")), F.col("subject_id").cast("string")))
         ranks = subject_ids(keyed, "key", first=0).select(F.col("source_id").alias("key"), F.col("subject_id").alias("rank"))
-        total = keyed.agg(F.count("*").alias("total"))
-        out = keyed.join(ranks, "key").join(F.broadcast(total)).select("subject_id", share_label(F.col("rank") / F.col("total"), splits).alias("split"))
+        out = keyed.join(ranks, "key").select("subject_id", share_label(F.col("rank") / F.lit(max(keyed.count(), 1)), splits).alias("split"))
     else:
         out = ids.select("subject_id", share_label(bucket(F.col("subject_id")), splits).alias("split"))
     if override is not None:
@@ -133,4 +132,5 @@ def dataset_metadata(events_: DataFrame, splits: DataFrame, name: str, version:
     sizes = per_subject.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_events"), F.count("*").alias("n_subjects"))
     per_split = splits.groupBy("split").agg(F.count("*").alias("n"))
     by_split = per_split.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("split", "n")))).alias("subjects_by_split"))
-    return sizes.crossJoin(by_split).select(F.lit(name).alias("dataset_name"), F.lit(version).alias("dataset_version"), "n_events", "n_subjects", "subjects_by_split")
+    both = sizes.unionByName(by_split, allowMissingColumns=True)
+    return both.agg(F.lit(name).alias("dataset_name"), F.lit(version).alias("dataset_version"), F.max("n_events").alias("n_events"), F.max("n_subjects").alias("n_subjects"), F.first("subjects_by_split", ignorenulls=True).alias("subjects_by_split"))
