@@ -1,7 +1,8 @@
 """Licence scan by sentence rules (operator 10).
 
 Known licence sentences carry identifiers; a licence rule is an ordered sequence of identifiers. Every line and sentence
-of a text is normalised and looked up; runs of identifiers are matched against the rules, the longest rule first.
+of a text is normalised and looked up; runs of identifiers are matched against the rules, the longest rule first. Titles
+and "All rights reserved" may stand between the sentences of a rule; elsewhere the latter is a finding of its own.
 """
 
 from __future__ import annotations
@@ -47,14 +48,18 @@ RULES = {
     "MIT": [["mit/released"], ["mit/title", "mit/grant", "mit/notice"], ["mit/grant", "mit/notice"], ["mit/grant"], ["spdx/mit"]],
     "GPL-3.0": [["gpl-3.0/licensed"], ["gpl/free-software", "gpl/no-warranty"], ["gpl/free-software"], ["spdx/gpl-3.0-only"], ["spdx/gpl-3.0-or-later"]],
     "GPL-2.0": [["gpl-2.0/licensed"], ["spdx/gpl-2.0-only"]],
-    "BSD-3-Clause": [["bsd/licensed"], ["bsd/redistribution", "bsd/no-endorsement"], ["spdx/bsd-3-clause"]],
-    "BSD-2-Clause": [["bsd/redistribution"], ["spdx/bsd-2-clause"]],
+    "BSD-3-Clause": [["bsd/licensed"], ["proprietary/reserved", "bsd/redistribution", "bsd/no-endorsement"], ["bsd/redistribution", "bsd/no-endorsement"], ["spdx/bsd-3-clause"]],
+    "BSD-2-Clause": [["proprietary/reserved", "bsd/redistribution"], ["bsd/redistribution"], ["spdx/bsd-2-clause"]],
     "MPL-2.0": [["mpl-2.0/licensed"], ["spdx/mpl-2.0"]],
     "CC-BY-NC-4.0": [["cc-by-nc-4.0/licensed"], ["spdx/cc-by-nc-4.0"]],
     "CC-BY-4.0": [["cc-by-4.0/licensed"], ["spdx/cc-by-4.0"]],
     "CC-BY-SA-4.0": [["cc-by-sa-4.0/licensed"], ["spdx/cc-by-sa-4.0"]],
     "CC0-1.0": [["cc0-1.0/licensed"], ["spdx/cc0-1.0"]],
+    "Proprietary": [["proprietary/reserved"]],
 }
+#: Titles that state no licence by themselves, and all identifiers that may stand between the sentences of a rule.
+CONTEXT = frozenset(("apache-2.0/title", "gpl-3.0/title"))
+PASSED = CONTEXT | {"proprietary/reserved"}
 
 _word = re.compile(r"[^\W_]+")
 _end = re.compile(r"(?<=[.!?;:])[\s]+")
@@ -111,17 +116,31 @@ class Rules:
         if not _trigger.search(text):
             return []
         found, out, i = self.sentences(text), [], 0
-        names = [f[0] for f in found]
+        names, after = [f[0] for f in found], [len(found)] * (len(found) + 1)
+        for j in range(len(found) - 1, -1, -1):
+            after[j] = after[j + 1] if names[j] in PASSED else j
         while i < len(found):
             for rule, licence in self.rules:
-                if tuple(names[i : i + len(rule)]) == rule:
-                    out.append((licence, "+".join(rule), found[i][1], found[i + len(rule) - 1][2]))
-                    i += len(rule)
+                end = self.end_of(rule, names, after, i)
+                if end:
+                    out.append((licence, "+".join(rule), found[i][1], found[end - 1][2]))
+                    i = end
                     break
             else:
                 i += 1
         return out
 
+    @staticmethod
+    def end_of(rule: tuple[str, ...], names: list[str], after: list[int], i: int) -> int:
+        """Where ``rule`` ends if it begins at ``i``, else 0; ``after`` has the next identifier from each on that is not in PASSED."""
+        for k, name in enumerate(rule):
+            if k and (i == len(names) or names[i] != name):
+                i = after[i]
+            if i == len(names) or names[i] != name:
+                return 0
+            i += 1
+        return i
+
 
 MATCHES = "array<struct<licence:string,rule:string,start:int,end:int>>"
 
@@ -129,8 +148,8 @@ MATCHES = "array<struct<licence:string,rule:string,start:int,end:int>>"
 def scan(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
     """Licences stated in every whole text: doc_id, n_licences, licences (sorted names joined by a comma), matches.
 
-    A text without a licence, an empty and a null one give 0, an empty string and an empty list. A null doc_id stays
-    null; repeated rows are scanned each; other columns are ignored.
+    "All rights reserved" counts as the licence Proprietary unless it stands within another licence's rule. A text without
+    a licence, an empty and a null one give 0, an empty string and an empty list. A null doc_id stays null; repeated rows are scanned each; other columns are ignored.
     """
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(rules or Rules())

@@ -223,6 +223,19 @@ def test_licences(spark):
     assert data[0][1][got[1].matches[0].start : got[1].matches[0].end] == "Released under the MIT License."
 
 
+def test_reserved_rights_are_found_and_part_no_rule():
+    used = {name for group in licences.RULES.values() for rule in group for name in rule}
+    assert set(licences.SENTENCES) == used | licences.CONTEXT and not used & licences.CONTEXT
+    rules = licences.Rules()
+    assert rules.match("Story.\nAll rights reserved.") == [("Proprietary", "proprietary/reserved", 7, 27)]
+    grant, notice = licences.SENTENCES["mit/grant"][0], licences.SENTENCES["mit/notice"][0]
+    assert [m[:2] for m in rules.match(f"MIT License\nAll rights reserved.\n{grant}\nAll rights reserved.\n{notice}.")] == [("MIT", "mit/title+mit/grant+mit/notice")]
+    assert [m[0] for m in rules.match("Released under the MIT License.\nText.\nAll rights reserved.")] == ["MIT", "Proprietary"]
+    redistribution, endorsement = licences.SENTENCES["bsd/redistribution"][0], licences.SENTENCES["bsd/no-endorsement"][0]
+    assert [m[0] for m in rules.match(f"All rights reserved.\n{redistribution}\n{endorsement}.")] == ["BSD-3-Clause"]
+    assert len(rules.match("All rights reserved.\n" * 20_000)) == 20_000
+
+
 def page(body, head=""):
     return f"<!DOCTYPE html><html><head><title>t</title>{head}</head><body>{body}</body></html>"
 
