@@ -1,7 +1,7 @@
 """Main text of web pages by site template removal (operator 6).
 
 Each page is cut into elements; the subtrees of its containers are hashed and counted per host in Spark, and those that
-recur on many pages of their host are deleted. Elements that are boilerplate by their own name, role or class go on
+recur on many different pages of their host are deleted; copies of one page count once. Elements that are boilerplate by their own name, role or class go on
 every page, so that a host's only page is cleaned too. What is left of the article is joined block by block.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from eventloom.llm.jobs import prepare, written
 
-#: A subtree is a template if it occurs on so many pages of its host and on this share of them.
+#: A subtree is a template if it occurs on so many different pages of its host and on this share of them.
 MIN_PAGES, MIN_SHARE = 5, 0.1
 #: So many template keys (8 bytes each) are sent to every task; more are joined to the pages instead.
 MAX_SENT_KEYS = 500_000
@@ -205,19 +205,21 @@ def host(url):
 
 
 def subtree_keys(pages: DataFrame) -> DataFrame:
-    """(page_id, host_key, key): one row for each distinct container subtree of a page; ``key`` mixes host and content."""
+    """(page_id, host_key, page, key): one row for each distinct container subtree of a page; ``page`` is a hash of its
+    whole html, ``key`` mixes host and content of the subtree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hosts, keys = [], [], []
-            for page_id, of_host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            ids, hosts, contents, keys = [], [], [], []
+            for page_id, of_host, content, source in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = Page(source or "").hashes()
                 ids += [page_id] * len(found)
                 hosts += [of_host] * len(found)
+                contents += [content] * len(found)
                 keys += [mixed(of_host, h) for h in found]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hosts, pa.int64()), pa.array(keys, pa.int64())], ["page_id", "host_key", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (ids, hosts, contents, keys)], ["page_id", "host_key", "page", "key"])
 
-    return keyed(pages).mapInArrow(run, "page_id bigint, host_key bigint, key bigint")
+    return keyed(pages).mapInArrow(run, "page_id bigint, host_key bigint, page bigint, key bigint")
 
 
 def mixed(host_key: int, subtree: int) -> int:
@@ -225,13 +227,19 @@ def mixed(host_key: int, subtree: int) -> int:
 
 
 def keyed(pages: DataFrame) -> DataFrame:
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.xxhash64(host(F.col("url"))).alias("host_key"), "html")
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), *page_keys(), "html")
+
+
+def page_keys() -> list:
+    """Hashes of a page's host and of its whole html."""
+    return [F.xxhash64(host(F.col("url"))).alias("host_key"), F.xxhash64(F.coalesce("html", F.lit(""))).alias("page")]
 
 
 def template_keys(pages: DataFrame, subtrees: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """Keys of subtrees that recur on many pages of their host. Both counts are combined before they are shuffled."""
-    sizes = pages.groupBy(F.xxhash64(host(F.col("url"))).alias("host_key")).agg(F.count("*").alias("pages"))
-    counts = subtrees.groupBy("host_key", "key").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
+    """Keys of subtrees that recur on many different pages of their host: copies of one page count once, in a subtree's
+    pages as in the host's. Both counts are combined before they are shuffled."""
+    sizes = pages.select(*page_keys()).distinct().groupBy("host_key").agg(F.count("*").alias("pages"))
+    counts = subtrees.select("host_key", "page", "key").distinct().groupBy("host_key", "key").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
     return counts.join(sizes, "host_key").filter(F.col("n") >= min_share * F.col("pages")).select("key")
 
 

@@ -264,6 +264,19 @@ def test_templates_go_where_they_recur(spark, sent):
     assert got[100] == "Welcome to our site\n\nLast"
 
 
+@pytest.mark.parametrize("sent", [1000, 0])
+def test_copies_of_a_page_make_no_templates(spark, sent):
+    banner, listed = "<div>Welcome</div>", "<article><p>Steps</p><ul><li>one</li><li>two</li></ul><div><p>End</p></div></article>"
+    bodies = [banner + "<div>Plain story</div>"] * 6 + [banner + listed] * 6 + [f"{banner}<div>Story {i}</div>" for i in range(4)]
+    data = [(i, f"http://h.example/{i}", page(b)) for i, b in enumerate(bodies)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(data, "page_id long, url string, html string"), max_sent=sent).collect()}
+    assert [got[i] for i in range(16)] == ["Plain story"] * 6 + ["Steps\n\none\n\ntwo\n\nEnd"] * 6 + [f"Story {i}" for i in range(4)]
+    # nor do copies make a template of the host rare: it is on 6 of 7 different pages
+    data += [(i, f"http://h.example/{i}", page("<p>Other</p>")) for i in range(100, 200)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(data, "page_id long, url string, html string"), max_sent=sent).collect()}
+    assert got[12] == "Story 0" and got[0] == "Plain story"
+
+
 def test_broken_markup_takes_linear_time():
     import time
 
