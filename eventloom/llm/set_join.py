@@ -60,6 +60,10 @@ class Rule:
         least = -(-self.num * (a + b) // (self.num + self.den))
         return a + b - 2 * least
 
+    def most_difference(self, a, b):
+        """``difference`` at most of sets of no more than ``a`` and ``b`` shingles: that itself may fall as sizes grow."""
+        return (self.den - self.num) * (a + b) // (self.num + self.den)
+
     @property
     def distance(self) -> float:
         return 1 - self.num / self.den
@@ -425,12 +429,14 @@ def list_pairs(lists: DataFrame, rule: Rule) -> DataFrame:
             small, wide, large = bitmaps(run_.column("bits").to_pylist())
             out = []
             step = 64
-            for i in range(0, len(ids), step):
-                for j in range(i, len(ids), step):
+            starts = np.arange(0, len(ids), step)
+            largest = np.maximum.reduceat(sizes, starts)
+            for block, i in enumerate(starts.tolist()):
+                # rows are in order of position: blocks that stand too far back in their sets can be left out, each by its
+                # own sizes, as later ones may hold larger sets
+                near = pos[i] + pos[starts[block:]] <= rule.most_difference(largest[block], largest[block:])
+                for j in starts[block:][near].tolist():
                     s, t = slice(i, i + step), slice(j, j + step)
-                    # rows are in order of position: blocks that stand too far back in their sets can be left out
-                    if pos[i] + pos[j] > rule.difference(sizes[s].max(), sizes[t].max()):
-                        break
                     ok = labels[s][:, None] != labels[t][None]
                     ok &= pos[s][:, None] + pos[t][None] <= rule.difference(sizes[s][:, None], sizes[t][None])
                     if a != b:

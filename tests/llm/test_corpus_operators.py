@@ -97,6 +97,30 @@ def test_prefix_and_difference_are_safe():
                     assert a - n < rule.prefix(a) and b - n < rule.prefix(b) and a + b - 2 * n <= rule.difference(a, b)
 
 
+def test_list_pairs_equal_all_pairs(spark):
+    rule, rng = set_join.Rule(4, 85, 100), random.Random(6)
+    mixed = [rng.choice([7, 19, 20, 26, 27, 40, 46, 90]) for _ in range(1500)]
+    lists = [
+        [(20, 2)] * 64 + [(7, 1)] * 64 + [(20, 3)] * 64,
+        [(40, 2)] * 64 + [(20, 3)] * 64 + [(46, 4)] * 64,  # a block of small sets before one of large sets
+        [(20, 1)] * 64 + [(19, 2), (20, 2)] * 32,  # 20 and 19 may differ in more shingles than 20 and 20
+        [(n, rng.randrange(rule.prefix(n))) for n in mixed[:500]],
+        [(n, rng.randrange(rule.prefix(n))) for n in mixed],
+    ]
+    bits = bytearray(set_join.SMALL_BITS // 8)
+    data = [(token, pos, token * 10_000 + i, n, token * 10_000 + i // 2, bits, len(rows)) for token, rows in enumerate(lists) for i, (n, pos) in enumerate(rows)]
+    df = spark.createDataFrame(data, "token long, pos int, doc_id long, n int, label long, bits binary, rows long")
+    got = {(r.u, r.v) for r in set_join.list_pairs(df, rule).collect()}
+    expected = set()
+    for token, rows in enumerate(lists):
+        n, pos = (np.array(c) for c in zip(*rows, strict=True))
+        label = np.arange(len(n)) // 2
+        ok = (label[:, None] != label[None]) & (100 * np.minimum(n[:, None], n[None]) >= 85 * np.maximum(n[:, None], n[None]))
+        ok &= pos[:, None] + pos[None] <= rule.difference(n[:, None], n[None])
+        expected |= {(token * 10_000 + int(a), token * 10_000 + int(b)) for a, b in zip(*np.nonzero(np.tril(ok)), strict=True)}
+    assert len(expected) > 10_000 and got == expected
+
+
 def test_components(spark):
     rng = random.Random(8)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 340)]
