@@ -15,7 +15,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
-BATCH_ROWS = 1000
 
 U64 = np.uint64
 _MULTIPLIER = U64(0x9E3779B97F4A7C15 | 1)

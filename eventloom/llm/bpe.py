@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.jobs import prepare
+from eventloom.llm.jobs import pieces
 
 NO_RANK = np.int32(1 << 30)
 #: Runs whose pieces a task keeps at hand; beyond it the memory is emptied and filled anew.
@@ -211,7 +211,6 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, keep_ids: bool = Fals
     and, with ``keep_ids``, the ids as one binary array of little-endian unsigned 32-bit numbers. A null text counts
     as empty and has no tokens; a null doc_id stays null; repeated rows are encoded each; other columns are ignored.
     """
-    prepare(docs.sparkSession)
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids

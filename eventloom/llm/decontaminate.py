@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.arrays import shingle_hashes, slices, words
-from eventloom.llm.jobs import prepare
+from eventloom.llm.jobs import pieces
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Bits by which fingerprints of similar windows may differ. At similarity 0.8 the mean is 10 of 64, the deviation 3.
@@ -179,7 +179,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMIL
     shorter) has at least ``threshold`` weighted similarity; the best window, the first of equals. Null and empty texts
     and items match nothing; a null doc_id or item_id is returned as null; repeated rows match each.
     """
-    prepare(docs.sparkSession)
     item_type = benchmark.schema["item_id"].dataType.simpleString()
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = f"doc_id bigint, item_id {item_type}, similarity double, first_word int, n_words int"
@@ -202,7 +201,6 @@ def passes(benchmark: DataFrame, threshold: float, pass_chars: int) -> Iterator[
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMILARITY, pass_chars: int = PASS_CHARS) -> DataFrame:
     """The rows of ``docs`` that contain no benchmark item, with all their columns; null and empty texts stay."""
-    prepare(docs.sparkSession)
     at = docs.columns.index("text")
     for bench in passes(benchmark, threshold, pass_chars):
         docs = docs.mapInArrow(cleaner(docs.sparkSession.sparkContext.broadcast(bench), at), docs.schema)

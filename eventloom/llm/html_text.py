@@ -1,15 +1,17 @@
 """Main text of web pages by site template removal (operator 6).
 
 Each page is cut into elements; the subtrees of its containers are hashed and counted per host in Spark, and those that
-recur on many different pages of their host are deleted; copies of one page count once. Elements that are boilerplate by their own name, role or class go on
-every page, so that a host's only page is cleaned too. What is left of the article is joined block by block.
+recur on many pages of their host with different main texts are deleted; pages of one main text (copies, or one article
+within other surroundings) count once. A subtree that holds most of an article's text is never deleted as a template.
+Elements that are boilerplate by their own name, role or whole class go on every page, so that a host's only page is
+cleaned too. What is left of the article is joined block by block.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,14 +19,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.jobs import prepare, written
+from eventloom.llm.jobs import pieces, written
 
 #: A subtree is a template if it occurs on so many different pages of its host and on this share of them.
 MIN_PAGES, MIN_SHARE = 5, 0.1
+#: A recurring subtree of so many characters that holds most of a page without an article is its text.
+LONG_TEXT = 300
 #: So many template keys (8 bytes each) are sent to every task; more are joined to the pages instead.
 MAX_SENT_KEYS = 500_000
 
-# Names of HTML elements, and words that mark boilerplate in class, id and role.
+# Names of HTML elements, and the words of classes, ids and roles that mark boilerplate.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noframes xmp".split())
 BLOCK = frozenset(
@@ -36,27 +40,81 @@ DROPPED = frozenset(
     " textarea input dialog noframes xmp audio video map".split()
 )
 PROTECTED = frozenset("html body article main p h1 h2 h3 h4 h5 h6 pre blockquote figure figcaption li dd dt td th tr tbody".split())
+#: A class, an id or a role marks boilerplate if it is one of MARKS, or made of words of MARKS and FILLERS only, as
+#: cookie-banner or comment-list are; search-results, related-work or ad-hoc are not.
 MARKS = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices"
-    " alert popup modal overlay newsletter subscribe subscription signup paywall sidebar menu nav navbar navigation breadcrumb breadcrumbs"
-    " footer comment comments commentlist reply replies respond disqus share sharing social related recommended toolbar pagination pager"
-    " search login complementary contentinfo".split()
+    "ad ads advert adverts advertisement advertising adsbygoogle banner sponsored promo promotion cookie cookies consent gdpr notice notices"
+    " alert popup modal overlay newsletter subscribe paywall sidebar menu nav navbar navigation breadcrumb breadcrumbs"
+    " footer comment comments commentlist reply replies respond disqus toolbar pagination pager login complementary contentinfo".split()
 )
+FILLERS = frozenset("area bar block box button buttons container content form group inner item items link links list main outer panel section site slot thread top bottom left right unit widget widgets wrap wrapper".split())
+WHOLE = frozenset("related-posts related-articles related-links share-buttons share-bar social-links social-share social-media search search-form search-box skip-link".split())
 OUTER_MARKS = frozenset("header masthead topbar".split())
+#: What an open element of each kind is hidden by from a start tag that would end it.
 SCOPE = frozenset("html body table td th caption button object".split())
+NEAR = {"p": 0, "li": 1, "dd": 2, "dt": 2, "tr": 3, "td": 4, "th": 4}
+HIDES = [SCOPE, SCOPE | {"ul", "ol", "menu"}, SCOPE | {"dl"}, frozenset(("html", "body", "table")), frozenset(("html", "body", "table", "tr"))]
 
-_tag = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>",
-    re.S,
-)
+_name = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*+)")
+_quoted = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
 _attribute = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-_word = re.compile(r"[a-z0-9]+")
+_words = re.compile(r"[^\W_]+")
+_long_reference = re.compile(r"&#([xX]?)0*([0-9a-fA-F]{7,});?|&#([xX]?)0{7,}([0-9a-fA-F]{0,6});?")
+
+
+def tags(source: str) -> Iterator[tuple[str, str, str, int, int]]:
+    """(kind, name, attributes, start, end) of every piece of markup; kind is start, end, data or other.
+
+    Values in quotes may hold ``>``, unless a quote runs to the end of the page: from there on tags end at their first
+    ``>``. What follows the last ``>`` is text. Whatever the page, this takes time in proportion to its length. A sender
+    of a position makes the search go on from there.
+    """
+    last, at, quotes = source.rfind(">"), 0, True
+    while True:
+        at = source.find("<", at)
+        if at < 0:
+            return
+        if source.startswith("<!--", at):
+            end = source.find("-->", at + 4)
+            end = end + 3 if end >= 0 else len(source)
+            found = ("other", "", "", at, end)
+        elif source.startswith("<![CDATA[", at):
+            end = source.find("]]>", at + 9)
+            found = ("data", "", source[at + 9 : end if end >= 0 else len(source)], at, end + 3 if end >= 0 else len(source))
+        elif at > last:
+            return
+        elif source[at + 1] in "!?":
+            found = ("other", "", "", at, source.index(">", at) + 1)
+        else:
+            m = _name.match(source, at + 1)
+            if not m:
+                at += 1
+                continue
+            q = _quoted.match(source, m.end()) if quotes else None
+            quotes = quotes and q is not None
+            end = q.end() if q else source.index(">", at) + 1
+            found = ("end" if m[1] else "start", m[2].lower(), source[m.end() : end - 1], at, end)
+        at = (yield found) or found[4]
+
+
+def unescaped(text: str) -> str:
+    """Character references decoded; numbers too long for a code point are an unknown character."""
+
+    def short(m: re.Match) -> str:
+        digits = m[2] if m[2] is not None else m[4]
+        return "\ufffd" if m[2] is not None and len(digits) > 7 else f"&#{m[1] or m[3] or ''}{digits or '0'};"
+
+    return html.unescape(_long_reference.sub(short, text)) if "&" in text else text
+
+
+def marks(value: str, known: frozenset) -> bool:
+    found = _words.findall(value)
+    return value in WHOLE or bool(found) and not known.isdisjoint(found) and all(w in known or w in FILLERS for w in found)
 
 
 def is_boilerplate(tag: str, attributes: str, inside: bool) -> int:
-    """1 if an element is boilerplate by its name or hidden, 2 if by a word in its attributes, else 0; ``inside`` says
-    that it lies in the page's article."""
+    """1 if an element is boilerplate by its name or hidden, 2 if by its class, id or role, else 0; ``inside`` says that it
+    lies in the page's article. Classes of elements within a line (such as a comment in code) don't count."""
     if tag in DROPPED:
         return 1
     if tag == "header" and not inside:
@@ -67,9 +125,8 @@ def is_boilerplate(tag: str, attributes: str, inside: bool) -> int:
         value, name = "".join(values).lower(), name.lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return 1
-        if name in ("class", "id", "role"):
-            found = _word.findall(value)
-            if not MARKS.isdisjoint(found) or not inside and not OUTER_MARKS.isdisjoint(found):
+        if name in ("class", "id", "role") and (tag in BLOCK or tag == "ins"):
+            if any(marks(v, MARKS) or not inside and marks(v, OUTER_MARKS) for v in value.split()):
                 return 2
     return 0
 
@@ -86,25 +143,22 @@ class Page:
         self.blocks: list[int] = []
         #: (tag, from piece, to piece, boilerplate, container of the article, hash)
         self.elements: list[tuple[str, int, int, int, bool, int]] = []
-        self._source, self._open, self._block, self._inside = source, [], 0, 0
+        self._open, self._block, self._inside = [], 0, 0
         self._count: dict[str, int] = {}  # open elements by name
-        self._read()
+        self._read(source)
+
+    def _close(self, kind: int) -> None:
+        """Ends the open element of a kind (see NEAR) with all in it, unless another element hides it."""
+        at = self._open[-1][5][kind] if self._open else None
+        while at is not None and len(self._open) > at:
+            self._end_last()
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag in BLOCK:
             self._block += 1
-            ends = ("p",) if tag not in ("li", "dd", "dt", "tr", "td", "th") else {"li": ("li", "p"), "dd": ("dd", "dt", "p"), "dt": ("dd", "dt", "p"), "tr": ("tr", "td", "th", "p")}.get(tag, ("td", "th", "p"))
-            stop = SCOPE if tag in ("p", "li", "dd", "dt") or "p" in ends and len(ends) == 1 else frozenset(("table",))
-            for i in range(len(self._open) - 1, -1, -1) if any(self._count.get(e) for e in ends) else ():
-                name = self._open[i][0]
-                if name in ends:
-                    while len(self._open) > i:
-                        self._end_last()
-                    if name == "p" and len(ends) > 1:
-                        continue
-                    break
-                if name in stop or tag == "li" and name in ("ul", "ol", "menu"):
-                    break
+            if NEAR.get(tag):
+                self._close(NEAR[tag])
+            self._close(0)
         if tag in VOID:
             if tag in ("br", "hr"):
                 self._text(" ")
@@ -113,7 +167,10 @@ class Page:
         holds = tag in ("article", "main") and not dropped
         self._inside += holds
         self._count[tag] = self._count.get(tag, 0) + 1
-        self._open.append((tag, [f"{tag} {attributes.strip()}"], len(self.texts), dropped, holds))
+        near = [None if tag in HIDES[k] else n for k, n in enumerate(self._open[-1][5] if self._open else [None] * 5)]
+        if tag in NEAR:
+            near[NEAR[tag]] = len(self._open)
+        self._open.append((tag, [f"{tag} {attributes.strip()}"], len(self.texts), dropped, holds, near))
 
     def _text(self, text: str) -> None:
         self.texts.append(text), self.blocks.append(self._block)
@@ -121,7 +178,7 @@ class Page:
             self._open[-1][1].append(" ".join(text.split()))
 
     def _end_last(self) -> None:
-        tag, content, first, dropped, holds = self._open.pop()
+        tag, content, first, dropped, holds, _ = self._open.pop()
         self._inside -= holds
         self._count[tag] -= 1
         # an element's hash is made of its tag, its texts and the hashes of its children
@@ -133,65 +190,90 @@ class Page:
         if tag in BLOCK:
             self._block += 1
 
-    def _read(self) -> None:
-        source, at = self._source, 0
+    def _read(self, source: str) -> None:
         lower = None
+        found, at, jump = tags(source), 0, None
         while True:
-            m = _tag.search(source, at)
-            text = source[at : m.start() if m else len(source)]
-            if text:
-                self._text(html.unescape(text) if "&" in text else text)
-            if not m:
+            try:
+                kind, tag, inner, start, end = found.send(jump)
+            except StopIteration:
                 break
-            at = m.end()
-            closing, tag = m.group(1) or m.group(4), (m.group(2) or m.group(5) or "").lower()
-            if not tag:
-                if m.group().startswith("<![CDATA["):
-                    self._text(m.group()[9:-3])
-                continue
-            if not closing:
-                self._start(tag, m.group(3) or m.group(6) or "")
+            jump = None
+            if start > at:
+                self._text(unescaped(source[at:start]))
+            at = end
+            if kind == "data":
+                self._text(inner)
+            elif kind == "start":
+                self._start(tag, inner)
                 if tag in RAW:
                     lower = lower if lower is not None else source.lower()
                     # lower-casing may lengthen a text; then the end tag is looked for by a slower way
-                    end = lower.find(f"</{tag}", at) if len(lower) == len(source) else next((x.start() for x in re.compile(f"</{tag}", re.I).finditer(source, at)), -1)
-                    at = end if end >= 0 else len(source)
-            elif self._count.get(tag):
+                    stop = lower.find(f"</{tag}", at) if len(lower) == len(source) else next((x.start() for x in re.compile(f"</{tag}", re.I).finditer(source, at)), -1)
+                    at = jump = stop if stop >= 0 else len(source)
+            elif kind == "end" and self._count.get(tag):
                 while self._open[-1][0] != tag:
                     self._end_last()
                 self._end_last()
-            elif tag == "br" or tag == "p":
+            elif kind == "end" and tag in ("br", "p"):
                 self._text(" ")
+        if at < len(source):
+            self._text(unescaped(source[at:]))
         while self._open:
             self._end_last()
 
     def hashes(self) -> set[int]:
         return {e[5] for e in self.elements if e[5]}
 
-    def text(self, is_template) -> str:
+    def _mains(self) -> list[tuple[int, int]]:
+        return [(e[1], e[2]) for e in self.elements if e[4]]
+
+    def content(self) -> int:
+        """Hash of the article's text, or of the whole page's text if it names no article."""
+        said = "".join("".join(self.texts[a:b]) for a, b in self._mains() or [(0, len(self.texts))])
+        return xxhash.xxh64_intdigest(" ".join(said.split()).encode("utf-8", "replace")) - (1 << 63)
+
+    def text(self, is_template: Callable[[int], bool]) -> str:
         """Blocks of the article, or of the page if it names none, joined by an empty line.
 
-        An element that holds every article of the page is no boilerplate, whatever its attributes say. If words in
-        attributes would leave nothing of a page without an article, they don't count.
+        An element that holds every article of the page is no boilerplate, whatever its attributes say. Templates never
+        take most of an article, alone or together; nor, if the page names no article, most of it and LONG_TEXT characters.
+        If words in attributes or templates would leave nothing of a page without an article, they don't count.
         """
-        n = len(self.texts)
-        articles = [(e[1], e[2]) for e in self.elements if e[4]]
+        n, articles = len(self.texts), self._mains()
         around = lambda e: bool(articles) and all(e[1] <= a and b <= e[2] for a, b in articles)
-        gone = [e for e in self.elements if (e[3] or e[5] and is_template(e[5])) and not (around(e) and e[0] not in RAW)]
-        out = self._blocks(articles or [(0, n)], gone)
+        named = [e for e in self.elements if e[3] and not (around(e) and e[0] not in RAW)]
+        templates = [e for e in self.elements if not e[3] and e[5] and is_template(e[5]) and not around(e)]
+        mains = articles or [(0, n)]
+        if templates:
+            lengths, least = np.array([len(t.strip()) for t in self.texts]), 0 if articles else LONG_TEXT
+            sums = lambda gone: np.append(0, np.cumsum(lengths * (self._kept(mains, gone) > 0)))
+            before = sums(named)
+            most = lambda lost, whole: 2 * lost > whole and lost >= least
+            for a, b in mains:
+                inside = [e for e in templates if a <= e[1] and e[2] <= b]
+                kept = [e for e in inside if most(before[e[2]] - before[e[1]], before[b] - before[a])]
+                after = sums(named + [e for e in inside if e not in kept])
+                if most(before[b] - before[a] - (after[b] - after[a]), before[b] - before[a]):
+                    kept = inside
+                templates = [e for e in templates if e not in kept]
+        out = self._blocks(mains, named + templates)
         if not out and not articles:
-            out = self._blocks([(0, n)], [e for e in gone if e[3] != 2])
+            out = self._blocks(mains, [e for e in named if e[3] != 2] + templates) or self._blocks(mains, named) or self._blocks(mains, [e for e in named if e[3] != 2])
         return "\n\n".join(out)
 
-    def _blocks(self, mains: list[tuple[int, int]], gone: list) -> list[str]:
+    def _kept(self, mains: list[tuple[int, int]], gone: list) -> np.ndarray:
         n = len(self.texts)
         keep = np.zeros(n + 1, np.int64)
         for ranges, sign in ((mains, 1), ([(e[1], e[2]) for e in gone], -n - 1)):
             for a, b in ranges:
                 keep[a] += sign
                 keep[b] -= sign
+        return np.cumsum(keep)[:n]
+
+    def _blocks(self, mains: list[tuple[int, int]], gone: list) -> list[str]:
         out, last = [], None
-        for i in np.flatnonzero(np.cumsum(keep)[:n] > 0).tolist():
+        for i in np.flatnonzero(self._kept(mains, gone) > 0).tolist():
             if self.blocks[i] != last:
                 out.append([])
                 last = self.blocks[i]
@@ -204,76 +286,60 @@ def host(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
+def keyed(pages: DataFrame) -> DataFrame:
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.xxhash64(host(F.col("url"))).alias("host_key"), "html")
+
+
 def subtree_keys(pages: DataFrame) -> DataFrame:
-    """(page_id, host_key, page, key): one row for each distinct container subtree of a page; ``page`` is a hash of its
-    whole html, ``key`` mixes host and content of the subtree."""
+    """(host_key, content, key): one row for each distinct container subtree of a page, and one with key 0 for the page
+    itself; ``content`` is a hash of its main text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hosts, contents, keys = [], [], [], []
-            for page_id, of_host, content, source in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = Page(source or "").hashes()
-                ids += [page_id] * len(found)
-                hosts += [of_host] * len(found)
-                contents += [content] * len(found)
-                keys += [mixed(of_host, h) for h in found]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (ids, hosts, contents, keys)], ["page_id", "host_key", "page", "key"])
+            for part in pieces(batch):
+                hosts, contents, keys = [], [], []
+                for of_host, source in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    page = Page(source or "")
+                    found = page.hashes() | {0}
+                    hosts += [of_host] * len(found)
+                    contents += [page.content()] * len(found)
+                    keys += found
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (hosts, contents, keys)], ["host_key", "content", "key"])
 
-    return keyed(pages).mapInArrow(run, "page_id bigint, host_key bigint, page bigint, key bigint")
+    return keyed(pages).select("host_key", "html").mapInArrow(run, "host_key bigint, content bigint, key bigint")
 
 
-def mixed(host_key: int, subtree: int) -> int:
-    return ((host_key * 0x9E3779B97F4A7C15 + subtree) & ((1 << 64) - 1)) - (1 << 63)
+def template_keys(pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
+    """(host_key, keys): subtrees that recur on many pages of a host with different main texts.
 
-
-def keyed(pages: DataFrame) -> DataFrame:
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), *page_keys(), "html")
-
-
-def page_keys() -> list:
-    """Hashes of a page's host and of its whole html."""
-    return [F.xxhash64(host(F.col("url"))).alias("host_key"), F.xxhash64(F.coalesce("html", F.lit(""))).alias("page")]
-
-
-def template_keys(pages: DataFrame, subtrees: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """Keys of subtrees that recur on many different pages of their host: copies of one page count once, in a subtree's
-    pages as in the host's. Both counts are combined before they are shuffled."""
-    sizes = pages.select(*page_keys()).distinct().groupBy("host_key").agg(F.count("*").alias("pages"))
-    counts = subtrees.select("host_key", "page", "key").distinct().groupBy("host_key", "key").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
-    return counts.join(sizes, "host_key").filter(F.col("n") >= min_share * F.col("pages")).select("key")
+    Pages are parsed once for both counts, which are combined before they are shuffled. As a template lies on at least
+    ``min_share`` of a host's pages, a host has at most as many as 1 / min_share of its pages have subtrees.
+    """
+    counts = written(subtree_keys(pages).distinct().groupBy("host_key", "key").agg(F.count("*").alias("n")))
+    sizes = counts.filter("key = 0").select("host_key", F.col("n").alias("pages"))
+    often = counts.filter((F.col("key") != 0) & (F.col("n") >= min_pages))
+    return often.join(sizes, "host_key").filter(F.col("n") >= min_share * F.col("pages")).groupBy("host_key").agg(F.sort_array(F.collect_list("key")).alias("keys"))
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, max_sent: int = MAX_SENT_KEYS) -> DataFrame:
     """Main text of every page: page_id, url, text, n_chars (code points).
 
-    A null or empty html gives an empty text; a null url counts as one host of its own; a page that names no article
-    is cleaned as a whole. Repeated rows are extracted each; other columns are ignored.
+    A null or empty html gives an empty text; null urls and urls without a host count as one host; a null page_id stays
+    null; a page that names no article is cleaned as a whole. Repeated rows are extracted each; other columns are
+    ignored. Up to ``max_sent`` template keys (8 bytes each) are sent to every task; more of them are joined to the pages
+    by their host, with the same result.
     """
-    prepare(pages.sparkSession)
-    pages = pages.select("page_id", "url", "html")
-    templates = written(template_keys(pages, subtree_keys(pages), min_pages, min_share))
-    source = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.xxhash64(host(F.col("url"))).alias("host_key"), "html")
-    if templates.limit(max_sent + 1).count() <= max_sent:
-        sent = pages.sparkSession.sparkContext.broadcast(np.sort(np.array([r.key for r in templates.collect()], np.int64)))
-        return source.mapInArrow(extractor(sent), "page_id bigint, url string, text string, n_chars bigint")
-    own = subtree_keys(pages).join(templates, "key").groupBy("page_id").agg(F.collect_set("key").alias("templates"))
-    return source.join(own, "page_id", "left").mapInArrow(extractor(None), "page_id bigint, url string, text string, n_chars bigint")
-
-
-def extractor(sent):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            of_page = columns[4] if sent is None else [()] * batch.num_rows
+    templates = written(template_keys(pages.select("page_id", "url", "html"), min_pages, min_share))
+    n = templates.agg(F.sum(F.size("keys"))).first()[0] or 0
+    of_host = F.broadcast(templates) if n <= max_sent else templates
+    return keyed(pages).join(of_host, "host_key", "left").select("page_id", "html", "url", "keys").mapInArrow(extracted, "page_id bigint, url string, text string, n_chars bigint")
+
+
+def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in pieces(batch):
             texts = []
-            for host_key, source, own in zip(columns[2], columns[3], of_page, strict=True):
-                if sent is None:
-                    known = set(own or ())
-                    is_template = lambda h, k=host_key, known=known: mixed(k, h) in known
-                else:
-                    keys = sent.value
-                    is_template = lambda h, k=host_key, keys=keys: bool(len(keys)) and keys[min(np.searchsorted(keys, mixed(k, h)), len(keys) - 1)] == mixed(k, h)
-                texts.append(Page(source or "").text(is_template))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
-
-    return run
+            for source, keys in zip(part.column(1).to_pylist(), part.column(3), strict=True):
+                known = frozenset(keys.as_py() or ())
+                texts.append(Page(source or "").text(known.__contains__))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])

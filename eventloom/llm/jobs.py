@@ -1,29 +1,31 @@
-"""What several operators share: tables cut from their lineage and bounded samples."""
+"""What several operators share: tables cut from their lineage, bounded draws, batches of bounded bytes."""
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm.arrays import BATCH_ROWS
-
-
-def prepare(spark: SparkSession) -> None:
-    """Arrow batches small enough for tasks of a few hundred MB whatever the texts' lengths."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+#: Text that is looked at at once, unless one text alone is longer.
+PIECE_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only where it is unset, as in local tests, a temporary folder."""
+    """spark.checkpoint.dir; only on one machine, where it may be unset, a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = os.path.join(tempfile.gettempdir(), "eventloom")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    if folder:
+        return folder
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("intermediate tables need a folder that all executors share: set spark.checkpoint.dir")
+    return os.path.join(tempfile.gettempdir(), "eventloom")
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -34,8 +36,34 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def share_below(column, bound: int, total: int):
-    """A fixed pseudo-random share of the rows: about ``bound`` of ``total``, all of them if there are no more."""
-    space = 1 << 62
-    limit = space if total <= bound else space * bound // total
-    return F.coalesce(F.pmod(F.xxhash64(column.cast("string"), F.lit(17)), F.lit(space)), F.lit(0)) < F.lit(limit)
+def pieces(batch: pa.RecordBatch, column: int = 1, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in parts whose texts in ``column`` have at most ``limit`` bytes, or that are one row."""
+    if not batch.num_rows:
+        return
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        end = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right"))
+        end = max(end, at + 1)
+        yield batch.slice(at, end - at)
+        at = end
+
+
+SPACE = 1 << 62
+
+
+def share(of, bound: int, total: int):
+    """Whether a row lies in the share of the hash space of the columns ``of`` that about ``bound`` of ``total`` lie in."""
+    limit = SPACE if total <= bound else SPACE * bound // total
+    return F.pmod(F.xxhash64(*of, F.lit(17)), F.lit(SPACE)) < F.lit(limit)
+
+
+def drawn(rows: DataFrame, bound: int) -> list[Row]:
+    """At most ``bound`` different rows, drawn by a hash of their whole content, in the order of that hash.
+
+    Spark does the drawing: a share of the hash space that holds about ``bound`` rows, without repeated rows, of which
+    the first ``bound`` reach the driver. The same rows give the same draw, however they are spread.
+    """
+    some = rows.filter(share(rows.columns, bound, rows.count())).distinct()
+    first = some.withColumn("__h", F.pmod(F.xxhash64(*rows.columns, F.lit(17)), F.lit(SPACE))).orderBy("__h", *rows.columns).limit(bound)
+    return first.drop("__h").collect()

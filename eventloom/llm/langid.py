@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.arrays import Slice, slices
-from eventloom.llm.jobs import prepare, share_below
+from eventloom.llm.jobs import drawn
 
 BUCKET_BITS = 15
 #: Rows that training draws at most, and the longest text among them (longer ones are scored, but not learned from).
@@ -134,16 +134,9 @@ def train(texts: list[str], langs: list[str], dim: int = 16, epochs: int = 6, ra
 
 
 def fit(docs: DataFrame, learn_from, train_rows: int = TRAIN_ROWS) -> LanguageModel:
-    """Train on about ``train_rows`` rows (never more) for which ``learn_from`` holds and lang and text are not null."""
-    keys = docs.filter(learn_from & F.col("lang").isNotNull()).select("doc_id", "lang")
-    drawn = share_below(F.col("doc_id"), train_rows, keys.count())
-    rows = (
-        docs.filter(learn_from & F.col("lang").isNotNull() & F.col("text").isNotNull() & drawn)
-        .filter(F.length("text") <= TRAIN_CHARS)
-        .select("doc_id", "lang", "text")
-        .collect()
-    )
-    rows = sorted(rows, key=lambda r: (r.doc_id is None, r.doc_id, r.text))[: train_rows * 5 // 4]
+    """Train on at most ``train_rows`` different (lang, text) for which ``learn_from`` holds and neither is null."""
+    known = docs.filter(learn_from & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
+    rows = drawn(known.filter(F.length("text") <= TRAIN_CHARS), train_rows)
     return train([r.text for r in rows], [r.lang for r in rows])
 
 
@@ -153,7 +146,6 @@ def predict(docs: DataFrame, model: LanguageModel, columns: list) -> DataFrame:
     The whole text is scored. A null text or one without any letter gets ``und`` with score 0 and isn't accepted;
     a text with letters too short for a subword gets the likeliest language by bias alone.
     """
-    prepare(docs.sparkSession)
     chosen = docs.select(*columns)
     kept = [c for c in chosen.columns if c != "text"]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**15 buckets x languages

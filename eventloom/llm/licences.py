@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.jobs import prepare
+from eventloom.llm.jobs import pieces
 
 # Sentences by which public licences are stated or that open their texts, and the rules over them.
 SENTENCES = {
@@ -151,7 +151,6 @@ def scan(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
     "All rights reserved" counts as the licence Proprietary unless it stands within another licence's rule. A text without
     a licence, an empty and a null one give 0, an empty string and an empty list. A null doc_id stays null; repeated rows are scanned each; other columns are ignored.
     """
-    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(rules or Rules())
     kind = pa.list_(pa.struct([("licence", pa.string()), ("rule", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 

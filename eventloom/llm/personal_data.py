@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.jobs import prepare, share_below
+from eventloom.llm.jobs import drawn, pieces
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("other", *KINDS)
@@ -246,13 +246,9 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 
 
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> SkipChain:
-    """Fit the field on about ``train_docs`` documents with a digit or an @ sign (never more than a quarter above)."""
-    held = docs.filter(F.col("text").rlike("[0-9@]"))
-    n = docs.count()
-    drawn = share_below(F.col("doc_id"), 3 * train_docs, n)
-    rows = held.filter(drawn & (F.length("text") <= TRAIN_CHARS)).select("doc_id", "text").collect()
-    rows = sorted(rows, key=lambda r: (r.doc_id is None, r.doc_id, r.text))[: train_docs * 5 // 4]
-    return SkipChain().fit([r.text for r in rows])
+    """Fit the field on at most ``train_docs`` different texts with a digit or an @ sign, drawn by a hash of the text."""
+    held = docs.filter(F.col("text").rlike("[0-9@]") & (F.length("text") <= TRAIN_CHARS)).select("text")
+    return SkipChain().fit([r.text for r in drawn(held, train_docs)])
 
 
 def spans_of(text: str, model: SkipChain) -> tuple[list, list]:
@@ -271,7 +267,6 @@ def find(docs: DataFrame, model: SkipChain | None = None) -> DataFrame:
     searched each; other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model or fit(docs))
     schema = "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_added bigint"
 
@@ -306,7 +301,6 @@ def hidden(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 def redact(docs: DataFrame, model: SkipChain | None = None) -> DataFrame:
     """``docs`` with all spans of ``text`` replaced by <EMAIL>, <IP>, <CARD> or <PHONE>; nulls and other columns stay."""
-    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model or fit(docs))
     at = docs.columns.index("text")
 

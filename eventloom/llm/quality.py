@@ -2,7 +2,7 @@
 
 score = sigmoid(w0 + sum w_i x_i + 1/2 sum_f ((sum v_if x_i)^2 - sum v_if^2 x_i^2)): the pairwise interactions of all
 features in time linear in their number. Each word occurrence is a feature of value 1 / n, so a text of any length has
-the same scale; structure statistics and metadata are dense features.
+the same scale; structure statistics are dense features, and so is the metadata that a score may use: the length.
 """
 
 from __future__ import annotations
@@ -16,15 +16,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.arrays import Slice, slices, words
-from eventloom.llm.jobs import prepare, share_below
+from eventloom.llm.jobs import drawn, share
 
 BUCKET_BITS = 16
 RANK = 6
 #: Labelled rows that training draws at most, and the longest text among them.
-TRAIN_ROWS, TRAIN_CHARS = 3600, 50_000
+TRAIN_ROWS, TRAIN_CHARS = 6000, 50_000
 #: Bytes of text that training looks at at once, as it runs on the driver.
 TRAIN_SLICE = 1 << 17
 ACCEPT = 0.3
+#: Deviations at which dense features are cut.
+CLIP = 6.0
 
 CLASSES = [
     ("capital", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"), ("digit", b"0123456789"), ("bar", b"|"), ("mark", b"#$%&*=~^_<>{}[]\\@"),
@@ -86,86 +88,109 @@ class FactorisationMachine:
     slope: float = 1.0  # calibration
     shift: float = 0.0
 
+    def scaled(self, dense: np.ndarray) -> np.ndarray:
+        """Dense features in deviations of the training rows, cut at CLIP, in training as in scoring."""
+        return np.clip((dense - self.centre) / self.scale, -CLIP, CLIP)
+
     def raw(self, buckets: np.ndarray, bounds: np.ndarray, dense: np.ndarray) -> np.ndarray:
-        n = np.maximum(np.diff(bounds), 1)[:, None].astype(np.float64)
-        rows = self.word[buckets]
-        add = lambda x: np.diff(np.vstack([np.zeros((1, x.shape[1])), np.cumsum(x, 0, dtype=np.float64)])[bounds], axis=0)
-        x = (dense - self.centre) / self.scale
-        first = add(rows) / n + x @ self.dense
-        squares = add(rows[:, 1:] ** 2) / n**2 + x**2 @ self.dense[:, 1:] ** 2
-        return self.bias + first[:, 0] + 0.5 * (first[:, 1:] ** 2 - squares).sum(1)
+        share = np.repeat(1 / np.maximum(np.diff(bounds), 1), np.diff(bounds))
+        return self.bias + machine(self.word[buckets], share, share**2, bounds, self.scaled(dense), self.dense)[0]
 
     def scores(self, part: Slice) -> np.ndarray:
         return sigmoid(self.slope * self.raw(*features(part)) + self.shift)
 
 
+def sums(x: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sum of the rows of ``x`` from each bound to the next."""
+    return np.diff(np.vstack([np.zeros((1, x.shape[1])), np.cumsum(x, 0, dtype=np.float64)])[bounds], axis=0)
+
+
+def machine(rows: np.ndarray, value: np.ndarray, squared: np.ndarray, bounds: np.ndarray, x: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Linear and pairwise terms of each text without bias, and the sums per factor that their gradient needs.
+
+    ``value`` is the sum of a word's feature values in a text, ``squared`` the sum of their squares: every occurrence of a
+    word is a feature of its own, of value 1 / n.
+    """
+    total = sums(rows * value[:, None], bounds) + x @ flat
+    squares = sums(rows[:, 1:] ** 2 * squared[:, None], bounds) + x**2 @ flat[:, 1:] ** 2
+    return total[:, 0] + 0.5 * (total[:, 1:] ** 2 - squares).sum(1), total
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def train(texts: list[str], labels: list[int], epochs: int = 8, rate: float = 0.08, decay: float = 1e-4, seed: int = 5) -> FactorisationMachine:
-    """Stochastic gradient descent with adaptive steps; a fifth of the rows is held back to calibrate the scores."""
-    bags, dense = [], []
+def train(texts: list[str], labels: list[int], epochs: int = 10, rate: float = 0.08, decay: float = 1e-4, batch: int = 32, seed: int = 5) -> FactorisationMachine:
+    """Stochastic gradient descent over small batches with adaptive steps; a fifth of the rows is held back to calibrate
+    the scores."""
+    at, value, squared, sizes, dense = [], [], [], [], []
     for part in slices(pa.array(texts, pa.large_string()), TRAIN_SLICE):
         buckets, bounds, d = features(part)
         dense.append(d)
         for i in range(len(part)):
-            values, counts = np.unique(buckets[bounds[i] : bounds[i + 1]], return_counts=True)
-            bags.append((values, counts / max(counts.sum(), 1)))
+            found, counts = np.unique(buckets[bounds[i] : bounds[i + 1]], return_counts=True)
+            n = max(counts.sum(), 1)
+            at.append(found), value.append(counts / n), squared.append(counts / n**2), sizes.append(len(found))
     y = np.array(labels, np.float64)
     dense = np.concatenate(dense) if dense else np.zeros((0, len(DENSE)))
+    at, value, squared = (np.concatenate(x or [np.zeros(0)]) for x in (at, value, squared))
+    at, bounds = at.astype(np.int64), np.append(0, np.cumsum(np.array(sizes, np.int64)))
     rng = np.random.default_rng(seed)
-    fitted = np.arange(len(bags)) % 5 != 4
-    centre = dense[fitted].mean(0) if fitted.any() else np.zeros(len(DENSE))
-    scale = np.maximum(dense[fitted].std(0), 1e-3) if fitted.any() else np.ones(len(DENSE))
-    x = np.clip((dense - centre) / scale, -6, 6)
-    word = np.zeros((1 << BUCKET_BITS, 1 + RANK))
-    word[:, 1:] = rng.normal(0, 0.05, (1 << BUCKET_BITS, RANK))
-    flat = np.zeros((len(DENSE), 1 + RANK))
-    flat[:, 1:] = rng.normal(0, 0.02, (len(DENSE), RANK))
-    share = y[fitted].mean() if fitted.any() else 0.5
-    bias = float(np.log((share + 0.01) / (1.01 - share)))
+    fitted = np.arange(len(y)) % 5 != 4
+    model = FactorisationMachine(
+        bias=float(np.log((y[fitted].sum() + 0.5) / ((1 - y[fitted]).sum() + 0.5))),
+        word=np.hstack([np.zeros((1 << BUCKET_BITS, 1)), rng.normal(0, 0.05, (1 << BUCKET_BITS, RANK))]),
+        dense=np.hstack([np.zeros((len(DENSE), 1)), rng.normal(0, 0.02, (len(DENSE), RANK))]),
+        centre=dense[fitted].mean(0) if fitted.any() else np.zeros(len(DENSE)),
+        scale=np.maximum(dense[fitted].std(0), 1e-3) if fitted.any() else np.ones(len(DENSE)),
+    )
+    x = model.scaled(dense)
+    word, flat = model.word, model.dense
     seen_word, seen_flat = np.full(word.shape, 1e-2), np.full(flat.shape, 1e-1)
+
+    def rows_of(texts_: np.ndarray):
+        n = bounds[texts_ + 1] - bounds[texts_]
+        own = np.append(0, np.cumsum(n))
+        return np.arange(own[-1]) + np.repeat(bounds[texts_] - own[:-1], n), own, n
+
     for _ in range(epochs):
-        for i in rng.permutation(np.flatnonzero(fitted)):
-            at, v = bags[i]
-            rows, xi, v = word[at], x[i], v[:, None]
-            total = (v * rows).sum(0) + xi @ flat
-            squares = (v**2 * rows[:, 1:] ** 2).sum(0) + (xi[:, None] ** 2 * flat[:, 1:] ** 2).sum(0)
-            error = float(sigmoid(np.array(bias + total[0] + 0.5 * (total[1:] ** 2 - squares).sum()))) - y[i]
-            grad = np.hstack([np.repeat(v, 1, 1), v * total[1:] - v**2 * rows[:, 1:]]) * error
-            grad_flat = np.hstack([xi[:, None], xi[:, None] * total[1:] - xi[:, None] ** 2 * flat[:, 1:]]) * error + decay * flat
-            seen_word[at] += grad**2
+        order = rng.permutation(np.flatnonzero(fitted))
+        for lo in range(0, len(order), batch):
+            chosen = order[lo : lo + batch]
+            place, own, n = rows_of(chosen)
+            buckets, v, q, xi = at[place], value[place][:, None], squared[place][:, None], x[chosen]
+            rows = word[buckets]
+            raw, total = machine(rows, v[:, 0], q[:, 0], own, xi, flat)
+            error = sigmoid(model.bias + raw) - y[chosen]
+            grad = np.hstack([v, v * np.repeat(total[:, 1:], n, 0) - q * rows[:, 1:]]) * np.repeat(error, n)[:, None]
+            by = np.argsort(buckets, kind="stable")
+            first = np.flatnonzero(np.append(True, buckets[by][1:] != buckets[by][:-1])) if len(by) else by
+            if len(by):
+                grad, touched = np.add.reduceat(grad[by], first, axis=0), buckets[by][first]
+                seen_word[touched] += grad**2
+                word[touched] -= rate * grad / np.sqrt(seen_word[touched])
+            grad_flat = np.hstack([xi.T @ error[:, None], xi.T @ (error[:, None] * total[:, 1:]) - (xi**2).T @ error[:, None] * flat[:, 1:]]) + decay * flat
             seen_flat += grad_flat**2
-            word[at] -= rate * grad / np.sqrt(seen_word[at])
             flat -= 0.5 * rate * grad_flat / np.sqrt(seen_flat)
-            bias -= 0.01 * error
-    model = FactorisationMachine(bias, word, flat, centre, scale)
+            model.bias -= 0.01 * float(error.sum())
     held = np.flatnonzero(~fitted)
     if len(held) and 0 < y[held].mean() < 1:
-        raw = np.array([machine_raw(model, *bags[i], x[i]) for i in held])
+        place, own, _ = rows_of(held)
+        raw = model.bias + machine(word[at[place]], value[place], squared[place], own, x[held], flat)[0]
         loss = lambda p: -(y[held] * np.log(sigmoid(p[0] * raw + p[1])) + (1 - y[held]) * np.log(1 - sigmoid(p[0] * raw + p[1]) + 1e-12)).mean()
         model.slope, model.shift = (float(v) for v in min(((a, b) for a in np.geomspace(0.2, 3, 25) for b in np.linspace(-2, 2, 17)), key=loss))
     return model
 
 
-def machine_raw(model: FactorisationMachine, at: np.ndarray, v: np.ndarray, x: np.ndarray) -> float:
-    rows, v = model.word[at], v[:, None]
-    total = (v * rows).sum(0) + x @ model.dense
-    squares = (v**2 * rows[:, 1:] ** 2).sum(0) + (x[:, None] ** 2 * model.dense[:, 1:] ** 2).sum(0)
-    return float(model.bias + total[0] + 0.5 * (total[1:] ** 2 - squares).sum())
-
-
 def fit(docs: DataFrame, labels: DataFrame, learn_from, train_rows: int = TRAIN_ROWS) -> FactorisationMachine:
-    """Train on about ``train_rows`` labelled rows (never more than a quarter above), drawn by a hash of doc_id.
+    """Train on at most ``train_rows`` different labelled (text, label), drawn by a hash of them.
 
     ``labels`` has doc_id and quality (0 or 1, else ignored); of several labels of one document the smallest counts.
     """
     known = labels.filter(F.col("quality").isin(0, 1) & learn_from).groupBy("doc_id").agg(F.min("quality").alias("label"))
-    drawn = share_below(F.col("doc_id"), train_rows, known.count())
-    texts = docs.filter(drawn & learn_from & F.col("text").isNotNull() & (F.length("text") <= TRAIN_CHARS)).select("doc_id", "text")
-    rows = texts.join(known.filter(drawn), "doc_id").collect()
-    rows = sorted(rows, key=lambda r: (r.doc_id, r.text))[: train_rows * 5 // 4]
+    some = share(["doc_id"], train_rows, known.count())  # on both sides, so that no other text is joined or moved
+    texts = docs.filter(some & learn_from & F.col("text").isNotNull() & (F.length("text") <= TRAIN_CHARS)).select("doc_id", "text")
+    rows = drawn(texts.join(known.filter(some), "doc_id").select("label", "text"), train_rows)
     return train([r.text for r in rows], [r.label for r in rows])
 
 
@@ -174,7 +199,6 @@ def score(docs: DataFrame, model: FactorisationMachine, columns: list) -> DataFr
 
     The whole text is scored, a null one as an empty one.
     """
-    prepare(docs.sparkSession)
     chosen = docs.select(*columns)
     kept = [c for c in chosen.columns if c != "text"]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**16 buckets x 7
@@ -194,7 +218,6 @@ def score(docs: DataFrame, model: FactorisationMachine, columns: list) -> DataFr
 
 def accepted(docs: DataFrame, model: FactorisationMachine) -> DataFrame:
     """The rows of ``docs`` whose text scores ACCEPT or more, with all their columns; a null text is scored as an empty one."""
-    prepare(docs.sparkSession)
     at = docs.columns.index("text")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

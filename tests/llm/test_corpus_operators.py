@@ -221,7 +221,7 @@ def test_blocks_find_everything_within_the_radius():
         assert any(a >> s & m == b >> s & m for s, m in decontaminate.BLOCKS)
 
 
-@pytest.mark.parametrize("sent", [32, 0])
+@pytest.mark.parametrize("sent", [1 << 24, 400])
 def test_nearest(spark, sent):
     rng = np.random.default_rng(1)
     vectors = [(i, rng.normal(size=12).astype(np.float32).tolist()) for i in range(900)]
@@ -229,7 +229,7 @@ def test_nearest(spark, sent):
     odd = [(2000, None), (2100, [0.0] * 12), (2200, [float("nan")] * 12), (2300, [None] * 12), (2400, [float("inf")] + [1.0] * 11), (None, [1.0] * 12), (2500, [1.0] * 3), (2600, [])]
     df = spark.createDataFrame(vectors + odd, "vec_id long, embedding array<float>").withColumn("rank", F.lit(1))
     got = collections.defaultdict(list)
-    for r in nearest.nearest(df, df.filter("vec_id % 100 = 0"), max_sent=sent).orderBy("query_id", "rank").collect():
+    for r in nearest.nearest(df, df.filter("vec_id % 100 = 0"), sent_bytes=sent).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.score, r.vec_id))
         assert r.rank == len(got[r.query_id])
     x = {i: np.array(v, np.float64) for i, v in vectors}
@@ -241,3 +241,29 @@ def test_nearest(spark, sent):
         assert got[q] == sorted((float(np.sqrt(t)), i) for i, t in total.items())[:10]
     assert set(got) == {i for i, _ in vectors if i % 100 == 0}
     assert nearest.nearest(df.limit(0), df.limit(0)).count() == 0
+
+
+def test_nearest_over_the_whole_range_of_doubles(spark):
+    rng = np.random.default_rng(2)
+    scales = [1e200, 1.0, 1e-200, 1e-300, 1e308]
+    vectors = [(i, (np.clip(rng.normal(size=6), -1.7, 1.7) * scales[i % 5]).tolist()) for i in range(300)]
+    vectors[7] = (7, [5e-324] * 6)
+    df = spark.createDataFrame([*vectors, vectors[0]], "vec_id long, embedding array<double>")
+    asked = spark.createDataFrame([*vectors[:10], vectors[0], (1, vectors[50][1])], df.schema)
+    got = collections.defaultdict(list)
+    for r in nearest.nearest(df, asked).collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    from fractions import Fraction
+
+    exact = {i: [Fraction(x) for x in v] for i, v in vectors}
+    for q in range(10):
+        d = {i: sum((a - b) ** 2 for a, b in zip(exact[q], v, strict=True)) for i, v in exact.items() if i != q}
+        if q != 1:
+            found = sorted(got[q])
+            assert [r[0] for r in found] == list(range(1, 11))
+            for rank, i, score in found:
+                # as near as it says, to the precision of doubles, and no nearer one is left out
+                smaller = sum(d[j] * (1 + Fraction(1, 10**12)) < d[i] for j in d)
+                assert smaller < rank or i == 0
+                assert score == pytest.approx(float(np.sqrt(float(d[i] / (Fraction(10) ** 616)))) * 1e308 if d[i] > 10**300 else score, rel=1e-9)
+    assert sorted(r[0] for r in got[1]) == sorted([*range(1, 11), *range(1, 11)])  # two vectors of one id are two queries

@@ -277,6 +277,77 @@ def test_copies_of_a_page_make_no_templates(spark, sent):
     assert got[12] == "Story 0" and got[0] == "Plain story"
 
 
+@pytest.mark.parametrize("sent", [1000, 0])
+def test_articles_survive_their_copies(spark, sent):
+    body = "<div><section>" + "".join(f"<p>Sentence {i} of the long story about a river.</p>" for i in range(20)) + "</section></div>"
+    other = "<div>" + "".join(f"<p>Part {i} of another long story about hills and the sea.</p>" for i in range(20)) + "</div>"
+    share, banner = "<div>Tell your friends</div>", "<div>Welcome to the site</div>"
+    pages = [(1, "http://h.example/a", page(banner + f"<article><h1>Head</h1>{body}</article>"))] * 6  # rows that repeat
+    pages += [(10 + i, f"http://h.example/{i}", page(banner + f"<div>Advert {i}</div><article><h1>Head</h1>{body}</article>")) for i in range(6)]
+    pages += [(20 + i, f"http://h.example/n{i}", page(banner + f"<article><h1>Head {i}</h1>{body}{share}</article>")) for i in range(6)]  # near copies
+    pages += [(30 + i, f"http://h.example/m{i}", page(banner + f"<div>Number {i}</div>{other}")) for i in range(6)]  # near copies without an article
+    pages += [(None if i % 2 else 40 + i, f"http://h.example/s{i}", page(banner + f"<article><p>{'Different words ' * 9}{i}.</p>{share}</article>")) for i in range(8)]
+    got = [(r.page_id, r.text) for r in html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string"), max_sent=sent).collect()]
+    story = "\n\n".join(f"Sentence {i} of the long story about a river." for i in range(20))
+    assert len(got) == len(pages)
+    for page_id, text in got:
+        if page_id in range(1, 20):
+            assert text == f"Head\n\n{story}"
+        elif page_id in range(20, 30):
+            assert text == f"Head {page_id - 20}\n\n{story}"
+        elif page_id in range(30, 40):
+            assert text == f"Number {page_id - 30}\n\n" + "\n\n".join(f"Part {i} of another long story about hills and the sea." for i in range(20))
+        else:
+            assert text.startswith("Different words") and text.endswith(".")
+
+
+def test_templates_equal_a_plain_count(spark):
+    rng = random.Random(4)
+    widgets = [f"<div>Widget {i} says hello</div>" for i in range(12)]
+    pages = []
+    for i in range(120):
+        own = [w for j, w in enumerate(widgets) if rng.random() < j / 24]
+        pages.append((i, f"http://h{i % 3}.example/{i}", page("".join(own) + f"<article><p>{'Story words ' * 30}{i}</p></article><section>Note {i}</section>" if i % 2 else "".join(own) + f"<p>Text of page {i}</p>"), own))
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame([p[:3] for p in pages], "page_id long, url string, html string")).collect()}
+    for i, url, _, own in pages:
+        hosts = [p for p in pages if p[1].split("/")[2] == url.split("/")[2]]
+        gone = {w for w in widgets if (n := sum(w in p[3] for p in hosts)) >= 5 and n >= 0.1 * len(hosts)}
+        left = [w[5:-6] for w in own if w not in gone]
+        assert got[i] == ("Story words " * 30 + str(i) if i % 2 else "\n\n".join([*left, f"Text of page {i}"]))
+
+
+def test_only_whole_class_words_mark_boilerplate():
+    keep = ["search-results", "related-work", "social-science", "share-price", "ad-hoc", "sponsor-story", "reply-all-fiasco", "footnote", "commentary", "download", "notice-period"]
+    drop = ["ad", "big ad", "cookie-banner", "comments", "comment-list", "site_sidebar box" , "sidebar-widget", "share-buttons", "newsletter-form", "reader-comments comments"]
+    for name in keep:
+        assert html_text.Page(f"<article><p>a</p><div class='{name}'><p>b</p></div></article>").text(lambda h: False) == "a\n\nb", name
+    for name in drop:
+        assert html_text.Page(f"<article><p>a</p><div class='{name}'><p>b</p></div></article>").text(lambda h: False) == "a", name
+    assert html_text.Page("<article><pre><code><span class='comment'>x</span> = 1</code></pre></article>").text(lambda h: False) == "x = 1"
+
+
+@pytest.mark.parametrize("unit", ['<p "', "<a b='", "<a", "<!", '<p ">" ', "<p '\">", "&#9", "&", "<", "</", "<!--", "<![CDATA[", "<p><button><div>", "<dl><dd><div>", "<table><tr><td>", "<ul><li>", "<script>", "<p>", "</p>"])
+def test_broken_markup_of_a_megabyte(unit):
+    import time
+
+    n = (1 << 20) // len(unit) if unit not in ("<p><button><div>", "<dl><dd><div>") else 30_000
+    for source in (unit * n, unit * n + ">", unit + "<div>" * 50_000):
+        began = time.time()
+        html_text.Page(source).text(lambda h: False)
+        assert time.time() - began < 8
+
+
+def test_markup_rules():
+    text = lambda h: html_text.Page(h).text(lambda x: False)
+    assert text("1 < 2 and 3 > 2 <b>x</b>") == "1 < 2 and 3 > 2 x"
+    assert text("<p title='a > b'>x</p><p title=\"y>z</p>") == "x\n\nz"
+    assert text("&#65;&#x41;&#000065;" + "&#" + "9" * 10_000 + ";") == "AAA\ufffd"
+    assert text("<ul><li>a<ul><li>b<li>c</ul><li>d</ul>") == "a\n\nb\n\nc\n\nd"
+    assert text("<table><tr><td>a<td>b<table><tr><td>c</table><tr><td>d</table>") == "a\n\nb\n\nc\n\nd"
+    assert text("<SCRIPT>a</script >b<![CDATA[ c<d ]]>e<!-- f") == "b c<d e"
+    assert text("a <b") == "a <b"
+
+
 def test_broken_markup_takes_linear_time():
     import time
 
