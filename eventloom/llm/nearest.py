@@ -154,7 +154,7 @@ def nearest(candidates: DataFrame, queries: DataFrame, k: int = 10, vec_id: str
 
     A candidate with the query's own id is left out; fewer than k others give fewer rows; equal distances go by the
     smaller vec_id. Vectors that are null, zero or hold null or non-finite components take no part, nor do null ids;
-    vectors of different length are not compared. Repeated candidates count each. Equal rows of one query id are one
+    vectors of different length are not compared; a distance beyond the largest double is infinite. Repeated candidates count each. Equal rows of one query id are one
     query; different vectors of one id are queries of their own, each with ranks from 1.
     """
     wanted = usable(queries, vec_id, embedding).withColumn("key", F.xxhash64("embedding")).dropDuplicates(["vec_id", "key"])

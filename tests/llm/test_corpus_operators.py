@@ -245,7 +245,7 @@ def test_nearest(spark, sent):
 
 def test_nearest_over_the_whole_range_of_doubles(spark):
     rng = np.random.default_rng(2)
-    scales = [1e200, 1.0, 1e-200, 1e-300, 1e308]
+    scales = [1e200, 1.0, 1e-200, 1e-300, 1e307]
     vectors = [(i, (np.clip(rng.normal(size=6), -1.7, 1.7) * scales[i % 5]).tolist()) for i in range(300)]
     vectors[7] = (7, [5e-324] * 6)
     df = spark.createDataFrame([*vectors, vectors[0]], "vec_id long, embedding array<double>")

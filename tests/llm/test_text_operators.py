@@ -223,19 +223,63 @@ def test_licences(spark):
     assert data[0][1][got[1].matches[0].start : got[1].matches[0].end] == "Released under the MIT License."
 
 
-def test_reserved_rights_are_found_and_part_no_rule():
-    used = {name for group in licences.RULES.values() for rule in group for name in rule}
-    assert set(licences.SENTENCES) == used | licences.CONTEXT and not used & licences.CONTEXT
-    rules = licences.Rules()
+@pytest.fixture(scope="module")
+def rules():
+    return licences.Rules()
+
+
+def test_every_identifier_is_in_a_rule_and_every_sentence_is_found(rules):
+    used = {name for rule, _ in rules.rules for name in rule}
+    assert set(licences.SENTENCES) <= used and set(rules.names.values()) <= used and set(rules.spdx.values()) <= used
+    alone = {rule[0] for rule, _ in rules.rules if len(rule) == 1}
+    for sentence, name in rules.ids.items():
+        found = rules.match(sentence)
+        assert [f[0] for f in rules.sentences(sentence)] == [name]
+        assert bool(found) == (name in alone), sentence
+        assert name in alone or name in licences.CONTEXT or len({r for r, _ in rules.rules if name in r}) > 0
+    of = {rule[0]: licence for rule, licence in rules.rules if len(rule) == 1}
+    for name, found in rules.names.items():
+        for text in (f"Licensed under the {name}.", f"Words before.\nThis project is released under {name} (see LICENSE).\nWords after"):
+            assert [m[0] for m in rules.match(text)] == [of[found]], text
+    assert len(rules.ids) + len(rules.names) > 500
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("Released under CC0 1.0", ["CC0-1.0"]), ("MIT OR Apache-2.0", ["MIT", "Apache-2.0"]), ("Licensed under the MIT License (see LICENSE)", ["MIT"]), ("// SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) OR MIT", ["GPL-2.0", "MIT"]),
+        ("license = \"BSD-3-Clause AND (ISC OR Zlib)\"", ["BSD-3-Clause", "ISC", "Zlib"]), ("Licensed under the BSD License.", ["BSD"]), ("License: MIT", ["MIT"]), ("Dual licensed under the MIT License and the Apache License, Version 2.0.", ["MIT", "Apache-2.0"]),
+        ("You AND me OR them", []), ("MIT OR NotALicence-1.0", []), ("the license: a story", []), ("He was released under the moon", []), ("licensed under", []), ("OR OR OR", []), ("license:", []),
+        ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by\nthe Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", ["LGPL-2.1"]),
+    ],
+)
+def test_licence_statements(rules, text, expected):
+    assert [m[0] for m in rules.match(text)] == expected
+    assert [m[0] for m in rules.match(f"A line.\n{text}\nAnother line.")] == expected
+
+
+def test_reserved_rights_are_found_and_part_no_rule(rules):
     assert rules.match("Story.\nAll rights reserved.") == [("Proprietary", "proprietary/reserved", 7, 27)]
     grant, notice = licences.SENTENCES["mit/grant"][0], licences.SENTENCES["mit/notice"][0]
     assert [m[:2] for m in rules.match(f"MIT License\nAll rights reserved.\n{grant}\nAll rights reserved.\n{notice}.")] == [("MIT", "mit/title+mit/grant+mit/notice")]
     assert [m[0] for m in rules.match("Released under the MIT License.\nText.\nAll rights reserved.")] == ["MIT", "Proprietary"]
     redistribution, endorsement = licences.SENTENCES["bsd/redistribution"][0], licences.SENTENCES["bsd/no-endorsement"][0]
-    assert [m[0] for m in rules.match(f"All rights reserved.\n{redistribution}\n{endorsement}.")] == ["BSD-3-Clause"]
+    assert [m[0] for m in rules.match(f"{redistribution}\nAll rights reserved.\n{endorsement}.")] == ["BSD-3-Clause"]
     assert len(rules.match("All rights reserved.\n" * 20_000)) == 20_000
 
 
+def test_the_filter_changes_nothing(rules):
+    import copy
+
+    everything = copy.copy(rules)
+    everything.trigger = re.compile("")
+    rng = random.Random(3)
+    known = [*rules.ids, *(f"licensed under {n}" for n in rules.names)]
+    for _ in range(300):
+        text = "\n".join(rng.choice([rng.choice(known), " ".join(rng.choice("a story of the sea and old ships under way".split()) for _ in range(9))]) for _ in range(rng.randint(0, 6)))
+        assert rules.match(text) == everything.match(text)
+
+
 def page(body, head=""):
     return f"<!DOCTYPE html><html><head><title>t</title>{head}</head><body>{body}</body></html>"
 
