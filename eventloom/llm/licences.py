@@ -204,17 +204,23 @@ class Rules:
         self.by_first: dict[str, list] = {}
         for rule in self.rules:
             self.by_first.setdefault(rule[0][0], []).append(rule)
-        self.trigger = re.compile("|".join(sorted(self.cover())), re.I)
+        self.trigger = sorted(self.cover())
+
+    def may_match(self, text: str) -> bool:
+        """False only if no line of the text is a known sentence, statement, tag or expression."""
+        low = text.lower()
+        return any(w in low for w in self.trigger) or " OR " in text or " AND " in text
 
     def cover(self) -> set[str]:
-        """Words of which every known sentence has one; a text without any of them needs no further look."""
-        left = [set(s.split()) for s in [*self.ids, *self.names, *(normal(i) for i in self.spdx)]]
-        out = {"spdx"}
+        """Words of which every known sentence, every opening of a statement and every tag has one; a text without any of
+        them needs no further look."""
+        left = [set(s.split()) for s in [*self.ids, *self.starts]]
+        out = {"spdx", "license", "licence"}
         while left:
             counts = Counter(w for words in left for w in words if w not in COMMON and len(w) > 1) or Counter(w for words in left for w in words)
             best = max(counts, key=lambda w: (counts[w], len(w), w))
             out.add(best)
-            left = [words for words in left if best not in words]
+            left = [words for words in left if not any(best in w for w in words)]
         return out
 
     def stated(self, words: list[str], at: int) -> tuple[list[str] | None, bool]:
@@ -321,7 +327,7 @@ class Rules:
 
     def match(self, text: str) -> list[tuple[str, str, int, int]]:
         """(licence, identifiers joined by +, start, end) of every rule found, in text order, without overlap."""
-        if not self.trigger.search(text):
+        if not self.may_match(text):
             return []
         found, out, i = self.sentences(text), [], 0
         names, after = [f[0] for f in found], [len(found)] * (len(found) + 1)
