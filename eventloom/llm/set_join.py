@@ -484,8 +484,8 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
     Words are runs without white space (space, 0x09 to 0x0D), A-Z as a-z; a text of fewer words than a shingle is one
     shingle. A null text and one without words have an empty set, which links with nothing. component_id is the
-    smallest doc_id reachable, the document's own included. Rows of one doc_id are one vertex, whatever their texts; a
-    null doc_id links with nothing and has a null component. Other columns are ignored.
+    smallest doc_id reachable, the document's own included. Rows of one doc_id are one vertex, whatever their texts, and
+    so have one component; a null doc_id links with nothing and has a null component. Other columns are ignored.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -522,12 +522,23 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     links = written(verified(pairs, sets_of(docs, ids, rule), rule))
     by_id = kept.select(F.col("doc_id").alias("id"), "label")
     edges = links.join(by_id.select(F.col("id").alias("u"), F.col("label").alias("a")), "u").join(by_id.select(F.col("id").alias("v"), F.col("label").alias("b")), "v")
-    last = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    edges = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    # rows of one doc_id with different sets: the labels of these are one vertex
+    several = written(sets.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("n", "s1", "s2")).alias("lo"), F.max(F.struct("n", "s1", "s2")).alias("hi")).filter("lo <> hi").select("doc_id"))
+    if not several.isEmpty():
+        of_doc = real.join(several, "doc_id", "left_semi").join(owners, ["n", "s1", "s2"]).join(by_id.select(F.col("id").alias("rep"), "label"), "rep").select("doc_id", "label").distinct()
+        edges = edges.unionAll(of_doc.join(of_doc.groupBy("doc_id").agg(F.min("label").alias("v")), "doc_id").select(F.col("label").alias("u"), "v"))
+    last = components(edges)
     labels = relabelled(labels.unionAll(new_vertices(last, labels)), last)
 
     whole = owners.join(labels.withColumnRenamed("doc_id", "rep"), "rep", "left").select("n", "s1", "s2", F.coalesce("label", "rep").alias("component"))
     out = sets.select("doc_id", "n", "s1", "s2").join(whole, ["n", "s1", "s2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    if several.isEmpty():
+        return out
+    # an empty set takes the component of its doc_id's other rows
+    least = out.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("least"))
+    return out.join(least, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("least", "component_id").alias("component_id"))
 
 
 def new_vertices(found: DataFrame, labels: DataFrame) -> DataFrame:

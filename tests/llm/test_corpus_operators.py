@@ -72,6 +72,13 @@ def test_set_join(spark, rule):
         assert (r.n_shingles, r.component_id) == ((1, None) if r.doc_id is None else expected[r.doc_id])
 
 
+def test_rows_of_one_doc_id_are_one_vertex(spark):
+    a, b, c = ("alpha beta gamma delta epsilon zeta", "one two three four five six", "red green blue white black grey")
+    rows = [(2, a), (5, a), (5, b), (3, b), (9, c), (9, ""), (4, c), (9, None), (7, None), (7, ""), (8, c + " x"), (8, b), (None, a)]
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in set_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), set_join.Rule(4, 85, 100)).collect())
+    assert got == sorted([(2, 3, 2), (5, 3, 2), (5, 3, 2), (3, 3, 2), (9, 3, 4), (9, 0, 4), (4, 3, 4), (9, 0, 4), (7, 0, 7), (7, 0, 7), (8, 4, 2), (8, 3, 2), (0, 3, None)])
+
+
 def test_set_join_of_an_empty_table(spark):
     assert set_join.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
