@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 #: What counts as a number in a text; a bare cast would also take suffixes such as 1.0f and 5d.
 NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
-#: Texts that stand for a missing value once numbers are expected.
+#: Whole numbers beyond it do not fit a bigint.
 LARGEST_WHOLE = 9.2e18
 
 

@@ -1,7 +1,8 @@
 """Times: texts in stated formats to timestamps without a zone.
 
-A format is a short strptime pattern (%Y %m %d %b %H %M %S %f). Each becomes a pattern that rewrites the text to ISO
-order, which a cast then reads; the session's time zone never matters, and what does not fit is null.
+A format is a short strptime pattern (%Y %m %d %b %H %M %S %f). Formats in ISO order are checked by one regular expression
+and read by a cast; any other is rewritten to ISO order first. The session's time zone never matters, and what does not
+fit is null.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventloom.functions.columns import to_number
+
 ISO = ("%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S.%f", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d")
 TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
@@ -34,22 +37,48 @@ def time_pattern(form: str) -> tuple[str, list[str]]:
     return f"^\\s*{out}\\s*$", names
 
 
+#: A format whose texts a cast reads as they are.
+_iso = re.compile(r"%Y-%m-%d([ T]%H:%M(:%S(\.%f)?)?)?")
+
+
+def parse_iso(c: Column, formats: Sequence[str]) -> Column:
+    """Texts in one of several ISO formats: one regular expression for all of them, and one cast."""
+    pattern = "|".join(time_pattern(f)[0] for f in formats)
+    return F.when(c.rlike(pattern), c).try_cast("timestamp_ntz")
+
+
 def parse_text(c: Column, form: str) -> Column:
+    """Texts in one format, brought to ISO order by one replacement."""
     pattern, names = time_pattern(form)
-    part = lambda name, default: F.regexp_extract(c, pattern, names.index(name) + 1) if name in names else F.lit(default)
-    month = part("m", "1")
+    part = lambda name, default: f"${names.index(name) + 1}" if name in names else default
+    month = "@" if "b" in names else part("m", "1")
+    iso = F.regexp_replace(c, pattern, f"{part('Y', '1900')}-{month}-{part('d', '1')} {part('H', '0')}:{part('M', '0')}:{part('S', '0')}.{part('f', '0')}")
     if "b" in names:
-        month = F.array_position(F.array(*(F.lit(m) for m in MONTHS)), F.lower(part("b", ""))).cast("string")
-    iso = F.concat(part("Y", "1900"), F.lit("-"), month, F.lit("-"), part("d", "1"), F.lit(" "), part("H", "0"), F.lit(":"), part("M", "0"), F.lit(":"), part("S", "0"), F.lit("."), part("f", "0"))
+        name = F.lower(F.regexp_extract(c, pattern, names.index("b") + 1))
+        iso = F.replace(iso, F.lit("@"), F.array_position(F.array(*(F.lit(m) for m in MONTHS)), name).cast("string"))
     return F.when(c.rlike(pattern), iso).try_cast("timestamp_ntz")
 
 
-def parse_time(c: Column, formats: Sequence[str] = ISO, kind: T.DataType | None = None) -> Column:
-    """The first format that fits a text gives its time, none gives null; ``kind`` is the column's type if it may be a date or time."""
+def parse_time(c: Column, formats: Sequence[str] = ISO, kind: T.DataType | None = None, on_bad: str = "null") -> Column:
+    """The first format that fits a text gives its time, none gives null or, with ``on_bad`` fail, an error; ``kind`` is the
+    column's type if it may be a date or time."""
+    if on_bad not in ("null", "fail"):
+        raise ValueError(f"on_bad is null or fail, not {on_bad!r}")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return c.cast("timestamp_ntz")
-    text = c.cast("string")
-    return F.coalesce(*(parse_text(text, f) for f in formats))
+    text, readings, iso = c.cast("string"), [], []
+    for form in [*formats, None]:
+        if form is not None and _iso.fullmatch(form):
+            iso.append(form)
+            continue
+        readings += [parse_iso(text, iso)] if iso else []
+        iso = []
+        readings += [parse_text(text, form)] if form is not None else []
+    time = F.coalesce(*readings)
+    if on_bad == "fail":
+        message = F.concat(F.lit("no time in any of the formats: "), text)
+        return F.when(text.isNotNull() & time.isNull(), F.raise_error(message).cast("timestamp_ntz")).otherwise(time)
+    return time
 
 
 def align_time(c: Column, formats: Sequence[str] = ISO, kind: T.DataType | None = None) -> Column:
@@ -71,7 +100,7 @@ def combine_date_time(date: Column, time: Column, formats: Sequence[str] = ISO[:
 
 def clock_part(c: Column) -> Column:
     """Hour or minute as two digits, cut toward zero; missing ones are 00, larger numbers keep their digits."""
-    number = F.coalesce(c.cast("string").try_cast("double"), F.lit(0.0))
+    number = F.coalesce(to_number(c), F.lit(0.0))
     whole = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).cast("bigint").cast("string")
     return F.when(F.length(whole) < 2, F.lpad(whole, 2, "0")).otherwise(whole)
 

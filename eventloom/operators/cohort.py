@@ -4,21 +4,32 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventloom.errors import SpecError
 from eventloom.functions.columns import named, to_number
 from eventloom.functions.times import ISO, parse_time
 from eventloom.operators.shape import require, stack
-from eventloom.plans.spec import EventSpec
+from eventloom.operators.subjects import subject_ids
 
 SPLITS = {"train": 0.8, "tuning": 0.1, "held_out": 0.1}
 SEPARATOR = "//"
 _column = re.compile(r"^col\((.+)\)$")
 
 
+@dataclass(frozen=True)
+class EventSpec:
+    """One kind of event of a table: code from literals and ``col(name)``, time column or None for a static event."""
+
+    code: str | Sequence[str]
+    time: str | None = None
+    time_formats: Sequence[str] = ()
+    numeric_value: str | None = None
+
+
 def column_of(part: str) -> str | None:
     """The name in ``col(name)``; None for a literal."""
     m = _column.match(part.strip())
@@ -87,8 +98,6 @@ def split_subjects(subjects: DataFrame, splits: Mapping[str, float] = SPLITS, ex
     """
     ids = subjects.select(named(id_column).alias("subject_id")).filter("subject_id is not null").distinct()
     if exact:
-        from eventloom.operators.subjects import subject_ids
-
         keyed = ids.withColumn("key", F.concat_ws(":", F.md5(F.col("subject_id").cast("string")), F.col("subject_id").cast("string")))
         ranks = subject_ids(keyed, "key", first=0).select(F.col("source_id").alias("key"), F.col("subject_id").alias("rank"))
         out = keyed.join(ranks, "key").select("subject_id", share_label(F.col("rank") / F.lit(max(keyed.count(), 1)), splits).alias("split"))
@@ -106,11 +115,19 @@ def ordered(events_: DataFrame) -> DataFrame:
     return events_.withColumn("position", F.row_number().over(order))
 
 
-def write_cohort(events_: DataFrame, splits: DataFrame, path: str, shards: int = 64, mode: str = "overwrite") -> None:
-    """Parquet by split; all events of a subject in one file, by subject and time. One shuffle."""
-    out = events_.join(splits, "subject_id").withColumn("shard", F.pmod(F.xxhash64("subject_id"), F.lit(shards)))
-    order = [F.col("split"), F.col("shard"), F.col("subject_id"), F.col("time").asc_nulls_first(), F.col("code")]
-    out.repartition("split", "shard").sortWithinPartitions(*order).drop("shard").write.mode(mode).partitionBy("split").parquet(path)
+def read_splits(spark: SparkSession, path: str) -> DataFrame:
+    """(subject_id, split) from JSON files of one object each: split names as keys, lists of subject ids as values."""
+    whole = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string, array<bigint>>").alias("m"))
+    return whole.select(F.explode("m")).select(F.explode("value").alias("subject_id"), F.col("key").alias("split"))
+
+
+def write_cohort(events_: DataFrame, splits: DataFrame, path: str, partitions: int | None = None, mode: str = "overwrite") -> None:
+    """Parquet by split; all events of a subject in one file, by subject and time. One shuffle, by subject: as many tasks
+    as the session shuffles to (or ``partitions``), of which adaptive execution joins small ones."""
+    out = events_.join(splits, "subject_id")
+    order = [F.col("split"), F.col("subject_id"), F.col("time").asc_nulls_first(), F.col("code")]
+    dealt = out.repartition(partitions, "subject_id") if partitions else out.repartition("subject_id")
+    dealt.sortWithinPartitions(*order).write.mode(mode).partitionBy("split").parquet(path)
 
 
 def code_metadata(events_: DataFrame) -> DataFrame:
@@ -134,3 +151,8 @@ def dataset_metadata(events_: DataFrame, splits: DataFrame, name: str, version:
     by_split = per_split.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("split", "n")))).alias("subjects_by_split"))
     both = sizes.unionByName(by_split, allowMissingColumns=True)
     return both.agg(F.lit(name).alias("dataset_name"), F.lit(version).alias("dataset_version"), F.max("n_events").alias("n_events"), F.max("n_subjects").alias("n_subjects"), F.first("subjects_by_split", ignorenulls=True).alias("subjects_by_split"))
+
+
+def write_metadata(metadata: DataFrame, path: str) -> None:
+    """Dataset metadata (one row) as a JSON file in the folder ``path``."""
+    metadata.coalesce(1).write.mode("overwrite").json(path)

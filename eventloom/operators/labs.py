@@ -7,6 +7,7 @@ where the value is no number.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +17,8 @@ from eventloom.work import materialised
 
 METHODS = ("minmax", "quantile", "category")
 LOW, HIGH = 0.01, 0.99
+#: Different values of one code that one task sorts.
+TASK_VALUES = 2_000_000
 
 
 def cut_points(method: str, n: int = 10) -> list[float]:
@@ -36,53 +39,62 @@ def numeric_values(df: DataFrame, code: str, value: str) -> DataFrame:
     return df.select(named(code).alias("code"), to_number(named(value)).alias("v")).filter("code is not null and v is not null")
 
 
-def percentiles(values: DataFrame, points: list[float]) -> DataFrame:
-    """Exact percentiles per code, linear between neighbours. Equal values of a code are counted before the shuffle by code."""
-    counted = values.groupBy("code", "v").agg(F.count("*").alias("n"))
+def counted_values(values: DataFrame) -> DataFrame:
+    """(code, v, n): equal values of a code are counted before anything is dealt by code."""
+    return values.groupBy("code", "v").agg(F.count("*").alias("n"))
+
+
+def percentiles(counted: DataFrame, points: list[float]) -> DataFrame:
+    """Exact percentiles per code, linear between neighbours; a code's different values come together in one task."""
     return counted.groupBy("code").agg(F.percentile("v", F.array(*map(F.lit, points)), F.col("n")).alias("cuts"))
 
 
-def percentiles_sorted(values: DataFrame, points: list[float]) -> DataFrame:
-    """The same for codes with too many distinct values to hold: values are sorted by range over (code, value) and ranked
-    through per-partition counts, then only the two neighbours of each point are picked out."""
-    n = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("code"), F.col("v"), F.col("tie")]
-    # a tie-breaker, so that the rows of one frequent value spread over partitions as well
-    keyed = values.withColumn("tie", F.xxhash64(F.monotonically_increasing_id()))
-    dealt = materialised(keyed.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id()))
-    counts = dealt.groupBy("code", "part").agg(F.count("*").alias("n"))
+def percentiles_sorted(counted: DataFrame, points: list[float]) -> DataFrame:
+    """The same for codes with too many different values for one task: they are sorted by range over (code, v) and ranked
+    through per-partition sums, then only the two neighbours of each point are picked out."""
+    n = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialised(counted.repartitionByRange(n, "code", "v").withColumn("part", F.spark_partition_id()))
+    sums = dealt.groupBy("code", "part").agg(F.sum("n").alias("n"))
     per_code = Window.partitionBy("code")
     before = per_code.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("code", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"), F.sum("n").over(per_code).alias("total"))
-    rank = F.row_number().over(Window.partitionBy("part").orderBy(*order))
-    first = Window.partitionBy("part", "code")
-    local = dealt.withColumn("r", rank).withColumn("r", F.col("r") - F.min("r").over(first))
-    ranked = local.join(offsets, ["code", "part"]).withColumn("rank", F.col("offset") + F.col("r"))
+    offsets = sums.select("code", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"), F.sum("n").over(per_code).alias("total"))
+    within = Window.partitionBy("code", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = dealt.withColumn("upto", F.sum("n").over(within)).join(offsets, ["code", "part"]).withColumn("last", F.col("offset") + F.col("upto") - 1)
     points_at = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in enumerate(points)))
     at = F.col("q.p") * (F.col("total") - 1)
-    picked = ranked.select("code", "v", "rank", "total", F.explode(points_at).alias("q")).filter((F.col("rank") == F.floor(at)) | (F.col("rank") == F.ceil(at)))
+    holds = lambda rank: (rank <= F.col("last")) & (rank > F.col("last") - F.col("n"))
+    picked = ranked.select("code", "v", "n", "last", "total", F.explode(points_at).alias("q")).filter(holds(F.floor(at)) | holds(F.ceil(at)))
     each = picked.groupBy("code", "q.i").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.first(at - F.floor(at)).alias("share"))
     # written as low + (high - low) * share would be, term by term, in the built-in percentile
     each = each.withColumn("cut", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise((1 - F.col("share")) * F.col("lo") + F.col("share") * F.col("hi")))
     return each.groupBy("code").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "cut"))), lambda x: x["cut"]).alias("cuts"))
 
 
-def fit(df: DataFrame, method: str = "minmax", n: int = 10, code: str = "code", value: str = "numeric_value", how: str = "exact", accuracy: int = 10_000) -> DataFrame:
-    """(code, cuts): cut points of every code with a number. ``how``: exact, sorted (exact, for hot codes) or approx."""
+def fit(df: DataFrame, method: str = "minmax", n: int = 10, code: str = "code", value: str = "numeric_value", how: str = "auto", accuracy: int = 10_000) -> DataFrame:
+    """(code, cuts): cut points of every code with a number.
+
+    ``how``: exact (a code's different values in one task), sorted (the same numbers, a code spread over tasks), auto
+    (sorted if a code has more than TASK_VALUES different values) or approx.
+    """
     values, points = numeric_values(df, code, value), cut_points(method, n)
     if how == "approx":
         return values.groupBy("code").agg(F.percentile_approx("v", points, accuracy).alias("cuts"))
-    if how == "sorted":
-        return percentiles_sorted(values, points)
-    if how != "exact":
-        raise ValueError(f"how is exact, sorted or approx, not {how!r}")
-    return percentiles(values, points)
+    if how not in ("auto", "sorted", "exact"):
+        raise ValueError(f"how is auto, exact, sorted or approx, not {how!r}")
+    counted = counted_values(values)
+    if how == "auto":
+        # counted values are written, as they are read twice: to be counted by code, and to be ranked
+        counted = materialised(counted)
+        how = "exact" if counted.groupBy("code").count().filter(F.col("count") > TASK_VALUES).isEmpty() else "sorted"
+    return (percentiles_sorted if how == "sorted" else percentiles)(counted, points)
 
 
-def quantile_label(v: Column, cuts: Column, labels: int) -> Column:
-    """Q1 for values up to the first cut point, and so on; above all of them the last label."""
-    below = F.size(F.filter(cuts, lambda c: c < v))  # cut points ascend
-    return F.concat(F.lit("Q"), F.least(below + 1, F.lit(labels)).cast("string"))
+def quantile_label(v: Column, cuts: Column, points: int, labels: int) -> Column:
+    """Q1 for values up to the first of ``points`` cut points, and so on; above all of them the last label."""
+    out = F.when(v <= cuts[0], "Q1")
+    for i in range(1, points):
+        out = out.when(v <= cuts[i], f"Q{i + 1}")
+    return out.when(v.isNotNull() & cuts.isNotNull(), f"Q{labels}")
 
 
 def apply(df: DataFrame, stats: DataFrame, method: str = "minmax", n: int = 10, code: str = "code", value: str = "numeric_value", single_column: bool = False) -> DataFrame:
@@ -100,7 +112,7 @@ def apply(df: DataFrame, stats: DataFrame, method: str = "minmax", n: int = 10,
         label = F.when(v.isNull(), text).otherwise(F.coalesce(unknown, F.when(low == high, F.lit("UNIQUE"))))
     else:
         number = F.lit(None).cast("double")
-        label = F.when(v.isNull(), text).otherwise(F.coalesce(unknown, quantile_label(v, cuts, len(points) + (method == "category"))))
+        label = F.when(v.isNull(), text).otherwise(F.coalesce(unknown, quantile_label(v, cuts, len(points), len(points) + (method == "category"))))
     rest = [c for c in df.columns if c not in (value, "value_label")]
     if single_column:
         return joined.select(*map(named, rest), F.coalesce(label, number.cast("string")).alias(value))
@@ -108,9 +120,20 @@ def apply(df: DataFrame, stats: DataFrame, method: str = "minmax", n: int = 10,
     return joined.select(*map(named, rest), label.alias("value_label"), number.alias(value)).select(*map(named, rest), named(value), "value_label")
 
 
-def normalise(df: DataFrame, method: str = "minmax", n: int = 10, code: str = "code", value: str = "numeric_value", single_column: bool = False) -> DataFrame:
-    """Fit and apply on the same table."""
-    return apply(df, fit(df, method, n, code, value), method, n, code, value, single_column)
+def normalise(
+    df: DataFrame, method: str = "minmax", n: int = 10, code: str = "code", value: str = "numeric_value", single_column: bool = False, how: str = "auto", statistics: str | None = None
+) -> DataFrame:
+    """Fit and apply on the same table. ``statistics`` names a folder for the fitted table: if it exists it is used as it
+    is, else it is written, so that later tables are normalised alike."""
+    if statistics is None:
+        return apply(df, fit(df, method, n, code, value, how), method, n, code, value, single_column)
+    spark = df.sparkSession
+    try:
+        stats = spark.read.parquet(statistics)
+    except AnalysisException:
+        fit(df, method, n, code, value, how).write.parquet(statistics)
+        stats = spark.read.parquet(statistics)
+    return apply(df, stats, method, n, code, value, single_column)
 
 
 def whole_subject_ids(df: DataFrame, column: str = "subject_id") -> DataFrame:

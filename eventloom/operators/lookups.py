@@ -20,15 +20,15 @@ def lookup(
     key: str,
     targets: Mapping[str, str],
     how: str = "inner",
-    drop_source: bool = True,
+    drop_source: bool = False,
     null_keys_match: bool = False,
     dedupe: bool = False,
 ) -> DataFrame:
     """``targets`` (side column -> new name) of the rows of ``side`` whose ``key`` equals ``on``.
 
     Keys of different type meet as text. Null keys match nothing unless ``null_keys_match``. A key that the side has
-    several times multiplies rows; ``dedupe`` keeps one side row a key (the smallest). ``on`` goes unless
-    ``drop_source`` is off; on unmatched rows of a right or full join it is null. The join's strategy is left to the
+    several times multiplies rows; ``dedupe`` keeps one side row a key (the smallest). ``on`` goes with
+    ``drop_source``; on unmatched rows of a right or full join it is null. The join's strategy is left to the
     planner, which knows the side's size.
     """
     if how not in HOW:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from eventloom.operators.cohort import column_of
 from eventloom.plans.spec import EventSpec, PipelineSpec, TableSpec
 
+#: The form in which a table's times are written as text.
+ALIGNED = "%Y-%m-%d %H:%M:%S.%f"
+
 
 def lint_table(name: str, spec: TableSpec) -> list[str]:
     out = []
@@ -33,6 +37,8 @@ def lint_events(name: str, table: TableSpec | None, events: dict[str, EventSpec]
         parts = [spec.code] if isinstance(spec.code, str) else list(spec.code)
         if table and table.code_prefix and len(parts) > 1 and parts[0].rstrip("/") == table.code_prefix.rstrip("/"):
             out.append(f"{name}.{event}: {parts[0]!r} stands before codes that already begin with it")
+        if table and spec.time and spec.time_formats and (column_of(spec.time) or spec.time) in table.times and ALIGNED not in spec.time_formats:
+            out.append(f"{name}.{event}: the table's times have the form {ALIGNED}, which is none of {', '.join(spec.time_formats)}")
     return out
 
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.operators.cohort import cohort, events
+from eventloom.operators.cohort import SPLITS, code_metadata, cohort, dataset_metadata, events, read_splits, split_subjects, write_cohort, write_metadata
 from eventloom.operators.shape import select_rename
 from eventloom.operators.subjects import known_patients, map_subjects, subject_ids
 from eventloom.plans.lint import lint
@@ -39,10 +40,9 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, out: str, file_format:
     """Write the id map, the subject table and every event table below ``out``; one report a table."""
     for warning in lint(spec):
         log.warning(warning)
-    subjects, id_map = compile_subjects(spark, spec)
-    save(id_map, f"{out}/id_map", "parquet", "overwrite")
-    id_map = spark.read.parquet(f"{out}/id_map")
     patients = known_patients(select_rename(read_file(spark, spec.patients, list(spec.patients_rename)), spec.patients_rename))
+    save(subject_ids(patients, "subject_id"), f"{out}/id_map", "parquet", "overwrite")
+    id_map = spark.read.parquet(f"{out}/id_map")
     reports = [TableReport("subject", "written", save(map_subjects(patients, id_map), f"{out}/subject", file_format, mode))]
     for name, table in spec.tables.items():
         try:
@@ -62,6 +62,29 @@ def compile_cohort(spec: PipelineSpec, tables: dict[str, DataFrame], dedupe: boo
     return cohort(*parts, dedupe=dedupe)
 
 
+def build_dataset(
+    spark: SparkSession, spec: PipelineSpec, out: str, splits: Mapping[str, float] = SPLITS, exact: bool = False, splits_json: str | None = None, name: str = "dataset", version: str = "1.0", strict: bool = False
+) -> list[TableReport]:
+    """Raw files to a written dataset in one call: event tables below ``out/tables``, the cohort by split in ``out/data``,
+    code metadata, subject splits and dataset metadata (JSON) below ``out/metadata``.
+
+    Every step reads what the one before wrote. Tables that failed are left out of the cohort, as their reports say.
+    ``splits_json`` names a file of split names and subject ids that go before the fractions.
+    """
+    reports = run_pipeline(spark, spec, f"{out}/tables", strict=strict)
+    done = {r.table for r in reports if r.status == "written"}
+    events_ = {name_: specs for name_, specs in spec.events.items() if name_ in done}
+    tables = {name_: spark.read.parquet(f"{out}/tables/{name_}") for name_ in events_}
+    given = read_splits(spark, splits_json) if splits_json else None
+    split_subjects(spark.read.parquet(f"{out}/tables/subject"), splits, exact, given).write.mode("overwrite").parquet(f"{out}/metadata/subject_splits")
+    by_subject = spark.read.parquet(f"{out}/metadata/subject_splits")
+    write_cohort(compile_cohort(replace(spec, events=events_), tables), by_subject, f"{out}/data")
+    whole = spark.read.parquet(f"{out}/data").drop("split")
+    code_metadata(whole).write.mode("overwrite").parquet(f"{out}/metadata/codes")
+    write_metadata(dataset_metadata(whole, by_subject, name, version), f"{out}/metadata/dataset")
+    return reports
+
+
 def report_table(spark: SparkSession, reports: list[TableReport]) -> DataFrame:
     rows = [(r.table, r.status, r.rows, r.message) for r in reports]
     return spark.createDataFrame(rows, "table string, status string, rows bigint, message string").select(F.col("table"), "status", "rows", "message")

@@ -18,7 +18,7 @@ from eventloom.sources.readers import read_table
 
 
 def read_file(spark: SparkSession, file: FileSpec, columns=None) -> DataFrame:
-    return read_table(spark, file.path, columns, file.file_format, file.sep, file.encoding)
+    return read_table(spark, file.path, columns, file.file_format, file.sep, file.encoding, quote=file.quote, escape=file.escape, multi_line=file.multi_line, null_words=file.null_words)
 
 
 def combined(lookups: list[LookupSpec]) -> list[LookupSpec]:
@@ -34,21 +34,33 @@ def combined(lookups: list[LookupSpec]) -> list[LookupSpec]:
     return out
 
 
+def touched(spec: TableSpec) -> set[str]:
+    """Columns that some step after the renaming reads or writes."""
+    out = {"code", *spec.pad, *spec.unroll, *spec.numeric, *spec.times}
+    out.update(*((look.on, *look.targets.values()) for look in spec.lookups), *((f.target, f.source) for f in spec.fill))
+    out.update(*((*m.columns, m.into, m.prefix_column) for m in spec.melt), *((d.target, d.date, d.time) for d in spec.date_times))
+    out.update(*((p.target, p.date, p.hour, p.minute) for p in spec.parts))
+    return out
+
+
 def early_subjects(spec: TableSpec) -> bool:
-    """Whether unknown subjects can go before rows multiply: the id is in the table itself, and no join adds rows."""
-    supplied = any("subject_id" in look.targets.values() for look in spec.lookups)
-    return "subject_id" in spec.rename.values() and not supplied and all(look.how in ("inner", "left") for look in spec.lookups)
+    """Whether unknown subjects can go before rows multiply, with the same result as at the end: the id is in the table
+    itself, no step reads or writes it, and no join adds rows without it."""
+    return list(spec.rename.values()).count("subject_id") == 1 and "subject_id" not in touched(spec) and all(look.how in ("inner", "left") for look in spec.lookups)
+
 
+def compile_table(spark: SparkSession, spec: TableSpec, id_map: DataFrame | None = None, raw: DataFrame | None = None, sides: dict[str, DataFrame] | None = None, test_rows: int | None = None, early: bool = True) -> DataFrame:
+    """The event table of a description. ``raw`` and ``sides`` (by path) stand in for files that are tables already.
 
-def compile_table(spark: SparkSession, spec: TableSpec, id_map: DataFrame | None = None, raw: DataFrame | None = None, sides: dict[str, DataFrame] | None = None, test_rows: int | None = None) -> DataFrame:
-    """The event table of a description. ``raw`` and ``sides`` (by path) stand in for files that are tables already."""
+    Ids are mapped at the end, or first where that gives the same rows; ``early`` off maps them at the end always.
+    """
     df = require(raw, list(spec.rename)).select(*map(named, spec.rename)) if raw is not None else read_file(spark, spec.file, list(spec.rename))
     if test_rows:
         df = df.limit(test_rows)
     df = df.withColumns({c: strip_zeros(named(c)) for c in spec.strip_zeros})
     df = df.withColumns({c: from_value_map(named(c), m) for c, m in spec.value_maps.items()})
     df = select_rename(df, spec.rename)
-    early = id_map is not None and early_subjects(spec)
+    early = early and id_map is not None and early_subjects(spec)
     if early:
         df = map_subjects(df, id_map)
     for look in combined(list(spec.lookups)) if spec.combine_lookups else spec.lookups:
@@ -72,7 +84,7 @@ def compile_table(spark: SparkSession, spec: TableSpec, id_map: DataFrame | None
         df = df.withColumn("code", prefixed(named("code"), spec.code_prefix, spec.null_literal))
     df = unroll(df, spec.unroll, spec.keep_code, spec.null_literal) if spec.unroll else df
     df = df.withColumns({c: to_number(named(c)) for c in spec.numeric if c in df.columns})
-    df = df.withColumns({c: parse_time(named(c), spec.time_formats, df.schema[c].dataType) for c in spec.times if c in df.columns})
+    df = df.withColumns({c: parse_time(named(c), spec.time_formats, df.schema[c].dataType, spec.on_bad_time) for c in spec.times if c in df.columns})
     if id_map is not None and not early and "subject_id" in df.columns:
         df = map_subjects(df, id_map)
     df = drop_incomplete(df)

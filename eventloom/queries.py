@@ -9,14 +9,17 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.errors import MissingColumns
 from eventloom.functions import columns as C
 from eventloom.functions import times as T
 from eventloom.operators import audit, cohort, labs, lookups, shape, subjects
-from eventloom.plans.run import compile_cohort, compile_subjects, report_table, run_pipeline
+from eventloom.plans.run import build_dataset, compile_cohort, compile_subjects, report_table, run_pipeline
 from eventloom.plans.spec import DateTimeSpec, EventSpec, FileSpec, FillSpec, LookupSpec, MeltSpec, PipelineSpec, TableSpec
 from eventloom.plans.tables import compile_table
 from eventloom.sources.readers import read_table
@@ -24,6 +27,9 @@ from eventloom.sources.writers import save
 from eventloom.streaming.ingest import ingest
 from eventloom.work import shared_folder
 
+side = partial(LookupSpec, drop_source=True)
+looked_up = partial(lookups.lookup, drop_source=True)
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -78,9 +84,39 @@ def skip_empty(spark, d):
     return spark.createDataFrame([(rows, none or 0)], "written bigint, skipped bigint")
 
 
-@query()
+@query("SELECT least(count(*), 1000) AS n, count(*) > 0 AS known FROM events")
 def test_mode_limit(spark, d):
-    return read_table(spark, f"{d}/events.parquet", ["event_id", "event_type"], test_rows=1000)
+    """A quick look takes any rows, as many as asked for, and every one of them is a row of the table."""
+    look = read_table(spark, f"{d}/events.parquet", ["event_id", "event_type"], test_rows=1000)
+    found = look.join(table(spark, d, "events").select("event_id", F.col("event_type").alias("kind")), "event_id")
+    return found.agg(F.count("*").alias("n"), F.coalesce(F.bool_and(F.col("event_type").eqNullSafe(F.col("kind"))), F.lit(False)).alias("known"))
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name FROM customer")
+def gzip_source(spark, d):
+    path = scratch(spark, "gzip")
+    table(spark, d, "customer").select("c_custkey", "c_name").write.options(header=True, compression="gzip").csv(path)
+    return read_table(spark, path, ["c_custkey", "c_name"], "csv")
+
+
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, 'line one' || chr(10) || 'of "' || p_name || '"' AS note, CASE WHEN p_size % 5 <> 0 THEN p_brand END AS brand FROM part""")
+def csv_reader_options(spark, d):
+    """Quoted line breaks and quotes, another quote character, and words for missing values."""
+    note = F.concat(F.lit('line one\nof "'), F.col("p_name"), F.lit('"'))
+    df = table(spark, d, "part").select("p_partkey", note.alias("note"), F.when(F.col("p_size") % 5 != 0, F.col("p_brand")).otherwise(F.lit("NA")).alias("brand"))
+    path = scratch(spark, "quoted")
+    df.write.options(header=True, sep=";", quote="'", escape="'").csv(path)
+    return read_table(spark, path, ["p_partkey", "note", "brand"], "csv", sep=";", quote="'", escape="'", multi_line=True, null_words=["NA"])
+
+
+@query("SELECT 'c_phone,no_such_column' AS missing, 'c_custkey,c_name' AS available, count(*) AS rows FROM customer")
+def required_columns(spark, d):
+    """A missing column is named before anything is read, with those that there are."""
+    df = table(spark, d, "customer").select("c_custkey", "c_name")
+    try:
+        shape.require(df, ["c_phone", "c_name", "no_such_column"])
+    except MissingColumns as error:
+        return df.agg(F.lit(",".join(error.missing)).alias("missing"), F.lit(",".join(error.available)).alias("available"), F.count("*").alias("rows"))
 
 
 # --- columns
@@ -173,17 +209,17 @@ def align_timestamps(spark, d):
 
 @query("SELECT l_linenumber, l_partkey, o_custkey AS subject_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
 def lookup_inner(spark, d):
-    return lookups.lookup(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), table(spark, d, "orders"), "l_orderkey", "o_orderkey", {"o_custkey": "subject_id"})
+    return looked_up(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), table(spark, d, "orders"), "l_orderkey", "o_orderkey", {"o_custkey": "subject_id"})
 
 
 @query("SELECT c_custkey, n_name AS nation FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 3 <> 0) n ON c_nationkey = n_nationkey")
 def lookup_left(spark, d):
-    return lookups.lookup(table(spark, d, "customer").select("c_custkey", "c_nationkey"), table(spark, d, "nation").filter("n_nationkey % 3 <> 0"), "c_nationkey", "n_nationkey", {"n_name": "nation"}, "left")
+    return looked_up(table(spark, d, "customer").select("c_custkey", "c_nationkey"), table(spark, d, "nation").filter("n_nationkey % 3 <> 0"), "c_nationkey", "n_nationkey", {"n_name": "nation"}, "left")
 
 
 @query("SELECT o_orderkey, c_name AS name FROM (SELECT * FROM orders WHERE o_custkey % 4 = 0) RIGHT JOIN customer ON o_custkey = c_custkey")
 def lookup_right(spark, d):
-    return lookups.lookup(table(spark, d, "orders").filter("o_custkey % 4 = 0").select("o_orderkey", "o_custkey"), table(spark, d, "customer"), "o_custkey", "c_custkey", {"c_name": "name"}, "right")
+    return looked_up(table(spark, d, "orders").filter("o_custkey % 4 = 0").select("o_orderkey", "o_custkey"), table(spark, d, "customer"), "o_custkey", "c_custkey", {"c_name": "name"}, "right")
 
 
 @query(
@@ -192,13 +228,13 @@ def lookup_right(spark, d):
 )
 def lookup_full(spark, d):
     orders = table(spark, d, "orders").filter("o_custkey % 4 = 0").select("o_orderkey", "o_custkey")
-    return lookups.lookup(orders, table(spark, d, "customer").filter("c_custkey % 3 = 0"), "o_custkey", "c_custkey", {"c_name": "name"}, "outer", drop_source=False)
+    return looked_up(orders, table(spark, d, "customer").filter("c_custkey % 3 = 0"), "o_custkey", "c_custkey", {"c_name": "name"}, "outer", drop_source=False)
 
 
 @query("SELECT o_orderkey, c_mktsegment AS segment FROM orders JOIN customer ON CAST(o_custkey AS VARCHAR) = CAST(c_custkey AS VARCHAR)")
 def lookup_cast_keys(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("contact"))
-    return lookups.lookup(orders, table(spark, d, "customer"), "contact", "c_custkey", {"c_mktsegment": "segment"})
+    return looked_up(orders, table(spark, d, "customer"), "contact", "c_custkey", {"c_mktsegment": "segment"})
 
 
 @query(
@@ -208,13 +244,13 @@ def lookup_cast_keys(spark, d):
 def lookup_null_safe(spark, d):
     part = table(spark, d, "part").select("p_partkey", F.when(F.col("p_size") % 5 != 2, F.col("p_size") % 5).alias("k"))
     region = table(spark, d, "region").select(F.nullif("r_regionkey", F.lit(2)).alias("key"), "r_name")
-    return lookups.lookup(part, region, "k", "key", {"r_name": "region"}, null_keys_match=True)
+    return looked_up(part, region, "k", "key", {"r_name": "region"}, null_keys_match=True)
 
 
 @query("SELECT c_custkey, o_orderdate AS timestamp FROM customer JOIN orders ON c_custkey = o_custkey")
 def lookup_fanout(spark, d):
     customer = table(spark, d, "customer").select("c_custkey", F.col("c_custkey").alias("k"))
-    return lookups.lookup(customer, table(spark, d, "orders"), "k", "o_custkey", {"o_orderdate": "timestamp"})
+    return looked_up(customer, table(spark, d, "orders"), "k", "o_custkey", {"o_orderdate": "timestamp"})
 
 
 LAB = {"l_orderkey": "contact_id", "l_partkey": "code", "l_linenumber": "line"}
@@ -223,9 +259,9 @@ LAB = {"l_orderkey": "contact_id", "l_partkey": "code", "l_linenumber": "line"}
 def lab_spec(d: str, **more) -> TableSpec:
     orders = FileSpec(f"{d}/orders.parquet")
     looks = (
-        LookupSpec(orders, "contact_id", "o_orderkey", {"o_custkey": "person"}),
-        LookupSpec(orders, "contact_id", "o_orderkey", {"o_orderdate": "timestamp"}),
-        LookupSpec(FileSpec(f"{d}/customer.parquet"), "person", "c_custkey", {"c_name": "subject_id"}),
+        side(orders, "contact_id", "o_orderkey", {"o_custkey": "person"}),
+        side(orders, "contact_id", "o_orderkey", {"o_orderdate": "timestamp"}),
+        side(FileSpec(f"{d}/customer.parquet"), "person", "c_custkey", {"c_name": "subject_id"}),
     )
     return TableSpec(FileSpec(f"{d}/lineitem.parquet"), LAB, lookups=looks, **more)
 
@@ -247,7 +283,7 @@ def lookup_two_hop(spark, d):
 @query("SELECT l_orderkey, l_linenumber, p_name AS code FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 10) p ON l_partkey = p_partkey")
 def lookup_dictionary(spark, d):
     part = table(spark, d, "part").filter("p_size > 10")
-    return lookups.lookup(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), part, "l_partkey", "p_partkey", {"p_name": "code"}, "left", dedupe=True)
+    return looked_up(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), part, "l_partkey", "p_partkey", {"p_name": "code"}, "left", dedupe=True)
 
 
 # --- subjects and cleaning
@@ -264,7 +300,7 @@ def subject_ids(spark, d):
 )
 def map_subjects(spark, d):
     customer = table(spark, d, "customer")
-    named = lookups.lookup(table(spark, d, "orders").select("o_orderkey", "o_custkey"), customer, "o_custkey", "c_custkey", {"c_name": "subject_id"})
+    named = looked_up(table(spark, d, "orders").select("o_orderkey", "o_custkey"), customer, "o_custkey", "c_custkey", {"c_name": "subject_id"})
     return subjects.map_subjects(named, subjects.subject_ids(customer.filter("c_custkey % 5 <> 0"), "c_name")).select("subject_id", "o_orderkey")
 
 
@@ -284,7 +320,7 @@ def known_patients(spark, d):
     patients = table(spark, d, "customer").select(F.when(F.col("c_acctbal") > 0, F.col("c_custkey")).alias("subject_id"), F.col("c_mktsegment").alias("code"))
     orders = table(spark, d, "orders").select(F.col("o_custkey").alias("k"))
     known = labs.whole_subject_ids(subjects.known_patients(patients))
-    return shape.drop_repeats(lookups.lookup(orders, known.withColumn("key", F.col("subject_id")), "k", "key", {"subject_id": "subject_id", "code": "code"}))
+    return shape.drop_repeats(looked_up(orders, known.withColumn("key", F.col("subject_id")), "k", "key", {"subject_id": "subject_id", "code": "code"}))
 
 
 # --- reshape
@@ -352,9 +388,13 @@ def lab_range_sorted(spark, d):
     return rounded(labs.fit(values(spark, d), "minmax", how="sorted"), ["p01", "p99"])
 
 
-@query()
+@query("SELECT event_type AS code, true AS p01_near, true AS p99_near FROM events GROUP BY event_type")
 def lab_range_approx(spark, d):
-    return rounded(labs.fit(values(spark, d), "minmax", how="approx"), ["p01", "p99"])
+    """Approximate cut points: the share of a code's values below each is the asked one, within the error of the accuracy."""
+    v, allowed = values(spark, d), 2 / 1000
+    stats = labs.fit(v, "minmax", how="approx", accuracy=1000).select("code", F.col("cuts")[0].alias("lo"), F.col("cuts")[1].alias("hi"))
+    share = lambda c, p: (F.avg((F.col("numeric_value") < F.col(c)).cast("double")) <= p + allowed) & (F.avg((F.col("numeric_value") <= F.col(c)).cast("double")) >= p - allowed)
+    return v.join(stats, "code").groupBy("code").agg(share("lo", 0.01).alias("p01_near"), share("hi", 0.99).alias("p99_near"))
 
 
 @query("SELECT event_type AS code, round(quantile_cont(value, 0.25), 6) AS q1, round(quantile_cont(value, 0.5), 6) AS q2, round(quantile_cont(value, 0.75), 6) AS q3 FROM events GROUP BY event_type")
@@ -411,6 +451,31 @@ def normalize_passthrough(spark, d):
     return labs.normalise(values(spark, d).withColumn("numeric_value", text), "minmax")
 
 
+@query(
+    f"""WITH s AS (SELECT event_type, quantile_cont(value, 0.01) AS lo, quantile_cont(value, 0.99) AS hi FROM events GROUP BY event_type),
+       n AS (SELECT event_id, event_type AS code, CAST(CASE WHEN lo < hi THEN {SCALED} END AS VARCHAR) AS numeric_value FROM events JOIN s USING (event_type))
+       SELECT * FROM n UNION ALL SELECT * FROM n"""
+)
+def normalize_written(spark, d):
+    """Normalised rows through the CSV sink, overwritten and then appended to; the statistics are saved and used again."""
+    path, stats = scratch(spark, "normalised"), scratch(spark, "statistics")
+    for mode in ("overwrite", "append"):
+        save(labs.normalise(values(spark, d), "minmax", statistics=stats).drop("value_label"), path, "csv", mode)
+    return read_table(spark, path, ["event_id", "code", "numeric_value"], "csv").withColumn("event_id", F.col("event_id").cast("bigint"))
+
+
+@query(
+    """WITH e AS (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'absent' ELSE event_type END AS code, value FROM events),
+       s AS (SELECT event_type, quantile_cont(value, 0.5) AS q1 FROM events GROUP BY event_type)
+       SELECT event_id, code, CASE WHEN q1 IS NULL THEN 'N/A' WHEN value <= q1 THEN 'Q1' ELSE 'Q2' END AS numeric_value FROM e LEFT JOIN s ON code = event_type"""
+)
+def normalize_single_column(spark, d):
+    """Two quantiles in one text column, and codes that the statistics do not know."""
+    df = values(spark, d)
+    stats = labs.fit(df, "quantile", 2)
+    return labs.apply(df.withColumn("code", F.when(F.col("event_id") % 7 == 0, F.lit("absent")).otherwise(F.col("code"))), stats, "quantile", 2, single_column=True)
+
+
 BUCKET = "(('0x' || substr(md5(CAST({} AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0)"
 
 
@@ -457,6 +522,15 @@ def events_numeric(spark, d):
     return cohort.events(table(spark, d, "events"), VALUE_EVENTS, "user_id")
 
 
+@query("SELECT user_id AS subject_id, date_trunc('second', ts) AS time, 'E//' || event_type AS code, CAST(NULL AS DOUBLE) AS numeric_value FROM events WHERE event_id % 6 <> 0")
+def events_unreadable_time(spark, d):
+    """Timed events whose time fits no format are left out; two formats are read."""
+    e = F.col("event_id")
+    text = F.when(e % 6 == 0, F.lit("2024-13-45 soon")).when(e % 2 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).otherwise(F.date_format("ts", "dd/MM/yyyy HH.mm.ss"))
+    df = table(spark, d, "events").select("user_id", "event_type", text.alias("t"))
+    return cohort.events(df, {"e": EventSpec(["E", "col(event_type)"], "col(t)", ("%Y-%m-%d %H:%M:%S", "%d/%m/%Y %H.%M.%S"))}, "user_id")
+
+
 def whole_cohort(spark, d):
     return cohort.cohort(events_static(spark, d), events_multi(spark, d), events_numeric(spark, d))
 
@@ -495,14 +569,13 @@ def split_override(spark, d):
 
 
 @query(
-    f"""SELECT split, count(*) AS n_events, CAST(count(DISTINCT subject_id) AS BIGINT) AS n_subjects
-       FROM ({COHORT_SQL}) JOIN (SELECT c_custkey AS subject_id, {SPLIT_CASE.format(BUCKET.format("c_custkey"))} FROM customer) USING (subject_id) GROUP BY split"""
+    f"""SELECT subject_id, time, code, numeric_value, split
+       FROM ({COHORT_SQL}) JOIN (SELECT c_custkey AS subject_id, {SPLIT_CASE.format(BUCKET.format("c_custkey"))} FROM customer) USING (subject_id)"""
 )
 def cohort_written(spark, d):
     path = scratch(spark, "cohort")
-    cohort.write_cohort(whole_cohort(spark, d), split_hash(spark, d), path, shards=16)
-    back = spark.read.parquet(path)
-    return back.groupBy("split", "subject_id").agg(F.count("*").alias("n")).groupBy("split").agg(F.sum("n").alias("n_events"), F.count("*").alias("n_subjects"))
+    cohort.write_cohort(whole_cohort(spark, d), split_hash(spark, d), path)
+    return spark.read.parquet(path).select("subject_id", "time", "code", "numeric_value", F.col("split").cast("string").alias("split"))
 
 
 METADATA_SQL = """SELECT code, count(*) AS n_events, count(DISTINCT subject_id) AS n_subjects, count(numeric_value) AS n_values, round(sum(CAST(numeric_value AS DOUBLE)), 2) AS value_sum,
@@ -542,7 +615,7 @@ def clinic(d: str) -> PipelineSpec:
     stays_ = TableSpec(
         FileSpec(f"{d}/orders.parquet"),
         {"o_custkey": "person", "o_orderdate": "timestamp", "o_orderstatus": "status", "o_orderpriority": "priority"},
-        lookups=(LookupSpec(FileSpec(f"{d}/customer.parquet"), "person", "c_custkey", {"c_name": "subject_id"}),),
+        lookups=(side(FileSpec(f"{d}/customer.parquet"), "person", "c_custkey", {"c_name": "subject_id"}),),
         unroll={"status": "S/", "priority": "P/"},
     )
     broken = TableSpec(FileSpec(f"{d}/orders.parquet"), {"no_such_column": "code"})
@@ -560,6 +633,41 @@ def pipeline_table(spark, d):
     return compile_table(spark, lab_table(d), id_map).select("subject_id", "code", "timestamp", "numeric_value")
 
 
+@query(f"SELECT id AS subject_id, 'S/' || c_mktsegment AS code, o_orderdate AS timestamp, n_name AS nation FROM orders JOIN {IDS_SQL} ON o_custkey = c_custkey JOIN customer USING (c_custkey) JOIN nation ON c_nationkey = n_nationkey")
+def pipeline_subject_lookup(spark, d):
+    """A lookup by subject_id, which stays the raw id until all lookups are done."""
+    _, id_map = compile_subjects(spark, clinic(d))
+    raw = looked_up(table(spark, d, "orders").select("o_custkey", "o_orderdate"), table(spark, d, "customer"), "o_custkey", "c_custkey", {"c_name": "name"})
+    customer = FileSpec(f"{d}/customer.parquet")
+    looks = (LookupSpec(customer, "subject_id", "c_name", {"c_mktsegment": "code", "c_nationkey": "home"}), side(FileSpec(f"{d}/nation.parquet"), "home", "n_nationkey", {"n_name": "nation"}))
+    spec = TableSpec(FileSpec("orders"), {"name": "subject_id", "o_orderdate": "timestamp"}, lookups=looks, code_prefix="S/", dedupe=False)
+    return compile_table(spark, spec, id_map, raw=raw)
+
+
+@query(f"SELECT id AS subject_id, o_orderstatus AS code, o_orderdate AS timestamp FROM orders JOIN {IDS_SQL} ON o_custkey = c_custkey")
+def pipeline_subject_fill(spark, d):
+    """Missing subject_ids are filled before ids are mapped."""
+    _, id_map = compile_subjects(spark, clinic(d))
+    named = looked_up(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"), table(spark, d, "customer"), "o_custkey", "c_custkey", {"c_name": "name"})
+    raw = named.withColumns({"first": F.when(F.col("o_orderkey") % 3 != 0, F.col("name")), "second": F.when(F.col("o_orderkey") % 3 == 0, F.col("name"))})
+    spec = TableSpec(FileSpec("orders"), {"first": "subject_id", "second": "other", "o_orderdate": "timestamp", "o_orderstatus": "code"}, fill=(FillSpec("subject_id", "other"),), dedupe=False)
+    return compile_table(spark, spec, id_map, raw=raw)
+
+
+@query(f"""SELECT x.split, count(*) AS n_events, CAST(count(DISTINCT id) AS BIGINT) AS n_subjects FROM (SELECT DISTINCT * FROM (
+         SELECT id, NULL AS time, 'GENDER//' || c_mktsegment AS code, CAST(NULL AS FLOAT) AS v FROM {{0}} JOIN customer USING (c_custkey)
+         UNION ALL SELECT subject_id, timestamp, code, CAST(numeric_value AS FLOAT) FROM ({{1}})
+         UNION ALL SELECT id, o_orderdate, 'S/' || o_orderstatus, NULL FROM orders JOIN {{0}} ON o_custkey = c_custkey
+         UNION ALL SELECT id, o_orderdate, 'P/' || o_orderpriority, NULL FROM orders JOIN {{0}} ON o_custkey = c_custkey)) e,
+         LATERAL (SELECT {SPLIT_CASE.format(BUCKET.format("e.id"))}) x GROUP BY x.split""".format(IDS_SQL, TABLE_SQL))
+def dataset_in_one_call(spark, d):
+    """Raw tables to a written cohort with splits and metadata."""
+    out = scratch(spark, "dataset")
+    build_dataset(spark, clinic(d), out)
+    back = spark.read.parquet(f"{out}/data")
+    return back.groupBy(F.col("split").cast("string").alias("split"), "subject_id").agg(F.count("*").alias("n")).groupBy("split").agg(F.sum("n").alias("n_events"), F.count("*").alias("n_subjects"))
+
+
 @query(
     f"""SELECT 'subject' AS "table", 'written' AS status, count(*) AS rows FROM customer UNION ALL SELECT 'labs', 'written', count(*) FROM ({TABLE_SQL})
        UNION ALL SELECT 'stays', 'written', count(*) FROM (SELECT DISTINCT id, o_orderdate, 'S/' || o_orderstatus FROM orders JOIN {IDS_SQL} ON o_custkey = c_custkey
@@ -580,7 +688,8 @@ UNION ALL SELECT DISTINCT id, o_orderdate, 'P/' || o_orderpriority, CAST(NULL AS
 def pipeline_cohort(spark, d):
     spec = clinic(d)
     people, id_map = compile_subjects(spark, spec)
-    tables = {"subject": people, **{name: compile_table(spark, spec.tables[name], id_map) for name in ("labs", "stays")}}
+    # the cohort drops repeats over all tables, so the tables need not
+    tables = {"subject": people, **{name: compile_table(spark, replace(spec.tables[name], dedupe=False), id_map) for name in ("labs", "stays")}}
     return cohort.code_metadata(compile_cohort(spec, tables)).withColumn("value_sum", F.round("value_sum", 2)).drop("value_sum_sq")
 
 
@@ -644,7 +753,7 @@ def defect_profile(spark, d):
 
 @query("SELECT l_orderkey, l_linenumber, o_orderdate AS ordered, l_shipdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderdate + INTERVAL 60 DAY")
 def time_order(spark, d):
-    df = lookups.lookup(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate"), table(spark, d, "orders"), "l_orderkey", "o_orderkey", {"o_orderdate": "ordered"}, drop_source=False)
+    df = looked_up(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate"), table(spark, d, "orders"), "l_orderkey", "o_orderkey", {"o_orderdate": "ordered"}, drop_source=False)
     late = df.withColumn("limit", F.col("ordered") + F.expr("INTERVAL 60 DAYS"))
     return audit.out_of_order(late, "limit", "l_shipdate").drop("limit")
 

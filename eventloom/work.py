@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -10,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; only where it is unset (tests, one machine) a temporary folder."""
+    """spark.checkpoint.dir of the session; only on one machine, where it may be unset, a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("intermediate tables need a folder that all executors share: set spark.checkpoint.dir")
     return folder or os.path.join(tempfile.gettempdir(), "eventloom-work")
 
 

@@ -81,3 +81,19 @@ def test_align(spark):
 def test_weeks_and_gestation(spark):
     assert column(spark, ["2001", "2053", "2054", "abcd", None], C.week_start) == [dt.date(2019, 12, 30), dt.date(2020, 12, 28), None, None, None]
     assert column(spark, ["39 4/7", "39 7/7", "x", None], C.gestation_days) == [277, None, None, None]
+
+
+def test_formats_and_hours(spark):
+    data = ["2021-01-02 03:04:05.5", "2021-1-2 3:4:5", "2021-01-02T03:04:05", "2021-01-02", " 2021-01-02 ", "02/01/2021 03.04.05", "2-Jan-2021", "2-jan-2021 23:59", "31-Feb-2021", "2021-13-01", "2021-01-02 24:00:00", "2021", "x", "", None, "03:04", "2021-03-28 02:30:00"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(data)], "i int, t string")
+    formats = [*times.ISO, "%d/%m/%Y %H.%M.%S", "%d-%b-%Y", "%d-%b-%Y %H:%M", "%H:%M"]
+    for zone in ("UTC", "Europe/Copenhagen"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        got = [r.x for r in df.select("i", F.date_format(times.parse_time(F.col("t"), formats), "yyyy-MM-dd HH:mm:ss.S").alias("x")).orderBy("i").collect()]
+        assert got == [
+            "2021-01-02 03:04:05.5", "2021-01-02 03:04:05.0", "2021-01-02 03:04:05.0", "2021-01-02 00:00:00.0", "2021-01-02 00:00:00.0", "2021-01-02 03:04:05.0", "2021-01-02 00:00:00.0", "2021-01-02 23:59:00.0",
+            None, None, None, None, None, None, None, "1900-01-01 03:04:00.0", "2021-03-28 02:30:00.0",
+        ]
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    hours = spark.createDataFrame([("5d",), ("1.0f",), ("9.7",), (None,), ("7",), ("-1",)], "h string")
+    assert [r.x for r in hours.select(times.clock_part(F.col("h")).alias("x")).collect()] == ["00", "00", "09", "00", "07", "-1"]

@@ -1,4 +1,5 @@
 import datetime as dt
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,17 +48,19 @@ def test_stack_and_incomplete(spark):
 
 
 def test_lookup_kinds(spark):
+    looked_up = partial(lookups.lookup, drop_source=True)
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "i int, k string")
     side = spark.createDataFrame([("a", 10), ("a", 11), (None, 12), ("z", 13)], "key string, v int")
-    assert rows(lookups.lookup(df, side, "k", "key", {"v": "v"})) == [(1, 10), (1, 11)]
-    assert rows(lookups.lookup(df, side, "k", "key", {"v": "v"}, dedupe=True)) == [(1, 10)]
-    assert rows(lookups.lookup(df, side, "k", "key", {"v": "v"}, null_keys_match=True)) == [(1, 10), (1, 11), (3, 12)]
-    assert len(rows(lookups.lookup(df, side, "k", "key", {"v": "v"}, "left"))) == 4
-    assert len(rows(lookups.lookup(df, side, "k", "key", {"v": "v"}, "outer", drop_source=False))) == 6
+    assert rows(looked_up(df, side, "k", "key", {"v": "v"})) == [(1, 10), (1, 11)]
+    assert rows(looked_up(df, side, "k", "key", {"v": "v"}, dedupe=True)) == [(1, 10)]
+    assert rows(looked_up(df, side, "k", "key", {"v": "v"}, null_keys_match=True)) == [(1, 10), (1, 11), (3, 12)]
+    assert len(rows(looked_up(df, side, "k", "key", {"v": "v"}, "left"))) == 4
+    assert len(rows(looked_up(df, side, "k", "key", {"v": "v"}, "outer", drop_source=False))) == 6
     number = spark.createDataFrame([(1, "x")], "key long, v string")
-    assert rows(lookups.lookup(spark.createDataFrame([("1",)], "k string"), number, "k", "key", {"v": "v"})) == [("x",)]
+    assert rows(looked_up(spark.createDataFrame([("1",)], "k string"), number, "k", "key", {"v": "v"})) == [("x",)]
+    assert lookups.lookup(df, side, "k", "key", {"v": "v"}).columns == ["i", "k", "v"]
     with pytest.raises(ValueError, match="how"):
-        lookups.lookup(df, side, "k", "key", {"v": "v"}, "cross")
+        looked_up(df, side, "k", "key", {"v": "v"}, "cross")
 
 
 def test_subject_ids_are_dense_and_in_order(spark):
@@ -92,11 +95,13 @@ def test_minmax(spark):
     assert text.schema["numeric_value"].dataType.simpleString() == "string" and "value_label" not in text.columns
 
 
-def test_sorted_and_exact_percentiles_agree(spark):
+def test_sorted_and_exact_percentiles_agree(spark, monkeypatch):
+    monkeypatch.setattr(labs, "TASK_VALUES", 50)
     for method in labs.METHODS:
-        exact = {r.code: r.cuts for r in labs.fit(lab(spark), method).collect()}
+        by_size = {r.code: r.cuts for r in labs.fit(lab(spark), method).collect()}
+        exact = {r.code: r.cuts for r in labs.fit(lab(spark), method, how="exact").collect()}
         by_sort = {r.code: r.cuts for r in labs.fit(lab(spark), method, how="sorted").collect()}
-        assert exact.keys() == by_sort.keys()
+        assert exact.keys() == by_sort.keys() and by_size == by_sort
         for code, cuts in exact.items():
             assert by_sort[code] == pytest.approx(cuts, abs=1e-9)
 
@@ -136,7 +141,7 @@ def test_splits(spark):
 def test_cohort_files(spark, tmp_path):
     events = spark.range(500).select((F.col("id") % 50).alias("subject_id"), F.lit(DAY).alias("time"), F.concat(F.lit("c"), F.col("id").cast("string")).alias("code"), F.lit(1.0).alias("numeric_value"))
     splits = cohort.split_subjects(events)
-    cohort.write_cohort(cohort.cohort(events), splits, str(tmp_path / "c"), shards=3)
+    cohort.write_cohort(cohort.cohort(events), splits, str(tmp_path / "c"), partitions=3)
     back = spark.read.parquet(str(tmp_path / "c"))
     assert back.count() == 500
     places = back.select("subject_id", F.input_file_name().alias("f")).distinct()
@@ -156,3 +161,43 @@ def test_audits(spark):
     got = {r.column: (r.rows, r.nulls, r.all_null_rows, r.non_numeric, r.truncated) for r in audit.defect_profile(df, ["id", "v"], ["v"], ["id"]).collect()}
     assert got == {"id": (4, 1, 1, None, 1), "v": (4, 1, 1, 1, None)}
     assert audit.pseudonymise(df, "id", "s").filter("id is null").count() == 1
+
+
+def test_saved_statistics_are_used_again(spark, tmp_path):
+    first = labs.normalise(lab(spark), "minmax", statistics=str(tmp_path / "stats"))
+    more = spark.createDataFrame([("A", "50.5"), ("A", "1000"), ("E", "1")], "code string, numeric_value string")
+    assert first.count() == 106
+    got = rows(labs.normalise(more, "minmax", statistics=str(tmp_path / "stats")))
+    assert got == rows(spark.createDataFrame([("A", 0.5, None), ("A", 1.0, None), ("E", None, "N/A")], "code string, v double, l string"))
+
+
+def test_splits_from_json_and_metadata_to_json(spark, tmp_path):
+    (tmp_path / "splits.json").write_text('{"train": [1, 2],\n "held_out": [3], "none": []}')
+    given = cohort.read_splits(spark, str(tmp_path / "splits.json"))
+    assert rows(given) == [(1, "train"), (2, "train"), (3, "held_out")]
+    subjects_ = spark.createDataFrame([(i,) for i in range(1, 9)], "subject_id long")
+    got = {r.subject_id: r.split for r in cohort.split_subjects(subjects_, override=given).collect()}
+    assert len(got) == 8 and (got[1], got[2], got[3]) == ("train", "train", "held_out")
+    events = spark.createDataFrame([(1, DAY, "A", 1.0), (1, None, "B", None), (4, DAY, "A", None)], "subject_id long, time timestamp_ntz, code string, numeric_value float")
+    meta = cohort.dataset_metadata(events, cohort.split_subjects(subjects_, override=given), "d", "1")
+    cohort.write_metadata(meta, str(tmp_path / "meta"))
+    back = spark.read.json(str(tmp_path / "meta")).first()
+    assert (back.dataset_name, back.n_events, back.n_subjects) == ("d", 3, 2) and sum(v or 0 for v in back.subjects_by_split.asDict().values()) == 8
+    assert {r.code: (r.n_events, r.n_values, r.value_sum, r.value_sum_sq) for r in cohort.code_metadata(events).collect()} == {"A": (2, 1, 1.0, 1.0), "B": (1, 0, None, None)}
+
+
+def test_cohort_keeps_subjects_whole(spark, tmp_path):
+    from pathlib import Path
+
+    events = spark.range(4000).selectExpr("id % 97 as subject_id", "timestamp_ntz'2020-01-01' + make_interval(0, 0, 0, int(id % 50)) as time", "concat('c', id % 7) as code", "cast(id as float) as numeric_value")
+    splits = cohort.split_subjects(events)
+    cohort.write_cohort(events, splits, str(tmp_path / "out"), partitions=6)
+    files: dict = {}
+    for path in Path(tmp_path / "out").rglob("*.parquet"):
+        found = spark.read.parquet(str(path)).collect()
+        order = [(r.subject_id, r.time, r.code) for r in found]
+        assert order == sorted(order)
+        for r in found:
+            files.setdefault(r.subject_id, set()).add(path.name)
+    assert len(files) == 97 and all(len(f) == 1 for f in files.values())
+    assert len({f for fs in files.values() for f in fs}) == 6

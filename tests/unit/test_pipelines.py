@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from eventloom.errors import SpecError
 from eventloom.plans.lint import lint
 from eventloom.plans.run import compile_cohort, run_pipeline
 from eventloom.plans.spec import DateTimeSpec, EventSpec, FileSpec, FillSpec, LookupSpec, MeltSpec, PartsSpec, PipelineSpec, TableSpec, from_dict
-from eventloom.plans.tables import compile_table
+from eventloom.plans.tables import compile_table, early_subjects
 from eventloom.sources import read_table, save
 from eventloom.streaming.ingest import ingest
 
@@ -79,6 +80,73 @@ def test_melt_and_date_times(spark):
     assert {(r.code, r.timestamp) for r in second.collect()} == {("I/a", dt.datetime(2021, 1, 2, 10)), ("O/a", dt.datetime(2021, 1, 3))}
 
 
+def test_ids_are_mapped_early_only_where_it_changes_nothing(spark, raw):
+    rng = random.Random(5)
+    data = [(rng.choice(["p1", "p2", "p9", None]), rng.choice(["p1", "p2", "p9", None]), rng.choice(["c1", "c2", "c3", None]), rng.choice(["A", None]), rng.choice(["2021-01-02", "bad", None])) for _ in range(60)]
+    df = spark.createDataFrame(data, "a string, b string, c string, k string, t string")
+    side = spark.createDataFrame([("p1", "x", "c1"), ("p2", "y", "c2"), ("p2", "z", "p1"), (None, "n", None)], "key string, v string, w string")
+    ids = spark.createDataFrame([("p1", 2), ("p2", 3), ("p1:s", 4)], "source_id string, subject_id long")
+    file, seen = FileSpec("side.csv"), set()
+    for _ in range(40):
+        names = {"a": "subject_id", "b": "other", "c": "contact", "k": "code", "t": "timestamp"}
+        targets = {"v": rng.choice(["v", "v", "subject_id"])}
+        looks = [LookupSpec(file, rng.choice(["subject_id", "contact"]), rng.choice(["key", "w"]), targets, rng.choice(["inner", "left", "right", "outer"]), drop_source=rng.random() < 0.5) for _ in range(rng.choice([0, 1]))]
+        spec_ = TableSpec(
+            FileSpec("x.csv"), names, lookups=looks, fill=() if looks else rng.choice([(), (FillSpec("subject_id", "other"),), (FillSpec("code", "other"),)]), pad={} if looks else rng.choice([{}, {"subject_id": {"suffix": ":s"}}]),
+            melt=rng.choice([(), (MeltSpec({"timestamp": "T/"}),)]), code_prefix=rng.choice([None, "P/"]), dedupe=rng.random() < 0.5,
+        )
+        early, late = (compile_table(spark, spec_, ids, raw=df, sides={"side.csv": side}, early=e) for e in (True, False))
+        assert early.columns == late.columns and rows(early) == rows(late), spec_
+        seen.add(early_subjects(spec_))
+    assert seen == {True, False}
+
+
+def test_reader_options_of_a_description(spark, tmp_path):
+    (tmp_path / "notes.csv").write_text("id;note;n\n1;'two\nlines; ''quotes'' end';NA\n2;plain;5\n", encoding="ISO-8859-1")
+    file = FileSpec(str(tmp_path / "notes.csv"), sep=";", encoding="ISO-8859-1", quote="'", escape="'", multi_line=True, null_words=("NA", "null"))
+    got = compile_table(spark, TableSpec(file, {"id": "id", "note": "note", "n": "n"}))
+    assert rows(got) == [("1", "two\nlines; 'quotes' end", None), ("2", "plain", "5")]
+
+
+def test_nested_descriptions_from_plain_dicts():
+    given = {
+        "patients": {"path": "p.csv", "sep": "|"}, "patients_rename": {"CPR": "subject_id"},
+        "tables": {"t": {"file": {"path": "t.csv", "null_words": ["NA"]}, "rename": {"a": "code"}, "lookups": [{"file": {"path": "l.csv"}, "on": "code", "key": "k", "targets": {"x": "y"}}], "pad": {"code": {"suffix": "!"}}, "melt": [{"columns": {"a": "A/"}}], "on_bad_time": "fail"}},
+        "events": {"t": {"e": {"code": ["T", "col(code)"], "time": "col(timestamp)"}}},
+    }
+    built = from_dict(PipelineSpec, given)
+    table = TableSpec(FileSpec("t.csv", null_words=("NA",)), {"a": "code"}, lookups=(LookupSpec(FileSpec("l.csv"), "code", "k", {"x": "y"}),), pad={"code": {"suffix": "!"}}, melt=(MeltSpec({"a": "A/"}),), on_bad_time="fail")
+    assert built == PipelineSpec(FileSpec("p.csv", sep="|"), {"CPR": "subject_id"}, {"t": table}, {"t": {"e": EventSpec(("T", "col(code)"), "col(timestamp)")}})
+    with pytest.raises(SpecError, match="colour"):
+        from_dict(PipelineSpec, {**given, "tables": {"t": {"file": {"path": "x", "colour": 1}, "rename": {}}}})
+
+
+def test_bad_times_can_fail(spark):
+    df = spark.createDataFrame([("1", "2021-01-02"), ("2", None)], "s string, t string")
+    names = {"s": "code", "t": "timestamp"}
+    assert compile_table(spark, TableSpec(FileSpec("x"), names, on_bad_time="fail"), raw=df).count() == 2
+    bad = df.union(spark.createDataFrame([("3", "soon")], df.schema))
+    assert compile_table(spark, TableSpec(FileSpec("x"), names), raw=bad).filter("timestamp is null").count() == 2
+    with pytest.raises(Exception, match="soon"):
+        compile_table(spark, TableSpec(FileSpec("x"), names, on_bad_time="fail"), raw=bad).collect()
+
+
+def test_format_drift_is_noticed():
+    table = TableSpec(FileSpec("t.csv"), {"a": "code", "t": "timestamp"})
+    drifts = lambda *formats: lint(PipelineSpec(FileSpec("p.csv"), {}, {"t": table}, {"t": {"e": EventSpec("col(code)", "col(timestamp)", formats)}}))
+    assert len(drifts("%Y-%m-%d %H:%M:%S")) == 1 and not drifts() and not drifts("%Y-%m-%d %H:%M:%S.%f")
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from eventloom.work import shared_folder
+
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://h:7077"))
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        shared_folder(session)
+
+
 def test_lint(raw):
     patients, contacts, diagnoses, stays = raw
     bad = TableSpec(diagnoses, {"code": "code", "w": "w"}, strip_zeros=("w",), value_maps={"w": {"01": "x"}}, code_prefix="A/", unroll={"code": "A/"}, lookups=(LookupSpec(contacts, "a", "b", {"c": "c"}), LookupSpec(contacts, "a", "b", {"d": "d"})), combine_lookups=False)
