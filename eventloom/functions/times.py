@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 from eventloom.functions.columns import to_number
 
 ISO = ("%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S.%f", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d")
-TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 DIRECTIVES = {"Y": r"(\d{4})", "m": r"(\d{1,2})", "d": r"(\d{1,2})", "b": r"([A-Za-z]{3})", "H": r"(\d{1,2})", "M": r"(\d{1,2})", "S": r"(\d{1,2})", "f": r"(\d{1,6})"}
 
@@ -83,13 +82,14 @@ def parse_time(c: Column, formats: Sequence[str] = ISO, kind: T.DataType | None
 
 def align_time(c: Column, formats: Sequence[str] = ISO, kind: T.DataType | None = None) -> Column:
     """A time as text of one form, with microseconds."""
-    return F.date_format(parse_time(c, formats, kind), TEXT)
+    text = parse_time(c, formats, kind).cast("string")  # a format would go through the session's time zone
+    return F.rpad(F.when(text.contains("."), text).otherwise(F.concat(text, F.lit("."))), 26, "0")
 
 
 def date_text(c: Column, kind: T.DataType | None) -> Column:
     """The date part of a date or time column, or the text itself."""
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.date_format(c, "yyyy-MM-dd")
+        return c.cast("date").cast("string")
     return F.trim(c.cast("string"))
 
 
@@ -107,5 +107,5 @@ def clock_part(c: Column) -> Column:
 
 def combine_parts(date: Column, hour: Column, minute: Column, formats: Sequence[str] = ("%Y-%m-%d",), kind: T.DataType | None = None) -> Column:
     """Date, hour and minute as one time; missing hours and minutes are 0, an hour of 24 or a negative one gives null."""
-    day = F.date_format(parse_time(date_text(date, kind), formats), "yyyy-MM-dd")
+    day = parse_time(date_text(date, kind), formats).cast("date").cast("string")
     return parse_time(F.concat(day, F.lit(" "), clock_part(hour), F.lit(":"), clock_part(minute), F.lit(":00")), ("%Y-%m-%d %H:%M:%S",))

@@ -8,7 +8,7 @@ where the value is no number.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.columns import named, to_number
@@ -83,9 +83,11 @@ def fit(df: DataFrame, method: str = "minmax", n: int = 10, code: str = "code",
         raise ValueError(f"how is auto, exact, sorted or approx, not {how!r}")
     counted = counted_values(values)
     if how == "auto":
-        # counted values are written, as they are read twice: to be counted by code, and to be ranked
-        counted = materialised(counted)
-        how = "exact" if counted.groupBy("code").count().filter(F.col("count") > TASK_VALUES).isEmpty() else "sorted"
+        # counted values are written, as they are read again; codes are only looked at if all together exceed one task
+        seen = Observation()
+        counted = materialised(counted.observe(seen, F.count(F.lit(1)).alias("rows")))
+        hot = seen.get["rows"] > TASK_VALUES and not counted.groupBy("code").count().filter(F.col("count") > TASK_VALUES).isEmpty()
+        how = "sorted" if hot else "exact"
     return (percentiles_sorted if how == "sorted" else percentiles)(counted, points)
 
 
