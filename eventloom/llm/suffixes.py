@@ -2,12 +2,14 @@
 
 A suffix is kept where a minimiser stands: of the ``key`` word runs in every window of ``least`` words the one with the
 smallest hash. Two equal windows choose the same place, so a passage of ``least`` words that occurs twice has suffixes
-of equal beginning in both places. Spark sorts all kept suffixes by range; neighbours in that order are compared. Where
-they begin alike, the match is extended to the left and right: every window round the suffix is compared in turn, those
-that have an equal elsewhere are repeated, and overlapping ones join to spans of any length.
+of equal beginning in both places. Spark sorts all kept suffixes by range, by their leading ``key`` words (as one number)
+and then by their surroundings; neighbours in that order are compared. Suffixes that begin alike extend the match to the
+left and right in the same task: of the windows round them, one offset after the other, those equal to a neighbour's are
+repeated, and overlapping ones join to spans of any length.
 
 Whole surroundings that are equal (copies of documents, common passages within them) settle at once: all are repeated,
-and only one of them takes part in the comparison of single windows.
+and only one of them is extended. A beginning that is shared by more suffixes than a task holds, and those that reach
+over the end of a task's range, are extended by a count of their windows in Spark, with the same result.
 """
 
 from __future__ import annotations
@@ -25,8 +27,8 @@ from eventloom.llm.set_join import dealt, runs
 
 #: Words of the shortest passage that counts.
 LEAST_WORDS = 50
-#: Bytes of each window's hash that travel with a suffix (beside the 64 bits of the suffix's own beginning).
-HASH_BYTES = 5
+#: Suffixes of one beginning that a task compares by itself.
+RUN_ROWS = 20_000
 
 
 def anchors(hashes: np.ndarray, bounds: np.ndarray, least: int):
@@ -63,8 +65,8 @@ def suffixes(docs: DataFrame, least: int) -> DataFrame:
                 if kept is None:
                     continue
                 text, key, around, place, start, end, a, b, windows = kept
-                raw = windows.view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes()
-                own = [raw[i * HASH_BYTES : (j + 1) * HASH_BYTES] for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+                raw = windows.tobytes()
+                own = [raw[i * 8 : (j + 1) * 8] for i, j in zip(a.tolist(), b.tolist(), strict=True)]
                 zero = found.bounds[text]
                 columns = [pa.array(key.view(np.int64)), pa.array(around.view(np.int64)), pa.array(ids[part.lo + text]), pa.array((start - zero).astype(np.int32)), pa.array((end - zero).astype(np.int32)), pa.array((place - start).astype(np.int32)), pa.array(own, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "around", "doc_id", "first", "last", "back", "windows"])
@@ -72,63 +74,88 @@ def suffixes(docs: DataFrame, least: int) -> DataFrame:
     return docs.mapInArrow(run, "key bigint, around bigint, doc_id bigint, first int, last int, back int, windows binary")
 
 
-def compared(sorted_suffixes: DataFrame, least: int) -> DataFrame:
-    """(window, doc_id, start, end): spans that neighbours settle (window null), and single windows that are still open."""
+SPANS = ["window", "doc_id", "start", "end"]
+
+
+def spans_batch(window: pa.Array, doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([window, pa.array(doc, pa.int64()), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], SPANS)
 
-    def work(batch: pa.RecordBatch, alike: np.ndarray, same: np.ndarray, leads: np.ndarray) -> pa.RecordBatch:
-        """alike: has a neighbour of equal key; same: one of equal surroundings; leads: the first of its equals."""
-        column = lambda name: batch.column(batch.schema.get_field_index(name))
-        first, last, doc = (column(c).to_numpy(zero_copy_only=False) for c in ("first", "last", "doc_id"))
-        open_ = np.flatnonzero(alike & leads)
-        counts = (last - first + 1)[open_]
-        raw = np.frombuffer(b"".join(column("windows").take(pa.array(open_)).to_pylist()), np.uint8).reshape(-1, HASH_BYTES)
-        hashes = np.zeros((len(raw), 8), np.uint8)
-        hashes[:, :HASH_BYTES] = raw
-        step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        key = column("key").to_numpy(zero_copy_only=False).view(np.uint64)[open_]
-        offset = np.repeat(column("back").to_numpy(zero_copy_only=False)[open_], counts) - step
-        window = mix(hashes.view(np.uint64)[:, 0] + mix(np.repeat(key, counts) + offset.astype(np.uint64)))
-        start = np.repeat(first[open_], counts) + step
-        settled = np.flatnonzero(same)
-        none = pa.nulls(len(settled), pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.concat_arrays([pa.array(window.view(np.int64)), none]),
-                pa.array(np.concatenate([np.repeat(doc[open_], counts), doc[settled]])),
-                pa.array(np.concatenate([start, first[settled]]).astype(np.int32)),
-                pa.array(np.concatenate([start + least, last[settled] + least]).astype(np.int32)),
-            ],
-            ["window", "doc_id", "start", "end"],
-        )
+
+def extended(rows: pa.RecordBatch, alike: np.ndarray, same: np.ndarray, leads: np.ndarray, whole: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
+    """Spans of consecutive suffixes. ``alike``: has a neighbour of equal beginning; ``same``: one of equal surroundings;
+    ``leads``: the first of its equals; ``whole``: all suffixes of its beginning are among these rows.
+
+    Windows of suffixes that are not whole are left open, for Spark to count.
+    """
+    column = lambda name: rows.column(rows.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
+    first, last, doc = column("first"), column("last"), column("doc_id")
+    settled = np.flatnonzero(same)
+    if len(settled):
+        yield spans_batch(pa.nulls(len(settled), pa.int64()), doc[settled], first[settled], last[settled] + least)
+    at = np.flatnonzero(alike & leads)
+    if not len(at):
+        return
+    counts = (last - first + 1)[at]
+    hashes = np.frombuffer(b"".join(rows.column(rows.schema.get_field_index("windows")).take(pa.array(at)).to_pylist()), np.uint64)
+    owner = np.repeat(at, counts)
+    step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    offset = column("back")[owner] - step
+    window = mix(hashes + mix(column("key").view(np.uint64)[owner] + offset.astype(np.uint64)))
+    start = first[owner] + step
+    inside = np.flatnonzero(whole[owner])
+    if len(inside):
+        _, which, n = np.unique(window[inside], return_inverse=True, return_counts=True)
+        again = inside[n[which] > 1]
+        if len(again):
+            # consecutive windows of one suffix are one span
+            new = np.append(True, (owner[again][1:] != owner[again][:-1]) | (start[again][1:] != start[again][:-1] + 1))
+            a, b = again[new], again[np.append(np.flatnonzero(new)[1:], len(again)) - 1]
+            yield spans_batch(pa.nulls(len(a), pa.int64()), doc[owner[a]], start[a], start[b] + least)
+    left = np.flatnonzero(~whole[owner])
+    if len(left):
+        yield spans_batch(pa.array(window[left].view(np.int64)), doc[owner[left]], start[left], start[left] + least)
+
+
+def compared(sorted_suffixes: DataFrame, least: int, run_rows: int = RUN_ROWS) -> DataFrame:
+    """(window, doc_id, start, end): spans that neighbours settle (window null), and single windows that are still open."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # the first and the last row have a neighbour in another partition: their windows stay open
-        held, before = None, (True, False, True)
+        held, before, border, hot = None, None, None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
             if held is not None:
                 batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            key, around = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
-            equal = key[1:] == key[:-1]
-            twin = equal & (around[1:] == around[:-1])
-            alike, same, leads = np.zeros(batch.num_rows, bool), np.zeros(batch.num_rows, bool), np.ones(batch.num_rows, bool)
-            alike[1:] |= equal
-            alike[:-1] |= equal
-            same[1:] |= twin
-            same[:-1] |= twin
-            leads[1:] = ~twin
-            alike[0] |= before[0]
-            same[0] |= before[1]
-            leads[0] = before[2]
-            held, before = batch.slice(batch.num_rows - 1), (bool(alike[-1]), bool(same[-1]), bool(leads[-1]))
-            yield work(batch.slice(0, batch.num_rows - 1), alike[:-1], same[:-1], leads[:-1])
+            key, around = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            border = key[0] if border is None else border
+            cut = int(np.searchsorted(key, key[-1]))
+            if cut == 0 and batch.num_rows > run_rows:
+                hot, cut = key[0], batch.num_rows - 1
+            held = batch.slice(cut)
+            if cut:
+                yield from extended(batch.slice(0, cut), *flags(key, around, cut, before), (key[:cut] != border) & (key[:cut] != hot) if hot is not None else key[:cut] != border, least)
+                before = key[cut - 1], around[cut - 1]
         if held is not None:
-            yield work(held, np.array([True]), np.array([before[1]]), np.array([before[2]]))
+            # the last beginning may go on in the next range, as the first one may have begun in the one before
+            key, around = (held.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            alike, same, leads = flags(np.append(key, key[-1]), np.append(around, ~around[-1]), len(key), before)
+            yield from extended(held, alike, same, leads, np.zeros(len(key), bool), least)
 
     return sorted_suffixes.mapInArrow(run, "window bigint, doc_id bigint, start int, end int")
 
 
+def flags(key: np.ndarray, around: np.ndarray, n: int, before) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """alike, same and leads (see ``extended``) of the first ``n`` rows, of which the next row and the one before are known;
+    what stands before a range isn't, and may be alike."""
+    equal = key[1:] == key[:-1]
+    twin = equal & (around[1:] == around[:-1])
+    equal_before = before is None or before[0] == key[0]
+    twin_before = before is not None and before == (key[0], around[0])
+    after = lambda x: np.append(x, False)[:n]
+    previous = lambda first, x: np.append(first, x)[:n]
+    return after(equal) | previous(equal_before, equal), after(twin) | previous(twin_before, twin), ~previous(twin_before, twin)
+
+
 def merged(spans: DataFrame) -> DataFrame:
     """Overlapping and touching spans of each document joined: doc_id, n_spans, n_words, spans."""
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -156,7 +183,7 @@ def merged(spans: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "doc_id bigint, n_spans bigint, n_words bigint, spans array<struct<start:int,end:int>>")
 
 
-def repeated_passages(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
+def repeated_passages(docs: DataFrame, least: int = LEAST_WORDS, run_rows: int = RUN_ROWS) -> DataFrame:
     """Passages of at least ``least`` words that occur again, in another document or the same: doc_id, n_spans, n_words,
     spans (word numbers from 0, ends exclusive).
 
@@ -167,7 +194,7 @@ def repeated_passages(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     ordered = dealt(suffixes(docs, least), ["key", "around"], ["doc_id", "first"])
-    found = written(compared(ordered, least))
+    found = written(compared(ordered, least, run_rows))
     windows = found.filter(F.col("window").isNotNull())
     often = windows.groupBy("window").agg(F.count("*").alias("n")).filter(F.col("n") >= 2).select("window")
     again = windows.join(often, "window", "left_semi")

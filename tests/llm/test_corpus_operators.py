@@ -155,8 +155,8 @@ def slow_repeats(rows, least):
     return {i: sorted(v) for i, v in out.items()}
 
 
-@pytest.mark.parametrize("least", [50, 11])
-def test_repeated_passages(spark, least):
+@pytest.mark.parametrize(("least", "run_rows"), [(50, 20_000), (11, 20_000), (11, 3), (12, 1)])
+def test_repeated_passages(spark, least, run_rows):
     rng = random.Random(3)
     bases = [[str(rng.randrange(50)) for _ in range(rng.randint(5, 200))] for _ in range(20)]
     passage, rows = [str(rng.randrange(3)) for _ in range(70)], []
@@ -169,7 +169,7 @@ def test_repeated_passages(spark, least):
             w = w[:j] + passage[: rng.randint(40, 70)] + w[j:]
         rows.append((i, " ".join(w)))
     rows += [(1000, None), (1001, ""), (1002, "a " * 300), (1003, "b " * 49), (1004, "B " * 49)]
-    got = {r.doc_id: [k for s in r.spans for k in range(s.start, s.end)] for r in suffixes.repeated_passages(spark.createDataFrame([*rows, (None, "a " * 300)], "doc_id long, text string").withColumn("key", F.lit(1)), least).collect()}
+    got = {r.doc_id: [k for s in r.spans for k in range(s.start, s.end)] for r in suffixes.repeated_passages(spark.createDataFrame([*rows, (None, "a " * 300)], "doc_id long, text string").withColumn("key", F.lit(1)), least, run_rows).collect()}
     assert got == slow_repeats(rows, least)
     assert suffixes.repeated_passages(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
