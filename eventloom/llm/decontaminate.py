@@ -1,9 +1,10 @@
 """Benchmark decontamination by SimHash of item-sized windows (operator 3).
 
-A window is as many words as a benchmark item has. Windows are fingerprinted by SimHash over their five-word shingles;
-an index of ``RADIUS + 1`` blocks of bits returns every item whose fingerprint lies within the radius, as two
-fingerprints that differ in RADIUS bits agree in one block at least. Candidates are verified by the exact weighted
-similarity of their shingles: the sum of the smaller counts over the sum of the larger ones.
+A window is as many words as a benchmark item has. Windows are fingerprinted by SimHash over their five-word shingles.
+An index of ``BLOCKS`` blocks of bits returns every item of the window's length whose fingerprint lies within the radius:
+two fingerprints that differ in RADIUS bits differ in BLOCK_RADIUS bits or fewer in one block at least, so the items of
+near block values are all candidates there are; by chance one in seven items is. Candidates are verified by the exact
+weighted similarity of their shingles: the sum of the smaller counts over the sum of the larger ones.
 
 Only stretches of a text that can reach the similarity are fingerprinted: there, the share of shingles which occur in
 any item at all is at least what the similarity asks for. Words are runs without white space, A-Z as a-z.
@@ -20,17 +21,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.arrays import shingle_hashes, slices, words
-from eventloom.llm.jobs import pieces
 
 SHINGLE, SIMILARITY = 5, 0.8
-#: Bits by which fingerprints of similar windows may differ. At similarity 0.8 the mean is 10 of 64, the deviation 3.
-BITS, RADIUS = 64, 20
+#: Bits of a fingerprint, blocks of its index, and the bits by which one block of two near fingerprints may differ. At
+#: similarity 0.8 fingerprints differ in 10 bits on average (deviation 3).
+BITS, BLOCKS, BLOCK_RADIUS = 64, 4, 4
+#: Bits by which fingerprints of similar windows may differ: with more, every block may differ in more than BLOCK_RADIUS.
+RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
 #: Characters of benchmark text that one pass over the documents sends to its tasks; a larger benchmark takes several.
 PASS_CHARS = 32_000_000
 
 _shifts = np.arange(BITS, dtype=np.uint64)
-_cuts = np.linspace(0, BITS, RADIUS + 2).astype(int)
-BLOCKS = [(np.uint64(a), np.uint64((1 << int(b - a)) - 1)) for a, b in zip(_cuts, _cuts[1:], strict=False)]
+
+
+def blocks(prints: np.ndarray) -> np.ndarray:
+    """The blocks of each fingerprint, as 16-bit numbers."""
+    return np.ascontiguousarray(prints).view(np.uint16).reshape(-1, BLOCKS)
 
 
 def signs(shingles: np.ndarray) -> np.ndarray:
@@ -61,7 +67,7 @@ class Benchmark:
     known: np.ndarray = field(init=False)  # sorted shingles of all items
     sizes: np.ndarray = field(init=False)  # distinct numbers of words of the items with full shingles
     prints: np.ndarray = field(init=False)
-    index: list = field(init=False)
+    index: dict = field(init=False)  # of each length and block: values, bounds of their items, items
     short: dict = field(init=False)
 
     def __post_init__(self):
@@ -71,12 +77,14 @@ class Benchmark:
         self.table[self.known >> np.uint64(48)] = True
         self.sizes = np.unique(self.lengths[full])
         self.prints = np.concatenate([fingerprints(signs(s).astype(np.int32).sum(0)[None]) for s in self.shingles] or [np.zeros(0, np.uint64)])
-        place = np.flatnonzero(full)
-        self.index = []
-        for shift, mask in BLOCKS:
-            keys = self.lengths[place].astype(np.uint64) << np.uint64(16) | (self.prints[place] >> shift & mask)
-            order = np.argsort(keys, kind="stable")
-            self.index.append((keys[order], place[order]))
+        self.index = {}
+        for n in self.sizes.tolist():
+            place = np.flatnonzero(full & (self.lengths == n))
+            of = blocks(self.prints[place])
+            for b in range(BLOCKS):
+                order = np.argsort(of[:, b], kind="stable")
+                values, first = np.unique(of[order, b], return_index=True)
+                self.index[n, b] = values, np.append(first, len(place)), place[order]
         self.short = {}
         for i in np.flatnonzero(~full):
             self.short.setdefault(int(self.lengths[i]), {}).setdefault(int(self.shingles[i][0]), []).append(int(i))
@@ -89,20 +97,28 @@ class Benchmark:
         found[at] = self.known[place] == shingles[at] if len(self.known) else False
         return found
 
+    def near(self, prints: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(window, item) of ``n`` words each that lie near in some block, every pair once."""
+        pairs, of = [], blocks(prints)
+        for b in range(BLOCKS):
+            values, bounds, items = self.index[n, b]
+            for at in range(0, len(prints), 1024):
+                w, v = np.nonzero(np.bitwise_count(of[at : at + 1024, b, None] ^ values[None]) <= BLOCK_RADIUS)
+                counts = bounds[v + 1] - bounds[v]
+                inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                pairs.append(np.repeat(w + at, counts) * len(self.ids) + items[np.repeat(bounds[v], counts) + inside])
+        pairs = np.unique(np.concatenate(pairs))
+        return pairs // len(self.ids), pairs % len(self.ids)
+
     def candidates(self, prints: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) of the same number of words whose fingerprints differ in RADIUS bits at most."""
         windows, items = [], []
-        for (keys, place), (shift, mask) in zip(self.index, BLOCKS, strict=True):
-            wanted = lengths.astype(np.uint64) << np.uint64(16) | (prints >> shift & mask)
-            first, last = np.searchsorted(keys, wanted, "left"), np.searchsorted(keys, wanted, "right")
-            n = last - first
-            w = np.repeat(np.arange(len(prints)), n)
-            offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            windows.append(w), items.append(place[np.repeat(first, n) + offset])
-        w, i = np.concatenate(windows), np.concatenate(items)
-        near = np.bitwise_count(prints[w] ^ self.prints[i]) <= RADIUS
-        pair = np.unique(w[near] * len(self.ids) + i[near])
-        return pair // len(self.ids), pair % len(self.ids)
+        for n in np.unique(lengths).tolist():
+            at = np.flatnonzero(lengths == n)
+            w, i = self.near(prints[at], n)
+            close = np.bitwise_count(prints[at[w]] ^ self.prints[i]) <= RADIUS
+            windows.append(at[w[close]]), items.append(i[close])
+        return np.concatenate(windows), np.concatenate(items)
 
 
 def read_items(rows: list[tuple], threshold: float) -> Benchmark:
@@ -179,30 +195,34 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMIL
     shorter) has at least ``threshold`` weighted similarity; the best window, the first of equals. Null and empty texts
     and items match nothing; a null doc_id or item_id is returned as null; repeated rows match each.
     """
-    item_type = benchmark.schema["item_id"].dataType.simpleString()
+    items = keyed(benchmark)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = f"doc_id bigint, item_id {item_type}, similarity double, first_word int, n_words int"
     out = None
-    for bench in passes(benchmark, threshold, pass_chars):
-        found = source.mapInArrow(finder(docs.sparkSession.sparkContext.broadcast(bench)), schema)
+    for bench in passes(items, threshold, pass_chars):
+        found = source.mapInArrow(finder(docs.sparkSession.sparkContext.broadcast(bench)), "doc_id bigint, key bigint, similarity double, first_word int, n_words int")
         out = found if out is None else out.unionAll(found)
-    return out
+    return out.join(items.select("key", "item_id"), "key").select("doc_id", "item_id", "similarity", "first_word", "n_words")
+
+
+def keyed(benchmark: DataFrame) -> DataFrame:
+    """(key, item_id, text) of items with a text; equal texts have one key."""
+    return benchmark.filter(F.length("text") > 0).select(F.xxhash64("text").alias("key"), "item_id", "text")
 
 
-def passes(benchmark: DataFrame, threshold: float, pass_chars: int) -> Iterator[Benchmark]:
-    """The benchmark in parts of about ``pass_chars`` characters, by a hash of the items' texts."""
-    items = benchmark.filter(F.length("text") > 0).select("item_id", "text")
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
+def passes(items: DataFrame, threshold: float, pass_chars: int) -> Iterator[Benchmark]:
+    """The benchmark's different texts in parts of about ``pass_chars`` characters, by their keys."""
+    texts = items.select("key", "text").distinct()
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-chars // pass_chars))
     for p in range(n):
-        rows = items.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == p) if n > 1 else items
+        rows = texts.filter(F.pmod("key", F.lit(n)) == p) if n > 1 else texts
         yield read_items([tuple(r) for r in rows.collect()], threshold)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMILARITY, pass_chars: int = PASS_CHARS) -> DataFrame:
     """The rows of ``docs`` that contain no benchmark item, with all their columns; null and empty texts stay."""
     at = docs.columns.index("text")
-    for bench in passes(benchmark, threshold, pass_chars):
+    for bench in passes(keyed(benchmark), threshold, pass_chars):
         docs = docs.mapInArrow(cleaner(docs.sparkSession.sparkContext.broadcast(bench), at), docs.schema)
     return docs
 
@@ -226,7 +246,7 @@ def finder(shared):
                 found = matches(bench, part)
                 if found:
                     doc_ids = batch.column(0).take(pa.array([part.lo + f[0] for f in found]))
-                    columns = [doc_ids, pa.array([bench.ids[f[1]] for f in found]), pa.array([f[2] for f in found], pa.float64()), pa.array([f[3] for f in found], pa.int32()), pa.array([int(bench.lengths[f[1]]) for f in found], pa.int32())]
-                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "similarity", "first_word", "n_words"])
+                    columns = [doc_ids, pa.array([bench.ids[f[1]] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.float64()), pa.array([f[3] for f in found], pa.int32()), pa.array([int(bench.lengths[f[1]]) for f in found], pa.int32())]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "similarity", "first_word", "n_words"])
 
     return run

@@ -219,13 +219,42 @@ def test_decontamination(spark, pass_chars):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def prints_of(rows):
+    return decontaminate.fingerprints(np.stack([decontaminate.signs(r).astype(np.int32).sum(0) for r in rows]))
+
+
 def test_blocks_find_everything_within_the_radius():
     rng = np.random.default_rng(0)
-    for _ in range(300):
-        a = rng.integers(0, 1 << 63, dtype=np.uint64)
-        flips = rng.choice(decontaminate.BITS, decontaminate.RADIUS, replace=False).astype(np.uint64)
-        b = a ^ np.bitwise_or.reduce(np.uint64(1) << flips)
-        assert any(a >> s & m == b >> s & m for s, m in decontaminate.BLOCKS)
+    shingles = [rng.integers(0, 1 << 63, 30).astype(np.uint64) for _ in range(400)]
+    bench = decontaminate.Benchmark(list(range(400)), shingles, np.full(400, 34), 0.8)
+    flips = [np.bitwise_or.reduce(np.uint64(1) << rng.choice(64, decontaminate.RADIUS, replace=False).astype(np.uint64)) for _ in range(400)]
+    prints = np.concatenate([bench.prints ^ np.array(flips), rng.integers(0, 1 << 63, 600).astype(np.uint64)])
+    w, i = bench.candidates(prints, np.full(len(prints), 34))
+    expected = {(a, b) for a in range(len(prints)) for b in range(400) if int(prints[a] ^ bench.prints[b]).bit_count() <= decontaminate.RADIUS}
+    assert set(zip(w.tolist(), i.tolist(), strict=True)) == expected >= {(a, a) for a in range(400)}
+    assert len(bench.near(prints[400:], 34)[0]) < 0.2 * 600 * 400  # the index leaves most pairs out
+
+
+def test_similar_windows_have_near_fingerprints():
+    rng = np.random.default_rng(1)
+    distances = []
+    for _ in range(4000):
+        m = int(rng.integers(20, 120))
+        d = int((m - 1) * 0.111)  # most shingles that may differ at a similarity of 0.8
+        a = rng.integers(0, 1 << 63, m + d).astype(np.uint64)
+        assert decontaminate.similarity(a[:m], a[d:]) >= 0.8
+        x, y = prints_of([a[:m], a[d:]])
+        distances.append(int(x ^ y).bit_count())
+    assert np.mean(np.array(distances) <= decontaminate.RADIUS) > 0.998
+
+
+def test_items_and_documents_that_repeat_or_lack_ids(spark):
+    item = " ".join(f"i{i}" for i in range(20))
+    bench = spark.createDataFrame([(1, item), (2, item), (None, item), (3, None), (1, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(None, f"x {item} y"), (7, item), (7, item), (8, "other words " * 60_000 + item), (9, None), (10, "")], "doc_id long, text string")
+    got = collections.Counter((r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect())
+    assert got == collections.Counter({(d, i): (2 if d == 7 else 1) * (2 if i == 1 else 1) for d in (None, 7, 8) for i in (1, 2, None)})
+    assert {r.doc_id for r in decontaminate.clean(docs, bench).collect()} == {9, 10}
 
 
 @pytest.mark.parametrize("sent", [1 << 24, 400])
