@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from eventloom.llm.jobs import pieces
 
 NO_RANK = np.int32(1 << 30)
-#: Runs whose pieces a task keeps at hand; beyond it the memory is emptied and filled anew.
-REMEMBERED_RUNS = 300_000
+#: Characters of runs, ids and tokens that a worker keeps at hand; beyond it the memory is emptied and filled anew.
+REMEMBERED_CHARS = 24_000_000
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
@@ -51,6 +51,8 @@ class WordBpe:
         self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in specials.items()}
         self.specials = specials
         self.special_pattern = regex.compile("|".join(regex.escape(t) for t in specials)) if specials else None
+        #: the first two characters of every special token: texts without any hold none
+        self.special_marks = {t[:2] for t in specials}
         pattern = next(p["pattern"]["Regex"] for p in described["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = regex.compile(pattern)
         size = max(self.tokens) + 1
@@ -70,6 +72,7 @@ class WordBpe:
         self.keys, self.ranks, self.merged = keys[order], order.astype(np.int32), np.array(merged, np.int32)
         self.special_runs = {" " + t: (self.id_text[i], t) for t, i in specials.items()}
         self.known: dict[str, tuple[str, str]] = dict(self.special_runs)
+        self.remembered = 0
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of pairs, by binary search over the sorted pair keys."""
@@ -153,9 +156,11 @@ class WordBpe:
             shown, tokens, join = [self.id_text[i] for i in ids], [self.token_text[i] for i in ids], " ".join
             for word, a, b in zip(words, bounds, bounds[1:], strict=False):
                 known[word] = join(shown[a:b]), join(tokens[a:b])
+                self.remembered += 2 * len(word) + 6 * (b - a) + 100
         for run, parts in several:
             found = [known[p] for p in parts]
             known[run] = " ".join([f[0] for f in found]), " ".join([f[1] for f in found])
+            self.remembered += len(run) + len(known[run][0]) + len(known[run][1]) + 100
 
     def runs(self, text: str) -> list[str]:
         """Parts of a text that the pattern never joins: its runs without white space, normalised."""
@@ -170,7 +175,7 @@ class WordBpe:
 
     def pieces(self, text: str) -> list[str]:
         """Runs of a text; a special token is a piece of its own, marked by a leading blank, which no run begins with."""
-        if self.special_pattern is None or "<|" not in text:
+        if self.special_pattern is None or not any(mark in text for mark in self.special_marks):
             return self.runs(text)
         out, at = [], 0
         for m in self.special_pattern.finditer(text):
@@ -182,8 +187,8 @@ class WordBpe:
     def encode_text(self, texts: list[str]) -> Iterator[tuple[str, str]]:
         """For each text its ids and its decoded tokens, either joined by one space."""
         cut = [self.pieces(t) for t in texts]
-        if len(self.known) > REMEMBERED_RUNS:
-            self.known = dict(self.special_runs)
+        if self.remembered > REMEMBERED_CHARS:
+            self.known, self.remembered = dict(self.special_runs), 0
         known = self.known
         self.learn({r for runs in cut for r in runs})
         for runs in cut:
@@ -218,9 +223,8 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, keep_ids: bool = Fals
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = bpe_of(spec.value)
         for batch in batches:
-            doc_ids, texts = batch.column(0), batch.column(1)
-            for at in range(0, batch.num_rows, 250):
-                rows = [t or "" for t in texts.slice(at, 250).to_pylist()]
+            for part in pieces(batch):
+                rows = [t or "" for t in part.column(1).to_pylist()]
                 counts, of_ids, of_text, ids = [], [], [], []
                 for joined, decoded in bpe.encode_text(rows):
                     counts.append(joined.count(" ") + 1 if joined else 0)
@@ -228,7 +232,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, keep_ids: bool = Fals
                     of_text.append(hashlib.sha256(decoded.encode()).hexdigest())
                     if keep_ids:
                         ids.append((np.fromstring(joined, np.uint32, sep=" ") if joined else np.zeros(0, np.uint32)).tobytes())
-                columns = [doc_ids.slice(at, 250).cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
+                columns = [part.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if keep_ids:
                     columns.append(pa.array(ids, pa.binary())), names.append("ids")

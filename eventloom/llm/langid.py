@@ -46,17 +46,18 @@ def letters(part: Slice) -> np.ndarray:
 def subwords(part: Slice) -> tuple[np.ndarray, np.ndarray]:
     """Bucket of every subword of a slice and the index of its text."""
     folded = letters(part)
-    if len(folded) < 4:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(part)), np.diff(part.offsets))
-    a, b, c, d = folded[:-3], folded[1:-2], folded[2:-1], folded[3:]
+    if len(folded) < 3:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    a, b, c = folded[:-2], folded[1:-1], folded[2:]
     three = a * np.uint32(0x9E3779B1) + b * np.uint32(0x85EBCA77) + c * np.uint32(0xC2B2AE3D)
-    four = three * np.uint32(0x27D4EB2F) + d * np.uint32(0x165667B1)
-    whole = (owner[:-3] == owner[3:]) & (b != 32) & (c != 32)
+    four = three[:-1] * np.uint32(0x27D4EB2F) + folded[3:] * np.uint32(0x165667B1)
+    inner = (b != 32) & (c != 32)
+    three_whole = np.flatnonzero(inner & (owner[:-2] == owner[2:]))
+    four_whole = np.flatnonzero(inner[:-1] & (owner[:-3] == owner[3:]))
     shift = np.uint32(32 - BUCKET_BITS)
-    hashes = np.concatenate([((three ^ three >> np.uint32(15)) * np.uint32(0x2C1B3C6D) >> shift)[whole], ((four ^ four >> np.uint32(15)) * np.uint32(0x2C1B3C6D) >> shift)[whole]])
-    owners = owner[:-3][whole]
-    return hashes.astype(np.int64), np.concatenate([owners, owners])
+    buckets = [(h ^ h >> np.uint32(15)) * np.uint32(0x2C1B3C6D) >> shift for h in (three[three_whole], four[four_whole])]
+    return np.concatenate(buckets).astype(np.int64), np.concatenate([owner[three_whole], owner[four_whole]])
 
 
 def has_letter(part: Slice) -> np.ndarray:

@@ -10,6 +10,7 @@ token's marginals over the whole document. The field only adds spans; those of t
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -140,7 +141,7 @@ class Sites:
 
 
 class SkipChain:
-    """Weights: features x labels, transitions of chain edges, agreement of skip edges."""
+    """Weights: features x labels, potentials of chain edges and of skip edges (labels x labels), all learned."""
 
     def __init__(self, seed: int = 3):
         n = len(LABELS)
@@ -149,42 +150,58 @@ class SkipChain:
         self.skip = np.zeros((n, n))
         self.seed = seed
 
-    def fit(self, texts: list[str], epochs: int = 12, rate: float = 0.3, decay: float = 1e-4) -> SkipChain:
-        """Pseudo-likelihood: every token's label given the labels of its neighbours. A repetition that the patterns miss
-        would teach that repetitions disagree, so skip edges learn only from tokens that some pattern covers or that are
-        covered nowhere in their text."""
+    def fit(self, texts: list[str], epochs: int = 12, rate: float = 0.3, decay: float = 1e-4, hidden: float = 0.5) -> SkipChain:
+        """Pseudo-likelihood: every token's label given the labels of its neighbours.
+
+        A token that no pattern covers though it repeats one that some pattern does may be a miss of the patterns: its
+        label counts as unobserved, so it is neither learned from nor a neighbour. All other pairs of repetitions teach
+        the skip potential, those that agree as those that don't. As a token's own form mostly tells its label, that form
+        is hidden in a share of the steps, so that the potential learns what a repetition says by itself.
+        """
         rows = []
         for text in texts:
             sites = Sites(text)
             if not sites.spans:
                 continue
             labels, found = sites.labels(base_spans(text)), sites.features()
-            near: list[list[tuple[int, np.ndarray, bool]]] = [[] for _ in labels]
-            for edges, weights in ((sites.chain, self.chain), (sites.skip, self.skip)):
-                for a, b in edges:
-                    if weights is self.skip and labels[a] != labels[b]:
-                        continue
-                    near[a].append((labels[b], weights, False)), near[b].append((labels[a], weights, True))
-            rows += list(zip(found, labels, near, strict=True))
+            known = np.ones(len(labels), bool)
+            for a, b in sites.skip:
+                if (labels[a] == 0) != (labels[b] == 0):
+                    known[a if labels[a] == 0 else b] = False
+            near: list[list[tuple[int, bool]]] = [[] for _ in labels]
+            again: list[list[int]] = [[] for _ in labels]
+            for a, b in sites.chain:
+                if known[a] and known[b]:
+                    near[a].append((labels[b], False)), near[b].append((labels[a], True))
+            for a, b in sites.skip:
+                if known[a] and known[b]:
+                    again[a].append(labels[b]), again[b].append(labels[a])
+            rows += [r for r, k in zip(zip(found, labels, near, again, strict=True), known, strict=True) if k]
         rng = np.random.default_rng(self.seed)
         for epoch in range(epochs):
             step = rate / (1 + epoch)
             for i in rng.permutation(len(rows)):
-                at, label, near = rows[i]
-                logits = self.unary[at].sum(0)
-                for other, weights, reverse in near:
-                    logits = logits + (weights[other] if reverse else weights[:, other])
+                at, label, near, again = rows[i]
+                hide = bool(again) and rng.random() < hidden
+                logits = np.zeros(len(LABELS)) if hide else self.unary[at].sum(0)
+                for other, reverse in () if hide else near:
+                    logits = logits + (self.chain[other] if reverse else self.chain[:, other])
+                for other in again:
+                    logits = logits + self.skip[other]
                 error = np.exp(logits - logits.max())
                 error /= error.sum()
                 error[label] -= 1
+                for other in again:
+                    self.skip[other] -= step * (error + 10 * decay * self.skip[other])
+                if hide:
+                    continue
                 self.unary[at] -= step * (error + decay * self.unary[at])
-                for other, weights, reverse in near:
+                for other, reverse in near:
                     if reverse:
-                        weights[other] -= step * error
+                        self.chain[other] -= step * error
                     else:
-                        weights[:, other] -= step * error
-        # potentials of repetitions: agreement counts as much as it was seen to, and at least this
-        self.skip = np.maximum((self.skip + self.skip.T) / 2, 0) * np.eye(len(LABELS)) + np.diag([0, *[1.5] * len(KINDS)])
+                        self.chain[:, other] -= step * error
+            self.skip = (self.skip + self.skip.T) / 2  # a repetition has no direction
         return self
 
     def marginals(self, sites: Sites) -> np.ndarray:
@@ -272,7 +289,7 @@ def find(docs: DataFrame, model: SkipChain | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in batches:
+        for batch in itertools.chain.from_iterable(map(pieces, batches)):
             counts, hashes, spans = np.zeros((batch.num_rows, 5), np.int64), [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 base, more = spans_of(text, known)
@@ -306,7 +323,7 @@ def redact(docs: DataFrame, model: SkipChain | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in batches:
+        for batch in itertools.chain.from_iterable(pieces(b, at) for b in batches):
             texts = [t if t is None else hidden(t, sum(spans_of(t, known), [])) for t in batch.column(at).to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 

@@ -177,7 +177,12 @@ def test_base_span_cases(text):
 def numbers():
     rng = random.Random(3)
     phone = lambda: f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}"
-    return [(i, f"call {phone()} or mail u{i}@example.com from 10.0.{i % 250}.7 re 41111111111111{rng.randint(10, 99)} thanks") for i in range(300)]
+    rows = []
+    for i in range(300):
+        number = phone()
+        text = f"call {number} or mail u{i}@example.com from 10.0.{i % 250}.7 re 41111111111111{rng.randint(10, 99)} in {1990 + i % 30} thanks"
+        rows.append((i, text + (f"\nagain {number} since {1990 + i % 30}\nor u{i}@example.com" if i % 3 == 0 else "")))
+    return rows
 
 
 def test_personal_data(spark):
@@ -195,6 +200,23 @@ def test_personal_data(spark):
     assert hidden[1000] == "ring <PHONE> today\nas I said\nuse <PHONE> instead" and hidden[1001] is None and hidden[1003] == "clean words only"
 
 
+def test_repetitions_agree_by_what_was_learned():
+    texts = [t for _, t in numbers()]
+    model = personal_data.SkipChain().fit(texts)
+    phone, other, email = (personal_data.LABELS.index(k) for k in ("phone", "other", "email"))
+    assert model.skip[phone, phone] > 0.5 > model.skip[phone, other] and model.skip[email, email] > 0.5 and model.skip[other, other] > 0.5
+    assert np.allclose(model.skip, model.skip.T)
+    text = "ring +1 (415) 555-2671 today\nas I said\nuse (415) 555-2671 instead"
+    without = personal_data.SkipChain().fit(texts)
+    without.skip[:] = 0  # a plain chain
+    base = personal_data.base_spans(text)
+    sure = lambda m: m.marginals(personal_data.Sites(text))[-2:, phone]
+    assert len(model.more_spans(text, base)) == 1 and (sure(model) > sure(without)).all()
+    # a bare number that no one repeats is not made surer
+    alone = personal_data.Sites("use (415) 555-2671 instead")
+    assert np.allclose(model.marginals(alone), without.marginals(alone))
+
+
 def test_message_passing_is_exact_on_a_chain():
     model = personal_data.SkipChain()
     rng = np.random.default_rng(5)
