@@ -9,14 +9,16 @@ Sets of word shingles are joined over inverted lists of their prefixes. Work is
   component, and what is known of their distances to a common set (Jaccard distance is a metric) settles most of the
   other comparisons. Only pairs between different components are ever compared.
 
-The steps: one set stands for all identical ones; sets that agree in a minimum hash and in their bitmaps form rough
-groups; within a group the exact similarity links sets; then every list is read for pairs between different components,
-which makes the result whole whatever the groups missed. Frequent shingles come last in the order of all sets, so their
-lists stay short. All groups are cut to bounded chunks.
+The steps: one set stands for all identical ones; the first blocks of the lists, where highly similar sets meet almost
+always, give rough groups; within a group exact similarities link sets, and each linked set takes over the answer of the
+one it links to; then all blocks of all lists are read for pairs between different components, which makes the result
+whole whatever the first blocks missed. Frequent shingles come last in the order of all sets, so their lists stay short.
+All groups are cut to bounded chunks.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,18 +29,19 @@ from pyspark.sql import functions as F
 
 from eventloom.llm.arrays import U64, mix, shingle_hashes, slices, text_shingles, words
 from eventloom.llm.components import components
-from eventloom.llm.jobs import written
+from eventloom.llm.jobs import pieces, written
 
 #: A shingle that is among the first HEAD of so many sets is frequent; so many of them are sent to every task.
 HEAD, FREQUENT, MAX_FREQUENT = 8, 6, 200_000
 #: Bits of a set's parity bitmap: small sets, and sets from LARGE shingles on.
 SMALL_BITS, LARGE_BITS, LARGE = 1024, 16384, 2048
-KEYS = 3
+#: Positions of a list's first block, read before all others.
+FIRST = 3
 CHUNK, LIST_CHUNK = 384, 1024
 #: Rows after it that a row of a list is compared to, before the lists proper are read.
 REACH = 8
-#: Bits of the filter that tells which documents' sets are wanted.
-FILTER_BITS = 1 << 24
+#: Bits of the filter that tells which documents' sets are wanted: so many for each id, within these bounds.
+ID_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 28
 
 
 @dataclass(frozen=True)
@@ -103,52 +106,50 @@ def bitmaps(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray | None, np.ndarray
 
 
 def describe(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(doc_id, n, s1, s2, head, keys, bits): size, content hash, first shingles, minimum hashes, bitmap of every set."""
-    salts = [U64(0), U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)]
+    """(doc_id, n, s1, s2, head, bits): size, content hash, first shingles and bitmap of every set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, s1, s2, head, keys, bits = [], [], [], [], [], []
+        for batch in itertools.chain.from_iterable(map(pieces, batches)):
+            n, s1, s2, head, bits = [], [], [], [], []
             for tokens in doc_sets(batch.column(1), rule.k):
                 n.append(len(tokens))
                 s1.append(int(mix(tokens).sum().view(np.int64)) if len(tokens) else 0)
                 s2.append(int(mix(tokens ^ U64(0xA0761D6478BD642F)).sum().view(np.int64)) if len(tokens) else 0)
                 head.append(tokens[:HEAD].view(np.int64).tolist())
-                keys.append([int((mix(tokens ^ s) if s else tokens).min().view(np.int64)) for s in salts] if len(tokens) else [])
                 bits.append(bitmap(tokens))
-            longs = pa.list_(pa.int64())
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(head, longs), pa.array(keys, longs), pa.array(bits, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "s1", "s2", "head", "keys", "bits"])
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(head, pa.list_(pa.int64())), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "s1", "s2", "head", "bits"])
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, head array<bigint>, keys array<bigint>, bits binary")
+    return docs.mapInArrow(run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, head array<bigint>, bits binary")
 
 
 def prefixes(docs: DataFrame, rule: Rule, frequent: np.ndarray) -> DataFrame:
-    """(token, pos, doc_id, n): the prefix of every set in the order rare shingles, then frequent ones, each by hash."""
+    """(token, n, doc_id, pos, often): the prefix of every set in the order rare shingles, then frequent ones (``often``),
+    each by hash."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = shared.value
-        for batch in batches:
-            ids, tokens, lengths, sizes = batch.column(0).to_numpy(zero_copy_only=False), [], [], []
+        for batch in itertools.chain.from_iterable(map(pieces, batches)):
+            ids, tokens, often, lengths, sizes = batch.column(0).to_numpy(zero_copy_only=False), [], [], [], []
             for found in doc_sets(batch.column(1), rule.k):
-                n = len(found)
+                n, common = len(found), np.zeros(len(found), bool)
                 if n and len(last):
                     at = np.minimum(np.searchsorted(last, found), len(last) - 1)
                     common = last[at] == found
                     if common.any():
-                        found = np.concatenate([found[~common], found[common]])
+                        found, common = np.concatenate([found[~common], found[common]]), np.sort(common)
                 p = rule.prefix(n) if n else 0
-                tokens.append(found[:p]), lengths.append(p), sizes.append(n)
+                tokens.append(found[:p]), often.append(common[:p]), lengths.append(p), sizes.append(n)
             lengths = np.array(lengths)
-            flat = np.concatenate(tokens).view(np.int64)
+            flat, often = np.concatenate(tokens).view(np.int64), np.concatenate(often)
             pos = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             for a in range(0, len(flat), 20_000):
                 b = slice(a, a + 20_000)
-                columns = [pa.array(flat[b]), pa.array(pos[b].astype(np.int32)), pa.array(np.repeat(ids, lengths)[b]), pa.array(np.repeat(np.array(sizes, np.int32), lengths)[b])]
-                yield pa.RecordBatch.from_arrays(columns, ["token", "pos", "doc_id", "n"])
+                columns = [pa.array(flat[b]), pa.array(np.repeat(np.array(sizes, np.int32), lengths)[b]), pa.array(np.repeat(ids, lengths)[b]), pa.array(pos[b].astype(np.int32)), pa.array(often[b])]
+                yield pa.RecordBatch.from_arrays(columns, ["token", "n", "doc_id", "pos", "often"])
 
-    return docs.mapInArrow(run, "token bigint, pos int, doc_id bigint, n int")
+    return docs.mapInArrow(run, "token bigint, n int, doc_id bigint, pos int, often boolean")
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: int, limit: int) -> Iterator[pa.Table]:
@@ -199,8 +200,9 @@ def may_link(rule: Rule, sizes_a, small_a, wide_a, large_a, sizes_b, small_b, wi
 
 
 def rough_edges(reps: DataFrame, rule: Rule) -> DataFrame:
-    """(u, v): sets that agree in a minimum hash and whose bitmaps allow a link; each is tied to one earlier set only."""
-    keyed = reps.select(F.explode("keys").alias("key"), "n", "doc_id", "bits")
+    """(u, v): sets that share a shingle of both their first FIRST positions and whose bitmaps allow a link; each is tied
+    to one earlier set only."""
+    keyed = reps.select(F.explode(F.slice("head", 1, FIRST)).alias("key"), "n", "doc_id", "bits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run_ in runs(batches, 1, CHUNK):
@@ -228,33 +230,38 @@ def rough_edges(reps: DataFrame, rule: Rule) -> DataFrame:
     return dealt(keyed, ["key"], ["n", "doc_id"]).mapInArrow(run, "u bigint, v bigint")
 
 
-def wanted_filter(ids: DataFrame) -> np.ndarray:
-    """A bitmap of FILTER_BITS bits, made by Spark: bit h is set if an id hashes to h. Its size is fixed."""
-    h = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)) + 1
+def wanted_filter(ids: DataFrame) -> tuple[np.ndarray, int]:
+    """A bitmap, made by Spark, and its number of bits: bit h is set if an id hashes to h. It has ID_BITS for each id, and
+    at most MOST_BITS."""
+    bits = LEAST_BITS
+    n = ids.count()
+    while bits < min(n * ID_BITS, MOST_BITS):
+        bits *= 2
+    h = F.pmod(F.xxhash64("doc_id"), F.lit(bits)) + 1
     rows = ids.groupBy(F.bitmap_bucket_number(h).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(h)).alias("bits")).collect()
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    out = np.zeros(bits // 8, np.uint8)
     for r in rows:
         out[(r.bucket - 1) * 4096 : r.bucket * 4096] = np.frombuffer(r.bits, np.uint8)
-    return out
+    return out, bits
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
     """(doc_id, tokens): the sets of at least the documents in ``ids``, from their whole texts.
 
-    A filter of fixed size leaves out most other documents before anything is moved; those it lets through are
-    harmless, as callers join the result to ids. It saves less the fuller it gets.
+    A filter leaves out most other documents before anything is moved; those it lets through are harmless, as callers join
+    the result to ids. Beyond MOST_BITS / ID_BITS ids it saves less, up to nothing.
     """
-    h = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("h")
-    shared = docs.sparkSession.sparkContext.broadcast(wanted_filter(ids))
+    wanted_bits, bits = wanted_filter(ids)
+    h = F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("h")
+    shared = docs.sparkSession.sparkContext.broadcast(wanted_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = shared.value
         for batch in batches:
             at = batch.column(2).to_numpy(zero_copy_only=False)
             rows = batch.filter(pa.array((wanted[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
-            if rows.num_rows:
-                tokens = [t.tobytes() for t in doc_sets(rows.column(1), rule.k)]
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(tokens, pa.binary())], ["doc_id", "tokens"])
+            for part in pieces(rows):
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([t.tobytes() for t in doc_sets(part.column(1), rule.k)], pa.binary())], ["doc_id", "tokens"])
 
     return docs.select("doc_id", "text", h).mapInArrow(run, "doc_id bigint, tokens binary")
 
@@ -361,38 +368,37 @@ def relabelled(labels: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def partnered(lists: DataFrame, rule: Rule, labels: bool = False) -> DataFrame:
-    """Rows of lists (token, pos, doc_id, n, with ``labels`` also label) that can have a partner in their list: another
-    row whose size and position allow a link, and whose label is another one.
+    """Rows of lists (token, n, doc_id, pos, often, with ``labels`` also label) that can have a partner in their list:
+    another row whose size and position allow a link, and whose label is another one.
 
-    Lists are sorted by size and dealt by range, so a long list spreads over tasks. Each row is compared to the REACH
-    rows after it; rows of longer lists stay unseen, as do rows at either end of a partition, whose list may go on.
+    Lists are sorted by size; each row is compared to the REACH rows after it, and rows of longer lists stay unseen. So do
+    the rows of frequent shingles, which are spread over the tasks by their documents.
     """
-    columns = ["token", "n", "doc_id", "pos", *(["label"] if labels else [])]
-    ranged = dealt(lists.select(*columns), ["token"], ["n", "doc_id"]).select(*columns)
+    columns = [*lists.columns]
+    spread = lists.repartition("token", F.when(F.col("often"), F.xxhash64("doc_id"))).sortWithinPartitions("token", "n", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, kept, first = None, np.zeros(0, bool), None
+        held, kept = None, np.zeros(0, bool)
         for batch in batches:
             if not batch.num_rows:
                 continue
             if held is not None:
                 batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            values = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns))]
-            token, n, pos = values[0], values[1].astype(np.int64), values[3].astype(np.int64)
-            first = token[0] if first is None else first
-            keep = token == first
+            column = lambda c: batch.column(columns.index(c)).to_numpy(zero_copy_only=False)  # noqa: B023, E731
+            token, n, pos = column("token"), column("n").astype(np.int64), column("pos").astype(np.int64)
+            keep = column("often").astype(bool)
             keep[: len(kept)] |= kept
             for d in range(1, REACH + 1):
                 if d >= len(token):
                     break
-                same = token[d:] == token[:-d]
-                if not same.any():
+                at = np.flatnonzero(token[d:] == token[:-d])
+                if not len(at):
                     break
-                at = np.flatnonzero(same)
                 a, b = n[at], n[at + d]
                 fits = (rule.den * a >= rule.num * b) & (pos[at] + pos[at + d] <= rule.difference(a, b))
                 if labels:
-                    fits &= values[4][at] != values[4][at + d]
+                    label = column("label")
+                    fits &= label[at] != label[at + d]
                 fits |= d == REACH
                 keep[at[fits]] = True
                 keep[at[fits] + d] = True
@@ -400,17 +406,16 @@ def partnered(lists: DataFrame, rule: Rule, labels: bool = False) -> DataFrame:
             held, kept = batch.slice(cut), keep[cut:]
             yield batch.slice(0, cut).filter(pa.array(keep[:cut]))
         if held is not None:
-            token = held.column(0).to_numpy(zero_copy_only=False)
-            yield held.filter(pa.array(kept | (token == token[-1])))
+            yield held.filter(pa.array(kept))
 
-    return ranged.mapInArrow(run, ranged.schema)
+    return spread.mapInArrow(run, lists.schema)
 
 
 def list_pairs(lists: DataFrame, rule: Rule) -> DataFrame:
     """(u, v): pairs of one list and of different components that positions, sizes and bitmaps allow to link.
 
-    ``lists`` has token, pos, doc_id, n, label, bits and rows, the length of the list. A list longer than LIST_CHUNK is
-    cut, and every two of its chunks meet in a task of their own.
+    ``lists`` has token, pos, doc_id, n, label, bits and rows, the length of the list if it may be a long one. A list
+    longer than LIST_CHUNK is cut, and every two of its chunks meet in a task of their own.
     """
     parts = F.ceil(F.col("rows") / LIST_CHUNK).cast("int")
     own = F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")
@@ -493,9 +498,9 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     real = sets.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     owners = written(real.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep")))
     rep_ids = owners.select(F.col("rep").alias("doc_id")).distinct()
-    reps = written(real.join(rep_ids, "doc_id", "left_semi").select("doc_id", "n", "head", "keys", "bits"))
+    reps = written(real.join(rep_ids, "doc_id", "left_semi").select("doc_id", "n", "head", "bits"))
 
-    # 1. rough groups
+    # 1. rough groups, from the first blocks of the lists
     groups = written(components(rough_edges(reps, rule)))
     group_of = groups.select(F.col("id").alias("doc_id"), F.col("component").alias("group"))
     # 2. exact links within groups, then between the parts of groups that were cut
@@ -503,21 +508,23 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     grouped = tokens.join(sent_if_few(group_of), "doc_id").select("group", F.col("doc_id").alias("label"), "doc_id", "tokens")
     first = written(components(exact_edges(grouped, rule)))
     labels = written(relabelled(group_of.select("doc_id", F.col("doc_id").alias("label")), first))
-    several = group_of.join(labels, "doc_id").groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("group")
-    # other chunks than before: members of one group by a hash of their ids
-    mixed_up = labels.join(group_of, "doc_id").join(several, "group", "left_semi").join(tokens, "doc_id")
-    sampled = mixed_up.select("group", "label", "doc_id", "tokens", F.xxhash64("doc_id").alias("tie"))
-    second = components(exact_edges(sampled, rule, "tie"))
-    labels = written(relabelled(labels, second))
+    cut = written(group_of.join(labels, "doc_id").groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("rows")).filter(f"lo <> hi and rows > {CHUNK}").select("group"))
+    if not cut.isEmpty():
+        # other chunks than before: members of one group by a hash of their ids
+        mixed_up = labels.join(group_of, "doc_id").join(cut, "group", "left_semi").join(tokens, "doc_id")
+        second = components(exact_edges(mixed_up.select("group", "label", "doc_id", "tokens", F.xxhash64("doc_id").alias("tie")), rule, "tie"))
+        labels = written(relabelled(labels, second))
 
     # 3. every prefix list, for pairs between different components
     common_tokens = reps.select(F.explode("head").alias("token")).groupBy("token").count().filter(F.col("count") >= FREQUENT)
     frequent = np.sort(np.array([r.token for r in common_tokens.orderBy(F.desc("count"), "token").limit(MAX_FREQUENT).collect()], np.int64).view(np.uint64))
     listed = partnered(prefixes(docs.filter(F.col("doc_id").isNotNull()), rule, frequent), rule)
     kept = written(reps.select("doc_id").join(labels, "doc_id", "left").select("doc_id", F.coalesce("label", "doc_id").alias("label")))
-    labelled = written(partnered(listed.join(sent_if_few(kept), "doc_id"), rule, labels=True))
-    mixed = labelled.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("rows")).filter("lo <> hi").select("token", "rows")
-    pairs = written(list_pairs(labelled.join(mixed, "token").join(reps.select("doc_id", "bits"), "doc_id"), rule))
+    labelled = written(partnered(listed.join(sent_if_few(kept), "doc_id").select("token", "n", "doc_id", "pos", "often", "label"), rule, labels=True))
+    # lengths of the lists of frequent shingles, of which there are MAX_FREQUENT at most; others are short
+    long = labelled.filter("often").groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("rows")).filter("lo <> hi").select("token", "rows")
+    lists = labelled.filter("not often").withColumn("rows", F.lit(1).cast("bigint")).unionByName(labelled.filter("often").join(F.broadcast(long), "token"))
+    pairs = written(list_pairs(lists.join(reps.select("doc_id", "bits"), "doc_id"), rule))
     ids = pairs.select(F.col("u").alias("doc_id")).unionAll(pairs.select(F.col("v").alias("doc_id")))
     links = written(verified(pairs, sets_of(docs, ids, rule), rule))
     by_id = kept.select(F.col("doc_id").alias("id"), "label")
