@@ -508,7 +508,7 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     grouped = tokens.join(sent_if_few(group_of), "doc_id").select("group", F.col("doc_id").alias("label"), "doc_id", "tokens")
     first = written(components(exact_edges(grouped, rule)))
     labels = written(relabelled(group_of.select("doc_id", F.col("doc_id").alias("label")), first))
-    cut = written(group_of.join(labels, "doc_id").groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("rows")).filter(f"lo <> hi and rows > {CHUNK}").select("group"))
+    cut = written(group_of.join(labels, "doc_id").groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("group"))
     if not cut.isEmpty():
         # other chunks than before: members of one group by a hash of their ids
         mixed_up = labels.join(group_of, "doc_id").join(cut, "group", "left_semi").join(tokens, "doc_id")
