@@ -34,7 +34,7 @@ from eventloom.llm.jobs import pieces, written
 #: A shingle that is among the first HEAD of so many sets is frequent; so many of them are sent to every task.
 HEAD, FREQUENT, MAX_FREQUENT = 8, 6, 200_000
 #: Bits of a set's parity bitmap: small sets, and sets from LARGE shingles on.
-SMALL_BITS, LARGE_BITS, LARGE = 1024, 16384, 2048
+SMALL_BITS, LARGE_BITS, LARGE = 1024, 8192, 2048
 #: Positions of a list's first block, read before all others.
 FIRST = 3
 CHUNK, LIST_CHUNK = 384, 1024
