@@ -433,3 +433,17 @@ def test_empty_tables(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
     one = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
     assert quality.assess(one, labels).first().predicted == 1
+
+def test_served_scores_are_those_of_training_and_outliers_are_cut():
+    rng = np.random.default_rng(2)
+    data = graded()
+    model = quality.train([t for _, t, _ in data], [q for _, _, q in data])
+    (part,) = slices(pa.array([" ".join(["word"] * 40), data[1][1]], pa.string()))
+    buckets, bounds, dense = quality.features(part)
+    for i in range(2):
+        found, counts = np.unique(buckets[bounds[i] : bounds[i + 1]], return_counts=True)
+        n = counts.sum()
+        grouped = model.bias + quality.machine(model.word[found], counts / n, counts / n**2, np.array([0, len(found)]), model.scaled(dense[i : i + 1]), model.dense)[0]
+        assert model.raw(buckets, bounds, dense)[i] == pytest.approx(grouped[0])
+    far = dense + rng.normal(size=dense.shape) * 1e6
+    assert np.abs(model.scaled(far)).max() <= quality.CLIP
