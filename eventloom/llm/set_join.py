@@ -372,7 +372,7 @@ def partnered(lists: DataFrame, rule: Rule, labels: bool = False) -> DataFrame:
     another row whose size and position allow a link, and whose label is another one.
 
     Lists are sorted by size; each row is compared to the REACH rows after it, and rows of longer lists stay unseen. So do
-    the rows of frequent shingles, which are spread over the tasks by their documents.
+    the rows that are marked ``often``, which are spread over the tasks by their documents.
     """
     columns = [*lists.columns]
     spread = lists.repartition("token", F.when(F.col("often"), F.xxhash64("doc_id"))).sortWithinPartitions("token", "n", "doc_id")
@@ -518,12 +518,15 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     # 3. every prefix list, for pairs between different components
     common_tokens = reps.select(F.explode("head").alias("token")).groupBy("token").count().filter(F.col("count") >= FREQUENT)
     frequent = np.sort(np.array([r.token for r in common_tokens.orderBy(F.desc("count"), "token").limit(MAX_FREQUENT).collect()], np.int64).view(np.uint64))
-    listed = partnered(prefixes(docs.filter(F.col("doc_id").isNotNull()), rule, frequent), rule)
+    listed = written(partnered(prefixes(docs.filter(F.col("doc_id").isNotNull()), rule, frequent), rule))
+    # lists too long for one task: no more than a LIST_CHUNK-th of the rows
+    lengths = listed.groupBy("token").agg(F.count("*").alias("rows")).filter(F.col("rows") > LIST_CHUNK)
+    lengths = sent_if_few(written(lengths))
+    listed = listed.drop("often").join(lengths.select("token", F.lit(True).alias("often")), "token", "left").withColumn("often", F.coalesce("often", F.lit(False)))
     kept = written(reps.select("doc_id").join(labels, "doc_id", "left").select("doc_id", F.coalesce("label", "doc_id").alias("label")))
     labelled = written(partnered(listed.join(sent_if_few(kept), "doc_id").select("token", "n", "doc_id", "pos", "often", "label"), rule, labels=True))
-    # lengths of the lists of frequent shingles, of which there are MAX_FREQUENT at most; others are short
     long = labelled.filter("often").groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("rows")).filter("lo <> hi").select("token", "rows")
-    lists = labelled.filter("not often").withColumn("rows", F.lit(1).cast("bigint")).unionByName(labelled.filter("often").join(F.broadcast(long), "token"))
+    lists = labelled.filter("not often").withColumn("rows", F.lit(1).cast("bigint")).unionByName(labelled.filter("often").join(sent_if_few(written(long)), "token"))
     pairs = written(list_pairs(lists.join(reps.select("doc_id", "bits"), "doc_id"), rule))
     ids = pairs.select(F.col("u").alias("doc_id")).unionAll(pairs.select(F.col("v").alias("doc_id")))
     links = written(verified(pairs, sets_of(docs, ids, rule), rule))

@@ -72,6 +72,21 @@ def test_set_join(spark, rule):
         assert (r.n_shingles, r.component_id) == ((1, None) if r.doc_id is None else expected[r.doc_id])
 
 
+def test_long_lists_are_cut_and_stay_whole(spark, monkeypatch):
+    # a passage in texts that are not alike stands deep in their sets; no rough groups, short chunks
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(30)]
+    rows = []
+    for i in range(40):
+        own = [f"o{i}x{j}" for j in range(rng.randint(3, 90))]
+        rows += [(10 * i + c, " ".join(passage + own[: len(own) - c])) for c in range(3)]
+    monkeypatch.setattr(set_join, "LIST_CHUNK", 8)
+    monkeypatch.setattr(set_join, "rough_edges", lambda reps, rule: reps.select(F.col("doc_id").alias("u"), F.col("doc_id").alias("v")).limit(0))
+    rule = set_join.Rule(4, 85, 100)
+    got = set_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), rule).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == slow_components(rows, rule)
+
+
 def test_rows_of_one_doc_id_are_one_vertex(spark):
     a, b, c = ("alpha beta gamma delta epsilon zeta", "one two three four five six", "red green blue white black grey")
     rows = [(2, a), (5, a), (5, b), (3, b), (9, c), (9, ""), (4, c), (9, None), (7, None), (7, ""), (8, c + " x"), (8, b), (None, a)]
