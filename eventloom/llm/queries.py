@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, decontaminate, html_text, langid, licences, nearest, personal_data, quality, set_join, suffixes
+from eventloom.llm import alignment, bpe, decontaminate, html_text, langid, licences, nearest, periods, personal_data, piece_bpe, quality, set_join, suffixes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,18 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.periodic_runs(table(spark, sf_dir, "documents"), periods.repeated_tail)
+
+
 NEAREST_SQL = """
 WITH v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
@@ -74,7 +86,10 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_suffix_dedup, op2_jaccard_join, op3_decontamination, op4_language_id, op5_personal_data, op6_html_text, op7_nearest, op8_bpe, op9_quality, op10_licences)
+    found = (
+        op1_suffix_dedup, op2_jaccard_join, op3_decontamination, op4_language_id, op5_personal_data, op6_html_text, op7_nearest, op8_bpe, op9_quality, op10_licences,
+        op11_alignment, op12_piece_bpe, op13_periodic_runs,
+    )
     return {f.__name__: f for f in found}
 
 
