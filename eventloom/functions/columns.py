@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: What counts as a number in a text; a bare cast would also take suffixes such as 1.0f and 5d.
 NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+#: A whole number written as digits, with or without an empty fraction.
+DIGITS = r"^\s*\+?(-?\d+)(?:\.0*)?\s*$"
 #: Whole numbers beyond it do not fit a bigint.
 LARGEST_WHOLE = 9.2e18
 
@@ -25,10 +27,15 @@ def to_number(c: Column) -> Column:
 
 
 def strip_zeros(c: Column) -> Column:
-    """Digits without leading zeros, as text: '01' and '1.0' give '1'; null where the value is no whole number."""
-    number = to_number(c)
+    """Digits without leading zeros, as text: '01' and '1.0' give '1'; null where the value is no whole number.
+
+    Digits are read as they stand, so that ids of up to 19 digits keep every one; only other forms, such as 1e3, go
+    through a floating point number. Numbers beyond a bigint are null.
+    """
+    text, number = c.cast("string"), to_number(c)
     whole = (F.floor(number).cast("double") == number) & (F.abs(number) < LARGEST_WHOLE)
-    return F.when(F.abs(number) < LARGEST_WHOLE, F.when(whole, number.cast("bigint").cast("string")))
+    other = F.when(F.abs(number) < LARGEST_WHOLE, F.when(whole, number.cast("bigint").cast("string")))
+    return F.when(text.rlike(DIGITS), F.regexp_extract(text, DIGITS, 1).try_cast("bigint").cast("string")).otherwise(other)
 
 
 def from_value_map(c: Column, values: Mapping[str, str]) -> Column:

@@ -8,9 +8,10 @@ where the value is no number.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from eventloom.errors import SpecError
 from eventloom.functions.columns import named, to_number
 from eventloom.operators.shape import require
 from eventloom.work import materialised
@@ -126,18 +127,37 @@ def normalise(
     df: DataFrame, method: str = "minmax", n: int = 10, code: str = "code", value: str = "numeric_value", single_column: bool = False, how: str = "auto", statistics: str | None = None
 ) -> DataFrame:
     """Fit and apply on the same table. ``statistics`` names a folder for the fitted table: if it exists it is used as it
-    is, else it is written, so that later tables are normalised alike."""
+    is, else it is written, so that later tables are normalised alike. Statistics of another method or other cut points
+    are an error."""
     if statistics is None:
         return apply(df, fit(df, method, n, code, value, how), method, n, code, value, single_column)
-    spark = df.sparkSession
-    try:
-        stats = spark.read.parquet(statistics)
-    except AnalysisException:
-        fit(df, method, n, code, value, how).write.parquet(statistics)
-        stats = spark.read.parquet(statistics)
+    stats = saved_statistics(df.sparkSession, statistics, method, n)
+    if stats is None:
+        save_statistics(fit(df, method, n, code, value, how), statistics, method, n)
+        stats = saved_statistics(df.sparkSession, statistics, method, n)
     return apply(df, stats, method, n, code, value, single_column)
 
 
+def save_statistics(stats: DataFrame, path: str, method: str, n: int = 10) -> None:
+    """A fitted table as a Parquet folder whose schema says by which method and at which points it was fitted."""
+    of = {"method": method, "points": cut_points(method, n)}
+    stats.withMetadata("cuts", of).write.parquet(path)
+
+
+def saved_statistics(spark: SparkSession, path: str, method: str, n: int = 10) -> DataFrame | None:
+    """The table that ``save_statistics`` wrote; None if there is none, an error if it was fitted otherwise."""
+    try:
+        stats = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    found = stats.schema["cuts"].metadata if "cuts" in stats.columns else {}
+    if (found.get("method"), found.get("points")) != (method, cut_points(method, n)):
+        raise SpecError(f"statistics in {path} are those of {found.get('method') or 'an unknown method'} at {found.get('points')}, not of {method} at {cut_points(method, n)}")
+    return stats
+
+
 def whole_subject_ids(df: DataFrame, column: str = "subject_id") -> DataFrame:
     """subject_id as a whole number; anything else is an error."""
     return df.withColumn(column, named(column).cast("bigint"))

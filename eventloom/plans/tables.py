@@ -6,6 +6,9 @@ unroll, numbers, times, known subjects, complete rows, no repeats.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.functions.columns import from_value_map, named, pad_suffix, prefixed, strip_zeros, to_number
@@ -21,16 +24,55 @@ def read_file(spark: SparkSession, file: FileSpec, columns=None) -> DataFrame:
     return read_table(spark, file.path, columns, file.file_format, file.sep, file.encoding, quote=file.quote, escape=file.escape, multi_line=file.multi_line, null_words=file.null_words)
 
 
+Watch = Callable[[str, DataFrame], DataFrame]
+
+
+def unwatched(stage: str, df: DataFrame) -> DataFrame:
+    return df
+
+
+def joins_with(first: LookupSpec, between: list[LookupSpec], look: LookupSpec) -> bool:
+    """Whether ``look`` can be done by the join of ``first``, with ``between`` done after it, and give the same rows (but that k
+    equal keys give k rows, not k * k).
+
+    Both bring columns of one file by one key, and only inner and left joins may change places. No lookup from ``first`` on
+    writes the key's column; none between reads or writes what ``look`` brings; and both have different columns and names.
+    """
+    same = lambda o: (o.file, o.on, o.key, o.how, o.null_keys_match, o.dedupe)
+    if same(first) != same(look) or any(o.how not in ("inner", "left") for o in (first, *between)):
+        return False
+    brought = set(look.targets.values())
+    if any(look.on in o.targets.values() for o in (first, *between)) or look.on in brought:
+        return False
+    if any(o.on in brought or brought & set(o.targets.values()) for o in between):
+        return False
+    return not (set(first.targets) & set(look.targets) or set(first.targets.values()) & brought)
+
+
 def combined(lookups: list[LookupSpec]) -> list[LookupSpec]:
-    """Lookups of the same file by the same key as one with all targets (J7): the file is read and joined once."""
+    """Lookups of the same file by the same key as one with all targets (J7), wherever ``joins_with`` allows it: the file is
+    read and joined once. The key's column goes after its last use, as ``dropping`` says."""
     out: list[LookupSpec] = []
     for look in lookups:
-        same = next((i for i, o in enumerate(out) if (o.file, o.on, o.key, o.how, o.null_keys_match, o.dedupe) == (look.file, look.on, look.key, look.how, look.null_keys_match, look.dedupe)), None)
-        if same is None:
+        at = next((i for i, o in enumerate(out) if joins_with(o, out[i + 1 :], look)), None)
+        if at is None:
             out.append(look)
         else:
-            old = out[same]
-            out[same] = LookupSpec(old.file, old.on, old.key, {**old.targets, **look.targets}, old.how, old.drop_source or look.drop_source, old.null_keys_match, old.dedupe)
+            first = out[at]
+            out[at] = replace(first, targets={**first.targets, **look.targets}, drop_source=first.drop_source or look.drop_source)
+    return out
+
+
+def dropping(lookups: Sequence[LookupSpec]) -> list[bool]:
+    """For each lookup, whether its key's column goes with it: one of the lookups by that column says so, and no later one
+    reads the column before it is written anew."""
+    out, asked = [], set()
+    for i, look in enumerate(lookups):
+        if look.drop_source:
+            asked.add(look.on)
+        later = next((o for o in lookups[i + 1 :] if look.on in (o.on, *o.targets.values())), None)
+        out.append(look.on in asked and not (later and later.on == look.on))
+        asked -= {*look.targets.values(), *([look.on] if out[-1] else [])}
     return out
 
 
@@ -45,29 +87,33 @@ def touched(spec: TableSpec) -> set[str]:
 
 def early_subjects(spec: TableSpec) -> bool:
     """Whether unknown subjects can go before rows multiply, with the same result as at the end: the id is in the table
-    itself, no step reads or writes it, and no join adds rows without it."""
-    return list(spec.rename.values()).count("subject_id") == 1 and "subject_id" not in touched(spec) and all(look.how in ("inner", "left") for look in spec.lookups)
+    itself, no step reads or writes it, no join adds rows without it, and no bad time of an unknown subject is an error."""
+    return spec.on_bad_time != "fail" and list(spec.rename.values()).count("subject_id") == 1 and "subject_id" not in touched(spec) and all(look.how in ("inner", "left") for look in spec.lookups)
 
 
-def compile_table(spark: SparkSession, spec: TableSpec, id_map: DataFrame | None = None, raw: DataFrame | None = None, sides: dict[str, DataFrame] | None = None, test_rows: int | None = None, early: bool = True) -> DataFrame:
+def compile_table(spark: SparkSession, spec: TableSpec, id_map: DataFrame | None = None, raw: DataFrame | None = None, sides: dict[str, DataFrame] | None = None, test_rows: int | None = None, early: bool = True, watch: Watch = unwatched) -> DataFrame:
     """The event table of a description. ``raw`` and ``sides`` (by path) stand in for files that are tables already.
 
     Ids are mapped at the end, or first where that gives the same rows; ``early`` off maps them at the end always.
+    ``watch`` gets the table after each stage that may change its number of rows, and its name: read, known (subjects),
+    lookups, shaped (melt and unroll), complete, distinct.
     """
     df = require(raw, list(spec.rename)).select(*map(named, spec.rename)) if raw is not None else read_file(spark, spec.file, list(spec.rename))
     if test_rows:
         df = df.limit(test_rows)
+    df = watch("read", df)
     df = df.withColumns({c: strip_zeros(named(c)) for c in spec.strip_zeros})
     df = df.withColumns({c: from_value_map(named(c), m) for c, m in spec.value_maps.items()})
     df = select_rename(df, spec.rename)
     early = early and id_map is not None and early_subjects(spec)
     if early:
-        df = map_subjects(df, id_map)
-    for look in combined(list(spec.lookups)) if spec.combine_lookups else spec.lookups:
+        df = watch("known", map_subjects(df, id_map))
+    lookups = combined(list(spec.lookups)) if spec.combine_lookups else list(spec.lookups)
+    for look, drop in zip(lookups, dropping(lookups), strict=True):
         side = (sides or {}).get(look.file.path)
         side = side if side is not None else read_file(spark, look.file, [look.key, *look.targets])
-        last = not any(o is not look and o.on == look.on for o in spec.lookups[list(spec.lookups).index(look) + 1 :]) if look in spec.lookups else True
-        df = lookup(df, side, look.on, look.key, look.targets, look.how, look.drop_source and last, look.null_keys_match, look.dedupe)
+        df = lookup(df, side, look.on, look.key, look.targets, look.how, drop, look.null_keys_match, look.dedupe)
+    df = watch("lookups", df) if lookups else df
     df = df.withColumns({c: pad_suffix(named(c), p["suffix"], p.get("unless_contains")) for c, p in spec.pad.items()})
     for f in spec.fill:
         df = fill_nulls(df, f.target, f.source, f.pattern, f.value)
@@ -83,9 +129,10 @@ def compile_table(spark: SparkSession, spec: TableSpec, id_map: DataFrame | None
     if spec.code_prefix:
         df = df.withColumn("code", prefixed(named("code"), spec.code_prefix, spec.null_literal))
     df = unroll(df, spec.unroll, spec.keep_code, spec.null_literal) if spec.unroll else df
+    df = watch("shaped", df) if spec.unroll or spec.melt else df
     df = df.withColumns({c: to_number(named(c)) for c in spec.numeric if c in df.columns})
     df = df.withColumns({c: parse_time(named(c), spec.time_formats, df.schema[c].dataType, spec.on_bad_time) for c in spec.times if c in df.columns})
     if id_map is not None and not early and "subject_id" in df.columns:
-        df = map_subjects(df, id_map)
-    df = drop_incomplete(df)
-    return drop_repeats(df) if spec.dedupe else df
+        df = watch("known", map_subjects(df, id_map))
+    df = watch("complete", drop_incomplete(df))
+    return watch("distinct", drop_repeats(df)) if spec.dedupe else df
