@@ -11,3 +11,7 @@ class MissingColumns(ValueError):
 
 class SpecError(ValueError):
     """A table or pipeline description that cannot be used."""
+
+
+class ConcurrentLoad(RuntimeError):
+    """Two loads that extend the same table at the same time."""

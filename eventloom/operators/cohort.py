@@ -1,4 +1,4 @@
-"""Events and cohort."""
+"""Events and cohort (M1-M14, A9, O4); how a cohort is written is in ``layout``."""
 
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from eventloom.errors import SpecError
 from eventloom.functions.columns import named, to_number
 from eventloom.functions.times import ISO, parse_time
+from eventloom.operators.layout import merge_cohort as merge_cohort
+from eventloom.operators.layout import write_cohort as write_cohort
 from eventloom.operators.shape import require, stack
 from eventloom.operators.subjects import subject_ids
 
@@ -91,10 +93,18 @@ def share_label(x: Column, splits: Mapping[str, float]) -> Column:
     return F.lit(names[0]) if out is None else out.otherwise(names[-1])
 
 
+def one_split(given: DataFrame) -> DataFrame:
+    """(subject_id, split) once for each subject; one that has several splits is an error."""
+    each = given.filter("subject_id is not null and split is not null").groupBy("subject_id").agg(F.min("split").alias("split"), F.max("split").alias("other"))
+    message = F.concat(F.lit("subject "), F.col("subject_id").cast("string"), F.lit(" is in splits "), F.col("split"), F.lit(" and "), F.col("other"))
+    return each.select("subject_id", F.when(F.col("split") == F.col("other"), F.col("split")).otherwise(F.raise_error(message)).alias("split"))
+
+
 def split_subjects(subjects: DataFrame, splits: Mapping[str, float] = SPLITS, exact: bool = False, override: DataFrame | None = None, id_column: str = "subject_id") -> DataFrame:
     """(subject_id, split): by a hash of the id, or with ``exact`` by its rank so that the sizes match to one subject.
 
-    ``override`` (subject_id, split) goes first where it names a subject.
+    ``override`` (subject_id, split) goes first where it names a subject. A subject that it puts in two splits is an error
+    when rows are read, as no subject may be trained on and held out.
     """
     ids = subjects.select(named(id_column).alias("subject_id")).filter("subject_id is not null").distinct()
     if exact:
@@ -104,7 +114,7 @@ def split_subjects(subjects: DataFrame, splits: Mapping[str, float] = SPLITS, ex
     else:
         out = ids.select("subject_id", share_label(bucket(F.col("subject_id")), splits).alias("split"))
     if override is not None:
-        given = override.select(F.col("subject_id").alias("__id"), F.col("split").alias("__split"))
+        given = one_split(override).select(F.col("subject_id").alias("__id"), F.col("split").alias("__split"))
         out = out.join(given, F.col("subject_id") == F.col("__id"), "left").select("subject_id", F.coalesce("__split", "split").alias("split"))
     return out
 
@@ -116,18 +126,10 @@ def ordered(events_: DataFrame) -> DataFrame:
 
 
 def read_splits(spark: SparkSession, path: str) -> DataFrame:
-    """(subject_id, split) from JSON files of one object each: split names as keys, lists of subject ids as values."""
+    """(subject_id, split) from JSON files of one object each: split names as keys, lists of subject ids as values. A subject
+    under two names is an error."""
     whole = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string, array<bigint>>").alias("m"))
-    return whole.select(F.explode("m")).select(F.explode("value").alias("subject_id"), F.col("key").alias("split"))
-
-
-def write_cohort(events_: DataFrame, splits: DataFrame, path: str, partitions: int | None = None, mode: str = "overwrite") -> None:
-    """Parquet by split; all events of a subject in one file, by subject and time. One shuffle, by subject: as many tasks
-    as the session shuffles to (or ``partitions``), of which adaptive execution joins small ones."""
-    out = events_.join(splits, "subject_id")
-    order = [F.col("split"), F.col("subject_id"), F.col("time").asc_nulls_first(), F.col("code")]
-    dealt = out.repartition(partitions, "subject_id") if partitions else out.repartition("subject_id")
-    dealt.sortWithinPartitions(*order).write.mode(mode).partitionBy("split").parquet(path)
+    return one_split(whole.select(F.explode("m")).select(F.explode("value").alias("subject_id"), F.col("key").alias("split")))
 
 
 def code_metadata(events_: DataFrame) -> DataFrame:

@@ -6,15 +6,18 @@ import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.operators.cohort import SPLITS, code_metadata, cohort, dataset_metadata, events, read_splits, split_subjects, write_cohort, write_metadata
+from eventloom.errors import SpecError
+from eventloom.operators.cohort import SPLITS, code_metadata, cohort, dataset_metadata, events, read_splits, split_subjects, write_metadata
+from eventloom.operators.layout import FILE_ROWS, write_cohort
 from eventloom.operators.shape import select_rename
-from eventloom.operators.subjects import known_patients, map_subjects, subject_ids
+from eventloom.operators.subjects import extend_id_map, known_patients, map_subjects, subject_ids
 from eventloom.plans.lint import lint
 from eventloom.plans.spec import PipelineSpec
-from eventloom.plans.tables import compile_table, read_file
+from eventloom.plans.tables import compile_table, read_file, unwatched
 from eventloom.sources.writers import save
 
 log = logging.getLogger(__name__)
@@ -26,6 +29,32 @@ class TableReport:
     status: str  # written, empty or failed
     rows: int | None
     message: str = ""
+    stages: tuple[tuple[str, int | None], ...] = ()
+
+
+class StageCounts:
+    """Rows after each stage of a table's plan, counted by the job that writes the table.
+
+    A count stands in the plan between two steps, so filters of later steps are not pushed past it.
+    """
+
+    def __init__(self):
+        self.seen: dict[str, Observation] = {}
+
+    def __call__(self, stage: str, df: DataFrame) -> DataFrame:
+        self.seen[stage] = Observation()
+        return df.observe(self.seen[stage], F.count(F.lit(1)).alias("rows"))
+
+    def rows(self) -> tuple[tuple[str, int | None], ...]:
+        """(stage, rows) in order, once the job is done; no number where execution left a stage out, as nothing came of it."""
+        return tuple((stage, self._counted(seen)) for stage, seen in self.seen.items())
+
+    @staticmethod
+    def _counted(seen: Observation) -> int | None:
+        try:
+            return seen.get.get("rows")
+        except Py4JJavaError:  # a count that adaptive execution left out has no values to read
+            return None
 
 
 def compile_subjects(spark: SparkSession, spec: PipelineSpec, raw: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -36,18 +65,34 @@ def compile_subjects(spark: SparkSession, spec: PipelineSpec, raw: DataFrame | N
     return map_subjects(patients, id_map), id_map
 
 
-def run_pipeline(spark: SparkSession, spec: PipelineSpec, out: str, file_format: str = "parquet", mode: str = "overwrite", strict: bool = False, skip_empty: bool = False, test_rows: int | None = None) -> list[TableReport]:
-    """Write the id map, the subject table and every event table below ``out``; one report a table."""
+def run_pipeline(
+    spark: SparkSession, spec: PipelineSpec, out: str, file_format: str = "parquet", mode: str = "overwrite", strict: bool = False, skip_empty: bool = False, test_rows: int | None = None, id_map: str | None = None, count_stages: bool = True
+) -> list[TableReport]:
+    """Write the id map, the subject table and every event table below ``out``; one report a table, with its rows after
+    each stage unless ``count_stages`` is off.
+
+    ``id_map`` names a map that outlives the run: ids in it keep their numbers, new ones are added (``extend_id_map``).
+    Without it ids are numbered anew, which rows that are appended to earlier ones can't do with.
+    """
+    if mode == "append" and not id_map:
+        raise SpecError("rows are appended to those of other runs, so ids need the numbers of those: name an id_map")
     for warning in lint(spec):
         log.warning(warning)
     patients = known_patients(select_rename(read_file(spark, spec.patients, list(spec.patients_rename)), spec.patients_rename))
-    save(subject_ids(patients, "subject_id"), f"{out}/id_map", "parquet", "overwrite")
-    id_map = spark.read.parquet(f"{out}/id_map")
-    reports = [TableReport("subject", "written", save(map_subjects(patients, id_map), f"{out}/subject", file_format, mode))]
+    if id_map:
+        ids = extend_id_map(patients, "subject_id", id_map)
+    else:
+        save(subject_ids(patients, "subject_id"), f"{out}/id_map", "parquet", "overwrite")
+        ids = spark.read.parquet(f"{out}/id_map")
+    reports = [TableReport("subject", "written", save(map_subjects(patients, ids), f"{out}/subject", file_format, mode))]
     for name, table in spec.tables.items():
         try:
-            rows = save(compile_table(spark, table, id_map, test_rows=test_rows), f"{out}/{name}", file_format, mode, skip_empty)
-            reports.append(TableReport(name, "empty" if rows is None else "written", rows))
+            counts = StageCounts() if count_stages else unwatched
+            if skip_empty and compile_table(spark, table, ids, test_rows=test_rows).isEmpty():
+                reports.append(TableReport(name, "empty", None))
+                continue
+            rows = save(compile_table(spark, table, ids, test_rows=test_rows, watch=counts), f"{out}/{name}", file_format, mode)
+            reports.append(TableReport(name, "written", rows, stages=counts.rows() if count_stages else ()))
         except Exception as error:  # noqa: BLE001  any error of one table, of its description or its data
             if strict:
                 raise
@@ -63,23 +108,25 @@ def compile_cohort(spec: PipelineSpec, tables: dict[str, DataFrame], dedupe: boo
 
 
 def build_dataset(
-    spark: SparkSession, spec: PipelineSpec, out: str, splits: Mapping[str, float] = SPLITS, exact: bool = False, splits_json: str | None = None, name: str = "dataset", version: str = "1.0", strict: bool = False
+    spark: SparkSession, spec: PipelineSpec, out: str, splits: Mapping[str, float] = SPLITS, exact: bool = False, splits_json: str | None = None, name: str = "dataset", version: str = "1.0", strict: bool = False,
+    id_map: str | None = None, rows_per_file: int = FILE_ROWS,
 ) -> list[TableReport]:
     """Raw files to a written dataset in one call: event tables below ``out/tables``, the cohort by split in ``out/data``,
     code metadata, subject splits and dataset metadata (JSON) below ``out/metadata``.
 
     Every step reads what the one before wrote. Tables that failed are left out of the cohort, as their reports say.
-    ``splits_json`` names a file of split names and subject ids that go before the fractions.
+    ``splits_json`` names a file of split names and subject ids that go before the fractions; ``id_map`` a map of ids that
+    outlives the run; ``rows_per_file`` says how many events a file of the cohort is to hold.
     """
-    reports = run_pipeline(spark, spec, f"{out}/tables", strict=strict)
+    reports = run_pipeline(spark, spec, f"{out}/tables", strict=strict, id_map=id_map)
     done = {r.table for r in reports if r.status == "written"}
     events_ = {name_: specs for name_, specs in spec.events.items() if name_ in done}
     tables = {name_: spark.read.parquet(f"{out}/tables/{name_}") for name_ in events_}
     given = read_splits(spark, splits_json) if splits_json else None
     split_subjects(spark.read.parquet(f"{out}/tables/subject"), splits, exact, given).write.mode("overwrite").parquet(f"{out}/metadata/subject_splits")
     by_subject = spark.read.parquet(f"{out}/metadata/subject_splits")
-    write_cohort(compile_cohort(replace(spec, events=events_), tables), by_subject, f"{out}/data")
-    whole = spark.read.parquet(f"{out}/data").drop("split")
+    write_cohort(compile_cohort(replace(spec, events=events_), tables), by_subject, f"{out}/data", rows_per_file=rows_per_file)
+    whole = spark.read.parquet(f"{out}/data").drop("split", "shard")
     code_metadata(whole).write.mode("overwrite").parquet(f"{out}/metadata/codes")
     write_metadata(dataset_metadata(whole, by_subject, name, version), f"{out}/metadata/dataset")
     return reports
@@ -88,3 +135,15 @@ def build_dataset(
 def report_table(spark: SparkSession, reports: list[TableReport]) -> DataFrame:
     rows = [(r.table, r.status, r.rows, r.message) for r in reports]
     return spark.createDataFrame(rows, "table string, status string, rows bigint, message string").select(F.col("table"), "status", "rows", "message")
+
+
+def stage_table(spark: SparkSession, reports: list[TableReport]) -> DataFrame:
+    """(table, place, stage, rows, lost): rows of every written table after each of its stages, and how many fewer than
+    after the one before; negative where a stage multiplies rows."""
+    rows = []
+    for r in reports:
+        before = None
+        for place, (stage, n) in enumerate(r.stages):
+            rows.append((r.table, place, stage, n, before - n if None not in (before, n) else None))
+            before = n
+    return spark.createDataFrame(rows, "table string, place int, stage string, rows bigint, lost bigint")

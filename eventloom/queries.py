@@ -15,16 +15,16 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.errors import MissingColumns
+from eventloom.errors import MissingColumns, SpecError
 from eventloom.functions import columns as C
 from eventloom.functions import times as T
 from eventloom.operators import audit, cohort, labs, lookups, shape, subjects
-from eventloom.plans.run import build_dataset, compile_cohort, compile_subjects, report_table, run_pipeline
+from eventloom.plans.run import build_dataset, compile_cohort, compile_subjects, report_table, run_pipeline, stage_table
 from eventloom.plans.spec import DateTimeSpec, EventSpec, FileSpec, FillSpec, LookupSpec, MeltSpec, PipelineSpec, TableSpec
 from eventloom.plans.tables import compile_table
 from eventloom.sources.readers import read_table
 from eventloom.sources.writers import save
-from eventloom.streaming.ingest import ingest
+from eventloom.streaming.ingest import ingest, ingest_table
 from eventloom.work import shared_folder
 
 side = partial(LookupSpec, drop_source=True)
@@ -123,12 +123,17 @@ def required_columns(spark, d):
 
 
 @query(
-    """SELECT p_partkey, CAST(p_size AS VARCHAR) AS size,
-       CASE WHEN p_retailprice = floor(p_retailprice) THEN CAST(CAST(p_retailprice AS BIGINT) AS VARCHAR) END AS price, CAST(NULL AS VARCHAR) AS name FROM part"""
+    """SELECT p_partkey, CAST(p_size AS VARCHAR) AS size, CAST(9007199254740993 + p_partkey AS VARCHAR) AS long_id, CAST(1234567890123456789 - p_partkey AS VARCHAR) AS longest,
+       CASE WHEN p_retailprice = floor(p_retailprice) THEN CAST(CAST(p_retailprice AS BIGINT) AS VARCHAR) END AS price, CAST(p_size * 1000 AS VARCHAR) AS exponent, CAST(NULL AS VARCHAR) AS name FROM part"""
 )
 def strip_zeros(spark, d):
-    padded = F.lpad(F.col("p_size").cast("string"), 6, "0")
-    return table(spark, d, "part").select("p_partkey", C.strip_zeros(padded).alias("size"), C.strip_zeros(F.col("p_retailprice").cast("string")).alias("price"), C.strip_zeros(F.col("p_name")).alias("name"))
+    """Padded numbers, ids of 17 and of 19 digits, prices, numbers with an exponent, and names."""
+    key, size = F.col("p_partkey").cast("bigint"), F.col("p_size").cast("string")
+    long_id = F.concat(F.lit(" 00"), (F.lit(9007199254740993) + key).cast("string"), F.lit(".00"))
+    return table(spark, d, "part").select(
+        "p_partkey", C.strip_zeros(F.lpad(size, 6, "0")).alias("size"), C.strip_zeros(long_id).alias("long_id"), C.strip_zeros(F.lit(1234567890123456789) - key).alias("longest"),
+        C.strip_zeros(F.col("p_retailprice").cast("string")).alias("price"), C.strip_zeros(F.concat(size, F.lit("e3"))).alias("exponent"), C.strip_zeros(F.col("p_name")).alias("name"),
+    )
 
 
 @query("SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'open' WHEN 'F' THEN 'finished' END AS status FROM orders")
@@ -272,6 +277,34 @@ def lookup_combined(spark, d):
     return compile_table(spark, TableSpec(spec.file, spec.rename, lookups=spec.lookups[:2], dedupe=False))
 
 
+@query("SELECT l_linenumber AS line, o_custkey AS person, c_name AS name, o_orderdate AS timestamp FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey")
+def lookup_combined_apart(spark, d):
+    """Two lookups of one file with another between them, of which only the last drops the key: one join, the key goes at last."""
+    orders = FileSpec(f"{d}/orders.parquet")
+    looks = (
+        LookupSpec(orders, "contact_id", "o_orderkey", {"o_custkey": "person"}),
+        LookupSpec(FileSpec(f"{d}/customer.parquet"), "person", "c_custkey", {"c_name": "name"}),
+        side(orders, "contact_id", "o_orderkey", {"o_orderdate": "timestamp"}),
+    )
+    return compile_table(spark, TableSpec(FileSpec(f"{d}/lineitem.parquet"), {"l_orderkey": "contact_id", "l_linenumber": "line"}, lookups=looks, dedupe=False))
+
+
+@query(
+    """SELECT o.o_orderkey AS first, o.o_totalprice AS price, o.o_custkey AS x, p.o_orderstatus AS status
+       FROM orders o JOIN orders p ON p.o_orderkey = o.o_custkey"""
+)
+def lookup_key_rewritten(spark, d):
+    """The column by which a file is joined is written anew between two lookups of that file: they stay two joins."""
+    orders = FileSpec(f"{d}/orders.parquet")
+    looks = (
+        LookupSpec(orders, "x", "o_orderkey", {"o_totalprice": "price"}),
+        LookupSpec(orders, "first", "o_orderkey", {"o_custkey": "x"}),
+        LookupSpec(orders, "x", "o_orderkey", {"o_orderstatus": "status"}),
+    )
+    raw = table(spark, d, "orders").select(F.col("o_orderkey").alias("first"), F.col("o_orderkey").alias("x"))
+    return compile_table(spark, TableSpec(FileSpec("orders"), {"first": "first", "x": "x"}, lookups=looks, dedupe=False), raw=raw)
+
+
 @query(
     """SELECT l_partkey AS code, l_linenumber AS line, o_orderdate AS timestamp, c_name AS subject_id
        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"""
@@ -294,6 +327,21 @@ def subject_ids(spark, d):
     return subjects.subject_ids(table(spark, d, "customer"), "c_name")
 
 
+@query(
+    """WITH f AS (SELECT DISTINCT c_name FROM customer WHERE c_custkey % 3 <> 0), g AS (SELECT DISTINCT c_name FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 4 <> 0 AND c_name NOT IN (SELECT c_name FROM f)),
+       h AS (SELECT DISTINCT c_name FROM customer WHERE c_name NOT IN (SELECT c_name FROM f UNION ALL SELECT c_name FROM g))
+       SELECT c_name AS source_id, dense_rank() OVER (ORDER BY c_name) + 1 AS subject_id, 1 AS version FROM f
+       UNION ALL SELECT c_name, (SELECT count(*) FROM f) + dense_rank() OVER (ORDER BY c_name) + 1, 2 FROM g
+       UNION ALL SELECT c_name, (SELECT count(*) FROM f) + (SELECT count(*) FROM g) + dense_rank() OVER (ORDER BY c_name) + 1, 3 FROM h"""
+)
+def subject_ids_kept(spark, d):
+    """A map over four loads, each with ids of the earlier ones: they keep their numbers, new ones follow; the last has none."""
+    customer, path = table(spark, d, "customer"), scratch(spark, "ids")
+    for load in ("c_custkey % 3 <> 0", "c_custkey % 4 <> 0", "true", "c_custkey % 2 = 0"):
+        out = subjects.extend_id_map(customer.filter(load), "c_name", path)
+    return out.select("source_id", "subject_id", "version")
+
+
 @query(
     """WITH m AS (SELECT c_name, dense_rank() OVER (ORDER BY c_name) + 1 AS id FROM (SELECT DISTINCT c_name FROM customer WHERE c_custkey % 5 <> 0))
        SELECT m.id AS subject_id, o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey JOIN m USING (c_name)"""
@@ -476,6 +524,25 @@ def normalize_single_column(spark, d):
     return labs.apply(df.withColumn("code", F.when(F.col("event_id") % 7 == 0, F.lit("absent")).otherwise(F.col("code"))), stats, "quantile", 2, single_column=True)
 
 
+@query(
+    """SELECT 'another method' AS asked, 'minmax' AS saved, count(DISTINCT event_type) AS codes FROM events
+       UNION ALL SELECT 'other points', 'quantile', count(DISTINCT event_type) FROM events UNION ALL SELECT 'the same', 'quantile', count(DISTINCT event_type) FROM events"""
+)
+def normalize_saved_statistics(spark, d):
+    """Saved statistics serve the method and the points that they were fitted for, and no other."""
+    df, out = values(spark, d), []
+    for asked, saved, n, wanted in (("another method", "minmax", 10, "quantile"), ("other points", "quantile", 4, "quantile"), ("the same", "quantile", 10, "quantile")):
+        path = scratch(spark, "statistics")
+        labs.save_statistics(labs.fit(df, saved, n), path, saved, n)
+        try:
+            labs.normalise(df, wanted, 10, statistics=path)
+            found = asked == "the same"
+        except SpecError:
+            found = asked != "the same"
+        out.append(spark.read.parquet(path).agg(F.lit(asked).alias("asked"), F.lit(saved).alias("saved"), F.count("*").alias("codes")).filter(F.lit(found)))
+    return shape.stack(*out)
+
+
 BUCKET = "(('0x' || substr(md5(CAST({} AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0)"
 
 
@@ -568,6 +635,15 @@ def split_override(spark, d):
     return cohort.split_subjects(customer, override=given, id_column="c_custkey")
 
 
+@query(f"SELECT c_custkey AS subject_id, CASE WHEN c_custkey % 6 = 0 THEN 'tuning' ELSE x.split END AS split FROM (SELECT c_custkey, {SPLIT_CASE.format(BUCKET.format('c_custkey'))} FROM customer) x")
+def split_override_repeated(spark, d):
+    """Subjects that are named several times for one split, and others that there are not."""
+    given = table(spark, d, "orders").filter("o_custkey % 6 = 0").select(F.col("o_custkey").alias("subject_id"), F.lit("tuning").alias("split"))
+    more = table(spark, d, "customer").filter("c_custkey % 6 = 0").select(F.col("c_custkey").alias("subject_id"), F.lit("tuning").alias("split"))
+    absent = more.select((-1 - F.col("subject_id")).alias("subject_id"), F.lit("train").alias("split"))
+    return cohort.split_subjects(table(spark, d, "customer"), override=shape.stack(given, more, absent), id_column="c_custkey")
+
+
 @query(
     f"""SELECT subject_id, time, code, numeric_value, split
        FROM ({COHORT_SQL}) JOIN (SELECT c_custkey AS subject_id, {SPLIT_CASE.format(BUCKET.format("c_custkey"))} FROM customer) USING (subject_id)"""
@@ -578,6 +654,35 @@ def cohort_written(spark, d):
     return spark.read.parquet(path).select("subject_id", "time", "code", "numeric_value", F.col("split").cast("string").alias("split"))
 
 
+SIZED = 1500  # events of one file
+
+
+@query(
+    f"""WITH e AS ({COHORT_SQL}), s AS (SELECT c_custkey AS subject_id, {SPLIT_CASE.format(BUCKET.format("c_custkey"))} FROM customer)
+       SELECT split, count(*) AS n_events, count(DISTINCT subject_id) AS n_subjects, CAST(count(DISTINCT subject_id) AS BIGINT) AS places, CAST(ceil(count(*) / {SIZED}.0) AS BIGINT) AS files, true AS alike FROM e JOIN s USING (subject_id) GROUP BY split"""
+)
+def cohort_by_size(spark, d):
+    """Files by events: as many as the wanted size asks for, the largest at most twice the smallest, each subject in one."""
+    path = scratch(spark, "cohort")
+    cohort.write_cohort(whole_cohort(spark, d), split_hash(spark, d), path, rows_per_file=SIZED)
+    back = spark.read.parquet(path).withColumn("file", F.input_file_name())
+    sizes = back.groupBy("split", "file").agg(F.count("*").alias("n"), F.count_distinct("subject_id").alias("subjects"))
+    per_split = sizes.groupBy("split").agg(F.sum("n").alias("n_events"), F.sum("subjects").alias("places"), F.count("*").alias("files"), (F.max("n") <= 2 * F.min("n")).alias("alike"))
+    people = back.groupBy("split").agg(F.count_distinct("subject_id").alias("n_subjects"))
+    return per_split.join(people, "split").select(F.col("split").cast("string").alias("split"), "n_events", "n_subjects", "places", "files", "alike")
+
+
+@query(SQL["cohort_written"])
+def cohort_merged(spark, d):
+    """A cohort of two thirds of the events, into which those of later times are merged, with some that it has already."""
+    path, whole, splits = scratch(spark, "cohort"), whole_cohort(spark, d), split_hash(spark, d)
+    part = F.pmod(F.hash("subject_id", "time", "code"), F.lit(3))
+    early = F.col("subject_id") % 10 < 8
+    cohort.write_cohort(whole.filter(early & (part < 2)), splits, path, rows_per_file=SIZED)
+    cohort.merge_cohort(whole.filter(~early | (part > 0)), splits, path)
+    return spark.read.parquet(path).select("subject_id", "time", "code", "numeric_value", F.col("split").cast("string").alias("split"))
+
+
 METADATA_SQL = """SELECT code, count(*) AS n_events, count(DISTINCT subject_id) AS n_subjects, count(numeric_value) AS n_values, round(sum(CAST(numeric_value AS DOUBLE)), 2) AS value_sum,
 min(CAST(numeric_value AS DOUBLE)) AS value_min, max(CAST(numeric_value AS DOUBLE)) AS value_max FROM ({}) GROUP BY code"""
 
@@ -678,6 +783,27 @@ def pipeline_report(spark, d):
     return report_table(spark, run_pipeline(spark, clinic(d), scratch(spark, "clinic"))).drop("message")
 
 
+LOST = """WITH p AS (SELECT c_name, c_custkey FROM customer WHERE c_custkey % 5 <> 0),
+l AS (SELECT l_partkey, l_quantity, o_orderdate, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
+s AS (SELECT o_custkey, o_orderdate, 'S/' || o_orderstatus AS code FROM orders JOIN customer ON o_custkey = c_custkey UNION ALL SELECT o_custkey, o_orderdate, 'P/' || o_orderpriority FROM orders JOIN customer ON o_custkey = c_custkey),
+n AS (SELECT 'labs' AS "table", 0 AS place, 'read' AS stage, count(*) AS rows FROM lineitem UNION ALL SELECT 'labs', 1, 'lookups', count(*) FROM l
+  UNION ALL SELECT 'labs', 2, 'known', count(*) FROM l JOIN p ON o_custkey = c_custkey UNION ALL SELECT 'labs', 3, 'complete', count(*) FROM l JOIN p ON o_custkey = c_custkey
+  UNION ALL SELECT 'labs', 4, 'distinct', count(*) FROM (SELECT DISTINCT l_partkey, l_quantity, o_orderdate, o_custkey FROM l JOIN p ON o_custkey = c_custkey)
+  UNION ALL SELECT 'stays', 0, 'read', count(*) FROM orders UNION ALL SELECT 'stays', 1, 'lookups', count(*) FROM orders JOIN customer ON o_custkey = c_custkey UNION ALL SELECT 'stays', 2, 'shaped', count(*) FROM s
+  UNION ALL SELECT 'stays', 3, 'known', count(*) FROM s JOIN p ON o_custkey = c_custkey UNION ALL SELECT 'stays', 4, 'complete', count(*) FROM s JOIN p ON o_custkey = c_custkey
+  UNION ALL SELECT 'stays', 5, 'distinct', count(*) FROM (SELECT DISTINCT o_custkey, o_orderdate, code FROM s JOIN p ON o_custkey = c_custkey))
+SELECT "table", CAST(place AS INTEGER) AS place, stage, rows, lag(rows) OVER (PARTITION BY "table" ORDER BY place) - rows AS lost FROM n"""
+
+
+@query(LOST)
+def pipeline_stage_counts(spark, d):
+    """Rows that each stage of each table loses, counted while the tables are written; a fifth of the people is unknown."""
+    people = scratch(spark, "people")
+    save(table(spark, d, "customer").filter("c_custkey % 5 <> 0"), people)
+    spec = replace(clinic(d), patients=FileSpec(people, "parquet"))
+    return stage_table(spark, run_pipeline(spark, spec, scratch(spark, "clinic")))
+
+
 CLINIC_SQL = f"""SELECT id AS subject_id, CAST(NULL AS TIMESTAMP) AS time, 'GENDER//' || c_mktsegment AS code, CAST(NULL AS FLOAT) AS numeric_value FROM {IDS_SQL} JOIN customer USING (c_custkey)
 UNION ALL SELECT subject_id, timestamp, code, CAST(numeric_value AS FLOAT) FROM ({TABLE_SQL})
 UNION ALL SELECT DISTINCT id, o_orderdate, 'S/' || o_orderstatus, CAST(NULL AS FLOAT) FROM orders JOIN {IDS_SQL} ON o_custkey = c_custkey
@@ -791,6 +917,18 @@ def incremental_ingest(spark, d):
     return spark.read.parquet(target).drop("batch")
 
 
+@query("SELECT DISTINCT user_id AS subject_id, 'E/' || event_type AS code, ts AS timestamp FROM events")
+def incremental_ingest_repeats(spark, d):
+    """Half of the events lands first, all of them later: through a described table, no written row repeats an earlier one."""
+    source, target = scratch(spark, "landing"), scratch(spark, "ingested")
+    df = table(spark, d, "events").select("event_id", "user_id", "event_type", "ts")
+    spec = TableSpec(FileSpec(source, "parquet"), {"user_id": "subject_id", "event_type": "code", "ts": "timestamp"}, code_prefix="E/")
+    for landed in (df.filter("event_id % 2 = 0"), df):
+        save(landed, source, mode="append")
+        ingest_table(spark, spec, df.schema, target, f"{target}-state", day_of="timestamp").awaitTermination()
+    return spark.read.parquet(target).select("subject_id", "code", "timestamp")
+
+
 def entry(spark: SparkSession, d: str) -> DataFrame:
     """The flagship: lab results through contacts to people, numbered, cleaned, turned into events, counted by code."""
     return pipeline_cohort(spark, d)
