@@ -145,6 +145,30 @@ def code_metadata(events_: DataFrame) -> DataFrame:
     )
 
 
+def code_states(events_: DataFrame) -> DataFrame:
+    """(code, bucket, subjects, n, k, s, q, lo, hi): what ``code_metadata`` needs of these events, in a form that adds up.
+
+    Subjects of a code are bitmaps of their dense ids, one for each bucket of 32,768 ids (4 kB at most), so a code's
+    subjects spread over as many rows as its ids over buckets. Only subjects with a number of 1 or more can be held.
+    """
+    v, bit = F.col("numeric_value").cast("double"), F.bitmap_bit_position("subject_id")
+    return events_.groupBy("code", F.bitmap_bucket_number("subject_id").alias("bucket")).agg(
+        F.bitmap_construct_agg(bit).alias("subjects"), F.count("*").alias("n"), F.count(v).alias("k"), F.sum(v).alias("s"), F.sum(v * v).alias("q"), F.min(v).alias("lo"), F.max(v).alias("hi")
+    )
+
+
+def merged_states(*states: DataFrame) -> DataFrame:
+    """The states of all events behind several; a subject that several of them know counts once."""
+    return stack(*states).groupBy("code", "bucket").agg(F.bitmap_or_agg("subjects").alias("subjects"), *(f(c).alias(c) for f, c in ((F.sum, "n"), (F.sum, "k"), (F.sum, "s"), (F.sum, "q"), (F.min, "lo"), (F.max, "hi"))))
+
+
+def metadata_of_states(states: DataFrame) -> DataFrame:
+    """``code_metadata`` of the events behind the states, which are not read again. Events must not lie in two of them."""
+    return states.groupBy("code").agg(
+        F.sum("n").alias("n_events"), F.sum(F.bitmap_count("subjects")).alias("n_subjects"), F.sum("k").alias("n_values"), F.sum("s").alias("value_sum"), F.sum("q").alias("value_sum_sq"), F.min("lo").alias("value_min"), F.max("hi").alias("value_max")
+    )
+
+
 def dataset_metadata(events_: DataFrame, splits: DataFrame, name: str, version: str) -> DataFrame:
     """One row: dataset_name, dataset_version, n_events, n_subjects, and subjects of each split as a map."""
     per_subject = events_.groupBy("subject_id").agg(F.count("*").alias("n"))

@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 
 from eventloom.errors import SpecError
 from eventloom.functions.columns import named, to_number
-from eventloom.operators.shape import require
+from eventloom.operators.shape import require, stack
 from eventloom.work import materialised
 
 METHODS = ("minmax", "quantile", "category")
 LOW, HIGH = 0.01, 0.99
 #: Different values of one code that one task sorts.
 TASK_VALUES = 2_000_000
+#: Size of a sketch: the larger, the closer its ranks.
+SKETCH_K = 800
 
 
 def cut_points(method: str, n: int = 10) -> list[float]:
@@ -92,6 +94,26 @@ def fit(df: DataFrame, method: str = "minmax", n: int = 10, code: str = "code",
     return (percentiles_sorted if how == "sorted" else percentiles)(counted, points)
 
 
+def sketches(df: DataFrame, code: str = "code", value: str = "numeric_value", k: int = SKETCH_K) -> DataFrame:
+    """(code, sketch): a quantile sketch of each code's numbers, of a size that ``k`` bounds whatever their number.
+
+    Sketches of several loads can be saved and merged, so that statistics follow new data without reading the old. A rank
+    that a sketch gives is within about 2.3 / k ** 0.9 of the true one (k = 800: 0.6 percent), with 99 percent confidence.
+    """
+    return numeric_values(df, code, value).groupBy("code").agg(F.kll_sketch_agg_double("v", F.lit(k)).alias("sketch"))
+
+
+def merged_sketches(*parts: DataFrame) -> DataFrame:
+    """Sketches of the numbers of all parts together."""
+    return stack(*parts).groupBy("code").agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def fit_sketches(sketched: DataFrame, method: str = "minmax", n: int = 10) -> DataFrame:
+    """(code, cuts, n_values): cut points from sketches, for ``apply`` and ``save_statistics``; they are values that occur."""
+    points = F.array(*map(F.lit, cut_points(method, n)))
+    return sketched.select("code", F.kll_sketch_get_quantile_double("sketch", points).alias("cuts"), F.kll_sketch_get_n_double("sketch").alias("n_values"))
+
+
 def quantile_label(v: Column, cuts: Column, points: int, labels: int) -> Column:
     """Q1 for values up to the first of ``points`` cut points, and so on; above all of them the last label."""
     out = F.when(v <= cuts[0], "Q1")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +19,7 @@ from eventloom.operators.layout import FILE_ROWS, write_cohort
 from eventloom.operators.shape import select_rename
 from eventloom.operators.subjects import extend_id_map, known_patients, map_subjects, subject_ids
 from eventloom.plans.lint import lint
-from eventloom.plans.spec import PipelineSpec
+from eventloom.plans.spec import PipelineSpec, TableSpec
 from eventloom.plans.tables import compile_table, read_file, unwatched
 from eventloom.sources.writers import save
 
@@ -65,40 +68,84 @@ def compile_subjects(spark: SparkSession, spec: PipelineSpec, raw: DataFrame | N
     return map_subjects(patients, id_map), id_map
 
 
+RECORD = "table string, status string, rows bigint, message string, stages array<struct<stage: string, rows: bigint>>, description string"
+
+
+def described(*parts) -> str:
+    """A digest of descriptions and settings; equal ones have equal digests."""
+    return hashlib.sha256(repr(parts).encode()).hexdigest()
+
+
+def recorded(spark: SparkSession, out: str, name: str, description: str) -> TableReport | None:
+    """The report of a table that an earlier run has finished from the same description; None if there is none."""
+    try:
+        r = spark.read.schema(RECORD).json(f"{out}/reports/{name}").first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    if r is None or r["description"] != description:
+        return None
+    return TableReport(r["table"], r["status"], r["rows"], r["message"] or "", tuple((x["stage"], x["rows"]) for x in r["stages"] or ()))
+
+
+def record(spark: SparkSession, out: str, report: TableReport, description: str) -> TableReport:
+    row = (report.table, report.status, report.rows, report.message, list(report.stages), description)
+    spark.createDataFrame([row], RECORD).coalesce(1).write.mode("overwrite").json(f"{out}/reports/{report.table}")
+    return report
+
+
 def run_pipeline(
-    spark: SparkSession, spec: PipelineSpec, out: str, file_format: str = "parquet", mode: str = "overwrite", strict: bool = False, skip_empty: bool = False, test_rows: int | None = None, id_map: str | None = None, count_stages: bool = True
-) -> list[TableReport]:
+    spark: SparkSession, spec: PipelineSpec, out: str, file_format: str = "parquet", mode: str = "overwrite", strict: bool = False, skip_empty: bool = False, test_rows: int | None = None,
+    id_map: str | None = None, count_stages: bool = True, at_once: int = 1, resume: bool = False,
+) -> list[TableReport]:
     """Write the id map, the subject table and every event table below ``out``; one report a table, with its rows after
     each stage unless ``count_stages`` is off.
 
     ``id_map`` names a map that outlives the run: ids in it keep their numbers, new ones are added (``extend_id_map``).
-    Without it ids are numbered anew, which rows that are appended to earlier ones can't do with.
+    Without it ids are numbered anew, which rows that are appended to earlier ones can't do with. So many tables as
+    ``at_once`` says are written at the same time, which fills executors that small tables leave idle. With ``resume``, what
+    an earlier run has finished from the same descriptions and ids is left as it is, and only the rest runs; it trusts that
+    the raw files are the same. Reports of finished tables are kept in ``out``/reports for that.
     """
     if mode == "append" and not id_map:
         raise SpecError("rows are appended to those of other runs, so ids need the numbers of those: name an id_map")
+    if mode == "append" and resume:
+        raise SpecError("a run that appends can't be resumed: a table that failed half-way may have rows already")
     for warning in lint(spec):
         log.warning(warning)
+    subjects = described(spec.patients, dict(spec.patients_rename), file_format, id_map)
+    done = recorded(spark, out, "subject", subjects) if resume else None
     patients = known_patients(select_rename(read_file(spark, spec.patients, list(spec.patients_rename)), spec.patients_rename))
     if id_map:
         ids = extend_id_map(patients, "subject_id", id_map)
+        version = ids.agg(F.max("version")).first()[0]
     else:
-        save(subject_ids(patients, "subject_id"), f"{out}/id_map", "parquet", "overwrite")
-        ids = spark.read.parquet(f"{out}/id_map")
-    reports = [TableReport("subject", "written", save(map_subjects(patients, ids), f"{out}/subject", file_format, mode))]
-    for name, table in spec.tables.items():
+        if not done:
+            save(subject_ids(patients, "subject_id"), f"{out}/id_map", "parquet", "overwrite")
+        ids, version = spark.read.parquet(f"{out}/id_map"), 0
+    if done is None:
+        done = record(spark, out, TableReport("subject", "written", save(map_subjects(patients, ids), f"{out}/subject", file_format, mode)), subjects)
+
+    def one(name: str, table: TableSpec) -> TableReport:
+        description = described(table, subjects, version, test_rows, skip_empty)
+        found = recorded(spark, out, name, description) if resume else None
+        if found and found.status in ("written", "empty"):
+            return found
         try:
             counts = StageCounts() if count_stages else unwatched
             if skip_empty and compile_table(spark, table, ids, test_rows=test_rows).isEmpty():
-                reports.append(TableReport(name, "empty", None))
-                continue
+                return record(spark, out, TableReport(name, "empty", None), description)
             rows = save(compile_table(spark, table, ids, test_rows=test_rows, watch=counts), f"{out}/{name}", file_format, mode)
-            reports.append(TableReport(name, "written", rows, stages=counts.rows() if count_stages else ()))
+            return record(spark, out, TableReport(name, "written", rows, stages=counts.rows() if count_stages else ()), description)
         except Exception as error:  # noqa: BLE001  any error of one table, of its description or its data
             if strict:
                 raise
             log.warning("table %s failed: %s", name, error)
-            reports.append(TableReport(name, "failed", None, str(error).splitlines()[0][:500] if str(error) else type(error).__name__))
-    return reports
+            return record(spark, out, TableReport(name, "failed", None, str(error).splitlines()[0][:500] if str(error) else type(error).__name__), description)
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        return [done, *pool.map(one, spec.tables, spec.tables.values())]
 
 
 def compile_cohort(spec: PipelineSpec, tables: dict[str, DataFrame], dedupe: bool = True) -> DataFrame:
@@ -109,16 +156,17 @@ def compile_cohort(spec: PipelineSpec, tables: dict[str, DataFrame], dedupe: boo
 
 def build_dataset(
     spark: SparkSession, spec: PipelineSpec, out: str, splits: Mapping[str, float] = SPLITS, exact: bool = False, splits_json: str | None = None, name: str = "dataset", version: str = "1.0", strict: bool = False,
-    id_map: str | None = None, rows_per_file: int = FILE_ROWS,
+    id_map: str | None = None, rows_per_file: int = FILE_ROWS, at_once: int = 1, resume: bool = False,
 ) -> list[TableReport]:
     """Raw files to a written dataset in one call: event tables below ``out/tables``, the cohort by split in ``out/data``,
     code metadata, subject splits and dataset metadata (JSON) below ``out/metadata``.
 
     Every step reads what the one before wrote. Tables that failed are left out of the cohort, as their reports say.
     ``splits_json`` names a file of split names and subject ids that go before the fractions; ``id_map`` a map of ids that
-    outlives the run; ``rows_per_file`` says how many events a file of the cohort is to hold.
+    outlives the run; ``rows_per_file`` says how many events a file of the cohort is to hold; ``at_once`` and ``resume`` are
+    those of ``run_pipeline``.
     """
-    reports = run_pipeline(spark, spec, f"{out}/tables", strict=strict, id_map=id_map)
+    reports = run_pipeline(spark, spec, f"{out}/tables", strict=strict, id_map=id_map, at_once=at_once, resume=resume)
     done = {r.table for r in reports if r.status == "written"}
     events_ = {name_: specs for name_, specs in spec.events.items() if name_ in done}
     tables = {name_: spark.read.parquet(f"{out}/tables/{name_}") for name_ in events_}

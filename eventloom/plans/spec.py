@@ -62,6 +62,7 @@ class LookupSpec:
     drop_source: bool = False
     null_keys_match: bool = False
     dedupe: bool = False
+    salts: int = 0  # tasks for each frequent key and for rows without one; see ``lookup``
 
 
 @dataclass(frozen=True)

@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventloom.functions.columns import from_value_map, named, pad_suffix, prefixed, strip_zeros, to_number
 from eventloom.functions.times import combine_date_time, combine_parts, parse_time
@@ -59,7 +60,7 @@ def combined(lookups: list[LookupSpec]) -> list[LookupSpec]:
             out.append(look)
         else:
             first = out[at]
-            out[at] = replace(first, targets={**first.targets, **look.targets}, drop_source=first.drop_source or look.drop_source)
+            out[at] = replace(first, targets={**first.targets, **look.targets}, drop_source=first.drop_source or look.drop_source, salts=max(first.salts, look.salts))
     return out
 
 
@@ -91,11 +92,25 @@ def early_subjects(spec: TableSpec) -> bool:
     return spec.on_bad_time != "fail" and list(spec.rename.values()).count("subject_id") == 1 and "subject_id" not in touched(spec) and all(look.how in ("inner", "left") for look in spec.lookups)
 
 
+def subject_finder(spec: TableSpec, lookups: Sequence[LookupSpec]) -> int | None:
+    """The lookup whose side table can be cut down to known subjects before the join, with the same result: an inner one that
+    finds the subject, after which nothing reads or writes it and no join adds rows without it. Rows that it would find for
+    others are dropped at the end anyway, here they are not even joined."""
+    at = next((i for i in reversed(range(len(lookups))) if "subject_id" in lookups[i].targets.values()), None)
+    if at is None or lookups[at].how != "inner" or lookups[at].dedupe or spec.on_bad_time == "fail":
+        return None
+    later = lookups[at + 1 :]
+    rest = touched(replace(spec, lookups=()))
+    if "subject_id" in rest or any(look.on == "subject_id" or look.how not in ("inner", "left") for look in later) or lookups[at].on == "subject_id":
+        return None
+    return at
+
+
 def compile_table(spark: SparkSession, spec: TableSpec, id_map: DataFrame | None = None, raw: DataFrame | None = None, sides: dict[str, DataFrame] | None = None, test_rows: int | None = None, early: bool = True, watch: Watch = unwatched) -> DataFrame:
     """The event table of a description. ``raw`` and ``sides`` (by path) stand in for files that are tables already.
 
-    Ids are mapped at the end, or first where that gives the same rows; ``early`` off maps them at the end always.
-    ``watch`` gets the table after each stage that may change its number of rows, and its name: read, known (subjects),
+    Ids are mapped at the end, or first where that gives the same rows, and a lookup that finds subjects meets known ones
+    only where it does; ``early`` off does neither, and rows that are watched are those of all subjects. ``watch`` gets the table after each stage that may change its number of rows, and its name: read, known (subjects),
     lookups, shaped (melt and unroll), complete, distinct.
     """
     df = require(raw, list(spec.rename)).select(*map(named, spec.rename)) if raw is not None else read_file(spark, spec.file, list(spec.rename))
@@ -105,14 +120,18 @@ def compile_table(spark: SparkSession, spec: TableSpec, id_map: DataFrame | None
     df = df.withColumns({c: strip_zeros(named(c)) for c in spec.strip_zeros})
     df = df.withColumns({c: from_value_map(named(c), m) for c, m in spec.value_maps.items()})
     df = select_rename(df, spec.rename)
-    early = early and id_map is not None and early_subjects(spec)
+    early_known, early = early, early and id_map is not None and early_subjects(spec)
     if early:
         df = watch("known", map_subjects(df, id_map))
     lookups = combined(list(spec.lookups)) if spec.combine_lookups else list(spec.lookups)
-    for look, drop in zip(lookups, dropping(lookups), strict=True):
+    finder = subject_finder(spec, lookups) if early_known and id_map is not None and watch is unwatched else None
+    for i, (look, drop) in enumerate(zip(lookups, dropping(lookups), strict=True)):
         side = (sides or {}).get(look.file.path)
         side = side if side is not None else read_file(spark, look.file, [look.key, *look.targets])
-        df = lookup(df, side, look.on, look.key, look.targets, look.how, drop, look.null_keys_match, look.dedupe)
+        if i == finder:
+            found = next(c for c, name in look.targets.items() if name == "subject_id")
+            side = side.join(id_map.select(F.col("source_id").alias("__known")), named(found).cast("string") == F.col("__known"), "left_semi")
+        df = lookup(df, side, look.on, look.key, look.targets, look.how, drop, look.null_keys_match, look.dedupe, look.salts)
     df = watch("lookups", df) if lookups else df
     df = df.withColumns({c: pad_suffix(named(c), p["suffix"], p.get("unless_contains")) for c, p in spec.pad.items()})
     for f in spec.fill:
@@ -126,7 +145,7 @@ def compile_table(spark: SparkSession, spec: TableSpec, id_map: DataFrame | None
         require(df, [p.date, p.hour, p.minute])
         df = df.withColumn(p.target, combine_parts(named(p.date), named(p.hour), named(p.minute), kind=df.schema[p.date].dataType))
         df = df.drop(*({p.date, p.hour, p.minute} - {p.target})) if p.drop else df
-    if spec.code_prefix:
+    if spec.code_prefix and "code" in df.columns:
         df = df.withColumn("code", prefixed(named("code"), spec.code_prefix, spec.null_literal))
     df = unroll(df, spec.unroll, spec.keep_code, spec.null_literal) if spec.unroll else df
     df = watch("shaped", df) if spec.unroll or spec.melt else df

@@ -19,6 +19,7 @@ from eventloom.errors import MissingColumns, SpecError
 from eventloom.functions import columns as C
 from eventloom.functions import times as T
 from eventloom.operators import audit, cohort, labs, lookups, shape, subjects
+from eventloom.plans.config import pipeline_from
 from eventloom.plans.run import build_dataset, compile_cohort, compile_subjects, report_table, run_pipeline, stage_table
 from eventloom.plans.spec import DateTimeSpec, EventSpec, FileSpec, FillSpec, LookupSpec, MeltSpec, PipelineSpec, TableSpec
 from eventloom.plans.tables import compile_table
@@ -258,6 +259,18 @@ def lookup_fanout(spark, d):
     return looked_up(customer, table(spark, d, "orders"), "k", "o_custkey", {"o_orderdate": "timestamp"})
 
 
+@query(
+    """WITH l AS (SELECT l_orderkey AS o, l_linenumber, CASE WHEN l_orderkey % 10 = 0 THEN CASE WHEN l_linenumber < 4 THEN (SELECT min(o_orderkey) FROM orders) ELSE l_orderkey END END AS contact FROM lineitem)
+       SELECT o, l_linenumber, o_custkey AS person FROM l LEFT JOIN orders ON contact = o_orderkey"""
+)
+def lookup_salted(spark, d):
+    """Nine rows in ten have no contact, and of the rest half have the same."""
+    first = table(spark, d, "orders").agg(F.min("o_orderkey")).first()[0]
+    contact = F.when(F.col("l_orderkey") % 10 == 0, F.when(F.col("l_linenumber") < 4, F.lit(first)).otherwise(F.col("l_orderkey")))
+    df = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o"), "l_linenumber", contact.alias("contact"))
+    return looked_up(df, table(spark, d, "orders"), "contact", "o_orderkey", {"o_custkey": "person"}, "left", salts=32)
+
+
 LAB = {"l_orderkey": "contact_id", "l_partkey": "code", "l_linenumber": "line"}
 
 
@@ -445,6 +458,18 @@ def lab_range_approx(spark, d):
     return v.join(stats, "code").groupBy("code").agg(share("lo", 0.01).alias("p01_near"), share("hi", 0.99).alias("p99_near"))
 
 
+@query("SELECT event_type AS code, count(value) AS n_values, true AS p01_near, true AS p99_near FROM events GROUP BY event_type")
+def lab_range_merged(spark, d):
+    """Cut points from the saved sketches of two loads: their ranks among all values are the asked ones, within the stated error."""
+    v, paths, allowed = values(spark, d), [scratch(spark, "sketches") for _ in range(2)], 0.006
+    for part, path in enumerate(paths):
+        save(labs.sketches(v.filter(F.col("event_id") % 2 == part)), path)
+    stats = labs.fit_sketches(labs.merged_sketches(*map(spark.read.parquet, paths)))
+    stats = stats.select("code", "n_values", F.col("cuts")[0].alias("lo"), F.col("cuts")[1].alias("hi"))
+    near = lambda c, p: (F.avg((F.col("numeric_value") < F.col(c)).cast("double")) <= p + allowed) & (F.avg((F.col("numeric_value") <= F.col(c)).cast("double")) >= p - allowed)
+    return v.join(stats, "code").groupBy("code", "n_values").agg(near("lo", 0.01).alias("p01_near"), near("hi", 0.99).alias("p99_near"))
+
+
 @query("SELECT event_type AS code, round(quantile_cont(value, 0.25), 6) AS q1, round(quantile_cont(value, 0.5), 6) AS q2, round(quantile_cont(value, 0.75), 6) AS q3 FROM events GROUP BY event_type")
 def lab_quartiles(spark, d):
     return rounded(labs.fit(values(spark, d), "category"), ["q1", "q2", "q3"])
@@ -692,6 +717,16 @@ def code_metadata(spark, d):
     return cohort.code_metadata(whole_cohort(spark, d)).withColumn("value_sum", F.round("value_sum", 2)).drop("value_sum_sq")
 
 
+@query(METADATA_SQL.format(COHORT_SQL))
+def code_metadata_merged(spark, d):
+    """Metadata of a cohort from the saved states of two loads, whose subjects overlap."""
+    whole, paths = whole_cohort(spark, d), [scratch(spark, "states") for _ in range(2)]
+    for part, path in enumerate(paths):
+        save(cohort.code_states(whole.filter(F.pmod(F.hash("code", "time", "numeric_value"), F.lit(2)) == part)), path)
+    states = cohort.merged_states(*map(spark.read.parquet, paths))
+    return cohort.metadata_of_states(states).withColumn("value_sum", F.round("value_sum", 2)).drop("value_sum_sq")
+
+
 @query(
     f"""WITH c AS ({COHORT_SQL}), s AS (SELECT c_custkey, {SPLIT_CASE.format(BUCKET.format("c_custkey"))} FROM customer)
        SELECT 'synthetic' AS dataset_name, '1.0' AS dataset_version, (SELECT count(*) FROM c) AS n_events, (SELECT count(DISTINCT subject_id) FROM c) AS n_subjects,
@@ -749,6 +784,16 @@ def pipeline_subject_lookup(spark, d):
     return compile_table(spark, spec, id_map, raw=raw)
 
 
+@query(
+    """WITH p AS (SELECT c_name, c_custkey, dense_rank() OVER (ORDER BY c_name) + 1 AS id FROM customer WHERE c_custkey % 7 = 0)
+       SELECT id AS subject_id, 'LAB/' || l_partkey AS code, o_orderdate AS timestamp, CAST(l_quantity AS DOUBLE) AS numeric_value FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN p ON o_custkey = c_custkey"""
+)
+def pipeline_known_early(spark, d):
+    """A seventh of the people is known: the lookup that finds subjects joins these alone."""
+    ids = subjects.subject_ids(table(spark, d, "customer").filter("c_custkey % 7 = 0"), "c_name")
+    return compile_table(spark, replace(lab_table(d), dedupe=False), ids).select("subject_id", "code", "timestamp", "numeric_value")
+
+
 @query(f"SELECT id AS subject_id, o_orderstatus AS code, o_orderdate AS timestamp FROM orders JOIN {IDS_SQL} ON o_custkey = c_custkey")
 def pipeline_subject_fill(spark, d):
     """Missing subject_ids are filled before ids are mapped."""
@@ -804,6 +849,42 @@ def pipeline_stage_counts(spark, d):
     return stage_table(spark, run_pipeline(spark, spec, scratch(spark, "clinic")))
 
 
+@query(SQL["pipeline_report"])
+def pipeline_resumed(spark, d):
+    """A second run, of several tables at once, takes over what the first has finished and only tries the broken table again."""
+    out = scratch(spark, "clinic")
+    run_pipeline(spark, clinic(d), out, at_once=2)
+    before = spark.read.parquet(f"{out}/labs").inputFiles()
+    reports = run_pipeline(spark, clinic(d), out, at_once=3, resume=True)
+    again = before != spark.read.parquet(f"{out}/labs").inputFiles()
+    return report_table(spark, [replace(r, status="again") if again else r for r in reports]).drop("message")
+
+
+CONFIG = {
+    "paths": {"raw": "${oc.env:RAW}"},
+    "align_timestamps": {"names": ["timestamp"], "format": "%Y-%m-%d %H:%M:%S"},
+    "patients_info": {"filename": "${paths.raw}/customer.parquet", "rename_columns": {"c_name": "subject_id"}},
+    "tables": {
+        "labs": {
+            "filename": "${paths.raw}/lineitem.parquet", "rename_columns": {"l_orderkey": "contact_id", "l_partkey": "code", "l_quantity": "numeric_value"}, "code_prefix": "LAB/", "numeric_columns": ["numeric_value"],
+            "mappings": [
+                {"source_column": "contact_id", "via_file": "${paths.raw}/orders.parquet", "join_on": "o_orderkey", "target_column": "o_custkey", "rename_to": "person"},
+                {"source_column": "contact_id", "via_file": "${paths.raw}/orders.parquet", "join_on": "o_orderkey", "target_column": "o_orderdate", "rename_to": "timestamp", "drop_source": True},
+                {"source_column": "person", "via_file": "${paths.raw}/customer.parquet", "join_on": "c_custkey", "target_column": "c_name", "rename_to": "subject_id", "drop_source": True},
+            ],
+        }
+    },
+}
+
+
+@query(TABLE_SQL)
+def pipeline_configuration(spark, d):
+    """A table of a nested configuration, as a YAML file holds it."""
+    spec = pipeline_from(CONFIG, env={"RAW": d})
+    _, id_map = compile_subjects(spark, spec)
+    return compile_table(spark, spec.tables["labs"], id_map).select("subject_id", "code", "timestamp", "numeric_value")
+
+
 CLINIC_SQL = f"""SELECT id AS subject_id, CAST(NULL AS TIMESTAMP) AS time, 'GENDER//' || c_mktsegment AS code, CAST(NULL AS FLOAT) AS numeric_value FROM {IDS_SQL} JOIN customer USING (c_custkey)
 UNION ALL SELECT subject_id, timestamp, code, CAST(numeric_value AS FLOAT) FROM ({TABLE_SQL})
 UNION ALL SELECT DISTINCT id, o_orderdate, 'S/' || o_orderstatus, CAST(NULL AS FLOAT) FROM orders JOIN {IDS_SQL} ON o_custkey = c_custkey

@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 from collections import Counter
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -11,12 +12,13 @@ from pyspark.sql import functions as F
 from conftest import rows
 from eventloom.errors import ConcurrentLoad, SpecError
 from eventloom.functions.columns import strip_zeros
-from eventloom.operators import cohort, labs
+from eventloom.operators import cohort, labs, lookups
 from eventloom.operators.layout import manifest_path, merge_cohort, read_manifest, write_cohort
 from eventloom.operators.subjects import extend_id_map, read_id_map
+from eventloom.plans.config import NULL_WORDS, dataset_options, pipeline_from, read_config, run_config
 from eventloom.plans.run import build_dataset, run_pipeline, stage_table
 from eventloom.plans.spec import EventSpec, FileSpec, LookupSpec, PipelineSpec, TableSpec
-from eventloom.plans.tables import combined, compile_table, dropping, early_subjects
+from eventloom.plans.tables import combined, compile_table, dropping, early_subjects, subject_finder
 from eventloom.streaming.ingest import ingest, ingest_table
 
 DAY = dt.datetime(2021, 1, 2)
@@ -119,6 +121,121 @@ def test_statistics_name_their_method(spark, tmp_path):
         labs.normalise(df, statistics=path + "5")
 
 
+def test_salted_lookups(spark):
+    rng = random.Random(8)
+    data = [(i, None if rng.random() < 0.6 else "hot" if rng.random() < 0.5 else f"k{rng.randrange(300)}") for i in range(6000)]
+    df = spark.createDataFrame(data, "i int, k string")
+    side = spark.createDataFrame([(f"k{i}", i) for i in range(200)] + [("hot", -1), ("hot", -2), (None, -3)], "key string, v int")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        for how in ("inner", "left"):
+            plain, salted = (lookups.lookup(df, side, "k", "key", {"v": "v"}, how, salts=n) for n in (0, 16))
+            assert plain.columns == salted.columns and rows(plain) == rows(salted)
+        sizes = sorted(r["count"] for r in salted.groupBy(F.spark_partition_id()).count().collect())
+        assert len(sizes) == 8 and sizes[-1] < 3 * sizes[4]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == threshold
+    for bad in ({"how": "right"}, {"null_keys_match": True}):
+        with pytest.raises(ValueError, match="salted"):
+            lookups.lookup(df, side, "k", "key", {"v": "v"}, salts=4, **bad)
+    assert lookups.lookup(df.limit(0), side, "k", "key", {"v": "v"}, salts=4).count() == 0
+
+
+def test_lookups_meet_known_subjects_only_where_rows_stay_the_same(spark):
+    rng, seen = random.Random(9), set()
+    df = spark.createDataFrame([(rng.choice(["c1", "c2", "c3", None]), rng.choice(["p1", "p9"]), rng.choice(["A", None]), "2021-01-02") for _ in range(30)], "c string, s string, k string, t string")
+    side = spark.createDataFrame([("c1", "p1", "c2"), ("c2", "p2", "c1"), ("c2", "p9", "c3"), ("c3", None, "c1"), ("p1", "p2", "c1")], "key string, p string, q string")
+    ids = spark.createDataFrame([("p1", 2), ("p2", 3), ("p2!", 4)], "source_id string, subject_id long")
+    for _ in range(40):
+        find = LookupSpec(FILES[0], rng.choice(["c", "c", "subject_id"]), "key", {"p": "subject_id"}, rng.choice(["inner", "inner", "left", "right"]), dedupe=rng.random() < 0.2)
+        more = rng.choice([(), (LookupSpec(FILES[0], rng.choice(["c", "subject_id"]), "key", {"q": "q"}, rng.choice(["inner", "left", "right"])),)])
+        spec = TableSpec(FileSpec("t"), {"c": "c", "s": "subject_id", "k": "code", "t": "timestamp"}, lookups=(find, *more), pad=rng.choice([{}, {}, {"subject_id": {"suffix": "!"}}]), dedupe=False)
+        early, late = (compile_table(spark, spec, ids, raw=df, sides={FILES[0].path: side}, early=e) for e in (True, False))
+        assert early.columns == late.columns and rows(early) == rows(late), spec
+        seen.add(subject_finder(spec, spec.lookups))
+    assert {None, 0} <= seen
+
+
+def test_states_and_sketches_add_up(spark):
+    df = spark.range(5000).selectExpr("concat('c', id % 3) as code", "cast(if(id % 5 = 0, null, id) as double) as numeric_value", "id % 800 + 2 as subject_id", "cast(null as timestamp_ntz) as time")
+    parts = [df.filter("numeric_value < 1000"), df.filter("not coalesce(numeric_value < 1000, false)"), df.limit(0)]
+    merged = cohort.metadata_of_states(cohort.merged_states(*map(cohort.code_states, parts)))
+    assert rows(merged) == rows(cohort.code_metadata(df).select(merged.columns))
+    far = spark.createDataFrame([(2**40, "x", 1.0), (2, "x", None), (2, "x", None)], "subject_id long, code string, numeric_value double")
+    assert cohort.metadata_of_states(cohort.code_states(far)).select("n_events", "n_subjects", "n_values").first() == (3, 2, 1)
+    cuts = labs.fit_sketches(labs.merged_sketches(*map(labs.sketches, parts)), "category").collect()
+    for r in cuts:
+        all_ = sorted(x.numeric_value for x in df.filter(f"code = '{r.code}' and numeric_value is not null").collect())
+        assert r.n_values == len(all_)
+        assert all(abs(sum(v <= c for v in all_) / len(all_) - p) < 0.006 for c, p in zip(r.cuts, (0.25, 0.5, 0.75), strict=True))
+
+
+# --- configurations
+
+
+def test_configurations(spark, tmp_path):
+    (tmp_path / "contacts.csv").write_text("cid|who|ended|clock\nc1|p1|2021-01-02|10:00:00\nc2|NA|2021-01-03|11:00:00\n", encoding="latin1")
+    (tmp_path / "diag.csv").write_text("cid|kode|art\nc1|D1|A\nc2|D2|B\n", encoding="latin1")
+    (tmp_path / "adm.csv").write_text("Køn,ind,ud,ward,spec\np1,2021-01-02,2021-01-05 12:00,W,01\n", encoding="utf-8")
+    (tmp_path / "people.csv").write_text("id,født\np1,1980-01-01\n", encoding="utf-8")
+    source = """
+paths: {root: "${oc.env:ROOT}", raw: "${paths.root}", output: "${paths.root}/${oc.env:OUT,out}"}
+logging: {level: INFO}
+write_file_type: parquet
+test: true
+chunksize: 10
+align_timestamps: {names: [timestamp], format: "%Y-%m-%d %H:%M:%S"}
+tables:
+  diag:
+    filename: ${paths.raw}/diag.csv
+    file_info: {sep: "|", encoding: latin1}
+    rename_columns: {cid: contact, kode: code, art: kind}
+    code_prefix: D/
+    unroll_columns: [{column: kind, prefix: K/}, {column: code, prefix: D2/}]
+    mappings:
+      - {source_column: contact, via_file: "${paths.raw}/contacts.parquet", join_on: cid, target_column: who, rename_to: subject_id}
+      - {source_column: contact, via_file: "${paths.raw}/contacts.parquet", join_on: cid, target_column: ended, rename_to: day}
+      - {source_column: contact, via_file: "${paths.raw}/contacts.parquet", join_on: cid, target_column: clock, rename_to: clock, drop_source: true}
+    combine_datetime: {timestamp: {date_col: day, time_col: clock, drop_original: true}}
+  adm:
+    filename: ${paths.raw}/adm.csv
+    rename_columns: {Køn: subject_id, ind: t_in, ud: t_out, ward: code, spec: spec}
+    normalize_columns: [spec]
+    value_map: {spec: {1: surgery}}
+    pad_values: {t_in: {suffix: " 00:00:00", unless_contains: ":"}}
+    melt_table: [{target_name: timestamp, source_cols: [t_in, t_out], prefix_col: code, prefix_map: {t_in: IN/, t_out: OUT/}}]
+    fillna: {code: {value: none}}
+patients_info:
+  filename: ${paths.raw}/people.csv
+  rename_columns: {id: subject_id, født: birthdate}
+"""
+    (tmp_path / "c.yaml").write_text(source, encoding="utf-8")
+    config, env = read_config(str(tmp_path / "c.yaml")), {"ROOT": str(tmp_path)}
+    spark.read.options(header=True, sep="|").csv(str(tmp_path / "contacts.csv")).write.parquet(str(tmp_path / "contacts.parquet"))
+    reports = {r.table: r for r in run_config(spark, config, env=env)}
+    assert {k: (r.status, r.rows) for k, r in reports.items()} == {"subject": ("written", 1), "diag": ("written", 2), "adm": ("written", 1)}
+    read = lambda name: spark.read.parquet(str(tmp_path / "out" / name))
+    assert rows(read("diag").select("subject_id", "code", "timestamp")) == [(2, "D2/D/D1", dt.datetime(2021, 1, 2, 10)), (2, "K/A", dt.datetime(2021, 1, 2, 10))]
+    assert rows(read("adm").select("code", "spec", "timestamp")) == [("IN/W", "surgery", DAY)]  # the other time has another form
+    assert pipeline_from(config, env=env).tables["diag"].file == FileSpec(f"{tmp_path}/diag.csv", sep="|", encoding="ISO-8859-1", null_words=NULL_WORDS)
+    for change, message in (({"tables": {"x": {**config["tables"]["adm"], "renam": {}}}}, "renam"), ({"paths": {}}, "has no value"), ({"paths": {"raw": "${paths.raw}"}}, "has no value")):
+        with pytest.raises(SpecError, match=message):
+            pipeline_from({**config, **change}, env=env)
+    with pytest.raises(SpecError, match="ROOT"):
+        pipeline_from(config, env={})
+    events = {"subject_id_col": "subject_id", "subject": {"subject_id_col": "pid", "dob": {"code": ["DOB"], "time": "col(birthdate)", "time_format": "%Y-%m-%d"}, "g": {"code": ["G", "col(g)"], "time": None}}, "diag": {"d": {"code": "col(code)", "time": "col(timestamp)", "numeric_value": "col(v)"}}}
+    spec = pipeline_from(config, events, env)
+    assert spec.events["subject"] == {"dob": EventSpec(("DOB",), "col(birthdate)", ("%Y-%m-%d",)), "g": EventSpec(("G", "col(g)"))}
+    assert spec.events["diag"] == {"d": EventSpec("col(code)", "col(timestamp)", (), "col(v)")} and spec.subject_columns == {"subject": "pid", "diag": "subject_id"}
+    assert dataset_options({"etl_metadata": {"dataset_name": "n", "dataset_version": 2.0}, "stage_configs": {"split_and_shard_subjects": {"split_fracs": {"train": 1.0}}}}) == {"splits": {"train": 1.0}, "name": "n", "version": "2.0"}
+
+
 # --- ids
 
 
@@ -237,6 +354,24 @@ def test_rows_of_each_stage(spark, tmp_path):
     assert run_pipeline(spark, clinic(spark, tmp_path, ["p1"]), str(tmp_path / "quiet"), count_stages=False)[1].stages == ()
 
 
+def test_a_run_goes_on_where_another_ended(spark, tmp_path):
+    spec, out = clinic(spark, tmp_path, ["p1", "p2"]), str(tmp_path / "out")
+    more = replace(spec, tables={**spec.tables, "again": spec.tables["labs"], "broken": replace(spec.tables["labs"], file=FileSpec(f"{tmp_path}/later", "parquet"))})
+    first = run_pipeline(spark, more, out, at_once=3)
+    assert [(r.table, r.status) for r in first] == [("subject", "written"), ("labs", "written"), ("again", "written"), ("broken", "failed")]
+    written = {f: p.stat().st_mtime_ns for f, p in files(out).items() if "reports" not in f}
+    spark.read.parquet(f"{tmp_path}/labs").write.parquet(f"{tmp_path}/later")
+    second = run_pipeline(spark, more, out, resume=True)
+    assert second[:3] == first[:3] and second[3].rows == first[1].rows
+    now = {f: p.stat().st_mtime_ns for f, p in files(out).items()}
+    assert all(now[f] == t for f, t in written.items()) and f"{out}/broken" in now
+    changed = replace(more, tables={"labs": replace(spec.tables["labs"], code_prefix="L/")})
+    assert run_pipeline(spark, changed, out, resume=True)[1].rows == first[1].rows
+    assert [r.code for r in spark.read.parquet(f"{out}/labs").collect()] == ["L/A"]
+    with pytest.raises(SpecError, match="resumed"):
+        run_pipeline(spark, spec, out, mode="append", resume=True, id_map=f"{out}/ids")
+
+
 def test_runs_share_a_map_of_ids(spark, tmp_path):
     ids = str(tmp_path / "ids")
     run_pipeline(spark, clinic(spark, tmp_path, ["p2"]), str(tmp_path / "out"), id_map=ids)
