@@ -41,14 +41,20 @@ DROPPED = frozenset(
 )
 PROTECTED = frozenset("html body article main p h1 h2 h3 h4 h5 h6 pre blockquote figure figcaption li dd dt td th tr tbody".split())
 #: A class, an id or a role marks boilerplate if it is one of MARKS, or made of words of MARKS and FILLERS only, as
-#: cookie-banner or comment-list are; search-results, related-work or ad-hoc are not.
+#: cookie-banner or comment-list are; search-results, related-work or ad-hoc are not. Whatever stands before them, comments,
+#: adverts and sidebars are told by the last word that is no filler, their head, as in reader-comments or left-sidebar-2,
+#: unless a word such as in has-sidebar or without-ads says that the element is none itself.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising adsbygoogle banner sponsored promo promotion cookie cookies consent gdpr notice notices"
     " alert popup modal overlay newsletter subscribe paywall sidebar menu nav navbar navigation breadcrumb breadcrumbs"
     " footer comment comments commentlist reply replies respond disqus toolbar pagination pager login complementary contentinfo".split()
 )
-FILLERS = frozenset("area bar block box button buttons container content form group inner item items link links list main outer panel section site slot thread top bottom left right unit widget widgets wrap wrapper".split())
-WHOLE = frozenset("related-posts related-articles related-links share-buttons share-bar social-links social-share social-media search search-form search-box skip-link".split())
+FILLERS = frozenset("area bar block body box button buttons container content form group inner item items link links list main outer panel section site slot thread top bottom left right unit widget widgets wrap wrapper".split())
+COMMENT_HEADS = frozenset("comment comments commentlist".split())
+ADVERT_HEADS = frozenset("ad ads advert adverts advertisement advertisements advertising adsbygoogle sponsored".split())
+HEADS = COMMENT_HEADS | ADVERT_HEADS | frozenset("sidebar sidebars breadcrumb breadcrumbs pagination newsletter share sharing".split())
+OTHERWISE = frozenset("has have with no not non without is hide show toggle enable disable".split())
+WHOLE = frozenset("share sharing social related related-posts related-articles related-links share-buttons share-bar social-links social-share social-media search search-form search-box skip-link".split())
 OUTER_MARKS = frozenset("header masthead topbar".split())
 #: What an open element of each kind is hidden by from a start tag that would end it.
 SCOPE = frozenset("html body table td th caption button object".split())
@@ -57,7 +63,8 @@ HIDES = [SCOPE, SCOPE | {"ul", "ol", "menu"}, SCOPE | {"dl"}, frozenset(("html",
 
 _name = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*+)")
 _quoted = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
-_attribute = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: Every attribute of a tag is read, so that words in the values of others are no attributes.
+_attribute = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]++)))?""")
 _words = re.compile(r"[^\W_]+")
 _long_reference = re.compile(r"&#([xX]?)0*([0-9a-fA-F]{7,});?|&#([xX]?)0{7,}([0-9a-fA-F]{0,6});?")
 
@@ -112,22 +119,36 @@ def marks(value: str, known: frozenset) -> bool:
     return value in WHOLE or bool(found) and not known.isdisjoint(found) and all(w in known or w in FILLERS for w in found)
 
 
+def headed(value: str, heads: frozenset) -> bool:
+    """Whether the last word of a class that is neither a filler nor a number is one of ``heads``."""
+    found = _words.findall(value)
+    head = next((w for w in reversed(found) if w not in FILLERS and not w.isdecimal()), "")
+    return head in heads and OTHERWISE.isdisjoint(found)
+
+
 def is_boilerplate(tag: str, attributes: str, inside: bool) -> int:
     """1 if an element is boilerplate by its name or hidden, 2 if by its class, id or role, else 0; ``inside`` says that it
-    lies in the page's article. Classes of elements within a line (such as a comment in code) don't count."""
+    lies in the page's article. Of elements within a line only adverts count (a class comment may be one in code), of
+    articles only adverts and comments."""
     if tag in DROPPED:
         return 1
     if tag == "header" and not inside:
         return 1
-    if not attributes or tag in ("html", "body", "article", "main"):
+    if not attributes or tag in ("html", "body", "main"):
         return 0
+    block = tag in BLOCK or tag == "ins"
     for name, *values in _attribute.findall(attributes):
         value, name = "".join(values).lower(), name.lower()
+        if tag == "article" and name in ("class", "id"):
+            if any(headed(v, COMMENT_HEADS | ADVERT_HEADS) for v in value.split()):
+                return 2
+            continue
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return 1
-        if name in ("class", "id", "role") and (tag in BLOCK or tag == "ins"):
-            if any(marks(v, MARKS) or not inside and marks(v, OUTER_MARKS) for v in value.split()):
-                return 2
+        if name in ("class", "id", "role"):
+            for v in value.split():
+                if headed(v, HEADS if block else ADVERT_HEADS) or block and (marks(v, MARKS) or not inside and marks(v, OUTER_MARKS)):
+                    return 2
     return 0
 
 
@@ -141,9 +162,9 @@ class Page:
     def __init__(self, source: str):
         self.texts: list[str] = []
         self.blocks: list[int] = []
-        #: (tag, from piece, to piece, boilerplate, container of the article, hash)
-        self.elements: list[tuple[str, int, int, int, bool, int]] = []
-        self._open, self._block, self._inside = [], 0, 0
+        #: (tag, from piece, to piece, boilerplate, container of an article: 1, or 2 within boilerplate, hash)
+        self.elements: list[tuple[str, int, int, int, int, int]] = []
+        self._open, self._block, self._inside, self._lost = [], 0, 0, 0
         self._count: dict[str, int] = {}  # open elements by name
         self._read(source)
 
@@ -164,8 +185,9 @@ class Page:
                 self._text(" ")
             return
         dropped = is_boilerplate(tag, attributes, self._inside > 0)
-        holds = tag in ("article", "main") and not dropped
-        self._inside += holds
+        holds = (2 if self._lost else 1) if tag in ("article", "main") and not dropped else 0
+        self._inside += holds > 0
+        self._lost += dropped > 0
         self._count[tag] = self._count.get(tag, 0) + 1
         near = [None if tag in HIDES[k] else n for k, n in enumerate(self._open[-1][5] if self._open else [None] * 5)]
         if tag in NEAR:
@@ -179,7 +201,8 @@ class Page:
 
     def _end_last(self) -> None:
         tag, content, first, dropped, holds, _ = self._open.pop()
-        self._inside -= holds
+        self._inside -= holds > 0
+        self._lost -= dropped > 0
         self._count[tag] -= 1
         # an element's hash is made of its tag, its texts and the hashes of its children
         own = xxhash.xxh64_intdigest("\n".join(content).encode("utf-8", "replace")) - (1 << 63)
@@ -225,8 +248,8 @@ class Page:
     def hashes(self) -> set[int]:
         return {e[5] for e in self.elements if e[5]}
 
-    def _mains(self) -> list[tuple[int, int]]:
-        return [(e[1], e[2]) for e in self.elements if e[4]]
+    def _mains(self, kind: int = 1) -> list[tuple[int, int]]:
+        return [(e[1], e[2]) for e in self.elements if e[4] == kind]
 
     def content(self) -> int:
         """Hash of the article's text, or of the whole page's text if it names no article."""
@@ -236,31 +259,60 @@ class Page:
     def text(self, is_template: Callable[[int], bool]) -> str:
         """Blocks of the article, or of the page if it names none, joined by an empty line.
 
-        An element that holds every article of the page is no boilerplate, whatever its attributes say. Templates never
-        take most of an article, alone or together; nor, if the page names no article, most of it and LONG_TEXT characters.
-        If words in attributes or templates would leave nothing of a page without an article, they don't count.
+        Articles within boilerplate, such as comments or teasers in an aside, are none of the page's. An element that
+        holds every article is no boilerplate, whatever its attributes say. Templates never take most of an article,
+        alone or together; nor, if the page names no article, most of it and LONG_TEXT characters. If a page without an
+        article would be left with nothing, articles within boilerplate count, and then words in attributes or templates
+        don't.
         """
-        n, articles = len(self.texts), self._mains()
-        around = lambda e: bool(articles) and all(e[1] <= a and b <= e[2] for a, b in articles)
+        out = self._cleaned(self._mains(), is_template)
+        if not out and not self._mains():
+            inner = self._mains(2)
+            out = self._cleaned(inner, is_template) if inner else out
+            named = [e for e in self.elements if e[3]]
+            out = out or self._blocks([(0, len(self.texts))], [e for e in named if e[3] != 2] + self._templates(is_template))
+            out = out or self._blocks([(0, len(self.texts))], named) or self._blocks([(0, len(self.texts))], [e for e in named if e[3] != 2])
+        return "\n\n".join(out)
+
+    def _templates(self, is_template: Callable[[int], bool]) -> list:
+        return [e for e in self.elements if not e[3] and e[5] and is_template(e[5])]
+
+    def _cleaned(self, articles: list[tuple[int, int]], is_template: Callable[[int], bool]) -> list[str]:
+        first, last = (min(a for a, _ in articles), max(b for _, b in articles)) if articles else (0, -1)
+        around = lambda e: bool(articles) and e[1] <= first and last <= e[2]
         named = [e for e in self.elements if e[3] and not (around(e) and e[0] not in RAW)]
-        templates = [e for e in self.elements if not e[3] and e[5] and is_template(e[5]) and not around(e)]
-        mains = articles or [(0, n)]
+        templates = [e for e in self._templates(is_template) if not around(e)]
+        mains = articles or [(0, len(self.texts))]
         if templates:
-            lengths, least = np.array([len(t.strip()) for t in self.texts]), 0 if articles else LONG_TEXT
-            sums = lambda gone: np.append(0, np.cumsum(lengths * (self._kept(mains, gone) > 0)))
-            before = sums(named)
-            most = lambda lost, whole: 2 * lost > whole and lost >= least
-            for a, b in mains:
-                inside = [e for e in templates if a <= e[1] and e[2] <= b]
-                kept = [e for e in inside if most(before[e[2]] - before[e[1]], before[b] - before[a])]
-                after = sums(named + [e for e in inside if e not in kept])
-                if most(before[b] - before[a] - (after[b] - after[a]), before[b] - before[a]):
-                    kept = inside
-                templates = [e for e in templates if e not in kept]
-        out = self._blocks(mains, named + templates)
-        if not out and not articles:
-            out = self._blocks(mains, [e for e in named if e[3] != 2] + templates) or self._blocks(mains, named) or self._blocks(mains, [e for e in named if e[3] != 2])
-        return "\n\n".join(out)
+            templates = self._taken(mains, named, templates, 0 if articles else LONG_TEXT)
+        return self._blocks(mains, named + templates)
+
+    def _taken(self, mains: list[tuple[int, int]], named: list, templates: list, least: int) -> list:
+        """The templates that may go: none that holds most of the innermost or of the outermost article around it, and none
+        of an article that would lose most of its text to all of them. Takes one pass over articles and templates in
+        page order."""
+        lengths = np.array([len(t.strip()) for t in self.texts])
+        sums = lambda gone: np.append(0, np.cumsum(lengths * (self._kept(mains, gone) > 0))).tolist()
+        most = lambda lost, whole: 2 * lost > whole and lost >= least
+        before = sums(named)
+        ranges = sorted(set(mains), key=lambda m: (m[0], -m[1]))
+        placed, outside, stack, at = [], [], [], 0  # placed: (template, innermost and outermost article)
+        for e in sorted(templates, key=lambda e: (e[1], -e[2])):
+            while at < len(ranges) and ranges[at][0] <= e[1] and (ranges[at][0] < e[1] or ranges[at][1] >= e[2]):
+                while stack and stack[-1][1] <= ranges[at][0] and stack[-1] != ranges[at]:
+                    stack.pop()
+                stack.append(ranges[at])
+                at += 1
+            while stack and stack[-1][1] < e[2]:
+                stack.pop()
+            held = {stack[0], stack[-1]} if stack else set()
+            if not held:
+                outside.append(e)
+            elif not any(most(before[e[2]] - before[e[1]], before[b] - before[a]) for a, b in held):
+                placed.append((e, held))
+        after = sums(named + [e for e, _ in placed])
+        hurt = {(a, b) for a, b in ranges if most(before[b] - before[a] - (after[b] - after[a]), before[b] - before[a])}
+        return outside + [e for e, held in placed if held.isdisjoint(hurt)]
 
     def _kept(self, mains: list[tuple[int, int]], gone: list) -> np.ndarray:
         n = len(self.texts)
@@ -324,7 +376,7 @@ def template_keys(pages: DataFrame, min_pages: int, min_share: float) -> DataFra
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, max_sent: int = MAX_SENT_KEYS) -> DataFrame:
     """Main text of every page: page_id, url, text, n_chars (code points).
 
-    A null or empty html gives an empty text; null urls and urls without a host count as one host; a null page_id stays
+    White space is what Unicode calls so, a no-break space included. A null or empty html gives an empty text; null urls and urls without a host count as one host; a null page_id stays
     null; a page that names no article is cleaned as a whole. Repeated rows are extracted each; other columns are
     ignored. Up to ``max_sent`` template keys (8 bytes each) are sent to every task; more of them are joined to the pages
     by their host, with the same result.

@@ -447,3 +447,74 @@ def test_served_scores_are_those_of_training_and_outliers_are_cut():
         assert model.raw(buckets, bounds, dense)[i] == pytest.approx(grouped[0])
     far = dense + rng.normal(size=dense.shape) * 1e6
     assert np.abs(model.scaled(far)).max() <= quality.CLIP
+
+
+def cleaned(source):
+    return html_text.Page(source).text(lambda h: False)
+
+
+@pytest.mark.parametrize(
+    ("source", "expected"),
+    [
+        ('<article><div style="overflow:hidden"><p>Body</p></div></article>', "Body"),
+        ('<article><p title="a hidden gem">A</p><p data-note="not hidden">B</p><p hidden>C</p><p hidden="">D</p><p HIDDEN>E</p></article>', "A\n\nB"),
+        ("<article><p data-class='comment' aria-hidden=false>A</p><p class=x aria-hidden = true>B</p></article>", "A"),
+        ('<div id="content"><p>main text</p></div><div class="comments-area"><ol class="comment-list"><li><article class="comment-body">Nice post!</article></li></ol></div>', "main text"),
+        ("<p>page</p><aside><article>Teaser</article></aside>", "page"),
+        ('<p>page</p><section class="related"><article>Teaser</article></section>', "page"),
+        ('<p>page</p><article class="comment">c</article>', "page"),
+        ('<article><p>a</p><article class="comment">c</article></article>', "a"),
+        ('<article><p>a <span class="advert">b</span><code class="comment">c</code></p></article>', "a c"),
+        ('<div class="popup"><article><p>all</p></article></div><footer>f</footer>', "all"),
+        ('<div class="sidebar"><p>only this</p></div>', "only this"),
+        ('<main class="has-ads"><article><p>a</p></article><article><p>b</p></article></main>', "a\n\nb"),
+    ],
+)
+def test_attributes_and_articles_within_boilerplate(source, expected):
+    assert cleaned(source) == expected
+
+
+def test_heads_of_classes():
+    for name in ("user-comments", "reader-comments", "post-comments", "left-sidebar-2", "share", "main-content_advert", "article-share-box"):
+        assert cleaned(f"<article><p>a</p><div class='{name}'>b</div></article>") == "a", name
+    for name in ("has-sidebar", "no-comments", "content-with-sidebar", "without-ads", "comments-policy", "shares-report"):
+        assert cleaned(f"<article><p>a</p><div class='{name}'>b</div></article>") == "a\n\nb", name
+
+
+def test_many_articles_and_deep_templates_take_linear_time():
+    import time
+
+    megabyte = "<body>" + "".join(f"<article><p>story {i} text</p><div>note</div></article>" for i in range(16_000)) + "</body>"
+    for source in (megabyte, "<body><article>" + "<div>x" * 20_000, "<body>" + "<article><div>x" * 20_000):
+        began = time.time()
+        html_text.Page(source).text(lambda h: True)
+        assert time.time() - began < 5
+
+
+def test_random_pages_against_a_plain_walk():
+    rng = random.Random(12)
+
+    def grown(depth, inside):
+        if depth > 3 or rng.random() < 0.3:
+            return "p", rng.choice(["", "", "title='hidden nav'", "hidden"]), [f"word{rng.randrange(99)}"]
+        tag = rng.choice(["div", "div", "section", "nav", "aside", "script"])
+        children = ["var x"] if tag == "script" else [grown(depth + 1, inside) for _ in range(rng.randrange(1, 4))]
+        return tag, rng.choice(["", "", "style=overflow:hidden", "class=comments", "data-x='class=comments '"]) if tag in ("div", "section") else "", children
+
+    def shown(tree):
+        tag, attributes, children = tree
+        return f"<{tag} {attributes}>" + "".join(c if isinstance(c, str) else shown(c) for c in children) + f"</{tag}>"
+
+    for i in range(400):
+        article = ("article", "", [("p", "", ["story"]), *(grown(0, True) for _ in range(3))])
+        around = [grown(0, False) for _ in range(2)]
+
+        def walked(tree):
+            tag, attributes, children = tree
+            own = attributes.replace("data-x='class=comments '", "").replace("title='hidden nav'", "")
+            if tag in ("nav", "aside", "script") or "class=comments" in own or "hidden" in own.split():
+                return []
+            return [x for c in children for x in ([c] if isinstance(c, str) else walked(c))]
+
+        page_ = "".join(map(shown, [around[0], article, around[1]]))
+        assert cleaned(page_) == "\n\n".join(walked(article)), (i, page_)
