@@ -54,6 +54,29 @@ NAMES = {
     "PSF-2.0": ["Python Software Foundation License", "PSF License"],
     "OFL-1.1": ["SIL Open Font License, Version 1.1", "SIL Open Font License 1.1", "SIL Open Font License"],
     "ODbL-1.0": ["Open Database License", "Open Data Commons Open Database License", "Open Database License v1.0", "ODbL"],
+    "LPPL-1.3c": ["LaTeX Project Public License", "LaTeX Project Public License 1.3c", "LPPL 1.3c", "LPPL"],
+    "MS-PL": ["Microsoft Public License", "Ms-PL License"],
+    "MS-RL": ["Microsoft Reciprocal License", "Ms-RL License"],
+    "OpenSSL": ["OpenSSL License", "OpenSSL Licence"],
+    "SSPL-1.0": ["Server Side Public License", "Server Side Public License, version 1", "Server Side Public License v1", "SSPL"],
+    "Ruby": ["Ruby License", "Ruby Licence"],
+    "Vim": ["Vim License", "Vim Licence"],
+    "NCSA": ["University of Illinois/NCSA Open Source License", "NCSA License"],
+    "UPL-1.0": ["Universal Permissive License 1.0", "Universal Permissive License v1.0", "Universal Permissive License"],
+    "Artistic-1.0": ["Artistic License 1.0", "Artistic License, version 1.0"],
+    "AFL-3.0": ["Academic Free License 3.0", "Academic Free License v3.0", "Academic Free License"],
+    "OSL-3.0": ["Open Software License 3.0", "Open Software License v3.0"],
+    "ECL-2.0": ["Educational Community License, Version 2.0", "Educational Community License 2.0"],
+    "CPL-1.0": ["Common Public License 1.0", "Common Public License, version 1.0", "Common Public License"],
+    "PostgreSQL": ["PostgreSQL License", "PostgreSQL Licence"],
+    "BUSL-1.1": ["Business Source License 1.1", "Business Source License"],
+    "Elastic-2.0": ["Elastic License 2.0", "Elastic License, version 2.0", "Elastic License"],
+    "CECILL-2.1": ["CeCILL License 2.1", "CeCILL 2.1", "CeCILL Free Software License Agreement v2.1"],
+    "MulanPSL-2.0": ["Mulan Permissive Software License, Version 2", "Mulan PSL v2"],
+    "X11": ["X11 License", "X Consortium License"],
+    "W3C": ["W3C Software Notice and License", "W3C Software License"],
+    "ODC-By-1.0": ["Open Data Commons Attribution License", "Open Data Commons Attribution License v1.0", "ODC-By"],
+    "PDDL-1.0": ["Open Data Commons Public Domain Dedication and License", "Public Domain Dedication and License 1.0"],
     "CC0-1.0": ["CC0 1.0", "CC0", "CC0 1.0 Universal", "Creative Commons CC0 1.0 Universal", "Creative Commons Zero v1.0 Universal", "CC0 1.0 Universal Public Domain Dedication"],
 }
 #: The Creative Commons licences: marks of their parts, and versions.
@@ -72,6 +95,9 @@ FOLLOWS = [
     "see license md", "see license md for details", "see license txt", "see license txt for details", "see the accompanying license file", "unless otherwise noted", "unless noted otherwise", "or later", "or any later version",
     "or at your option any later version", "only",
 ]
+#: Within a sentence, a name of one word (MIT, GPL) counts only at its end or before one of these; nothing counts after a denial.
+AFTER_WORD = frozenset("see as which that unless but so and or with by for if except copyright c terms in on at from since while to".split())
+DENIED = frozenset("not no never longer without isn wasn aren cannot".split())
 BETWEEN = ["or", "and", "or the", "and the", "and or", "or a", "and a"]
 # Sentences of public licence texts and notices.
 SENTENCES = {
@@ -111,6 +137,11 @@ SENTENCES = {
     "unlicense/free": ["This is free and unencumbered software released into the public domain"],
     "unlicense/anyone": ["Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means"],
     "public-domain/dedicated": ["This work is dedicated to the public domain", "This file is in the public domain", "This work is in the public domain", "Released into the public domain", "Placed in the public domain", "This code is in the public domain"],
+    "openssl/acknowledgement": ["This product includes software developed by the OpenSSL Project for use in the OpenSSL Toolkit."],
+    "ncsa/grant": ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal with the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"],
+    "postgresql/grant": ["Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted, provided that the above copyright notice and this paragraph and the following two paragraphs appear in all copies"],
+    "lppl-1.3c/work": ["This work may be distributed and/or modified under the conditions of the LaTeX Project Public License, either version 1.3 of this license or (at your option) any later version", "This work may be distributed and/or modified under the conditions of the LaTeX Project Public License, either version 1.3c of this license or (at your option) any later version"],
+    "cc0/waived": ["To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"],
     "proprietary/reserved": ["All rights reserved"],
     "proprietary/confidential": ["Proprietary and confidential", "Unauthorized copying of this file, via any medium is strictly prohibited"],
 }
@@ -137,6 +168,11 @@ RULES = {
     "BSL-1.0": [["bsl-1.0/text"]],
     "Zlib": [["zlib/as-is", "zlib/grant"], ["zlib/grant"]],
     "Unlicense": [["unlicense/free", "unlicense/anyone"], ["unlicense/free"]],
+    "OpenSSL": [["openssl/acknowledgement"]],
+    "NCSA": [["ncsa/grant", "mit/as-is"], ["ncsa/grant"]],
+    "PostgreSQL": [["postgresql/grant"]],
+    "LPPL-1.3c": [["lppl-1.3c/work"]],
+    "CC0-1.0": [["cc0/waived"]],
     "Public-Domain": [["public-domain/dedicated"]],
     "Proprietary": [["proprietary/reserved", "proprietary/confidential"], ["proprietary/confidential"], ["proprietary/reserved"]],
 }
@@ -181,18 +217,27 @@ def notices() -> dict[str, list[str]]:
     return out
 
 
+def dedications() -> list[str]:
+    """Statements that something is in the public domain."""
+    whats = [w.removesuffix(" is") for w in STATEMENT[0] if w.startswith(("this ", "the ", "all ", "it "))]
+    return [f"{what} {said} public domain" for what in whats for said in ("is", "is in the", "is dedicated to the", "is released into the", "is placed in the", "has been placed in the", "has been released into the", "has been dedicated to the")]
+
+
 class Rules:
     """Sentence identifiers and the licence rules over them. Rules are tried longest first."""
 
     def __init__(self, sentences: dict[str, list[str]] = SENTENCES, rules: dict[str, list[list[str]]] = RULES):
         names = licence_names()
         self.ids = {normal(s): name for name, group in sentences.items() for s in group}
+        self.ids = {normal(s): "public-domain/dedicated" for s in dedications()} | self.ids if "public-domain/dedicated" in sentences else self.ids
         self.ids |= {normal(s): f"{licence.lower()}/notice" for licence, group in notices().items() for s in group}
         self.names = {normal(n): f"{licence.lower()}/licensed" for licence, group in names.items() for n in group}
         self.starts = {" ".join(" ".join(choice).split()) for choice in itertools.product(*STATEMENT)}
         self.follows, self.between = set(FOLLOWS), set(BETWEEN)
         self.open_ids, self.open_names, self.open_starts, self.open_follows, self.open_between = map(openings, (self.ids, self.names, self.starts, self.follows, self.between))
         self.first_words = {s.split()[0] for s in self.starts}
+        self.verbs = {s.split()[0] for s in STATEMENT[1]}
+        self.longest_name = max(len(n.split()) for n in self.names)
         self.longest = max(len(s.split()) for s in self.starts)
         self.spdx = {f"{k}{ending}".lower(): f"{k.lower()}/spdx" for k in names for ending in SAME}
         every = {licence: [list(r) for r in group] for licence, group in rules.items()}
@@ -223,14 +268,14 @@ class Rules:
             left = [words for words in left if not any(best in w for w in words)]
         return out
 
-    def stated(self, words: list[str], at: int) -> tuple[list[str] | None, bool]:
-        """Identifiers of the licence names from word ``at`` to the end, None if they are none; and whether more words may
-        complete them."""
+    def stated(self, words: list[str], at: int, loose: bool = False) -> tuple[list[str] | None, bool]:
+        """Identifiers of the licence names from word ``at`` on, None if there are none; and whether more words may complete
+        them. What follows the names is one of FOLLOWS or, if ``loose``, anything, but see AFTER_WORD."""
         rest = " ".join(words[at:])
         if not rest:
             return None, True
         is_open = rest in self.open_names
-        for end in range(len(words), at, -1):
+        for end in range(min(len(words), at + self.longest_name), at, -1):
             name = self.names.get(" ".join(words[at:end]))
             if not name:
                 continue
@@ -240,10 +285,12 @@ class Rules:
             is_open |= after in self.open_follows or after in self.open_between
             for n in range(1, 3):
                 if " ".join(words[end : end + n]) in self.between:
-                    more, going = self.stated(words, end + n)
+                    more, going = self.stated(words, end + n, loose)
                     is_open |= going
                     if more:
                         return [name, *more], is_open
+            if loose and (end - at > 1 or words[end] in AFTER_WORD):
+                return [name], is_open
         return None, is_open
 
     def reading(self, joined: str) -> tuple[list[str] | None, bool]:
@@ -259,8 +306,24 @@ class Rules:
                     found, is_open = found or stated, is_open or going
         return found, is_open
 
+    def within(self, words: list[str]) -> list[str] | None:
+        """Identifiers that statements within a sentence name; such a statement stands in one line."""
+        found = []
+        if self.verbs.isdisjoint(words):
+            return None
+        for i, word in enumerate(words):
+            if word not in self.verbs or not DENIED.isdisjoint(words[max(0, i - 3) : i]):
+                continue
+            most = []
+            for n in range(2, min(self.longest, len(words) - i) + 1):
+                if " ".join(words[i : i + n]) in self.starts:
+                    most = self.stated(words, i + n, loose=True)[0] or most
+            found += [x for x in most if x not in found]
+        return found or None
+
     def expression(self, line: str, start: int) -> list[tuple[str, int, int]]:
-        """The identifiers of a line that is a tag with an identifier or an expression of several, or a bare expression."""
+        """The identifiers of a line that is a tag with an identifier or an expression of several, or a bare expression. Of a
+        tag's expression those that are known count; a bare one counts only if all are."""
         tag = _tag.match(line)
         body, offset = (line[tag.end() :], tag.end()) if tag else (line, 0)
         if len(body) > 400 or not tag and " OR " not in body and " AND " not in body:
@@ -276,8 +339,11 @@ class Rules:
                 expected = True
             elif word == "WITH" or out and out[-1] is None:
                 out.append(None if word == "WITH" else ())
-            elif not expected or word.lower() not in self.spdx:
+            elif not expected or not tag and word.lower() not in self.spdx:
                 return []
+            elif word.lower() not in self.spdx:
+                out.append(())
+                expected = False
             else:
                 out.append((self.spdx[word.lower()], start + offset + at, start + offset + at + len(word)))
                 expected = False
@@ -288,7 +354,7 @@ class Rules:
         """Known sentences of a text in order: (identifier, start, end), code points.
 
         A line is looked up whole, then by its sentences, then by adjacent sentences together, as known sentences may
-        hold a full stop; a sentence that is broken over two lines is found as well.
+        hold a full stop; a sentence that is broken over two lines is found as well. Statements may stand within the sentences of a line.
         """
         out, at, parts = [], 0, []
         for line in text.split("\n"):
@@ -316,7 +382,8 @@ class Rules:
                     found, last = known, j
                 if not is_open:
                     break
-            if found is None:
+            found = found or self.within(words[i].split())
+            if not found:
                 i += 1
                 continue
             a, b = parts[i][0], parts[last][1]

@@ -280,6 +280,20 @@ def test_licence_statements(rules, text, expected):
     assert [m[0] for m in rules.match(f"A line.\n{text}\nAnother line.")] == expected
 
 
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("It is licensed under the MIT licence, see the file.", ["MIT"]), ("This code is public domain.", ["Public-Domain"]), ("The software has been placed in the public domain", ["Public-Domain"]),
+        ("SPDX-License-Identifier: LicenseRef-x AND MIT", ["MIT"]), ("License: Foo-1.0 OR (ISC AND Bar)", ["ISC"]), ("License: a story of MIT", []), ("Our tool, which you can get here, is released under the Apache License, Version 2.0 and needs Java.", ["Apache-2.0"]),
+        ("The parts are licensed under the MIT License, the rest is available under the terms of the Mozilla Public License 2.0, as we said.", ["MIT", "MPL-2.0"]), ("The model is not licensed under the MIT License.", []), ("He was released under MIT supervision", []),
+        ("The package is published under MIT as of today", ["MIT"]), ("Macros, released under the LaTeX Project Public License, are old.", ["LPPL-1.3c"]), ("Goods are provided under the bridge by the GPL crowd", []),
+    ],
+)
+def test_statements_within_sentences(rules, text, expected):
+    assert [m[0] for m in rules.match(text)] == expected
+    assert [m[0] for m in rules.match(f"A line.\n{text}\nAnother line.")] == expected
+
+
 def test_reserved_rights_are_found_and_part_no_rule(rules):
     assert rules.match("Story.\nAll rights reserved.") == [("Proprietary", "proprietary/reserved", 7, 27)]
     grant, notice = licences.SENTENCES["mit/grant"][0], licences.SENTENCES["mit/notice"][0]
