@@ -129,6 +129,7 @@ def apply(df: DataFrame, stats: DataFrame, method: str = "minmax", n: int = 10,
     stats = stats.select(F.col("code").alias("__code"), F.col("cuts").alias("__cuts"))
     joined = df.join(stats, named(code) == F.col("__code"), "left")
     text, v, cuts = named(value).cast("string"), to_number(named(value)), F.col("__cuts")
+    text = F.when(F.lower(F.trim(text)) != "nan", text)  # not a number, however written, is a missing value and no label
     unknown = F.when(cuts.isNull(), F.lit("N/A"))
     if method == "minmax":
         low, high = cuts[0], cuts[1]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from eventloom.errors import ConcurrentLoad
 from eventloom.functions.columns import named
-from eventloom.work import materialised
+from eventloom.work import cleared, materialised
 
 #: The smallest subject id; smaller numbers are free for padding and unknown subjects.
 FIRST_ID = 2
@@ -63,12 +63,20 @@ def extend_id_map(ids: DataFrame, column: str, path: str, first: int = FIRST_ID)
     number: the map is to be extended by one load after the other.
     """
     spark = ids.sparkSession
+    with cleared(spark):
+        added_version(ids, column, path, first)
+    return read_id_map(spark, path)
+
+
+def added_version(ids: DataFrame, column: str, path: str, first: int) -> None:
+    """Numbers new ids and adds them to the map as its next version."""
+    spark = ids.sparkSession
     new = ids.select(named(column).cast("string").alias("source_id")).filter("source_id is not null").distinct()
     known, version, start = read_id_map(spark, path), 1, first
     if known is not None:
         new = materialised(new.join(known.select("source_id"), "source_id", "left_anti"))
         if new.isEmpty():
-            return known
+            return
         last = known.agg(F.max("version"), F.max("subject_id")).first()
         version, start = (last[0] or 0) + 1, first if last[1] is None else last[1] + 1
     writer, target = uuid.uuid4().hex, f"{path}/version={version}"
@@ -80,4 +88,3 @@ def extend_id_map(ids: DataFrame, column: str, path: str, first: int = FIRST_ID)
         raise ConcurrentLoad(f"{target} is there already: another load extends the map, or one has failed and left it") from error
     if not spark.read.parquet(target).filter(F.col("writer") != writer).isEmpty():
         raise ConcurrentLoad(f"{target} was written by two loads at once: remove it and load again")
-    return read_id_map(spark, path)

@@ -17,11 +17,12 @@ from eventloom.errors import SpecError
 from eventloom.operators.cohort import SPLITS, code_metadata, cohort, dataset_metadata, events, read_splits, split_subjects, write_metadata
 from eventloom.operators.layout import FILE_ROWS, write_cohort
 from eventloom.operators.shape import select_rename
-from eventloom.operators.subjects import extend_id_map, known_patients, map_subjects, subject_ids
+from eventloom.operators.subjects import extend_id_map, known_patients, map_subjects, read_id_map, subject_ids
 from eventloom.plans.lint import lint
 from eventloom.plans.spec import PipelineSpec, TableSpec
 from eventloom.plans.tables import compile_table, read_file, unwatched
 from eventloom.sources.writers import save
+from eventloom.work import cleared
 
 log = logging.getLogger(__name__)
 
@@ -118,11 +119,13 @@ def run_pipeline(
     done = recorded(spark, out, "subject", subjects) if resume else None
     patients = known_patients(select_rename(read_file(spark, spec.patients, list(spec.patients_rename)), spec.patients_rename))
     if id_map:
-        ids = extend_id_map(patients, "subject_id", id_map)
+        extend_id_map(patients, "subject_id", id_map)
+        ids = read_id_map(spark, id_map)
         version = ids.agg(F.max("version")).first()[0]
     else:
         if not done:
-            save(subject_ids(patients, "subject_id"), f"{out}/id_map", "parquet", "overwrite")
+            with cleared(spark):
+                save(subject_ids(patients, "subject_id"), f"{out}/id_map", "parquet", "overwrite")
         ids, version = spark.read.parquet(f"{out}/id_map"), 0
     if done is None:
         done = record(spark, out, TableReport("subject", "written", save(map_subjects(patients, ids), f"{out}/subject", file_format, mode)), subjects)
@@ -171,7 +174,8 @@ def build_dataset(
     events_ = {name_: specs for name_, specs in spec.events.items() if name_ in done}
     tables = {name_: spark.read.parquet(f"{out}/tables/{name_}") for name_ in events_}
     given = read_splits(spark, splits_json) if splits_json else None
-    split_subjects(spark.read.parquet(f"{out}/tables/subject"), splits, exact, given).write.mode("overwrite").parquet(f"{out}/metadata/subject_splits")
+    with cleared(spark):
+        split_subjects(spark.read.parquet(f"{out}/tables/subject"), splits, exact, given).write.mode("overwrite").parquet(f"{out}/metadata/subject_splits")
     by_subject = spark.read.parquet(f"{out}/metadata/subject_splits")
     write_cohort(compile_cohort(replace(spec, events=events_), tables), by_subject, f"{out}/data", rows_per_file=rows_per_file)
     whole = spark.read.parquet(f"{out}/data").drop("split", "shard")

@@ -568,6 +568,27 @@ def normalize_saved_statistics(spark, d):
     return shape.stack(*out)
 
 
+@query(
+    """SELECT m.method, m.points, count(*) AS rows, count(*) FILTER (m.method <> 'minmax') AS labelled FROM events, (VALUES ('minmax', 2), ('quantile', 4), ('category', 3)) m(method, points) GROUP BY m.method, m.points
+       UNION ALL SELECT 'zscore', -1, count(*), 0 FROM events UNION ALL SELECT 'no value', -2, count(*), 0 FROM events"""
+)
+def normalize_dispatch(spark, d):
+    """Every method by its name, an unknown one, and a table that lacks the value column."""
+    df, out = values(spark, d), []
+    for method, n in (("minmax", 10), ("quantile", 4), ("category", 10), ("zscore", 10), ("no value", 10)):
+        given, points = (df.drop("numeric_value"), -2) if method == "no value" else (df, 0)
+        try:
+            given = labs.normalise(given, "minmax" if method == "no value" else method, n)
+            points = len(labs.cut_points(method, n))
+        except MissingColumns as error:
+            points = points if error.missing == ["numeric_value"] else 0
+        except ValueError:
+            points = -1
+        labelled = F.count("value_label") if points > 0 else F.lit(0).cast("bigint")
+        out.append(given.agg(F.lit(method).alias("method"), F.lit(points).alias("points"), F.count("*").alias("rows"), labelled.alias("labelled")))
+    return shape.stack(*out)
+
+
 BUCKET = "(('0x' || substr(md5(CAST({} AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0)"
 
 
@@ -717,14 +738,26 @@ def code_metadata(spark, d):
     return cohort.code_metadata(whole_cohort(spark, d)).withColumn("value_sum", F.round("value_sum", 2)).drop("value_sum_sq")
 
 
-@query(METADATA_SQL.format(COHORT_SQL))
+WHOLE_METADATA_SQL = METADATA_SQL.replace("AS value_sum,", "AS value_sum, round(sum(CAST(numeric_value AS DOUBLE) * CAST(numeric_value AS DOUBLE)), -3) AS value_sum_sq,")
+
+
+def rounded_sums(metadata: DataFrame) -> DataFrame:
+    return metadata.withColumns({"value_sum": F.round("value_sum", 2), "value_sum_sq": F.round("value_sum_sq", -3)})
+
+
+@query(WHOLE_METADATA_SQL.format(COHORT_SQL))
+def code_metadata_whole(spark, d):
+    """All columns, the sum of squares included."""
+    return rounded_sums(cohort.code_metadata(whole_cohort(spark, d)))
+
+
+@query(WHOLE_METADATA_SQL.format(COHORT_SQL))
 def code_metadata_merged(spark, d):
     """Metadata of a cohort from the saved states of two loads, whose subjects overlap."""
     whole, paths = whole_cohort(spark, d), [scratch(spark, "states") for _ in range(2)]
     for part, path in enumerate(paths):
         save(cohort.code_states(whole.filter(F.pmod(F.hash("code", "time", "numeric_value"), F.lit(2)) == part)), path)
-    states = cohort.merged_states(*map(spark.read.parquet, paths))
-    return cohort.metadata_of_states(states).withColumn("value_sum", F.round("value_sum", 2)).drop("value_sum_sq")
+    return rounded_sums(cohort.metadata_of_states(cohort.merged_states(*map(spark.read.parquet, paths))))
 
 
 @query(
@@ -891,6 +924,27 @@ UNION ALL SELECT DISTINCT id, o_orderdate, 'S/' || o_orderstatus, CAST(NULL AS F
 UNION ALL SELECT DISTINCT id, o_orderdate, 'P/' || o_orderpriority, CAST(NULL AS FLOAT) FROM orders JOIN {IDS_SQL} ON o_custkey = c_custkey"""
 
 
+@query(f"SELECT DISTINCT e.subject_id, e.time, e.code, e.numeric_value, x.split FROM ({CLINIC_SQL}) e, LATERAL (SELECT {SPLIT_CASE.format(BUCKET.format('e.subject_id'))}) x")
+def dataset_events(spark, d):
+    """Every event of the dataset that one call writes, with its split."""
+    out = scratch(spark, "dataset")
+    build_dataset(spark, clinic(d), out, rows_per_file=5000, at_once=2)
+    return spark.read.parquet(f"{out}/data").select("subject_id", "time", "code", "numeric_value", F.col("split").cast("string").alias("split"))
+
+
+@query(
+    f"""WITH e AS (SELECT DISTINCT e.subject_id, e.time, e.code, e.numeric_value FROM ({CLINIC_SQL}) e), s AS (SELECT x.split FROM {IDS_SQL} i, LATERAL (SELECT {SPLIT_CASE.format(BUCKET.format('i.id'))}) x)
+       SELECT code, count(*) AS n_events, count(DISTINCT subject_id) AS n_subjects, (SELECT count(*) FROM e) AS all_events, (SELECT count(DISTINCT subject_id) FROM e) AS all_subjects,
+         (SELECT count(*) FROM s WHERE split = 'train') AS train, (SELECT count(*) FROM s WHERE split = 'held_out') AS held_out FROM e GROUP BY code"""
+)
+def dataset_metadata_files(spark, d):
+    """The metadata that one call writes beside the events: of every code, and of the dataset as JSON."""
+    out = scratch(spark, "dataset")
+    build_dataset(spark, clinic(d), out)
+    whole = spark.read.json(f"{out}/metadata/dataset").select(F.col("n_events").alias("all_events"), F.col("n_subjects").alias("all_subjects"), *(F.col("subjects_by_split")[s].alias(s) for s in ("train", "held_out")))
+    return spark.read.parquet(f"{out}/metadata/codes").select("code", "n_events", "n_subjects").crossJoin(F.broadcast(whole))
+
+
 @query(METADATA_SQL.format(CLINIC_SQL))
 def pipeline_cohort(spark, d):
     spec = clinic(d)

@@ -428,3 +428,27 @@ def test_a_batch_after_a_failure_replaces_itself(spark, tmp_path):
     assert spark.read.parquet(out).count() == 3
     with pytest.raises(ValueError, match="day_of"):
         ingest(spark, landing, df.schema, transform, out, state, distinct_on=["k"], day_of="v")
+
+
+def test_intermediate_tables_are_emptied(spark, tmp_path):
+    from eventloom.work import cleared, materialised
+
+    with cleared(spark):
+        a = materialised(spark.range(10))
+        with cleared(spark):
+            b = materialised(spark.range(20))
+            assert b.count() == 20
+        again = spark.read.parquet(b.inputFiles()[0].rpartition("/")[0]) if b.inputFiles() else None
+        assert a.count() == 10 and (again is None or again.count() == 0)
+        place = a.inputFiles()[0].rpartition("/")[0]
+    assert spark.read.parquet(place).count() == 0
+    kept = materialised(spark.range(5))
+    events = some_events(spark, 500)
+    write_cohort(events, cohort.split_subjects(events), str(tmp_path / "c"))
+    assert kept.count() == 5 and spark.read.parquet(str(tmp_path / "c")).count() == 500
+
+
+def test_not_a_number_is_missing(spark):
+    df = spark.createDataFrame([("A", "1"), ("A", "2"), ("A", "NaN"), ("A", " nan"), ("A", "low")], "code string, numeric_value string")
+    got = [(r.numeric_value, r.value_label) for r in labs.normalise(df).collect()]
+    assert got[2:] == [(None, None), (None, None), (None, "low")]
