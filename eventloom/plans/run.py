@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import logging
+from collections import Counter
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
@@ -14,15 +15,18 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.errors import SpecError
+from eventloom.functions.columns import named
 from eventloom.operators.cohort import SPLITS, code_metadata, cohort, dataset_metadata, events, read_splits, split_subjects, write_metadata
 from eventloom.operators.layout import FILE_ROWS, write_cohort
 from eventloom.operators.shape import select_rename
 from eventloom.operators.subjects import extend_id_map, known_patients, map_subjects, read_id_map, subject_ids
 from eventloom.plans.lint import lint
-from eventloom.plans.spec import PipelineSpec, TableSpec
+from eventloom.plans.spec import FileSpec, PipelineSpec, TableSpec
 from eventloom.plans.tables import compile_table, read_file, unwatched
+from eventloom.sources.readers import FORMATS
+from eventloom.sources.readers import file_format as file_format_of
 from eventloom.sources.writers import save
-from eventloom.work import cleared
+from eventloom.work import cleared, materialised
 
 log = logging.getLogger(__name__)
 
@@ -69,6 +73,31 @@ def compile_subjects(spark: SparkSession, spec: PipelineSpec, raw: DataFrame | N
     return map_subjects(patients, id_map), id_map
 
 
+def shared_sides(spark: SparkSession, tables: Mapping[str, TableSpec]) -> dict[str, DataFrame]:
+    """Delimited side files that lookups of several tables read, each parsed once, with all columns that any of them asks for.
+
+    Parquet files are left as they are, as reading a few columns of one again costs little. A file that is not there, or lacks
+    a column, is the matter of the tables that ask for it.
+    """
+    asked: dict[FileSpec, tuple[set[str], set[str]]] = {}
+    for name, table in tables.items():
+        for look in table.lookups:
+            columns, users = asked.setdefault(look.file, (set(), set()))
+            columns.update((look.key, *look.targets))
+            users.add(name)
+    paths = Counter(file.path for file in asked)
+    out = {}
+    for file, (columns, users) in asked.items():
+        try:
+            # one path that is read in two ways stays two files
+            if len(users) > 1 and paths[file.path] == 1 and (FORMATS.get(file.file_format, file.file_format) or file_format_of(file.path)) == "csv":
+                whole = read_file(spark, file)
+                out[file.path] = materialised(whole.select(*(named(c) for c in whole.columns if c in columns)))
+        except (AnalysisException, SpecError) as error:
+            log.warning("side file %s: %s", file.path, str(error).splitlines()[0])
+    return out
+
+
 RECORD = "table string, status string, rows bigint, message string, stages array<struct<stage: string, rows: bigint>>, description string"
 
 
@@ -137,9 +166,9 @@ def run_pipeline(
             return found
         try:
             counts = StageCounts() if count_stages else unwatched
-            if skip_empty and compile_table(spark, table, ids, test_rows=test_rows).isEmpty():
+            if skip_empty and compile_table(spark, table, ids, sides=sides, test_rows=test_rows).isEmpty():
                 return record(spark, out, TableReport(name, "empty", None), description)
-            rows = save(compile_table(spark, table, ids, test_rows=test_rows, watch=counts), f"{out}/{name}", file_format, mode)
+            rows = save(compile_table(spark, table, ids, sides=sides, test_rows=test_rows, watch=counts), f"{out}/{name}", file_format, mode)
             return record(spark, out, TableReport(name, "written", rows, stages=counts.rows() if count_stages else ()), description)
         except Exception as error:  # noqa: BLE001  any error of one table, of its description or its data
             if strict:
@@ -147,7 +176,8 @@ def run_pipeline(
             log.warning("table %s failed: %s", name, error)
             return record(spark, out, TableReport(name, "failed", None, str(error).splitlines()[0][:500] if str(error) else type(error).__name__), description)
 
-    with ThreadPoolExecutor(max(1, at_once)) as pool:
+    with cleared(spark), ThreadPoolExecutor(max(1, at_once)) as pool:
+        sides = shared_sides(spark, spec.tables)
         return [done, *pool.map(one, spec.tables, spec.tables.values())]
 
 

@@ -16,7 +16,7 @@ from eventloom.operators import cohort, labs, lookups
 from eventloom.operators.layout import manifest_path, merge_cohort, read_manifest, write_cohort
 from eventloom.operators.subjects import extend_id_map, read_id_map
 from eventloom.plans.config import NULL_WORDS, dataset_options, pipeline_from, read_config, run_config
-from eventloom.plans.run import build_dataset, run_pipeline, stage_table
+from eventloom.plans.run import build_dataset, run_pipeline, shared_sides, stage_table
 from eventloom.plans.spec import EventSpec, FileSpec, LookupSpec, PipelineSpec, TableSpec
 from eventloom.plans.tables import combined, compile_table, dropping, early_subjects, subject_finder
 from eventloom.streaming.ingest import ingest, ingest_table
@@ -452,3 +452,21 @@ def test_not_a_number_is_missing(spark):
     df = spark.createDataFrame([("A", "1"), ("A", "2"), ("A", "NaN"), ("A", " nan"), ("A", "low")], "code string, numeric_value string")
     got = [(r.numeric_value, r.value_label) for r in labs.normalise(df).collect()]
     assert got[2:] == [(None, None), (None, None), (None, "low")]
+
+
+def test_side_files_of_several_tables_are_read_once(spark, tmp_path):
+    (tmp_path / "side.csv").write_text("key;a;b;unused\nk1;1;x;0\nk2;2;y;0\n")
+    (tmp_path / "own.csv").write_text("key,a\nk1,7\n")
+    (tmp_path / "t.csv").write_text("k,code\nk1,A\nk2,B\nk3,C\n")
+    side, own = FileSpec(f"{tmp_path}/side.csv", sep=";"), FileSpec(f"{tmp_path}/own.csv")
+    table = lambda *looks: TableSpec(FileSpec(f"{tmp_path}/t.csv"), {"k": "k", "code": "code"}, lookups=looks)
+    tables = {
+        "one": table(LookupSpec(side, "k", "key", {"a": "va"})), "two": table(LookupSpec(side, "k", "key", {"b": "vb"}), LookupSpec(own, "k", "key", {"a": "o"}, "left")),
+        "bad": table(LookupSpec(side, "k", "key", {"absent": "v"})), "gone": table(LookupSpec(FileSpec(f"{tmp_path}/gone.csv"), "k", "key", {"a": "v"})), "gone2": table(LookupSpec(FileSpec(f"{tmp_path}/gone.csv"), "k", "key", {"a": "v"})),
+    }
+    sides = shared_sides(spark, tables)
+    assert list(sides) == [side.path] and sorted(sides[side.path].columns) == ["a", "b", "key"]
+    (tmp_path / "people.csv").write_text("id\np1\n")
+    reports = run_pipeline(spark, PipelineSpec(FileSpec(f"{tmp_path}/people.csv"), {"id": "subject_id"}, tables), str(tmp_path / "out"), at_once=2)
+    assert {r.table: (r.status, r.rows) for r in reports} == {"subject": ("written", 1), "one": ("written", 2), "two": ("written", 2), "bad": ("failed", None), "gone": ("failed", None), "gone2": ("failed", None)}
+    assert rows(spark.read.parquet(f"{tmp_path}/out/two").select("code", "vb", "o")) == [("A", "x", "7"), ("B", "y", None)]
