@@ -318,3 +318,15 @@ def test_nearest_over_the_whole_range_of_doubles(spark):
                 assert smaller < rank or i == 0
                 assert score == pytest.approx(float(np.sqrt(float(d[i] / (Fraction(10) ** 616)))) * 1e308 if d[i] > 10**300 else score, rel=1e-9)
     assert sorted(r[0] for r in got[1]) == sorted([*range(1, 11), *range(1, 11)])  # two vectors of one id are two queries
+
+
+def test_repeated_passages_in_very_long_texts(spark):
+    rng = random.Random(21)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    long = [rng.choice(vocabulary) for _ in range(120_000)]
+    passage = [rng.choice(vocabulary) for _ in range(70)]
+    long[1000:1070] = long[90_000:90_070] = passage
+    other = [*(rng.choice(vocabulary) for _ in range(40)), *passage[5:65]]
+    rows = [(1, " ".join(long)), (2, " ".join(other)), (3, " ".join(other)), (3, "unlike " * 10)]
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in suffixes.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: [(1000, 1070), (90_000, 90_070)], 2: [(0, 100)], 3: [(0, 100)]}

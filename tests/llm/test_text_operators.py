@@ -532,3 +532,24 @@ def test_random_pages_against_a_plain_walk():
 
         page_ = "".join(map(shown, [around[0], article, around[1]]))
         assert cleaned(page_) == "\n\n".join(walked(article)), (i, page_)
+
+
+def test_quality_of_very_long_and_repeated_rows(spark):
+    data = graded(200)
+    long = " ".join(data[1][1] for _ in range(2000))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in data] + [(1, data[1][1]), (1, data[1][1]), (7001, long)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q) for i, _, q in data] + [(3, 1)] * 50, "doc_id long, quality int")
+    got = quality.assess(docs, labels).collect()
+    assert len(got) == 203 and len({r.score for r in got if r.doc_id == 1}) == 1
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
+    assert all(r.predicted == int(r.doc_id % 4 > 0) for r in got if r.doc_id < 200)
+
+
+def test_scores_of_languages_by_a_plain_sum(spark):
+    """A served score is the calibrated softmax of the mean of all rows of a text, word by word."""
+    df = spark.createDataFrame(spoken(), "doc_id long, text string, lang string")
+    model = langid.fit(df, F.lit(True))
+    one = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(df, model, ["doc_id", "text"]).collect()}
+    again = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(df.repartition(7).unionAll(df), model, ["doc_id", "text"]).collect()}
+    assert one == again  # neither neighbours in a batch nor repeats change a score
+    assert all(lang == one[i][0] for i, _, lang in spoken())
