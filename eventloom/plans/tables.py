@@ -10,7 +10,6 @@ from collections.abc import Callable, Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from eventloom.functions.columns import from_value_map, named, pad_suffix, prefixed, strip_zeros, to_number
 from eventloom.functions.times import combine_date_time, combine_parts, parse_time
@@ -93,24 +92,22 @@ def early_subjects(spec: TableSpec) -> bool:
 
 
 def subject_finder(spec: TableSpec, lookups: Sequence[LookupSpec]) -> int | None:
-    """The lookup whose side table can be cut down to known subjects before the join, with the same result: an inner one that
-    finds the subject, after which nothing reads or writes it and no join adds rows without it. Rows that it would find for
-    others are dropped at the end anyway, here they are not even joined."""
+    """The lookup whose side table can have its subjects mapped before the join, with the same result: an inner one that finds
+    the subject, after which nothing reads or writes it and no join adds rows without it. Rows that it would find for
+    unknown subjects are not even joined, and the table itself, which has many more rows, needs no join with the ids."""
     at = next((i for i in reversed(range(len(lookups))) if "subject_id" in lookups[i].targets.values()), None)
     if at is None or lookups[at].how != "inner" or lookups[at].dedupe or spec.on_bad_time == "fail":
         return None
-    later = lookups[at + 1 :]
-    rest = touched(replace(spec, lookups=()))
-    if "subject_id" in rest or any(look.on == "subject_id" or look.how not in ("inner", "left") for look in later) or lookups[at].on == "subject_id":
+    if "subject_id" in (lookups[at].on, lookups[at].targets.get(lookups[at].key)) or any(look.on == "subject_id" or look.how not in ("inner", "left") for look in lookups[at + 1 :]):
         return None
-    return at
+    return None if "subject_id" in touched(replace(spec, lookups=())) else at
 
 
 def compile_table(spark: SparkSession, spec: TableSpec, id_map: DataFrame | None = None, raw: DataFrame | None = None, sides: dict[str, DataFrame] | None = None, test_rows: int | None = None, early: bool = True, watch: Watch = unwatched) -> DataFrame:
     """The event table of a description. ``raw`` and ``sides`` (by path) stand in for files that are tables already.
 
-    Ids are mapped at the end, or first where that gives the same rows, and a lookup that finds subjects meets known ones
-    only where it does; ``early`` off does neither, and rows that are watched are those of all subjects. ``watch`` gets the table after each stage that may change its number of rows, and its name: read, known (subjects),
+    Ids are mapped at the end, or first where that gives the same rows, or in the side table of the lookup that finds subjects
+    where it does; ``early`` off does neither, and rows that are watched are those of all subjects. ``watch`` gets the table after each stage that may change its number of rows, and its name: read, known (subjects),
     lookups, shaped (melt and unroll), complete, distinct.
     """
     df = require(raw, list(spec.rename)).select(*map(named, spec.rename)) if raw is not None else read_file(spark, spec.file, list(spec.rename))
@@ -130,7 +127,7 @@ def compile_table(spark: SparkSession, spec: TableSpec, id_map: DataFrame | None
         side = side if side is not None else read_file(spark, look.file, [look.key, *look.targets])
         if i == finder:
             found = next(c for c, name in look.targets.items() if name == "subject_id")
-            side = side.join(id_map.select(F.col("source_id").alias("__known")), named(found).cast("string") == F.col("__known"), "left_semi")
+            side = map_subjects(side, id_map, found)
         df = lookup(df, side, look.on, look.key, look.targets, look.how, drop, look.null_keys_match, look.dedupe, look.salts)
     df = watch("lookups", df) if lookups else df
     df = df.withColumns({c: pad_suffix(named(c), p["suffix"], p.get("unless_contains")) for c, p in spec.pad.items()})
@@ -151,7 +148,7 @@ def compile_table(spark: SparkSession, spec: TableSpec, id_map: DataFrame | None
     df = watch("shaped", df) if spec.unroll or spec.melt else df
     df = df.withColumns({c: to_number(named(c)) for c in spec.numeric if c in df.columns})
     df = df.withColumns({c: parse_time(named(c), spec.time_formats, df.schema[c].dataType, spec.on_bad_time) for c in spec.times if c in df.columns})
-    if id_map is not None and not early and "subject_id" in df.columns:
+    if id_map is not None and not early and finder is None and "subject_id" in df.columns:
         df = watch("known", map_subjects(df, id_map))
     df = watch("complete", drop_incomplete(df))
     return watch("distinct", drop_repeats(df)) if spec.dedupe else df
