@@ -55,8 +55,10 @@ def test_combined_lookups_are_chained_ones(spark):
     # keys are unique, and what lookups bring is a key of other lookups
     sides = {f.path: spark.createDataFrame([(k, *(rng.choice(keys) for _ in range(3))) for k in rng.sample(keys[:3], 2 + n)], "key string, p string, q string, r string").cache() for n, f in enumerate(FILES)}
     joined = 0
-    for _ in range(40):
+    for i in range(22):
         looks = random_lookups(rng)
+        while i % 2 and len(combined(looks)) == len(looks):  # every second list has lookups to combine
+            looks = random_lookups(rng)
         results = []
         for combine in (True, False):
             spec = TableSpec(FileSpec("t.csv"), {c: c for c in df.columns}, lookups=looks, combine_lookups=combine, dedupe=False, times=())
@@ -67,7 +69,7 @@ def test_combined_lookups_are_chained_ones(spark):
                 results.append(type(error))
         assert results[0] == results[1], looks
         joined += len(combined(looks)) < len(looks)
-    assert joined > 5
+    assert joined >= 11
 
 
 def test_the_key_goes_after_its_last_use():
@@ -152,7 +154,7 @@ def test_lookups_meet_known_subjects_only_where_rows_stay_the_same(spark):
     df = spark.createDataFrame([(rng.choice(["c1", "c2", "c3", None]), rng.choice(["p1", "p9"]), rng.choice(["A", None]), "2021-01-02") for _ in range(30)], "c string, s string, k string, t string")
     side = spark.createDataFrame([("c1", "p1", "c2"), ("c2", "p2", "c1"), ("c2", "p9", "c3"), ("c3", None, "c1"), ("p1", "p2", "c1")], "key string, p string, q string")
     ids = spark.createDataFrame([("p1", 2), ("p2", 3), ("p2!", 4)], "source_id string, subject_id long")
-    for _ in range(40):
+    for _ in range(14):
         find = LookupSpec(FILES[0], rng.choice(["c", "c", "subject_id"]), "key", {"p": "subject_id"}, rng.choice(["inner", "inner", "left", "right"]), dedupe=rng.random() < 0.2)
         more = rng.choice([(), (LookupSpec(FILES[0], rng.choice(["c", "subject_id"]), "key", {"q": "q"}, rng.choice(["inner", "left", "right"])),)])
         spec = TableSpec(FileSpec("t"), {"c": "c", "s": "subject_id", "k": "code", "t": "timestamp"}, lookups=(find, *more), pad=rng.choice([{}, {}, {"subject_id": {"suffix": "!"}}]), dedupe=False)
