@@ -3,8 +3,10 @@
 A window is as many words as a benchmark item has. Windows are fingerprinted by SimHash over their five-word shingles.
 An index of ``BLOCKS`` blocks of bits returns every item of the window's length whose fingerprint lies within the radius:
 two fingerprints that differ in RADIUS bits differ in BLOCK_RADIUS bits or fewer in one block at least, so the items of
-near block values are all candidates there are; by chance one in seven items is. Candidates are verified by the exact
-weighted similarity of their shingles: the sum of the smaller counts over the sum of the larger ones.
+near block values are all candidates there are; by chance one in seven items is, and whole fingerprints tell those that lie
+within the radius. A block is looked up by each of the ``len(NEAR)`` values that lie near its own, or compared with the
+values of the index where these are fewer. Candidates are verified by the exact weighted similarity of their shingles: the
+sum of the smaller counts over the sum of the larger ones.
 
 Only stretches of a text that can reach the similarity are fingerprinted: there, the share of shingles which occur in
 any item at all is at least what the similarity asks for. Words are runs without white space, A-Z as a-z.
@@ -31,7 +33,13 @@ RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
 #: Characters of benchmark text that one pass over the documents sends to its tasks; a larger benchmark takes several.
 PASS_CHARS = 32_000_000
 
+#: Pairs of window and block value, or of window and item, that are looked at at once.
+PAIRS = 1 << 20
+
 _shifts = np.arange(BITS, dtype=np.uint64)
+_values = np.arange(1 << BITS // BLOCKS, dtype=np.uint16)
+#: What a block is changed by to get the block values near it.
+NEAR = _values[np.bitwise_count(_values) <= BLOCK_RADIUS]
 
 
 def blocks(prints: np.ndarray) -> np.ndarray:
@@ -67,7 +75,7 @@ class Benchmark:
     known: np.ndarray = field(init=False)  # sorted shingles of all items
     sizes: np.ndarray = field(init=False)  # distinct numbers of words of the items with full shingles
     prints: np.ndarray = field(init=False)
-    index: dict = field(init=False)  # of each length and block: values, bounds of their items, items
+    index: dict = field(init=False)  # of each length and block: values, bounds of their items, items, place of every value
     short: dict = field(init=False)
 
     def __post_init__(self):
@@ -84,7 +92,11 @@ class Benchmark:
             for b in range(BLOCKS):
                 order = np.argsort(of[:, b], kind="stable")
                 values, first = np.unique(of[order, b], return_index=True)
-                self.index[n, b] = values, np.append(first, len(place)), place[order]
+                at = None
+                if len(values) > len(NEAR):
+                    at = np.full(len(_values), -1, np.int32)
+                    at[values] = np.arange(len(values))
+                self.index[n, b] = values, np.append(first, len(place)), place[order], at
         self.short = {}
         for i in np.flatnonzero(~full):
             self.short.setdefault(int(self.lengths[i]), {}).setdefault(int(self.shingles[i][0]), []).append(int(i))
@@ -97,28 +109,39 @@ class Benchmark:
         found[at] = self.known[place] == shingles[at] if len(self.known) else False
         return found
 
+    def near_values(self, blocks_: np.ndarray, n: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """(window, place of a value in the index) of block values that lie near: by look-up or, of few values, by comparison."""
+        values, _, _, at = self.index[n, b]
+        if at is None:
+            return np.nonzero(np.bitwise_count(blocks_[:, None] ^ values[None]) <= BLOCK_RADIUS)
+        found = at[blocks_[:, None] ^ NEAR[None]]
+        w, v = np.nonzero(found >= 0)
+        return w, found[w, v]
+
     def near(self, prints: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(window, item) of ``n`` words each that lie near in some block, every pair once."""
-        pairs, of = [], blocks(prints)
+        """(window, item) of ``n`` words each that lie near in some block; in several blocks, several times."""
+        windows, found, of = [], [], blocks(prints)
         for b in range(BLOCKS):
-            values, bounds, items = self.index[n, b]
-            for at in range(0, len(prints), 1024):
-                w, v = np.nonzero(np.bitwise_count(of[at : at + 1024, b, None] ^ values[None]) <= BLOCK_RADIUS)
-                counts = bounds[v + 1] - bounds[v]
-                inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-                pairs.append(np.repeat(w + at, counts) * len(self.ids) + items[np.repeat(bounds[v], counts) + inside])
-        pairs = np.unique(np.concatenate(pairs))
-        return pairs // len(self.ids), pairs % len(self.ids)
+            _, bounds, items, _ = self.index[n, b]
+            w, v = self.near_values(of[:, b], n, b)
+            counts = bounds[v + 1] - bounds[v]
+            inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            windows.append(np.repeat(w, counts)), found.append(items[np.repeat(bounds[v], counts) + inside])
+        return np.concatenate(windows), np.concatenate(found)
 
     def candidates(self, prints: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, item) of the same number of words whose fingerprints differ in RADIUS bits at most."""
-        windows, items = [], []
+        """(window, item) of the same number of words whose fingerprints differ in RADIUS bits at most, every pair once."""
+        pairs = [np.zeros(0, np.int64)]
         for n in np.unique(lengths).tolist():
             at = np.flatnonzero(lengths == n)
-            w, i = self.near(prints[at], n)
-            close = np.bitwise_count(prints[at[w]] ^ self.prints[i]) <= RADIUS
-            windows.append(at[w[close]]), items.append(i[close])
-        return np.concatenate(windows), np.concatenate(items)
+            values, _, items, _ = self.index[n, 0]
+            step = max(1, PAIRS // max(min(len(values), len(NEAR)), len(items)))
+            for some in (at[k : k + step] for k in range(0, len(at), step)):
+                w, i = self.near(prints[some], n)
+                close = np.flatnonzero(np.bitwise_count(prints[some[w]] ^ self.prints[i]) <= RADIUS)
+                pairs.append(some[w[close]] * len(self.ids) + i[close])
+        pairs = np.unique(np.concatenate(pairs))
+        return pairs // max(len(self.ids), 1), pairs % max(len(self.ids), 1)
 
 
 def read_items(rows: list[tuple], threshold: float) -> Benchmark:

@@ -250,6 +250,24 @@ def test_blocks_find_everything_within_the_radius():
     assert len(bench.near(prints[400:], 34)[0]) < 0.2 * 600 * 400  # the index leaves most pairs out
 
 
+def test_blocks_of_many_items_are_looked_up():
+    rng = np.random.default_rng(3)
+    n = 6000
+    bench = decontaminate.Benchmark(list(range(n)), list(rng.integers(0, 1 << 63, (n, 3)).astype(np.uint64)), np.full(n, 7), 0.8)
+    values, _, _, at = bench.index[7, 0]
+    assert len(decontaminate.NEAR) < len(values) and at is not None
+    prints = np.concatenate([bench.prints[:50] ^ np.uint64((1 << 19) - 1), bench.prints[50:60], rng.integers(0, 1 << 63, 100).astype(np.uint64)])
+    w, i = bench.candidates(prints, np.full(len(prints), 7))
+    expected = np.nonzero(np.bitwise_count(prints[:, None] ^ bench.prints[None]) <= decontaminate.RADIUS)
+    assert set(zip(w.tolist(), i.tolist(), strict=True)) == set(zip(*(x.tolist() for x in expected), strict=True)) >= {(a, a) for a in range(60)}
+    assert len(w) == len(expected[0])
+    of = decontaminate.blocks(prints)
+    for b in range(decontaminate.BLOCKS):
+        w, v = bench.near_values(of[:, b], 7, b)
+        slow = np.nonzero(np.bitwise_count(of[:, b, None] ^ bench.index[7, b][0][None]) <= decontaminate.BLOCK_RADIUS)
+        assert sorted(zip(w.tolist(), v.tolist(), strict=True)) == sorted(zip(*(x.tolist() for x in slow), strict=True))
+
+
 def test_similar_windows_have_near_fingerprints():
     rng = np.random.default_rng(1)
     distances = []
