@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from eventloom.errors import SpecError
 from eventloom.functions.columns import named, to_number
 from eventloom.functions.times import ISO, parse_time
+from eventloom.operators.layout import dealt_by_subject, tasks_for
 from eventloom.operators.layout import merge_cohort as merge_cohort
+from eventloom.operators.layout import read_cohort as read_cohort
 from eventloom.operators.layout import write_cohort as write_cohort
 from eventloom.operators.shape import require, stack
 from eventloom.operators.subjects import subject_ids
@@ -72,9 +74,16 @@ def events(df: DataFrame, specs: Mapping[str, EventSpec], subject: str = "subjec
     return kept.select("subject_id", "e.time", "e.code", "e.numeric_value")
 
 
-def cohort(*parts: DataFrame, dedupe: bool = True) -> DataFrame:
-    """Events of all tables in the final schema: subject_id long, time, code, numeric_value float."""
+def cohort(*parts: DataFrame, dedupe: bool = True, rows: int | None = None, whole_subjects: bool = False) -> DataFrame:
+    """Events of all tables in the final schema: subject_id long, time, code, numeric_value float.
+
+    ``rows`` says about how many they are: they are then dealt over tasks of a bounded number of rows before repeated ones
+    go, or else every reading task first gathers all the different rows of its share of the input. ``whole_subjects``
+    deals them by subject, for what keeps subjects whole in any case and so needs no other shuffle.
+    """
     out = stack(*parts).select(F.col("subject_id").cast("bigint").alias("subject_id"), F.col("time").cast("timestamp_ntz").alias("time"), F.col("code").cast("string").alias("code"), F.col("numeric_value").cast("float").alias("numeric_value"))
+    if dedupe and rows is not None:
+        out = dealt_by_subject(out, rows) if whole_subjects else out.repartition(tasks_for(out.sparkSession, rows), *out.columns)
     return out.dropDuplicates() if dedupe else out
 
 
