@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import logging
+import math
 from collections import Counter
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from eventloom.errors import SpecError
 from eventloom.functions.columns import named
 from eventloom.operators.cohort import SPLITS, code_metadata, cohort, dataset_metadata, events, read_splits, split_subjects, write_metadata
-from eventloom.operators.layout import FILE_ROWS, write_cohort
+from eventloom.operators.layout import FILE_ROWS, dealt_by_subject, read_cohort, write_cohort
 from eventloom.operators.shape import select_rename
 from eventloom.operators.subjects import extend_id_map, known_patients, map_subjects, read_id_map, subject_ids
 from eventloom.plans.lint import lint
@@ -181,10 +182,22 @@ def run_pipeline(
         return [done, *pool.map(one, spec.tables, spec.tables.values())]
 
 
-def compile_cohort(spec: PipelineSpec, tables: dict[str, DataFrame], dedupe: bool = True) -> DataFrame:
-    """Events of all tables that the description names, as one cohort."""
+def compile_cohort(spec: PipelineSpec, tables: dict[str, DataFrame], dedupe: bool = True, rows: int | None = None, whole_subjects: bool = False) -> DataFrame:
+    """Events of all tables that the description names, as one cohort (M7, M13); ``rows`` and ``whole_subjects`` are those of
+    ``cohort``."""
     parts = [events(tables[name], specs, spec.subject_columns.get(name, "subject_id"), spec.separator) for name, specs in spec.events.items()]
-    return cohort(*parts, dedupe=dedupe)
+    return cohort(*parts, dedupe=dedupe, rows=rows, whole_subjects=whole_subjects)
+
+
+def event_rows(spark: SparkSession, spec: PipelineSpec) -> int:
+    """About how many events a description gives: rows of the raw files (which Parquet files know), times what melting and
+    unrolling make of one, times its kinds of events. What lookups lose or multiply is left out."""
+    total = 0
+    for name, specs in spec.events.items():
+        table = spec.tables.get(name)
+        each = math.prod(len(m.columns) for m in table.melt) * max(1, len(table.unroll) + table.keep_code) if table else 1
+        total += read_file(spark, table.file if table else spec.patients).count() * each * len(specs)
+    return total
 
 
 def build_dataset(
@@ -207,9 +220,10 @@ def build_dataset(
     with cleared(spark):
         split_subjects(spark.read.parquet(f"{out}/tables/subject"), splits, exact, given).write.mode("overwrite").parquet(f"{out}/metadata/subject_splits")
     by_subject = spark.read.parquet(f"{out}/metadata/subject_splits")
-    write_cohort(compile_cohort(replace(spec, events=events_), tables), by_subject, f"{out}/data", rows_per_file=rows_per_file)
-    whole = spark.read.parquet(f"{out}/data").drop("split", "shard")
-    code_metadata(whole).write.mode("overwrite").parquet(f"{out}/metadata/codes")
+    rows = sum((r.rows or 0) * len(events_.get(r.table, ())) for r in reports)
+    write_cohort(compile_cohort(replace(spec, events=events_), tables, rows=rows, whole_subjects=True), by_subject, f"{out}/data", rows_per_file=rows_per_file)
+    whole = read_cohort(spark, f"{out}/data").drop("split", "shard")
+    code_metadata(dealt_by_subject(whole, rows)).write.mode("overwrite").parquet(f"{out}/metadata/codes")
     write_metadata(dataset_metadata(whole, by_subject, name, version), f"{out}/metadata/dataset")
     return reports
 
