@@ -26,7 +26,7 @@ from eventloom.plans.tables import compile_table
 from eventloom.sources.readers import read_table
 from eventloom.sources.writers import save
 from eventloom.streaming.ingest import ingest, ingest_table
-from eventloom.work import shared_folder
+from eventloom.work import materialised, shared_folder
 
 side = partial(LookupSpec, drop_source=True)
 looked_up = partial(lookups.lookup, drop_source=True)
@@ -644,8 +644,9 @@ def events_unreadable_time(spark, d):
     return cohort.events(df, {"e": EventSpec(["E", "col(event_type)"], "col(t)", ("%Y-%m-%d %H:%M:%S", "%d/%m/%Y %H.%M.%S"))}, "user_id")
 
 
-def whole_cohort(spark, d):
-    return cohort.cohort(events_static(spark, d), events_multi(spark, d), events_numeric(spark, d))
+def whole_cohort(spark, d, whole_subjects=False):
+    rows = sum(table(spark, d, name).count() * len(specs) for name, specs in (("customer", PATIENT_EVENTS), ("orders", ORDER_EVENTS), ("events", VALUE_EVENTS)))
+    return cohort.cohort(events_static(spark, d), events_multi(spark, d), events_numeric(spark, d), rows=rows, whole_subjects=whole_subjects)
 
 
 @query(COHORT_SQL)
@@ -696,8 +697,8 @@ def split_override_repeated(spark, d):
 )
 def cohort_written(spark, d):
     path = scratch(spark, "cohort")
-    cohort.write_cohort(whole_cohort(spark, d), split_hash(spark, d), path)
-    return spark.read.parquet(path).select("subject_id", "time", "code", "numeric_value", F.col("split").cast("string").alias("split"))
+    cohort.write_cohort(whole_cohort(spark, d, whole_subjects=True), split_hash(spark, d), path)
+    return cohort.read_cohort(spark, path).select("subject_id", "time", "code", "numeric_value", F.col("split").cast("string").alias("split"))
 
 
 SIZED = 1500  # events of one file
@@ -710,23 +711,24 @@ SIZED = 1500  # events of one file
 def cohort_by_size(spark, d):
     """Files by events: as many as the wanted size asks for, the largest at most twice the smallest, each subject in one."""
     path = scratch(spark, "cohort")
-    cohort.write_cohort(whole_cohort(spark, d), split_hash(spark, d), path, rows_per_file=SIZED)
-    back = spark.read.parquet(path).withColumn("file", F.input_file_name())
-    sizes = back.groupBy("split", "file").agg(F.count("*").alias("n"), F.count_distinct("subject_id").alias("subjects"))
+    cohort.write_cohort(whole_cohort(spark, d, whole_subjects=True), split_hash(spark, d), path, rows_per_file=SIZED)
+    # the many files are read once
+    each = materialised(cohort.read_cohort(spark, path).groupBy("split", F.input_file_name().alias("file"), "subject_id").agg(F.count("*").alias("n")))
+    sizes = each.groupBy("split", "file").agg(F.sum("n").alias("n"), F.count("subject_id").alias("subjects"))
     per_split = sizes.groupBy("split").agg(F.sum("n").alias("n_events"), F.sum("subjects").alias("places"), F.count("*").alias("files"), (F.max("n") <= 2 * F.min("n")).alias("alike"))
-    people = back.groupBy("split").agg(F.count_distinct("subject_id").alias("n_subjects"))
+    people = each.groupBy("split").agg(F.count_distinct("subject_id").alias("n_subjects"))
     return per_split.join(people, "split").select(F.col("split").cast("string").alias("split"), "n_events", "n_subjects", "places", "files", "alike")
 
 
 @query(SQL["cohort_written"])
 def cohort_merged(spark, d):
     """A cohort of two thirds of the events, into which those of later times are merged, with some that it has already."""
-    path, whole, splits = scratch(spark, "cohort"), whole_cohort(spark, d), split_hash(spark, d)
+    path, whole, splits = scratch(spark, "cohort"), whole_cohort(spark, d, whole_subjects=True), split_hash(spark, d)
     part = F.pmod(F.hash("subject_id", "time", "code"), F.lit(3))
     early = F.col("subject_id") % 10 < 8
     cohort.write_cohort(whole.filter(early & (part < 2)), splits, path, rows_per_file=SIZED)
     cohort.merge_cohort(whole.filter(~early | (part > 0)), splits, path)
-    return spark.read.parquet(path).select("subject_id", "time", "code", "numeric_value", F.col("split").cast("string").alias("split"))
+    return cohort.read_cohort(spark, path).select("subject_id", "time", "code", "numeric_value", F.col("split").cast("string").alias("split"))
 
 
 METADATA_SQL = """SELECT code, count(*) AS n_events, count(DISTINCT subject_id) AS n_subjects, count(numeric_value) AS n_values, round(sum(CAST(numeric_value AS DOUBLE)), 2) AS value_sum,
@@ -847,7 +849,7 @@ def dataset_in_one_call(spark, d):
     """Raw tables to a written cohort with splits and metadata."""
     out = scratch(spark, "dataset")
     build_dataset(spark, clinic(d), out)
-    back = spark.read.parquet(f"{out}/data")
+    back = cohort.read_cohort(spark, f"{out}/data")
     return back.groupBy(F.col("split").cast("string").alias("split"), "subject_id").agg(F.count("*").alias("n")).groupBy("split").agg(F.sum("n").alias("n_events"), F.count("*").alias("n_subjects"))
 
 
@@ -929,7 +931,7 @@ def dataset_events(spark, d):
     """Every event of the dataset that one call writes, with its split."""
     out = scratch(spark, "dataset")
     build_dataset(spark, clinic(d), out, rows_per_file=5000, at_once=2)
-    return spark.read.parquet(f"{out}/data").select("subject_id", "time", "code", "numeric_value", F.col("split").cast("string").alias("split"))
+    return cohort.read_cohort(spark, f"{out}/data").select("subject_id", "time", "code", "numeric_value", F.col("split").cast("string").alias("split"))
 
 
 @query(
