@@ -20,7 +20,7 @@ from eventloom.functions import columns as C
 from eventloom.functions import times as T
 from eventloom.operators import audit, cohort, labs, lookups, shape, subjects
 from eventloom.plans.config import pipeline_from
-from eventloom.plans.run import build_dataset, compile_cohort, compile_subjects, report_table, run_pipeline, stage_table
+from eventloom.plans.run import build_dataset, compile_cohort, compile_subjects, event_rows, report_table, run_pipeline, stage_table
 from eventloom.plans.spec import DateTimeSpec, EventSpec, FileSpec, FillSpec, LookupSpec, MeltSpec, PipelineSpec, TableSpec
 from eventloom.plans.tables import compile_table
 from eventloom.sources.readers import read_table
@@ -953,7 +953,7 @@ def pipeline_cohort(spark, d):
     people, id_map = compile_subjects(spark, spec)
     # the cohort drops repeats over all tables, so the tables need not
     tables = {"subject": people, **{name: compile_table(spark, replace(spec.tables[name], dedupe=False), id_map) for name in ("labs", "stays")}}
-    return cohort.code_metadata(compile_cohort(spec, tables)).withColumn("value_sum", F.round("value_sum", 2)).drop("value_sum_sq")
+    return cohort.code_metadata(compile_cohort(spec, tables, rows=event_rows(spark, spec))).withColumn("value_sum", F.round("value_sum", 2)).drop("value_sum_sq")
 
 
 @query(
