@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -58,12 +59,24 @@ def share(of, bound: int, total: int):
     return F.pmod(F.xxhash64(*of, F.lit(17)), F.lit(SPACE)) < F.lit(limit)
 
 
-def drawn(rows: DataFrame, bound: int) -> list[Row]:
+def drawn(rows: DataFrame, bound: int, read: Callable[[pa.RecordBatch], list[pa.Array]] | None = None, schema: str = "") -> list[Row]:
     """At most ``bound`` different rows, drawn by a hash of their whole content, in the order of that hash.
 
     Spark does the drawing: a share of the hash space that holds about ``bound`` rows, without repeated rows, of which
-    the first ``bound`` reach the driver. The same rows give the same draw, however they are spread.
+    the first ``bound`` reach the driver. The same rows give the same draw, however they are spread. With ``read`` the
+    texts stay on the tasks: it turns a batch of rows (the last column their text) to columns of ``schema``, a row for
+    each, and these reach the driver instead.
     """
     some = rows.filter(share(rows.columns, bound, rows.count())).distinct()
-    first = some.withColumn("__h", F.pmod(F.xxhash64(*rows.columns, F.lit(17)), F.lit(SPACE))).orderBy("__h", *rows.columns).limit(bound)
-    return first.drop("__h").collect()
+    some = some.withColumn("__h", F.pmod(F.xxhash64(*rows.columns, F.lit(17)), F.lit(SPACE)))
+    if read:
+        text = len(rows.columns) - 1
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in itertools.chain.from_iterable(pieces(b, text) for b in batches):
+                columns = [*read(part), part.column(text + 1)]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+        names = [c.split()[0] for c in schema.split(", ")] + ["__h"]
+        some = some.mapInArrow(run, f"{schema}, __h bigint")
+    return some.orderBy("__h", *[c for c in some.columns if c != "__h"]).limit(bound).drop("__h").collect()

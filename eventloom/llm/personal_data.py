@@ -140,6 +140,46 @@ class Sites:
         return out
 
 
+def lessons(text: str) -> np.ndarray:
+    """What training reads of a text: for each token with a known label the numbers of features, chain and skip neighbours,
+    the label, and then these: features, labels of chain neighbours (twice, and one if they come before), of repetitions.
+
+    A token that no pattern covers though it repeats one that some pattern does may be a miss of the patterns: its label
+    counts as unobserved, so it is neither learned from nor a neighbour.
+    """
+    sites = Sites(text)
+    if not sites.spans:
+        return np.zeros(0, np.int32)
+    labels, found = sites.labels(base_spans(text)), sites.features()
+    known = np.ones(len(labels), bool)
+    for a, b in sites.skip:
+        if (labels[a] == 0) != (labels[b] == 0):
+            known[a if labels[a] == 0 else b] = False
+    near: list[list[int]] = [[] for _ in labels]
+    again: list[list[int]] = [[] for _ in labels]
+    for a, b in sites.chain:
+        if known[a] and known[b]:
+            near[a].append(2 * labels[b]), near[b].append(2 * labels[a] + 1)
+    for a, b in sites.skip:
+        if known[a] and known[b]:
+            again[a].append(labels[b]), again[b].append(labels[a])
+    out = []
+    for i in np.flatnonzero(known).tolist():
+        out += [len(found[i]), len(near[i]), len(again[i]), labels[i], *found[i], *near[i], *again[i]]
+    return np.array(out, np.int32)
+
+
+def unpacked(packed: np.ndarray) -> Iterator[tuple[np.ndarray, int, list[tuple[int, bool]], list[int]]]:
+    """(features, label, chain neighbours and whether they come before, repetitions) of each token of ``lessons``."""
+    at = 0
+    while at < len(packed):
+        a, b, c, label = packed[at : at + 4].tolist()
+        at += 4
+        own, near, again = packed[at : at + a], packed[at + a : at + a + b].tolist(), packed[at + a + b : at + a + b + c].tolist()
+        yield own, label, [(x // 2, x % 2 == 1) for x in near], again
+        at += a + b + c
+
+
 class SkipChain:
     """Weights: features x labels, potentials of chain edges and of skip edges (labels x labels), all learned."""
 
@@ -150,33 +190,16 @@ class SkipChain:
         self.skip = np.zeros((n, n))
         self.seed = seed
 
-    def fit(self, texts: list[str], epochs: int = 12, rate: float = 0.3, decay: float = 1e-4, hidden: float = 0.5) -> SkipChain:
-        """Pseudo-likelihood: every token's label given the labels of its neighbours.
+    def fit(self, texts: list[str], **how) -> SkipChain:
+        return self.learn([row for text in texts for row in unpacked(lessons(text))], **how)
+
+    def learn(self, rows: list[tuple], epochs: int = 12, rate: float = 0.3, decay: float = 1e-4, hidden: float = 0.5) -> SkipChain:
+        """Pseudo-likelihood over the ``lessons`` of texts: every token's label given the labels of its neighbours.
 
-        A token that no pattern covers though it repeats one that some pattern does may be a miss of the patterns: its
-        label counts as unobserved, so it is neither learned from nor a neighbour. All other pairs of repetitions teach
-        the skip potential, those that agree as those that don't. As a token's own form mostly tells its label, that form
-        is hidden in a share of the steps, so that the potential learns what a repetition says by itself.
+        All pairs of repetitions teach the skip potential, those that agree as those that don't. As a token's own form
+        mostly tells its label, that form is hidden in a share of the steps, so that the potential learns what a repetition
+        says by itself.
         """
-        rows = []
-        for text in texts:
-            sites = Sites(text)
-            if not sites.spans:
-                continue
-            labels, found = sites.labels(base_spans(text)), sites.features()
-            known = np.ones(len(labels), bool)
-            for a, b in sites.skip:
-                if (labels[a] == 0) != (labels[b] == 0):
-                    known[a if labels[a] == 0 else b] = False
-            near: list[list[tuple[int, bool]]] = [[] for _ in labels]
-            again: list[list[int]] = [[] for _ in labels]
-            for a, b in sites.chain:
-                if known[a] and known[b]:
-                    near[a].append((labels[b], False)), near[b].append((labels[a], True))
-            for a, b in sites.skip:
-                if known[a] and known[b]:
-                    again[a].append(labels[b]), again[b].append(labels[a])
-            rows += [r for r, k in zip(zip(found, labels, near, again, strict=True), known, strict=True) if k]
         rng = np.random.default_rng(self.seed)
         for epoch in range(epochs):
             step = rate / (1 + epoch)
@@ -265,7 +288,8 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> SkipChain:
     """Fit the field on at most ``train_docs`` different texts with a digit or an @ sign, drawn by a hash of the text."""
     held = docs.filter(F.col("text").rlike("[0-9@]") & (F.length("text") <= TRAIN_CHARS)).select("text")
-    return SkipChain().fit([r.text for r in drawn(held, train_docs)])
+    read = lambda batch: [pa.array([lessons(t).tobytes() for t in batch.column(0).to_pylist()], pa.binary())]
+    return SkipChain().learn([row for r in drawn(held, train_docs, read, "lessons binary") for row in unpacked(np.frombuffer(r.lessons, np.int32))])
 
 
 def spans_of(text: str, model: SkipChain) -> tuple[list, list]:

@@ -22,8 +22,8 @@ BUCKET_BITS = 16
 RANK = 6
 #: Labelled rows that training draws at most, and the longest text among them.
 TRAIN_ROWS, TRAIN_CHARS = 6000, 50_000
-#: Bytes of text that training looks at at once, as it runs on the driver.
-TRAIN_SLICE = 1 << 17
+#: Bytes of text that are read at once for training, and held-back texts that are scored at once.
+TRAIN_SLICE, HELD_BATCH = 1 << 17, 128
 ACCEPT = 0.3
 #: Deviations at which dense features are cut.
 CLIP = 6.0
@@ -120,21 +120,33 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def train(texts: list[str], labels: list[int], epochs: int = 10, rate: float = 0.08, decay: float = 1e-4, batch: int = 32, seed: int = 5) -> FactorisationMachine:
-    """Stochastic gradient descent over small batches with adaptive steps; a fifth of the rows is held back to calibrate
-    the scores."""
-    at, value, squared, sizes, dense = [], [], [], [], []
-    for part in slices(pa.array(texts, pa.large_string()), TRAIN_SLICE):
-        buckets, bounds, d = features(part)
-        dense.append(d)
+def counted(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """What training reads of every text: its different word buckets, how often each occurs, and its dense features."""
+    for part in slices(column, TRAIN_SLICE):
+        buckets, bounds, dense = features(part)
         for i in range(len(part)):
             found, counts = np.unique(buckets[bounds[i] : bounds[i + 1]], return_counts=True)
-            n = max(counts.sum(), 1)
-            at.append(found), value.append(counts / n), squared.append(counts / n**2), sizes.append(len(found))
+            yield found.astype(np.uint16), counts.astype(np.uint32), dense[i]
+
+
+def train(texts: list[str], labels: list[int], **how) -> FactorisationMachine:
+    return learn(list(counted(pa.array(texts, pa.large_string()))), labels, **how)
+
+
+def learn(examples: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: list[int], epochs: int = 10, rate: float = 0.08, decay: float = 1e-4, batch: int = 32, seed: int = 5) -> FactorisationMachine:
+    """Stochastic gradient descent over small batches of ``counted`` texts with adaptive steps; a fifth of the rows is held
+    back to calibrate the scores.
+
+    It runs on the driver: of each different word of a text it holds six bytes, all else is made for a batch at a time.
+    ``examples`` is emptied.
+    """
     y = np.array(labels, np.float64)
-    dense = np.concatenate(dense) if dense else np.zeros((0, len(DENSE)))
-    at, value, squared = (np.concatenate(x or [np.zeros(0)]) for x in (at, value, squared))
-    at, bounds = at.astype(np.int64), np.append(0, np.cumsum(np.array(sizes, np.int64)))
+    dense = np.array([d for _, _, d in examples]).reshape(-1, len(DENSE))
+    bounds = np.append(0, np.cumsum(np.array([len(a) for a, _, _ in examples], np.int64)))
+    lengths = np.array([max(int(c.sum()), 1) for _, c, _ in examples], np.int64)  # words of each text
+    at = np.concatenate([np.zeros(0, np.uint16), *(a for a, _, _ in examples)])
+    times = np.concatenate([np.zeros(0, np.uint32), *(c for _, c, _ in examples)])
+    examples.clear()
     rng = np.random.default_rng(seed)
     fitted = np.arange(len(y)) % 5 != 4
     model = FactorisationMachine(
@@ -151,14 +163,15 @@ def train(texts: list[str], labels: list[int], epochs: int = 10, rate: float = 0
     def rows_of(texts_: np.ndarray):
         n = bounds[texts_ + 1] - bounds[texts_]
         own = np.append(0, np.cumsum(n))
-        return np.arange(own[-1]) + np.repeat(bounds[texts_] - own[:-1], n), own, n
+        place, words_ = np.arange(own[-1]) + np.repeat(bounds[texts_] - own[:-1], n), np.repeat(lengths[texts_], n)
+        return at[place].astype(np.int64), times[place] / words_, times[place] / words_**2, own, n
 
     for _ in range(epochs):
         order = rng.permutation(np.flatnonzero(fitted))
         for lo in range(0, len(order), batch):
             chosen = order[lo : lo + batch]
-            place, own, n = rows_of(chosen)
-            buckets, v, q, xi = at[place], value[place][:, None], squared[place][:, None], x[chosen]
+            buckets, v, q, own, n = rows_of(chosen)
+            v, q, xi = v[:, None], q[:, None], x[chosen]
             rows = word[buckets]
             raw, total = machine(rows, v[:, 0], q[:, 0], own, xi, flat)
             error = sigmoid(model.bias + raw) - y[chosen]
@@ -175,8 +188,12 @@ def train(texts: list[str], labels: list[int], epochs: int = 10, rate: float = 0
             model.bias -= 0.01 * float(error.sum())
     held = np.flatnonzero(~fitted)
     if len(held) and 0 < y[held].mean() < 1:
-        place, own, _ = rows_of(held)
-        raw = model.bias + machine(word[at[place]], value[place], squared[place], own, x[held], flat)[0]
+        raw = []
+        for lo in range(0, len(held), HELD_BATCH):
+            chosen = held[lo : lo + HELD_BATCH]
+            buckets, v, q, own, _ = rows_of(chosen)
+            raw.append(model.bias + machine(word[buckets], v, q, own, x[chosen], flat)[0])
+        raw = np.concatenate(raw)
         loss = lambda p: -(y[held] * np.log(sigmoid(p[0] * raw + p[1])) + (1 - y[held]) * np.log(1 - sigmoid(p[0] * raw + p[1]) + 1e-12)).mean()
         model.slope, model.shift = (float(v) for v in min(((a, b) for a in np.geomspace(0.2, 3, 25) for b in np.linspace(-2, 2, 17)), key=loss))
     return model
@@ -190,8 +207,15 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from, train_rows: int = TRAIN_
     known = labels.filter(F.col("quality").isin(0, 1) & learn_from).groupBy("doc_id").agg(F.min("quality").alias("label"))
     some = share(["doc_id"], train_rows, known.count())  # on both sides, so that no other text is joined or moved
     texts = docs.filter(some & learn_from & F.col("text").isNotNull() & (F.length("text") <= TRAIN_CHARS)).select("doc_id", "text")
-    rows = drawn(texts.join(known.filter(some), "doc_id").select("label", "text"), train_rows)
-    return train([r.text for r in rows], [r.label for r in rows])
+
+    def read(batch: pa.RecordBatch) -> list[pa.Array]:
+        found = list(counted(batch.column(1)))
+        return [batch.column(0).cast(pa.int32()), *(pa.array([x[j].tobytes() for x in found], pa.binary()) for j in range(3))]
+
+    rows = drawn(texts.join(known.filter(some), "doc_id").select("label", "text"), train_rows, read, "label int, at binary, times binary, dense binary")
+    truth = [r.label for r in rows]
+    rows = [(np.frombuffer(r.at, np.uint16), np.frombuffer(r.times, np.uint32), np.frombuffer(r.dense, np.float64)) for r in rows]
+    return learn(rows, truth)
 
 
 def score(docs: DataFrame, model: FactorisationMachine, columns: list) -> DataFrame:
